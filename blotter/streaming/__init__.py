@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The workload this library rebuilds is batch only: one incident table read
+whole, analysed and used to fit models. It has no stream source, watermark,
+windowed or stateful operator, so none is built here. The analytics in
+``blotter.operators.analytics`` are plain DataFrame aggregates and run
+unchanged on a streaming DataFrame (complete output mode) should a caller
+feed one.
+"""
