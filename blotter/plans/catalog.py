@@ -156,3 +156,166 @@ _INCIDENT_COLS = "incident_id, occurred_text, kind, place, hour, district, year,
 @register("arrest_rows", WITH_INCIDENTS + f" SELECT {_INCIDENT_COLS} FROM incidents WHERE arrest = true")
 def q_arrest_rows(spark, sf_dir):
     return A.arrest_rows(incidents_at(spark, sf_dir))
+
+
+# ------------------------------------------------------------------- ingest
+
+from blotter.session import shared_dir  # noqa: E402
+from blotter.sources import ingest as I  # noqa: E402
+from blotter.sources.incidents import duck_uniform, raw_incidents  # noqa: E402
+from blotter.sources.synth import (  # noqa: E402
+    SYNTH_DISTRICTS,
+    SYNTH_DOMESTIC_SHARE,
+    SYNTH_KIND_RATES,
+    SYNTH_PLACES,
+    SYNTH_YEARS,
+    synthetic_incidents,
+)
+
+
+@register("csv_ingest", WITH_INCIDENTS + f" SELECT {_INCIDENT_COLS} FROM incidents")
+def q_csv_ingest(spark, sf_dir):
+    """Round trip through CSV: write the raw rows with the source header
+    names (quoted commas, empty cells for NULL) to the shared folder, read
+    them back with the fixed column map and standardise."""
+    path = shared_dir(spark, "csv-ingest")
+    I.write_incident_csv(raw_incidents(table(spark, sf_dir, "events")), path)
+    back = I.standardise(I.read_incident_csv(spark, path))
+    return back.select(*[c.strip() for c in _INCIDENT_COLS.split(",")])
+
+
+@register(
+    "incident_standardise",
+    WITH_INCIDENTS + " SELECT incident_id, hour, label, CAST(domestic AS VARCHAR) AS domestic_str FROM incidents",
+)
+def q_incident_standardise(spark, sf_dir):
+    raw = raw_incidents(table(spark, sf_dir, "events"))
+    return I.standardise(raw).select(S.INCIDENT_ID, S.HOUR, S.LABEL, S.DOMESTIC_STR)
+
+
+@register(
+    "hour_of_day",
+    WITH_INCIDENTS
+    + """ SELECT incident_id, occurred_text,
+                 CAST(hour(strptime(occurred_text, '%m/%d/%Y %I:%M:%S %p')) AS INTEGER) AS hour
+          FROM incidents""",
+)
+def q_hour_of_day(spark, sf_dir):
+    from blotter.functions.columns import hour_of_text
+
+    raw = raw_incidents(table(spark, sf_dir, "events"))
+    return raw.select(S.INCIDENT_ID, S.OCCURRED_TEXT, hour_of_text(S.OCCURRED_TEXT).alias(S.HOUR))
+
+
+_PROFILE_TYPES = [
+    ("incident_id", "bigint"), ("occurred_text", "string"), ("kind", "string"), ("place", "string"),
+    ("hour", "int"), ("district", "int"), ("year", "int"), ("domestic", "boolean"),
+    ("arrest", "boolean"), ("label", "int"),
+]
+_PROFILE_ORACLE = WITH_INCIDENTS + " " + " UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS data_type, COUNT(*) AS n_rows, COUNT({c}) AS non_null FROM incidents"
+    for i, (c, t) in enumerate(_PROFILE_TYPES)
+)
+
+
+@register("ingest_profile", _PROFILE_ORACLE)
+def q_ingest_profile(spark, sf_dir):
+    return I.profile(incidents_at(spark, sf_dir))
+
+
+def _duck_list(values) -> str:
+    return "[" + ", ".join(repr(v) if not isinstance(v, str) else "'" + v + "'" for v in values) + "]"
+
+
+def _duck_pick(values, u: str) -> str:
+    return f"({_duck_list(values)})[CAST(floor({float(len(values))!r} * {u}) AS INTEGER) + 1]"
+
+
+_SYNTH_RATE_CASE = "CASE kind " + " ".join(f"WHEN '{k}' THEN {v!r}::DOUBLE" for k, v in SYNTH_KIND_RATES.items()) + " END"
+_SYNTH_ARREST = (
+    f"u_arrest < least(0.99::DOUBLE, greatest(0.01::DOUBLE, ({_SYNTH_RATE_CASE} + CASE WHEN domestic THEN 0.2::DOUBLE ELSE 0.0::DOUBLE END)"
+    " - CASE WHEN hour BETWEEN 2 AND 5 THEN 0.1::DOUBLE ELSE 0.0::DOUBLE END))"
+)
+_SYNTH_ORACLE = f"""
+WITH s AS (
+  SELECT event_id AS incident_id,
+         {_duck_pick(list(SYNTH_KIND_RATES), duck_uniform('event_id', 'kind'))} AS kind,
+         CAST(floor(24.0::DOUBLE * {duck_uniform('event_id', 'hour')}) AS INTEGER) AS hour,
+         {duck_uniform('event_id', 'dom')} < {SYNTH_DOMESTIC_SHARE!r}::DOUBLE AS domestic,
+         CAST(floor({float(SYNTH_DISTRICTS)!r}::DOUBLE * {duck_uniform('event_id', 'district')}) + 1 AS INTEGER) AS district,
+         {_duck_pick(SYNTH_PLACES, duck_uniform('event_id', 'place'))} AS place,
+         CAST({_duck_pick(SYNTH_YEARS, duck_uniform('event_id', 'year'))} AS INTEGER) AS year,
+         {duck_uniform('event_id', 'arrest')} AS u_arrest
+  FROM events
+)
+SELECT incident_id, district, kind, place, year, hour,
+       lower(CAST(domestic AS VARCHAR)) AS domestic_str,
+       {_SYNTH_ARREST} AS arrest,
+       CAST({_SYNTH_ARREST} AS INTEGER) AS label
+FROM s
+"""
+
+
+@register("synthetic_incidents", _SYNTH_ORACLE)
+def q_synthetic_incidents(spark, sf_dir):
+    return synthetic_incidents(table(spark, sf_dir, "events"), "event_id")
+
+
+@register(
+    "synthetic_kind_counts",
+    "WITH synth AS (" + _SYNTH_ORACLE + ") SELECT kind, COUNT(*) AS n_rows FROM synth GROUP BY kind",
+)
+def q_synthetic_kind_counts(spark, sf_dir):
+    return A.kind_counts(synthetic_incidents(table(spark, sf_dir, "events"), "event_id"))
+
+
+def model_rows(df: DataFrame) -> DataFrame:
+    """Incidents with the text form of the domestic flag (added only if
+    missing), complete in every model input column."""
+    df = S.with_column_if_missing(df, S.DOMESTIC_STR, lambda d: F.col(S.DOMESTIC).cast("string"))
+    return S.complete_rows(df)
+
+
+@register(
+    "complete_rows",
+    WITH_INCIDENTS
+    + f""" SELECT {_INCIDENT_COLS}, CAST(domestic AS VARCHAR) AS domestic_str FROM incidents
+           WHERE district IS NOT NULL AND kind IS NOT NULL AND hour IS NOT NULL
+             AND domestic IS NOT NULL AND label IS NOT NULL""",
+)
+def q_complete_rows(spark, sf_dir):
+    return model_rows(incidents_at(spark, sf_dir))
+
+
+# ----------------------------------------------------------------- sampling
+
+from blotter.operators import sampling as SM  # noqa: E402
+
+_U_SAMPLE = duck_uniform("incident_id", "sample")
+_U_SPLIT = duck_uniform("incident_id", "split")
+_PART_SQL = f"CASE WHEN {_U_SPLIT} < 0.8::DOUBLE THEN 'train' ELSE 'test' END"
+
+
+@register("hash_sample", WITH_INCIDENTS + f" SELECT {_INCIDENT_COLS} FROM incidents WHERE {_U_SAMPLE} < 0.05::DOUBLE")
+def q_hash_sample(spark, sf_dir):
+    return SM.hash_sample(incidents_at(spark, sf_dir), S.INCIDENT_ID, 0.05, salt="sample")
+
+
+@register("hash_split", WITH_INCIDENTS + f" SELECT incident_id, {_PART_SQL} AS part FROM incidents")
+def q_hash_split(spark, sf_dir):
+    return SM.hash_split(incidents_at(spark, sf_dir), S.INCIDENT_ID).select(S.INCIDENT_ID, SM.PART)
+
+
+@register("split_sizes", WITH_INCIDENTS + f" SELECT {_PART_SQL} AS part, COUNT(*) AS n_rows FROM incidents GROUP BY 1")
+def q_split_sizes(spark, sf_dir):
+    return SM.part_sizes(SM.hash_split(incidents_at(spark, sf_dir), S.INCIDENT_ID))
+
+
+@register("bernoulli_sample")
+def q_bernoulli_sample(spark, sf_dir):
+    return SM.bernoulli_sample(incidents_at(spark, sf_dir), 0.05, seed=42)
+
+
+@register("random_split")
+def q_random_split(spark, sf_dir):
+    return SM.labelled_random_split(incidents_at(spark, sf_dir), (0.8, 0.2), seed=42).select(S.INCIDENT_ID, SM.PART)
