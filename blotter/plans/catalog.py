@@ -319,3 +319,192 @@ def q_bernoulli_sample(spark, sf_dir):
 @register("random_split")
 def q_random_split(spark, sf_dir):
     return SM.labelled_random_split(incidents_at(spark, sf_dir), (0.8, 0.2), seed=42).select(S.INCIDENT_ID, SM.PART)
+
+
+# ------------------------------------------------------------------ metrics
+
+from blotter.operators import metrics as M  # noqa: E402
+from blotter.functions.columns import hash_uniform  # noqa: E402
+from blotter.sources.incidents import KIND_RATES, lookup  # noqa: E402
+
+# Scorers defined by expressions (no model), so metrics are SQL-checkable.
+SCORER_NAMES = ("domestic_flag", "kind_rate", "kind_rate_noisy")
+
+
+def _scorer(name: str):
+    if name == "kind_rate_noisy":
+        return lookup(F.col(S.KIND), KIND_RATES) + F.lit(0.1) * hash_uniform(S.INCIDENT_ID, "noise")
+    if name == "kind_rate":
+        return lookup(F.col(S.KIND), KIND_RATES)
+    if name == "domestic_flag":
+        return F.when(F.col(S.DOMESTIC), F.lit(0.7)).otherwise(F.lit(0.3))
+    raise ValueError(name)
+
+
+def scored_rows(df: DataFrame, name: str = "kind_rate_noisy") -> DataFrame:
+    """(model, incident_id, label, score, prediction) for a scorer;
+    prediction is 1.0 when the score is at least one half."""
+    sc = _scorer(name)
+    return df.select(
+        F.lit(name).alias("model"),
+        S.INCIDENT_ID,
+        S.LABEL,
+        sc.alias("score"),
+        F.when(sc >= F.lit(0.5), F.lit(1.0)).otherwise(F.lit(0.0)).alias("prediction"),
+    )
+
+
+def all_scored(df: DataFrame) -> DataFrame:
+    out = None
+    for n in SCORER_NAMES:
+        s = scored_rows(df, n)
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+_RATE_OF_KIND = "CASE kind " + " ".join(f"WHEN '{k}' THEN {v!r}::DOUBLE" for k, v in KIND_RATES.items()) + " END"
+_SCORE_SQL = {
+    "kind_rate_noisy": f"{_RATE_OF_KIND} + 0.1::DOUBLE * {duck_uniform('incident_id', 'noise')}",
+    "kind_rate": _RATE_OF_KIND,
+    "domestic_flag": "CASE WHEN domestic THEN 0.7::DOUBLE ELSE 0.3::DOUBLE END",
+}
+
+
+def _scored_sql(names) -> str:
+    parts = [
+        f"SELECT '{n}' AS model, incident_id, label, {_SCORE_SQL[n]} AS score FROM incidents" for n in names
+    ]
+    return (
+        "scored AS (SELECT model, incident_id, label, score, "
+        "CASE WHEN score >= 0.5::DOUBLE THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM ("
+        + " UNION ALL ".join(parts)
+        + "))"
+    )
+
+
+def _metric_ctes(grouped: bool) -> str:
+    g = "model, " if grouped else ""
+    gb = "GROUP BY model" if grouped else ""
+    pw = "PARTITION BY model" if grouped else ""
+    u = " USING (model, c)" if grouped else " USING (c)"
+    return f"""
+conf AS (SELECT {g}CAST(label AS DOUBLE) AS l, prediction AS p, COUNT(*) AS n FROM scored
+         WHERE label IS NOT NULL AND prediction IS NOT NULL GROUP BY {g}l, p),
+cls AS (SELECT {g}l AS c, SUM(n) AS actual FROM conf GROUP BY {g}c),
+prd AS (SELECT {g}p AS c, SUM(n) AS pred FROM conf GROUP BY {g}c),
+tps AS (SELECT {g}l AS c, SUM(n) AS tp FROM conf WHERE l = p GROUP BY {g}c),
+per AS (SELECT {g}c, CAST(actual AS DOUBLE) AS actual, CAST(COALESCE(pred, 0) AS DOUBLE) AS pred,
+               CAST(COALESCE(tp, 0) AS DOUBLE) AS tp
+        FROM cls LEFT JOIN prd{u} LEFT JOIN tps{u}),
+pr AS (SELECT *, CASE WHEN pred > 0 THEN tp / pred ELSE 0.0 END AS prec,
+                 CASE WHEN actual > 0 THEN tp / actual ELSE 0.0 END AS rec FROM per),
+f AS (SELECT *, CASE WHEN prec + rec > 0 THEN 2.0 * prec * rec / (prec + rec) ELSE 0.0 END AS f1c FROM pr),
+wm AS (SELECT {g}SUM(tp) / SUM(actual) AS accuracy, SUM(actual * f1c) / SUM(actual) AS f1,
+              SUM(actual * prec) / SUM(actual) AS weighted_precision,
+              SUM(actual * rec) / SUM(actual) AS weighted_recall
+       FROM f {gb}),
+d AS (SELECT {g}score AS s,
+             SUM(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,
+             SUM(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg
+      FROM scored WHERE label IS NOT NULL AND score IS NOT NULL GROUP BY {g}s),
+r AS (SELECT *, COALESCE(SUM(neg) OVER ({pw} ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM d),
+au AS (SELECT {g}SUM(CAST(pos AS DOUBLE) * (CAST(below AS DOUBLE) + 0.5 * CAST(neg AS DOUBLE)))
+              / (SUM(CAST(pos AS DOUBLE)) * SUM(CAST(neg AS DOUBLE))) AS auc
+       FROM r {gb})"""
+
+
+_ONE = WITH_INCIDENTS + ", " + _scored_sql(["kind_rate_noisy"]) + ", " + _metric_ctes(False)
+_MANY = WITH_INCIDENTS + ", " + _scored_sql(SCORER_NAMES) + ", " + _metric_ctes(True)
+
+
+def _noisy(spark, sf_dir):
+    return scored_rows(incidents_at(spark, sf_dir), "kind_rate_noisy")
+
+
+@register(
+    "label_prediction_counts",
+    WITH_INCIDENTS + ", " + _scored_sql(["kind_rate_noisy"])
+    + " SELECT label, prediction, COUNT(*) AS n_rows FROM scored GROUP BY label, prediction",
+)
+def q_label_prediction_counts(spark, sf_dir):
+    return M.confusion_counts(_noisy(spark, sf_dir))
+
+
+@register(
+    "confusion_quartet",
+    WITH_INCIDENTS + ", " + _scored_sql(["kind_rate_noisy"])
+    + """ SELECT COUNT(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn,
+                 COUNT(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+                 COUNT(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
+                 COUNT(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp
+          FROM scored""",
+)
+def q_confusion_quartet(spark, sf_dir):
+    return M.confusion_quartet(_noisy(spark, sf_dir))
+
+
+@register("auc_roc", _ONE + " SELECT auc FROM au")
+def q_auc_roc(spark, sf_dir):
+    return M.auc_roc(_noisy(spark, sf_dir))
+
+
+@register("metric_accuracy", _ONE + " SELECT accuracy FROM wm")
+def q_metric_accuracy(spark, sf_dir):
+    return M.weighted_metrics(_noisy(spark, sf_dir)).select("accuracy")
+
+
+@register("metric_f1", _ONE + " SELECT f1 FROM wm")
+def q_metric_f1(spark, sf_dir):
+    return M.weighted_metrics(_noisy(spark, sf_dir)).select("f1")
+
+
+@register("metric_precision", _ONE + " SELECT weighted_precision FROM wm")
+def q_metric_precision(spark, sf_dir):
+    return M.weighted_metrics(_noisy(spark, sf_dir)).select("weighted_precision")
+
+
+@register("metric_recall", _ONE + " SELECT weighted_recall FROM wm")
+def q_metric_recall(spark, sf_dir):
+    return M.weighted_metrics(_noisy(spark, sf_dir)).select("weighted_recall")
+
+
+@register(
+    "metrics_record",
+    _ONE + " SELECT auc, accuracy, f1, weighted_precision, weighted_recall FROM au, wm",
+)
+def q_metrics_record(spark, sf_dir):
+    return M.metrics_record(_noisy(spark, sf_dir))
+
+
+@register(
+    "scorer_metrics",
+    _MANY + " SELECT model, auc, accuracy, f1, weighted_precision, weighted_recall FROM au JOIN wm USING (model)",
+)
+def q_scorer_metrics(spark, sf_dir):
+    return M.metrics_record(all_scored(incidents_at(spark, sf_dir)), by=["model"])
+
+
+_PIVOT_ORACLE = (
+    _MANY
+    + ", rec AS (SELECT model, auc, accuracy, f1, weighted_precision, weighted_recall FROM au JOIN wm USING (model)),"
+    + " lng AS ("
+    + " UNION ALL ".join(f"SELECT model, '{m}' AS metric, {m} AS value FROM rec" for m in M.METRIC_NAMES)
+    + ") SELECT metric, "
+    + ", ".join(f"MAX(value) FILTER (WHERE model = '{n}') AS {n}" for n in SCORER_NAMES)
+    + " FROM lng GROUP BY metric"
+)
+
+
+@register("metrics_pivot", _PIVOT_ORACLE)
+def q_metrics_pivot(spark, sf_dir):
+    rec = M.metrics_record(all_scored(incidents_at(spark, sf_dir)), by=["model"])
+    return M.metrics_pivot(M.metrics_long(rec), SCORER_NAMES)
+
+
+@register(
+    "best_model",
+    _MANY + " SELECT model, auc FROM au ORDER BY auc DESC, model LIMIT 1",
+)
+def q_best_model(spark, sf_dir):
+    rec = M.metrics_record(all_scored(incidents_at(spark, sf_dir)), by=["model"])
+    return M.best_by(rec, "auc").select("model", "auc")
