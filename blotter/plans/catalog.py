@@ -508,3 +508,196 @@ def q_metrics_pivot(spark, sf_dir):
 def q_best_model(spark, sf_dir):
     rec = M.metrics_record(all_scored(incidents_at(spark, sf_dir)), by=["model"])
     return M.best_by(rec, "auc").select("model", "auc")
+
+
+# ----------------------------------------------------------------- features
+
+from blotter.operators import features as FE  # noqa: E402
+
+_COMPLETE_SQL = (
+    "cr AS (SELECT *, CAST(domestic AS VARCHAR) AS domestic_str FROM incidents"
+    " WHERE district IS NOT NULL AND kind IS NOT NULL AND hour IS NOT NULL"
+    " AND domestic IS NOT NULL AND label IS NOT NULL)"
+)
+
+
+def _index_sql(value: str, index: str, src: str) -> str:
+    return (
+        f"SELECT {value}, CAST(row_number() OVER (ORDER BY n DESC, {value}) - 1 AS DOUBLE) AS {index}"
+        f" FROM (SELECT {value}, COUNT(*) AS n FROM {src} WHERE {value} IS NOT NULL GROUP BY {value})"
+    )
+
+
+@register(
+    "kind_index",
+    WITH_INCIDENTS + ", " + _COMPLETE_SQL
+    + f", ix AS ({_index_sql('kind', 'kind_idx', 'cr')})"
+    " SELECT kind, kind_idx, COUNT(*) AS n_rows FROM cr JOIN ix USING (kind) GROUP BY kind, kind_idx",
+)
+def q_kind_index(spark, sf_dir):
+    rows = model_rows(incidents_at(spark, sf_dir))
+    model = FE.fit_indexer(rows, [S.KIND], [FE.KIND_IDX])
+    return FE.index_counts(model.transform(rows), S.KIND, FE.KIND_IDX)
+
+
+@register(
+    "domestic_index",
+    WITH_INCIDENTS + ", " + _COMPLETE_SQL
+    + f", ix AS ({_index_sql('domestic_str', 'domestic_idx', 'cr')})"
+    " SELECT domestic_str, domestic_idx, COUNT(*) AS n_rows FROM cr JOIN ix USING (domestic_str)"
+    " GROUP BY domestic_str, domestic_idx",
+)
+def q_domestic_index(spark, sf_dir):
+    rows = model_rows(incidents_at(spark, sf_dir))
+    model = FE.fit_indexer(rows, [S.DOMESTIC_STR], [FE.DOMESTIC_IDX])
+    return FE.index_counts(model.transform(rows), S.DOMESTIC_STR, FE.DOMESTIC_IDX)
+
+
+@register(
+    "unseen_category_skip",
+    WITH_INCIDENTS
+    + f", sp AS (SELECT *, {_PART_SQL} AS part FROM incidents),"
+    + " tr AS (SELECT * FROM sp WHERE part = 'train'),"
+    + f" ix AS ({_index_sql('place', 'place_idx', 'tr')})"
+    " SELECT place, place_idx, COUNT(*) AS n_rows FROM sp JOIN ix USING (place)"
+    " WHERE part = 'test' GROUP BY place, place_idx",
+)
+def q_unseen_category_skip(spark, sf_dir):
+    """Index fitted on the train part, applied to the test part: test rows
+    whose place is NULL or absent from train are skipped."""
+    train, test = SM.hash_parts(incidents_at(spark, sf_dir), S.INCIDENT_ID)
+    model = FE.fit_indexer(train, [S.PLACE], ["place_idx"])
+    return FE.index_counts(model.transform(test), S.PLACE, "place_idx")
+
+
+@register(
+    "feature_vector",
+    WITH_INCIDENTS + ", " + _COMPLETE_SQL
+    + f", ik AS ({_index_sql('kind', 'kind_idx', 'cr')}), id AS ({_index_sql('domestic_str', 'domestic_idx', 'cr')})"
+    " SELECT incident_id, label, CAST(hour AS DOUBLE) AS f_hour, CAST(district AS DOUBLE) AS f_district,"
+    " kind_idx AS f_kind_idx, domestic_idx AS f_domestic_idx"
+    " FROM cr JOIN ik USING (kind) JOIN id USING (domestic_str)",
+)
+def q_feature_vector(spark, sf_dir):
+    rows = model_rows(incidents_at(spark, sf_dir))
+    fmodel = FE.fit_features(rows)
+    vec = fmodel.transform(rows).select(S.INCIDENT_ID, S.LABEL, FE.FEATURES)
+    return FE.vector_elements(vec, FE.FEATURES, FE.FEATURE_ORDER)
+
+
+@register("feature_inspect")
+def q_feature_inspect(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    train, _ = SM.hash_parts(model_rows(incidents_at(spark, sf_dir)), S.INCIDENT_ID)
+    fmodel = FE.fit_features(train)
+    return fmodel.transform(train).select(
+        S.KIND, FE.KIND_IDX, S.HOUR, S.DISTRICT, S.DOMESTIC_STR, FE.DOMESTIC_IDX,
+        vector_to_array(FE.FEATURES).alias(FE.FEATURES), S.LABEL,
+    )
+
+
+# ------------------------------------------------------------------- models
+
+from blotter.operators import models as MO  # noqa: E402
+from blotter.operators import report as R  # noqa: E402
+
+_FITS: dict = {}
+
+
+def fitted_models(spark, sf_dir: str, names=MO.RECIPE):
+    """Train/test from a hash split of the complete incident rows; the
+    feature part is fitted once, classifiers on its cached output. Fitted
+    models are kept per (context, data) so several reports of one run share
+    the fits."""
+    key = (id(spark.sparkContext), sf_dir)
+    entry = _FITS.get(key)
+    if entry is None:
+        train, test = SM.hash_parts(model_rows(incidents_at(spark, sf_dir)), S.INCIDENT_ID)
+        fmodel, tr, te = MO.prepare(train, test)
+        entry = _FITS[key] = {"fitted": MO.FittedSet(features=fmodel), "train": tr, "test": te}
+    MO.fit_all(entry["train"], names, entry["fitted"])
+    return entry
+
+
+def model_records(spark, sf_dir: str, names) -> DataFrame:
+    entry = fitted_models(spark, sf_dir, names)
+    fitted = entry["fitted"]
+    scored = MO.score_all(fitted, entry["test"], names)
+    rec = M.metrics_record(scored, by=["model"], with_confusion=True)
+    secs = spark.createDataFrame([(n, float(fitted.train_s[n])) for n in names], "model string, train_s double")
+    return rec.join(F.broadcast(secs), "model")
+
+
+@register("fit_logistic")
+def q_fit_logistic(spark, sf_dir):
+    return model_records(spark, sf_dir, [MO.LOGISTIC])
+
+
+@register("fit_forest")
+def q_fit_forest(spark, sf_dir):
+    return model_records(spark, sf_dir, [MO.FOREST])
+
+
+@register("fit_boosted")
+def q_fit_boosted(spark, sf_dir):
+    return model_records(spark, sf_dir, [MO.BOOSTED])
+
+
+@register("model_scores")
+def q_model_scores(spark, sf_dir):
+    return model_records(spark, sf_dir, MO.RECIPE)
+
+
+@register("model_report")
+def q_model_report(spark, sf_dir):
+    rec = model_records(spark, sf_dir, MO.RECIPE)
+    return M.metrics_pivot(M.metrics_long(rec, metrics=(*M.METRIC_NAMES, "train_s")), MO.RECIPE)
+
+
+@register("best_fitted_model")
+def q_best_fitted_model(spark, sf_dir):
+    return M.best_by(model_records(spark, sf_dir, MO.RECIPE), "auc").select("model", "auc")
+
+
+@register("feature_importances")
+def q_feature_importances(spark, sf_dir):
+    entry = fitted_models(spark, sf_dir, [MO.FOREST])
+    return R.importance_table(spark, MO.importances(entry["fitted"].models[MO.FOREST]))
+
+
+# ------------------------------------------------------------------ reports
+
+
+@register(
+    "importance_bar",
+    WITH_INCIDENTS
+    + """, c AS (SELECT kind, COUNT(*) AS n FROM incidents GROUP BY kind)
+          SELECT kind, CAST(n AS DOUBLE) / SUM(n) OVER () AS share,
+                 repeat('#', CAST(round_even(50.0 * CAST(n AS DOUBLE) / SUM(n) OVER (), 0) AS INTEGER)) AS bar
+          FROM c""",
+)
+def q_importance_bar(spark, sf_dir):
+    """Bars of one mark per 2% for each kind's share of all rows."""
+    from pyspark.sql import Window
+
+    counts = A.kind_counts(incidents_at(spark, sf_dir))
+    share = F.col(A.COUNT).cast("double") / F.sum(A.COUNT).over(Window.partitionBy(F.lit(0)))
+    return R.with_bar(counts.select(S.KIND, share.alias("share")), "share")
+
+
+@register(
+    "reconcile_counts",
+    WITH_INCIDENTS
+    + f""", sp AS (SELECT place, {_PART_SQL} AS part FROM incidents),
+          a AS (SELECT place, COUNT(*) AS n FROM sp WHERE part = 'train' GROUP BY place),
+          b AS (SELECT place, COUNT(*) AS n FROM sp WHERE part = 'test' GROUP BY place)
+          SELECT COALESCE(a.place, b.place) AS place, COALESCE(a.n, 0) AS train_rows,
+                 COALESCE(b.n, 0) AS test_rows, COALESCE(a.n, 0) - COALESCE(b.n, 0) AS delta
+          FROM a FULL OUTER JOIN b ON a.place IS NOT DISTINCT FROM b.place""",
+)
+def q_reconcile_counts(spark, sf_dir):
+    train, test = SM.hash_parts(incidents_at(spark, sf_dir), S.INCIDENT_ID)
+    a = A.counts_by(train, S.PLACE)
+    b = A.counts_by(test, S.PLACE)
+    return R.reconcile_counts(a, b, S.PLACE, A.COUNT, A.COUNT, "train_rows", "test_rows")
