@@ -3,9 +3,9 @@ ties alphabetical, invalid rows skipped) and the feature vector
 [hour, district, kind index, domestic index].
 
 Index fitting is a distinct-count aggregate whose result (the label list)
-lives in the model on the driver, so its size is checked before the fit:
-an approximate distinct count (a sketch aggregate, no shuffle of rows)
-rejects a column with more categories than the tree models can bin.
+lives in the model on the driver, so its size is checked on the cluster
+before any label is collected: a column with more categories than the tree
+models can bin is rejected.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,13 +29,47 @@ CATEGORY_OUTPUTS = (KIND_IDX, DOMESTIC_IDX)
 MAX_CATEGORIES = 64  # the tree models' maxBins
 
 
+def category_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column position, value, rows) for every non-NULL value of every
+    column in ``cols``: one pass, partial aggregation per task, so a value
+    holding a third of all rows is one row per task before the shuffle."""
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(cols)])
+    )
+    return (
+        df.select(pairs.alias("p"))
+        .select("p.i", "p.v")
+        .filter(F.col("v").isNotNull())
+        .groupBy("i", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+def ordered_labels(df: DataFrame, cols: Sequence[str], max_categories: int = MAX_CATEGORIES) -> list[list[str]]:
+    """Per column, its values most frequent first, ties alphabetical (the
+    order of StringIndexer's ``frequencyDesc``).
+
+    The distinct values are counted by Spark; only when every column has at
+    most ``max_categories`` values does the (bounded) label table come to the
+    driver, so a high-cardinality column fails fast instead of flooding it.
+    The per-value counts are kept for the two small follow-up jobs."""
+    counts = category_counts(df, cols).persist()
+    try:
+        sizes = {r["i"]: r["k"] for r in counts.groupBy("i").agg(F.count(F.lit(1)).alias("k")).collect()}
+        over = {cols[i]: k for i, k in sizes.items() if k > max_categories}
+        if over:
+            raise ValueError(f"too many categories for maxBins={max_categories}: {over}")
+        labels: list[list[str]] = [[] for _ in cols]
+        for r in counts.orderBy("i", F.col("n").desc(), F.col("v").asc()).collect():
+            labels[r["i"]].append(r["v"])
+        return labels
+    finally:
+        counts.unpersist()
+
+
 def check_cardinality(df: DataFrame, cols: Sequence[str], max_categories: int = MAX_CATEGORIES) -> None:
-    """Raise if a column has more distinct values than ``max_categories``
-    (approximate pre-check in one aggregation pass)."""
-    est = df.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in cols]).first()
-    over = {c: est[c] for c in cols if est[c] > max_categories * 1.05}
-    if over:
-        raise ValueError(f"too many categories for maxBins={max_categories}: {over}")
+    """Raise if a column has more than ``max_categories`` distinct values."""
+    ordered_labels(df, cols, max_categories)
 
 
 def category_indexer(
@@ -64,25 +98,21 @@ def fit_indexer(
     inputs: Sequence[str],
     outputs: Sequence[str],
     max_categories: int = MAX_CATEGORIES,
-):
-    check_cardinality(train, inputs, max_categories)
-    model = category_indexer(inputs, outputs).fit(train)
-    sizes = {c: len(lbls) for c, lbls in zip(inputs, model.labelsArray)}
-    over = {c: n for c, n in sizes.items() if n > max_categories}
-    if over:
-        raise ValueError(f"too many categories for maxBins={max_categories}: {over}")
-    return model
+    handle_invalid: str = "skip",
+) -> StringIndexerModel:
+    """A fitted multi-column StringIndexer from one counting pass (see
+    ``ordered_labels``); equal to ``category_indexer(...).fit(train)``."""
+    labels = ordered_labels(train, inputs, max_categories)
+    return StringIndexerModel.from_arrays_of_labels(
+        labels, inputCols=list(inputs), outputCols=list(outputs), handleInvalid=handle_invalid
+    )
 
 
 def fit_features(train: DataFrame, max_categories: int = MAX_CATEGORIES) -> PipelineModel:
-    """Fit indexers and assembler once on the training rows; the fitted
-    model is shared by every classifier."""
-    check_cardinality(train, CATEGORY_INPUTS, max_categories)
-    model = Pipeline(stages=feature_stages()).fit(train)
-    sizes = [len(lbls) for lbls in model.stages[0].labelsArray]
-    if max(sizes) > max_categories:
-        raise ValueError(f"too many categories for maxBins={max_categories}: {sizes}")
-    return model
+    """Indexers fitted once on the training rows, then the assembler; the
+    fitted model is shared by every classifier."""
+    indexer = fit_indexer(train, CATEGORY_INPUTS, CATEGORY_OUTPUTS, max_categories)
+    return PipelineModel(stages=[indexer, feature_assembler()])
 
 
 def vector_elements(df: DataFrame, vector_col: str, names: Sequence[str], prefix: str = "f_") -> DataFrame:

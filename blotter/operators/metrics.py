@@ -24,19 +24,16 @@ from pyspark.sql import functions as F
 
 METRIC_NAMES = ("auc", "accuracy", "f1", "weighted_precision", "weighted_recall")
 
-_G = "__grp"
 
-
-def _keyed(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Group keys to use; a constant key stands in for 'no grouping' so that
-    every step is the same equi-join / group-by (never a cross join)."""
-    if by:
-        return df, list(by)
-    return df.withColumn(_G, F.lit(0)), [_G]
-
-
-def _unkey(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    return df if by else df.drop(_G)
+def attach(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the columns of ``small`` (one row per key, a bounded table) to
+    ``df``: a broadcast equi-join on ``keys``, or with no keys a scalar
+    subquery of its single row. Never a cross join."""
+    if keys:
+        return df.join(F.broadcast(small), list(keys))
+    cols = small.columns
+    packed = small.select(F.struct(*cols).alias("__pack")).scalar()
+    return df.withColumn("__pack", packed).select(*df.columns, *[F.col("__pack")[c].alias(c) for c in cols])
 
 
 def confusion_counts(scored: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
@@ -56,37 +53,63 @@ def confusion_quartet(scored: DataFrame, label: str = "label", prediction: str =
     return scored.groupBy(*by).agg(*aggs)
 
 
-def weighted_metrics(scored: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
-    """accuracy, f1, weighted_precision, weighted_recall per group, for any
-    number of classes. The heavy step is one partial+final aggregate to the
-    confusion table; the rest works on that table (groups x classes^2 rows)."""
+def class_table(scored: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
+    """Per (group, class): rows whose label is the class (``actual``), rows
+    predicted as the class (``predicted``) and rows both (``hits``).
+
+    Each scored row feeds two entries (its label's class and its predicted
+    class), summed by a partial + final aggregate: one shuffle of at most
+    groups x classes rows per task, no join. Rows with a NULL label or
+    prediction are not counted."""
     df = scored.filter(F.col(label).isNotNull() & F.col(prediction).isNotNull())
-    df, keys = _keyed(df, by)
-    conf = df.groupBy(
-        *keys, F.col(label).cast("double").alias("__l"), F.col(prediction).cast("double").alias("__p")
-    ).agg(F.count(F.lit(1)).alias("__n"))
-    actual = conf.groupBy(*keys, F.col("__l").alias("__c")).agg(F.sum("__n").alias("__actual"))
-    predicted = conf.groupBy(*keys, F.col("__p").alias("__c")).agg(F.sum("__n").alias("__pred"))
-    hits = conf.filter(F.col("__l") == F.col("__p")).groupBy(*keys, F.col("__l").alias("__c")).agg(F.sum("__n").alias("__tp"))
-    per = (
-        actual.join(predicted, [*keys, "__c"], "left")
-        .join(hits, [*keys, "__c"], "left")
-        .fillna(0, subset=["__pred", "__tp"])
+    lab, pred = F.col(label).cast("double"), F.col(prediction).cast("double")
+    one, zero = F.lit(1), F.lit(0)
+    entries = F.array(
+        F.struct(lab.alias("c"), one.alias("a"), zero.alias("p"), (lab == pred).cast("int").alias("t")),
+        F.struct(pred.alias("c"), zero.alias("a"), one.alias("p"), zero.alias("t")),
     )
-    tp, act, prd = (F.col(c).cast("double") for c in ("__tp", "__actual", "__pred"))
-    prec = F.when(prd > 0, tp / prd).otherwise(F.lit(0.0))
-    rec = F.when(act > 0, tp / act).otherwise(F.lit(0.0))
-    per = per.withColumns({"__prec": prec, "__rec": rec})
+    return (
+        df.select(*by, F.explode(entries).alias("x"))
+        .groupBy(*by, F.col("x.c").alias("cls"))
+        .agg(F.sum("x.a").alias("actual"), F.sum("x.p").alias("predicted"), F.sum("x.t").alias("hits"))
+    )
+
+
+def weighted_metrics(
+    scored: DataFrame,
+    label: str = "label",
+    prediction: str = "prediction",
+    by: Sequence[str] = (),
+    with_confusion: bool = False,
+) -> DataFrame:
+    """accuracy, f1, weighted_precision, weighted_recall per group, for any
+    number of classes; with ``with_confusion`` also tn, fp, fn, tp of the
+    0/1 classes, from the same aggregate."""
+    per = class_table(scored, label, prediction, by)
+    tp, act, prd = (F.col(c).cast("double") for c in ("hits", "actual", "predicted"))
+    p = F.when(prd > 0, tp / prd).otherwise(F.lit(0.0))
+    r = F.when(act > 0, tp / act).otherwise(F.lit(0.0))
+    per = per.select(*by, "cls", "actual", "predicted", "hits", p.alias("__prec"), r.alias("__rec"))
     p, r = F.col("__prec"), F.col("__rec")
-    per = per.withColumn("__f1", F.when(p + r > 0, F.lit(2.0) * p * r / (p + r)).otherwise(F.lit(0.0)))
+    f1 = F.when(p + r > 0, F.lit(2.0) * p * r / (p + r)).otherwise(F.lit(0.0))
     total = F.sum(act)
-    out = per.groupBy(*keys).agg(
+    aggs = [
         (F.sum(tp) / total).alias("accuracy"),
-        (F.sum(act * F.col("__f1")) / total).alias("f1"),
+        (F.sum(act * f1) / total).alias("f1"),
         (F.sum(act * p) / total).alias("weighted_precision"),
         (F.sum(act * r) / total).alias("weighted_recall"),
-    )
-    return _unkey(out, by)
+    ]
+    if with_confusion:
+        def of(cls: float, c: str) -> Column:
+            return F.coalesce(F.sum(F.when(F.col("cls") == F.lit(cls), F.col(c))), F.lit(0)).cast("long")
+
+        aggs += [
+            of(0.0, "hits").alias("tn"),
+            (of(1.0, "predicted") - of(1.0, "hits")).alias("fp"),
+            (of(1.0, "actual") - of(1.0, "hits")).alias("fn"),
+            of(1.0, "hits").alias("tp"),
+        ]
+    return per.groupBy(*by).agg(*aggs)
 
 
 def _bucket_count(scored: DataFrame) -> int:
@@ -121,32 +144,43 @@ def auc_roc(
        each score; the partitions are balanced by construction.
     """
     nb = buckets or _bucket_count(scored)
+    keys = list(by)
     df = scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
-    df, keys = _keyed(df, by)
     is_pos = (F.col(label).cast("double") == F.lit(1.0)).cast("long")
     d = df.groupBy(*keys, F.col(score).cast("double").alias("__s")).agg(
         F.sum(is_pos).alias("__pos"), F.sum(F.lit(1) - is_pos).alias("__neg")
     )
+    # Every consumer of ``d`` reads all its columns, so the plans below share
+    # one scan and one aggregate exchange (exchange reuse) instead of
+    # re-reading the input once per branch.
     qs = [i / nb for i in range(1, nb)]
-    bounds = d.groupBy(*keys).agg(F.percentile_approx("__s", qs, 10000).alias("__bounds"))
-    d = d.join(F.broadcast(bounds), keys).select(
-        *keys, "__s", "__pos", "__neg", F.size(F.filter("__bounds", lambda b: b < F.col("__s"))).alias("__b")
+    bounds = d.groupBy(*keys).agg(
+        F.percentile_approx("__s", qs, 10000).alias("__bounds"),
+        F.sum("__pos").alias("__P"),
+        F.sum("__neg").alias("__N"),
     )
-    per_bucket = d.groupBy(*keys, "__b").agg(F.sum("__neg").alias("__bneg"))
-    w_off = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    d = attach(d, bounds, keys)
+    d = d.select(
+        *keys, "__s", "__pos", "__neg", "__P", "__N",
+        # non-nullable, so no IS NOT NULL is inferred from the join below and
+        # pushed under the aggregate (which would split the shared subtree)
+        F.coalesce(F.size(F.filter("__bounds", lambda b: b < F.col("__s"))), F.lit(0)).alias("__b"),
+    )
+    per_bucket = d.groupBy(*keys, "__b").agg(F.sum("__neg").alias("__bneg"), F.sum("__pos").alias("__bpos"))
+    # groups x buckets rows: the running total over buckets is a small window.
+    w_off = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(*keys, "__b", F.coalesce(F.sum("__bneg").over(w_off), F.lit(0)).alias("__off"))
     w_loc = Window.partitionBy(*keys, "__b").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
     ranked = d.join(F.broadcast(offsets), [*keys, "__b"]).withColumn(
         "__below", F.col("__off") + F.coalesce(F.sum("__neg").over(w_loc), F.lit(0))
     )
     pos, neg = F.col("__pos").cast("double"), F.col("__neg").cast("double")
-    out = ranked.groupBy(*keys).agg(
+    return ranked.groupBy(*keys).agg(
         F.try_divide(
             F.sum(pos * (F.col("__below").cast("double") + F.lit(0.5) * neg)),
-            F.sum(pos) * F.sum(neg),
+            F.first("__P").cast("double") * F.first("__N").cast("double"),
         ).alias("auc")
     )
-    return _unkey(out, by)
 
 
 def metrics_record(
@@ -160,11 +194,11 @@ def metrics_record(
 ) -> DataFrame:
     """The five metrics (and optionally the confusion quartet) as one row
     per group."""
-    keyed, keys = _keyed(scored, by)
-    rec = auc_roc(keyed, label, score, keys, buckets).join(weighted_metrics(keyed, label, prediction, keys), keys)
-    if with_confusion:
-        rec = rec.join(confusion_quartet(keyed, label, prediction, keys), keys)
-    return _unkey(rec.select(*keys, *[c for c in rec.columns if c not in keys]), by)
+    keys = list(by)
+    rec = weighted_metrics(scored, label, prediction, keys, with_confusion)
+    rec = attach(rec, auc_roc(scored, label, score, keys, buckets), keys)
+    first = [*keys, "auc", "accuracy", "f1", "weighted_precision", "weighted_recall"]
+    return rec.select(*first, *[c for c in rec.columns if c not in first])
 
 
 def metrics_long(records: DataFrame, model: str = "model", metrics: Sequence[str] = METRIC_NAMES) -> DataFrame:

@@ -47,17 +47,53 @@ class FittedSet:
     train_s: dict = field(default_factory=dict)
 
 
-def prepare(train: DataFrame, test: DataFrame, persist: bool = True):
-    """Fit the feature part on ``train``; return (feature model, train
-    vectors, test vectors). Rows whose category is unseen at fit time (or
-    NULL) are skipped by the indexers."""
-    fmodel = fit_features(train)
-    keep = [S.INCIDENT_ID, S.LABEL, FEATURES]
-    tr = fmodel.transform(train).select(*keep)
-    te = fmodel.transform(test).select(*keep)
-    if persist:
-        tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
-        te = te.persist(StorageLevel.MEMORY_AND_DISK)
+MODEL_COLUMNS = (S.INCIDENT_ID, S.LABEL, S.HOUR, S.DISTRICT, S.KIND, S.DOMESTIC_STR)
+
+
+def prepare(
+    rows: DataFrame,
+    split: str = "hash",
+    weights: Sequence[float] = (0.8, 0.2),
+    seed: int = 42,
+    min_partitions: int | None = None,
+):
+    """Train/test feature vectors from complete model rows.
+
+    The model columns are projected, spread over at least ``min_partitions``
+    (default: the cluster's default parallelism) by a hash of the id when
+    the input has fewer partitions, and kept for the steps below; the split
+    is a hash split by default (``"bernoulli"``: ``randomSplit``). Indexes
+    are fitted on the train part in one counting pass, and both parts are
+    transformed once and persisted for the classifiers.
+
+    Returns (feature model, train vectors, test vectors); the caller
+    unpersists the two frames.
+    """
+    from blotter.operators.sampling import PART, hash_split
+
+    spark = rows.sparkSession
+    base = rows.select(*MODEL_COLUMNS)
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if base.rdd.getNumPartitions() < want:
+        base = base.repartition(want, S.INCIDENT_ID)
+    if split == "hash":
+        names = ("train", "test")
+        base = hash_split(base, S.INCIDENT_ID, weights, names).persist(StorageLevel.MEMORY_AND_DISK)
+        train, test = (base.filter(F.col(PART) == F.lit(n)).drop(PART) for n in names)
+    elif split == "bernoulli":
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
+        train, test = base.randomSplit(list(weights), seed=seed)
+    else:
+        raise ValueError(f"unknown split {split}")
+    try:
+        fmodel = fit_features(train)
+        keep = [S.INCIDENT_ID, S.LABEL, FEATURES]
+        tr = fmodel.transform(train).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+        te = fmodel.transform(test).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+        tr.count()
+        te.count()
+    finally:
+        base.unpersist()
     return fmodel, tr, te
 
 

@@ -80,13 +80,9 @@ def run(spark: SparkSession, args) -> dict:
             rows = SM.hash_sample(rows, S.INCIDENT_ID, args.sample)
         else:
             rows = SM.bernoulli_sample(rows, args.sample, args.seed)
-    if args.split == "hash":
-        train, test = SM.hash_parts(rows, S.INCIDENT_ID)
-    else:
-        train, test = SM.random_split(rows, (0.8, 0.2), args.seed)
 
     names = [n for n in args.models.split(",") if n]
-    fmodel, tr, te = MO.prepare(train, test)
+    fmodel, tr, te = MO.prepare(rows, split=args.split, seed=args.seed)
     try:
         summary["train_rows"] = tr.count()
         summary["test_rows"] = te.count()

@@ -38,6 +38,8 @@ def test_golden_weighted_metrics(spark, model):
     assert tuple(round(v, 4) for v in got) == expected
     q = M.confusion_quartet(rows).first()
     assert (q["tn"], q["fp"], q["fn"], q["tp"]) == quartet
+    w = M.weighted_metrics(rows, with_confusion=True).first()
+    assert (w["tn"], w["fp"], w["fn"], w["tp"]) == quartet
 
 
 def test_weighted_metrics_match_mllib(spark):

@@ -56,6 +56,15 @@ def test_indexer_skips_unseen_and_null(spark):
     assert got == [("a", 0.0), ("b", 1.0)]
 
 
+def test_fit_indexer_equals_string_indexer(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), ("a",), (None,), ("d",)], "k string")
+    ours = FE.fit_indexer(df, ["k"], ["k_idx"]).labelsArray
+    theirs = FE.category_indexer(["k"], ["k_idx"]).fit(df).labelsArray
+    assert ours == theirs == [["a", "c", "b", "d"]]
+    meta = FE.fit_indexer(df, ["k"], ["k_idx"]).transform(df).schema["k_idx"].metadata
+    assert meta["ml_attr"]["type"] == "nominal" and meta["ml_attr"]["vals"] == ["a", "c", "b", "d"]
+
+
 def test_cardinality_guard(spark):
     df = spark.range(200).select(F.col("id").cast("string").alias("k"))
     with pytest.raises(ValueError):
@@ -78,8 +87,9 @@ def test_reconcile_counts_missing_keys_and_null(spark):
 
 @pytest.fixture(scope="module")
 def small_fits(spark):
-    train, test = SM.hash_parts(model_rows(incidents_at(spark, SF_SMALL)), S.INCIDENT_ID)
-    fmodel, tr, te = MO.prepare(train, test)
+    rows = model_rows(incidents_at(spark, SF_SMALL))
+    _, test = SM.hash_parts(rows, S.INCIDENT_ID)
+    fmodel, tr, te = MO.prepare(rows)
     fitted = MO.fit_all(tr, [MO.LOGISTIC, MO.FOREST], MO.FittedSet(features=fmodel))
     yield fitted, tr, te, test
     tr.unpersist()
