@@ -4,9 +4,9 @@ record per model, a metric x model pivot and the best model.
 
 Inputs are scored rows (label, score, prediction), optionally with group
 columns ``by`` (a model name, say) so that many models are measured in the
-same passes. Everything is a Spark aggregate: nothing is collected, and the
-only tables that meet a broadcast are bounded by (groups x classes^2) or
-(groups x buckets), both fixed by parameters rather than by the data.
+same passes. Everything is a Spark aggregate: nothing is collected, no
+broadcast is forced (AQE picks one from measured sizes), and no window or
+join partition grows with the number of rows per group.
 
 Definitions follow MLlib's evaluators: precision, recall and F1 are
 weighted by each true class's share of rows (so weighted recall equals
@@ -26,11 +26,12 @@ METRIC_NAMES = ("auc", "accuracy", "f1", "weighted_precision", "weighted_recall"
 
 
 def attach(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the columns of ``small`` (one row per key, a bounded table) to
-    ``df``: a broadcast equi-join on ``keys``, or with no keys a scalar
-    subquery of its single row. Never a cross join."""
+    """Add the columns of ``small`` (one row per key) to ``df``: an equi-join
+    on ``keys`` (Spark / AQE choose broadcast or shuffle from the measured
+    size), or with no keys a scalar subquery of its single row. Never a
+    cross join."""
     if keys:
-        return df.join(F.broadcast(small), list(keys))
+        return df.join(small, list(keys))
     cols = small.columns
     packed = small.select(F.struct(*cols).alias("__pack")).scalar()
     return df.withColumn("__pack", packed).select(*df.columns, *[F.col("__pack")[c].alias(c) for c in cols])
@@ -150,35 +151,31 @@ def auc_roc(
     d = df.groupBy(*keys, F.col(score).cast("double").alias("__s")).agg(
         F.sum(is_pos).alias("__pos"), F.sum(F.lit(1) - is_pos).alias("__neg")
     )
-    # Every consumer of ``d`` reads all its columns, so the plans below share
-    # one scan and one aggregate exchange (exchange reuse) instead of
-    # re-reading the input once per branch.
+    # One row of nb - 1 score quantiles over all distinct (group, score)
+    # rows, attached as a scalar subquery: every (group, bucket) range then
+    # holds at most about 1/nb of the distinct rows, whatever the groups.
     qs = [i / nb for i in range(1, nb)]
-    bounds = d.groupBy(*keys).agg(
-        F.percentile_approx("__s", qs, 10000).alias("__bounds"),
-        F.sum("__pos").alias("__P"),
-        F.sum("__neg").alias("__N"),
-    )
-    d = attach(d, bounds, keys)
-    d = d.select(
-        *keys, "__s", "__pos", "__neg", "__P", "__N",
+    bounds = d.agg(F.percentile_approx("__s", qs, 10000).alias("__bounds"))
+    d = attach(d, bounds, []).select(
+        *keys, "__s", "__pos", "__neg",
         # non-nullable, so no IS NOT NULL is inferred from the join below and
-        # pushed under the aggregate (which would split the shared subtree)
+        # pushed under the aggregate
         F.coalesce(F.size(F.filter("__bounds", lambda b: b < F.col("__s"))), F.lit(0)).alias("__b"),
     )
-    per_bucket = d.groupBy(*keys, "__b").agg(F.sum("__neg").alias("__bneg"), F.sum("__pos").alias("__bpos"))
-    # groups x buckets rows: the running total over buckets is a small window.
+    per_bucket = d.groupBy(*keys, "__b").agg(F.sum("__neg").alias("__bneg"))
+    # At most nb rows per group: the running total over buckets is a small window.
     w_off = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(*keys, "__b", F.coalesce(F.sum("__bneg").over(w_off), F.lit(0)).alias("__off"))
+    # Join and window share the (group, bucket) partitioning: one shuffle.
     w_loc = Window.partitionBy(*keys, "__b").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = d.join(F.broadcast(offsets), [*keys, "__b"]).withColumn(
+    ranked = d.join(offsets, [*keys, "__b"]).withColumn(
         "__below", F.col("__off") + F.coalesce(F.sum("__neg").over(w_loc), F.lit(0))
     )
     pos, neg = F.col("__pos").cast("double"), F.col("__neg").cast("double")
     return ranked.groupBy(*keys).agg(
         F.try_divide(
             F.sum(pos * (F.col("__below").cast("double") + F.lit(0.5) * neg)),
-            F.first("__P").cast("double") * F.first("__N").cast("double"),
+            F.sum(pos) * F.sum(neg),
         ).alias("auc")
     )
 

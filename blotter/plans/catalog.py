@@ -355,11 +355,18 @@ def scored_rows(df: DataFrame, name: str = "kind_rate_noisy") -> DataFrame:
 
 
 def all_scored(df: DataFrame) -> DataFrame:
-    out = None
-    for n in SCORER_NAMES:
-        s = scored_rows(df, n)
-        out = s if out is None else out.unionByName(s)
-    return out
+    """Rows of every scorer from one scan: each input row yields one
+    (model, score) entry per scorer through ``explode``."""
+    entries = F.array(*[F.struct(F.lit(n).alias("model"), _scorer(n).alias("score")) for n in SCORER_NAMES])
+    x = df.select(S.INCIDENT_ID, S.LABEL, F.explode(entries).alias("x"))
+    sc = F.col("x.score")
+    return x.select(
+        F.col("x.model").alias("model"),
+        S.INCIDENT_ID,
+        S.LABEL,
+        sc.alias("score"),
+        F.when(sc >= F.lit(0.5), F.lit(1.0)).otherwise(F.lit(0.0)).alias("prediction"),
+    )
 
 
 _RATE_OF_KIND = "CASE kind " + " ".join(f"WHEN '{k}' THEN {v!r}::DOUBLE" for k, v in KIND_RATES.items()) + " END"
