@@ -57,6 +57,15 @@ def q_kind_counts(spark, sf_dir):
     return A.kind_counts(incidents_at(spark, sf_dir))
 
 
+@register(
+    "kind_top10",
+    WITH_INCIDENTS
+    + " SELECT kind, COUNT(*) AS n_rows FROM incidents GROUP BY kind ORDER BY n_rows DESC, kind LIMIT 10",
+)
+def q_kind_top10(spark, sf_dir):
+    return A.top_n(A.kind_counts(incidents_at(spark, sf_dir)), 10)
+
+
 @register(
     "kind_top3",
     WITH_INCIDENTS
@@ -311,6 +320,27 @@ def q_split_sizes(spark, sf_dir):
     return SM.part_sizes(SM.hash_split(incidents_at(spark, sf_dir), S.INCIDENT_ID))
 
 
+_U_SAMPLE_SPLIT = f"CASE WHEN {_U_SPLIT} < 0.8::DOUBLE THEN 'train' ELSE 'test' END"
+
+
+@register(
+    "sample_split_sizes",
+    WITH_INCIDENTS
+    + f""", s AS (SELECT incident_id FROM incidents WHERE {_U_SAMPLE} < 0.05::DOUBLE)
+          SELECT 'sample' AS part, COUNT(*) AS n_rows FROM s
+          UNION ALL
+          SELECT {_U_SAMPLE_SPLIT} AS part, COUNT(*) AS n_rows FROM s GROUP BY 1""",
+)
+def q_sample_split_sizes(spark, sf_dir):
+    """Working-set report: a 5% hash sample and its train/test parts, in
+    one pass (each sampled row counts once for 'sample' and once for its
+    part)."""
+    sample = SM.hash_sample(incidents_at(spark, sf_dir), S.INCIDENT_ID, 0.05, salt="sample")
+    labelled = SM.hash_split(sample, S.INCIDENT_ID)
+    both = labelled.select(F.explode(F.array(F.lit("sample"), F.col(SM.PART))).alias(SM.PART))
+    return both.groupBy(SM.PART).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @register("bernoulli_sample")
 def q_bernoulli_sample(spark, sf_dir):
     return SM.bernoulli_sample(incidents_at(spark, sf_dir), 0.05, seed=42)

@@ -22,7 +22,7 @@ from blotter.operators import metrics as M
 from blotter.operators import models as MO
 from blotter.operators import report as R
 from blotter.operators import sampling as SM
-from blotter.session import open_session
+from blotter.session import ensure_checkpoint_dir, open_session
 from blotter.sources import ingest as I
 from blotter.sources import schema as S
 from blotter.sources.incidents import incidents
@@ -42,6 +42,7 @@ def parse_args(argv):
     p.add_argument("--models", default=",".join(MO.RECIPE))
     p.add_argument("--min-rows", type=int, default=100)
     p.add_argument("--master", default=None, help="only for local runs")
+    p.add_argument("--show", type=int, default=0, help="also print the first N rows of each report")
     return p.parse_args(argv)
 
 
@@ -53,24 +54,32 @@ def load(spark: SparkSession, args) -> DataFrame:
     return incidents(spark.read.parquet(args.events))
 
 
-def _write(df: DataFrame, out: str, name: str) -> None:
-    df.coalesce(1).write.mode("overwrite").parquet(f"{out.rstrip('/')}/{name}")
+def _write(df: DataFrame, out: str, name: str, show: int = 0) -> None:
+    """Write a small report table as one file; optionally print it back."""
+    path = f"{out.rstrip('/')}/{name}"
+    df.coalesce(1).write.mode("overwrite").parquet(path)
+    if show:
+        print(f"-- {name}")
+        df.sparkSession.read.parquet(path).show(show, truncate=False)
 
 
 def run(spark: SparkSession, args) -> dict:
     """The whole run; returns the small in-memory summary it also prints."""
+    # Iterative learners checkpoint into the shared folder (GBT every 10
+    # rounds); on a cluster it must be configured.
+    ensure_checkpoint_dir(spark)
     base = load(spark, args)
     out = args.out
     summary = {}
 
     # Analyses over every row.
-    _write(I.profile(base), out, "profile")
-    _write(A.kind_counts(base), out, "kind_counts")
+    _write(I.profile(base), out, "profile", args.show)
+    _write(A.kind_counts(base), out, "kind_counts", args.show)
     A.register_view(base, "incident_events")
-    _write(A.place_hotspots_sql(spark, "incident_events", 10), out, "place_hotspots")
-    _write(A.year_counts(base), out, "year_counts")
-    _write(A.overall_rate(base), out, "overall_rate")
-    _write(A.arrest_rate_by_kind(base, args.min_rows), out, "arrest_rate_by_kind")
+    _write(A.place_hotspots_sql(spark, "incident_events", 10), out, "place_hotspots", args.show)
+    _write(A.year_counts(base), out, "year_counts", args.show)
+    _write(A.overall_rate(base), out, "overall_rate", args.show)
+    _write(A.arrest_rate_by_kind(base, args.min_rows), out, "arrest_rate_by_kind", args.show)
 
     # Working set for the models.
     rows = S.with_column_if_missing(base, S.DOMESTIC_STR, lambda d: F.col(S.DOMESTIC).cast("string"))
@@ -95,8 +104,8 @@ def run(spark: SparkSession, args) -> dict:
                 "skipped_rows", F.lit(summary["test_rows"]) - (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp"))
             )
             rec = rec.cache()
-            _write(rec, out, "model_metrics")
-            _write(M.metrics_pivot(M.metrics_long(rec, metrics=(*M.METRIC_NAMES, "train_s")), names), out, "metrics_table")
+            _write(rec, out, "model_metrics", args.show)
+            _write(M.metrics_pivot(M.metrics_long(rec, metrics=(*M.METRIC_NAMES, "train_s")), names), out, "metrics_table", args.show)
             best = M.best_by(rec, "auc").select("model", "auc").first()
             summary["best_model"] = (best["model"], best["auc"])
             summary["train_s"] = dict(fitted.train_s)
@@ -104,7 +113,7 @@ def run(spark: SparkSession, args) -> dict:
         finally:
             scored.unpersist()
         if MO.FOREST in fitted.models:
-            _write(R.importance_table(spark, MO.importances(fitted.models[MO.FOREST])), out, "feature_importances")
+            _write(R.importance_table(spark, MO.importances(fitted.models[MO.FOREST])), out, "feature_importances", args.show)
     finally:
         tr.unpersist()
         te.unpersist()
