@@ -144,13 +144,18 @@ def auc_roc(
     4. within each (group, bucket) a window running sum of negatives below
        each score; the partitions are balanced by construction.
     """
-    nb = buckets or _bucket_count(scored)
     keys = list(by)
     df = scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
     is_pos = (F.col(label).cast("double") == F.lit(1.0)).cast("long")
     d = df.groupBy(*keys, F.col(score).cast("double").alias("__s")).agg(
         F.sum(is_pos).alias("__pos"), F.sum(F.lit(1) - is_pos).alias("__neg")
     )
+    return _auc_from_scores(d, keys, buckets or _bucket_count(scored))
+
+
+def _auc_from_scores(d: DataFrame, keys: list[str], nb: int) -> DataFrame:
+    """AUC per group from (keys, __s, __pos, __neg), one row per distinct
+    (group, score)."""
     # One row of nb - 1 score quantiles over all distinct (group, score)
     # rows, attached as a scalar subquery: every (group, bucket) range then
     # holds at most about 1/nb of the distinct rows, whatever the groups.
@@ -189,13 +194,78 @@ def metrics_record(
     with_confusion: bool = False,
     buckets: int | None = None,
 ) -> DataFrame:
-    """The five metrics (and optionally the confusion quartet) as one row
-    per group."""
+    """The five metrics (and optionally the confusion quartet) of a 0/1
+    classifier, one row per group, from a single pass over ``scored``.
+
+    One aggregate by (group, score) carries positives, negatives and the
+    four confusion cells; it is persisted while the AUC steps and the
+    confusion sums read it, the small record is checkpointed to the shared
+    folder, and the aggregate is released. Rows with a NULL label are left
+    out; a NULL score leaves the AUC, a NULL prediction the other metrics.
+    (``weighted_metrics`` handles any number of classes.)
+    """
+    from pyspark import StorageLevel
+
+    from blotter.session import ensure_checkpoint_dir
+
     keys = list(by)
-    rec = weighted_metrics(scored, label, prediction, keys, with_confusion)
-    rec = attach(rec, auc_roc(scored, label, score, keys, buckets), keys)
-    first = [*keys, "auc", "accuracy", "f1", "weighted_precision", "weighted_recall"]
-    return rec.select(*first, *[c for c in rec.columns if c not in first])
+    lab = F.col(label).cast("double")
+    pred = F.col(prediction).cast("double")
+
+    def cell(lv: float, pv: float) -> Column:
+        return F.count_if((lab == F.lit(lv)) & (pred == F.lit(pv)))
+
+    is_pos = (lab == F.lit(1.0)).cast("long")
+    d = (
+        scored.filter(F.col(label).isNotNull())
+        .groupBy(*keys, F.col(score).cast("double").alias("__s"))
+        .agg(
+            F.sum(is_pos).alias("__pos"),
+            F.sum(F.lit(1) - is_pos).alias("__neg"),
+            cell(0.0, 0.0).alias("tn"),
+            cell(0.0, 1.0).alias("fp"),
+            cell(1.0, 0.0).alias("fn"),
+            cell(1.0, 1.0).alias("tp"),
+        )
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    try:
+        quartet = d.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp")])
+        tn, fp, fn, tp = (F.col(c).cast("double") for c in ("tn", "fp", "fn", "tp"))
+        act0, act1, prd0, prd1 = tn + fp, fn + tp, tn + fn, fp + tp
+        total = act0 + act1
+
+        def ratio(a: Column, b: Column) -> Column:
+            return F.when(b > 0, a / b).otherwise(F.lit(0.0))
+
+        p0, p1, r0, r1 = ratio(tn, prd0), ratio(tp, prd1), ratio(tn, act0), ratio(tp, act1)
+
+        def f1(p: Column, r: Column) -> Column:
+            return F.when(p + r > 0, F.lit(2.0) * p * r / (p + r)).otherwise(F.lit(0.0))
+
+        def weighted(x0: Column, x1: Column) -> Column:
+            return (act0 * x0 + act1 * x1) / total
+
+        rec = quartet.select(
+            *keys,
+            ((tn + tp) / total).alias("accuracy"),
+            weighted(f1(p0, r0), f1(p1, r1)).alias("f1"),
+            weighted(p0, p1).alias("weighted_precision"),
+            weighted(r0, r1).alias("weighted_recall"),
+            *(["tn", "fp", "fn", "tp"] if with_confusion else []),
+        )
+        auc = _auc_from_scores(
+            d.filter(F.col("__s").isNotNull()).select(*keys, "__s", "__pos", "__neg"),
+            keys,
+            buckets or _bucket_count(scored),
+        )
+        rec = attach(rec, auc, keys)
+        first = [*keys, "auc", "accuracy", "f1", "weighted_precision", "weighted_recall"]
+        rec = rec.select(*first, *[c for c in rec.columns if c not in first])
+        ensure_checkpoint_dir(scored.sparkSession)
+        return rec.checkpoint(eager=True)
+    finally:
+        d.unpersist()
 
 
 def metrics_long(records: DataFrame, model: str = "model", metrics: Sequence[str] = METRIC_NAMES) -> DataFrame:

@@ -66,8 +66,10 @@ def prepare(
     are fitted on the train part in one counting pass, and both parts are
     transformed once and persisted for the classifiers.
 
-    Returns (feature model, train vectors, test vectors); the caller
-    unpersists the two frames.
+    Returns (feature model, train vectors, test vectors, sizes), where
+    sizes holds the rows of each part before indexing (rows with an unseen
+    or NULL category are skipped by the indexers); the caller unpersists the
+    two frames.
     """
     from blotter.operators.sampling import PART, hash_split
 
@@ -86,6 +88,7 @@ def prepare(
     else:
         raise ValueError(f"unknown split {split}")
     try:
+        sizes = {"train": train.count(), "test": test.count()}
         fmodel = fit_features(train)
         keep = [S.INCIDENT_ID, S.LABEL, FEATURES]
         tr = fmodel.transform(train).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
@@ -94,7 +97,7 @@ def prepare(
         te.count()
     finally:
         base.unpersist()
-    return fmodel, tr, te
+    return fmodel, tr, te, sizes
 
 
 def fit_all(train_vec: DataFrame, names: Sequence[str] = RECIPE, fitted: FittedSet | None = None) -> FittedSet:

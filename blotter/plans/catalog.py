@@ -650,28 +650,21 @@ def fitted_models(spark, sf_dir: str, names=MO.RECIPE):
     key = (id(spark.sparkContext), sf_dir)
     entry = _FITS.get(key)
     if entry is None:
-        fmodel, tr, te = MO.prepare(model_rows(incidents_at(spark, sf_dir)))
+        fmodel, tr, te, _ = MO.prepare(model_rows(incidents_at(spark, sf_dir)))
         entry = _FITS[key] = {"fitted": MO.FittedSet(features=fmodel), "train": tr, "test": te}
     MO.fit_all(entry["train"], names, entry["fitted"])
     return entry
 
 
 def model_records(spark, sf_dir: str, names) -> DataFrame:
-    """One metric record per model on the test part. The scored rows are
-    read by several aggregates, so they are persisted for the duration; the
-    small result is checkpointed to the shared folder before they go."""
-    from blotter.session import ensure_checkpoint_dir
-
+    """One metric record per model on the test part (the scored rows are
+    read once by ``metrics_record``), with its fit seconds."""
     entry = fitted_models(spark, sf_dir, names)
     fitted = entry["fitted"]
-    scored = MO.score_all(fitted, entry["test"], names).persist()
-    try:
-        rec = M.metrics_record(scored, by=["model"], with_confusion=True)
-        secs = spark.createDataFrame([(n, float(fitted.train_s[n])) for n in names], "model string, train_s double")
-        ensure_checkpoint_dir(spark)
-        return rec.join(F.broadcast(secs), "model").checkpoint(eager=True)
-    finally:
-        scored.unpersist()
+    scored = MO.score_all(fitted, entry["test"], names)
+    rec = M.metrics_record(scored, by=["model"], with_confusion=True)
+    secs = spark.createDataFrame([(n, float(fitted.train_s[n])) for n in names], "model string, train_s double")
+    return rec.join(F.broadcast(secs), "model")
 
 
 @register("fit_logistic")

@@ -91,27 +91,23 @@ def run(spark: SparkSession, args) -> dict:
             rows = SM.bernoulli_sample(rows, args.sample, args.seed)
 
     names = [n for n in args.models.split(",") if n]
-    fmodel, tr, te = MO.prepare(rows, split=args.split, seed=args.seed)
+    fmodel, tr, te, sizes = MO.prepare(rows, split=args.split, seed=args.seed)
     try:
         summary["train_rows"] = tr.count()
         summary["test_rows"] = te.count()
+        summary["test_rows_skipped"] = sizes["test"] - summary["test_rows"]
         fitted = MO.fit_all(tr, names, MO.FittedSet(features=fmodel))
-        scored = MO.score_all(fitted, te, names).persist()
-        try:
-            rec = M.metrics_record(scored, by=["model"], with_confusion=True)
-            secs = spark.createDataFrame([(n, float(fitted.train_s[n])) for n in names], "model string, train_s double")
-            rec = rec.join(F.broadcast(secs), "model").withColumn(
-                "skipped_rows", F.lit(summary["test_rows"]) - (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp"))
-            )
-            rec = rec.cache()
-            _write(rec, out, "model_metrics", args.show)
-            _write(M.metrics_pivot(M.metrics_long(rec, metrics=(*M.METRIC_NAMES, "train_s")), names), out, "metrics_table", args.show)
-            best = M.best_by(rec, "auc").select("model", "auc").first()
-            summary["best_model"] = (best["model"], best["auc"])
-            summary["train_s"] = dict(fitted.train_s)
-            rec.unpersist()
-        finally:
-            scored.unpersist()
+        scored = MO.score_all(fitted, te, names)
+        rec = M.metrics_record(scored, by=["model"], with_confusion=True)
+        secs = spark.createDataFrame([(n, float(fitted.train_s[n])) for n in names], "model string, train_s double")
+        rec = rec.join(F.broadcast(secs), "model").withColumn(
+            "skipped_rows", F.lit(sizes["test"]) - (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp"))
+        )
+        _write(rec, out, "model_metrics", args.show)
+        _write(M.metrics_pivot(M.metrics_long(rec, metrics=(*M.METRIC_NAMES, "train_s")), names), out, "metrics_table", args.show)
+        best = M.best_by(rec, "auc").select("model", "auc").first()
+        summary["best_model"] = (best["model"], best["auc"])
+        summary["train_s"] = dict(fitted.train_s)
         if MO.FOREST in fitted.models:
             _write(R.importance_table(spark, MO.importances(fitted.models[MO.FOREST])), out, "feature_importances", args.show)
     finally:

@@ -89,7 +89,8 @@ def test_reconcile_counts_missing_keys_and_null(spark):
 def small_fits(spark):
     rows = model_rows(incidents_at(spark, SF_SMALL))
     _, test = SM.hash_parts(rows, S.INCIDENT_ID)
-    fmodel, tr, te = MO.prepare(rows)
+    fmodel, tr, te, sizes = MO.prepare(rows)
+    assert sizes["test"] == test.count() and sizes["train"] + sizes["test"] == rows.count()
     fitted = MO.fit_all(tr, [MO.LOGISTIC, MO.FOREST], MO.FittedSet(features=fmodel))
     yield fitted, tr, te, test
     tr.unpersist()
