@@ -14,9 +14,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blotter.functions.columns import hash_uniform, hour_of_text
 from blotter.operators import analytics as A
+from blotter.operators import features as FE
+from blotter.operators import metrics as M
+from blotter.operators import models as MO
+from blotter.operators import report as R
+from blotter.operators import sampling as SM
+from blotter.session import shared_dir
+from blotter.sources import ingest as I
 from blotter.sources import schema as S
-from blotter.sources.incidents import INCIDENTS_SQL, incidents
+from blotter.sources.incidents import INCIDENTS_SQL, KIND_RATES, duck_uniform, incidents, lookup, raw_incidents
+from blotter.sources.synth import (
+    SYNTH_DISTRICTS,
+    SYNTH_DOMESTIC_SHARE,
+    SYNTH_KIND_RATES,
+    SYNTH_PLACES,
+    SYNTH_YEARS,
+    synthetic_incidents,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -169,18 +185,6 @@ def q_arrest_rows(spark, sf_dir):
 
 # ------------------------------------------------------------------- ingest
 
-from blotter.session import shared_dir  # noqa: E402
-from blotter.sources import ingest as I  # noqa: E402
-from blotter.sources.incidents import duck_uniform, raw_incidents  # noqa: E402
-from blotter.sources.synth import (  # noqa: E402
-    SYNTH_DISTRICTS,
-    SYNTH_DOMESTIC_SHARE,
-    SYNTH_KIND_RATES,
-    SYNTH_PLACES,
-    SYNTH_YEARS,
-    synthetic_incidents,
-)
-
 
 @register("csv_ingest", WITH_INCIDENTS + f" SELECT {_INCIDENT_COLS} FROM incidents")
 def q_csv_ingest(spark, sf_dir):
@@ -210,8 +214,6 @@ def q_incident_standardise(spark, sf_dir):
           FROM incidents""",
 )
 def q_hour_of_day(spark, sf_dir):
-    from blotter.functions.columns import hour_of_text
-
     raw = raw_incidents(table(spark, sf_dir, "events"))
     return raw.select(S.INCIDENT_ID, S.OCCURRED_TEXT, hour_of_text(S.OCCURRED_TEXT).alias(S.HOUR))
 
@@ -298,8 +300,6 @@ def q_complete_rows(spark, sf_dir):
 
 # ----------------------------------------------------------------- sampling
 
-from blotter.operators import sampling as SM  # noqa: E402
-
 _U_SAMPLE = duck_uniform("incident_id", "sample")
 _U_SPLIT = duck_uniform("incident_id", "split")
 _PART_SQL = f"CASE WHEN {_U_SPLIT} < 0.8::DOUBLE THEN 'train' ELSE 'test' END"
@@ -353,10 +353,6 @@ def q_random_split(spark, sf_dir):
 
 # ------------------------------------------------------------------ metrics
 
-from blotter.operators import metrics as M  # noqa: E402
-from blotter.functions.columns import hash_uniform  # noqa: E402
-from blotter.sources.incidents import KIND_RATES, lookup  # noqa: E402
-
 # Scorers defined by expressions (no model), so metrics are SQL-checkable.
 SCORER_NAMES = ("domestic_flag", "kind_rate", "kind_rate_noisy")
 
@@ -549,8 +545,6 @@ def q_best_model(spark, sf_dir):
 
 # ----------------------------------------------------------------- features
 
-from blotter.operators import features as FE  # noqa: E402
-
 _COMPLETE_SQL = (
     "cr AS (SELECT *, CAST(domestic AS VARCHAR) AS domestic_str FROM incidents"
     " WHERE district IS NOT NULL AND kind IS NOT NULL AND hour IS NOT NULL"
@@ -636,9 +630,6 @@ def q_feature_inspect(spark, sf_dir):
 
 # ------------------------------------------------------------------- models
 
-from blotter.operators import models as MO  # noqa: E402
-from blotter.operators import report as R  # noqa: E402
-
 _FITS: dict = {}
 
 

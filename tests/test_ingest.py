@@ -52,6 +52,21 @@ def test_csv_quoted_comma_nulls_and_odd_tokens(spark, tmp_shared):
     assert rows[4][S.HOUR] is None and rows[4][S.YEAR] is None and rows[4][S.DISTRICT] == 3
 
 
+def test_csv_with_inferred_types_gives_same_rows(spark, tmp_shared):
+    path = _write(tmp_shared, CSV_TEXT, "infer.csv")
+    a = I.standardise(I.read_incident_csv(spark, path)).orderBy(S.INCIDENT_ID).collect()
+    b = I.standardise(I.read_incident_csv(spark, path, infer_schema=True)).orderBy(S.INCIDENT_ID).collect()
+    assert a == b
+
+
+def test_shared_dir_uses_session_checkpoint_dir(spark):
+    from blotter.session import ensure_checkpoint_dir, shared_dir
+
+    base = ensure_checkpoint_dir(spark)
+    d1, d2 = shared_dir(spark, "x"), shared_dir(spark, "x")
+    assert d1 != d2 and d1.startswith(base.rstrip("/"))
+
+
 def test_csv_header_only(spark, tmp_shared):
     path = _write(tmp_shared, CSV_TEXT.splitlines()[0] + "\n", "empty.csv")
     assert I.standardise(I.read_incident_csv(spark, path)).count() == 0
