@@ -143,14 +143,28 @@ def auc_roc(
        a table of groups x buckets rows, broadcast back;
     4. within each (group, bucket) a window running sum of negatives below
        each score; the partitions are balanced by construction.
+
+    The step-1 aggregate is persisted while steps 2-4 read it, so the input
+    is scanned once; the result (one row per group) is checkpointed to the
+    shared folder and returned, and the aggregate released.
     """
+    from pyspark import StorageLevel
+
+    from blotter.session import ensure_checkpoint_dir
+
     keys = list(by)
     df = scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
     is_pos = (F.col(label).cast("double") == F.lit(1.0)).cast("long")
-    d = df.groupBy(*keys, F.col(score).cast("double").alias("__s")).agg(
-        F.sum(is_pos).alias("__pos"), F.sum(F.lit(1) - is_pos).alias("__neg")
+    d = (
+        df.groupBy(*keys, F.col(score).cast("double").alias("__s"))
+        .agg(F.sum(is_pos).alias("__pos"), F.sum(F.lit(1) - is_pos).alias("__neg"))
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    return _auc_from_scores(d, keys, buckets or _bucket_count(scored))
+    try:
+        ensure_checkpoint_dir(scored.sparkSession)
+        return _auc_from_scores(d, keys, buckets or _bucket_count(scored)).checkpoint(eager=True)
+    finally:
+        d.unpersist()
 
 
 def _auc_from_scores(d: DataFrame, keys: list[str], nb: int) -> DataFrame:

@@ -9,6 +9,7 @@ are checked by row counts and by the invariants in ``tests/``.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,7 +106,8 @@ def q_place_hotspots(spark, sf_dir):
 
 @register("place_hotspots_sql", _HOTSPOTS_ORACLE)
 def q_place_hotspots_sql(spark, sf_dir):
-    view = A.register_view(incidents_at(spark, sf_dir), "incident_events")
+    # one view name per dataset, so queries over two folders never collide
+    view = A.register_view(incidents_at(spark, sf_dir), f"incident_events_{zlib.crc32(sf_dir.encode()):08x}")
     return A.place_hotspots_sql(spark, view, n=10)
 
 

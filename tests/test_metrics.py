@@ -5,6 +5,8 @@ import itertools
 import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -114,3 +116,40 @@ def test_pivot_and_best(spark):
     piv = {r["metric"]: r for r in M.metrics_pivot(M.metrics_long(rec), ["A", "B", "C"]).collect()}
     assert set(piv) == set(M.METRIC_NAMES) and piv["auc"]["B"] == 0.8 and piv["f1"]["A"] == 0.5
     assert M.best_by(rec, "auc").first()["model"] == "B"
+
+
+def _brute_weighted(rows):
+    """Class-weighted metrics by definition, over (label, prediction) pairs."""
+    labels = sorted({l for l, _ in rows})
+    total = len(rows)
+    acc = sum(1 for l, p in rows if l == p) / total
+    wp = wr = wf = 0.0
+    for c in labels:
+        tp = sum(1 for l, p in rows if l == c and p == c)
+        act = sum(1 for l, _ in rows if l == c)
+        prd = sum(1 for _, p in rows if p == c)
+        prec = tp / prd if prd else 0.0
+        rec = tp / act if act else 0.0
+        f1 = 2 * prec * rec / (prec + rec) if prec + rec else 0.0
+        wp += act / total * prec
+        wr += act / total * rec
+        wf += act / total * f1
+    return acc, wf, wp, wr
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 6)), min_size=2, max_size=60))
+def test_property_metrics_match_definitions(spark, pairs):
+    """Random labels and tied scores: metrics_record equals the pair count
+    and the per-class definitions."""
+    rows = [(l, s / 6.0, 1.0 if s >= 3 else 0.0) for l, s in pairs]
+    df = spark.createDataFrame(rows, "label int, score double, prediction double")
+    rec = M.metrics_record(df, with_confusion=True, buckets=4).first()
+    n_pos = sum(1 for l, _, _ in rows if l == 1)
+    if 0 < n_pos < len(rows):
+        assert rec["auc"] == pytest.approx(_brute_auc([(s, l) for l, s, _ in rows]), abs=1e-12)
+    else:
+        assert rec["auc"] is None
+    acc, f1, wp, wr = _brute_weighted([(float(l), p) for l, _, p in rows])
+    assert (rec["accuracy"], rec["f1"], rec["weighted_precision"], rec["weighted_recall"]) == pytest.approx((acc, f1, wp, wr), abs=1e-12)
+    assert rec["tn"] + rec["fp"] + rec["fn"] + rec["tp"] == len(rows)
