@@ -640,7 +640,7 @@ def fitted_models(spark, sf_dir: str, names=MO.RECIPE):
     feature part is fitted once, classifiers on its cached output. Fitted
     models are kept per (context, data) so several reports of one run share
     the fits."""
-    key = (id(spark.sparkContext), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     entry = _FITS.get(key)
     if entry is None:
         fmodel, tr, te, _ = MO.prepare(model_rows(incidents_at(spark, sf_dir)))

@@ -43,6 +43,12 @@ def parse_args(argv):
     p.add_argument("--min-rows", type=int, default=100)
     p.add_argument("--master", default=None, help="only for local runs")
     p.add_argument("--show", type=int, default=0, help="also print the first N rows of each report")
+    p.add_argument(
+        "--shuffle-partitions",
+        type=int,
+        default=None,
+        help="upper bound of shuffle partitions (AQE coalesces down); about input bytes / 128 MB at scale",
+    )
     return p.parse_args(argv)
 
 
@@ -118,7 +124,8 @@ def run(spark: SparkSession, args) -> dict:
 
 def main(argv=None) -> int:
     args = parse_args(sys.argv[1:] if argv is None else argv)
-    spark = open_session("blotter-job", master=args.master)
+    extra = {"spark.sql.shuffle.partitions": str(args.shuffle_partitions)} if args.shuffle_partitions else None
+    spark = open_session("blotter-job", master=args.master, extra=extra)
     try:
         summary = run(spark, args)
         for k, v in summary.items():

@@ -20,6 +20,9 @@ def open_session(app_name: str = APP_NAME, master: str | None = None, extra: dic
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # AQE merges shuffle partitions up to this size; with a generous
+        # spark.sql.shuffle.partitions it yields partitions that fit memory.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
     )
