@@ -226,7 +226,8 @@ _PROFILE_TYPES = [
     ("arrest", "boolean"), ("label", "int"),
 ]
 _PROFILE_ORACLE = WITH_INCIDENTS + " " + " UNION ALL ".join(
-    f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS data_type, COUNT(*) AS n_rows, COUNT({c}) AS non_null FROM incidents"
+    f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS data_type, true AS nullable,"
+    f" COUNT(*) AS n_rows, COUNT({c}) AS non_null FROM incidents"
     for i, (c, t) in enumerate(_PROFILE_TYPES)
 )
 

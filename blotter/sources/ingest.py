@@ -87,24 +87,25 @@ def standardise(raw: DataFrame) -> DataFrame:
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """Row count and per-column non-null count, one row per column, computed
-    in a single aggregation pass (no per-column job)."""
-    cols = df.columns
+    """The schema as rows (position, name, type, nullable) with the row
+    count and each column's non-null count, from a single aggregation pass
+    (no per-column job)."""
+    fields = S.schema_rows(df)
     aggs = [F.count(F.lit(1)).alias("__rows")] + [
-        F.count(F.col(f"`{c}`")).alias(f"__nn{i}") for i, c in enumerate(cols)
+        F.count(F.col(f"`{name}`")).alias(f"__nn{i}") for i, (name, _, _) in enumerate(fields)
     ]
-    one = df.agg(*aggs)
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     stacked = ", ".join(
-        f"{i}, '{c}', '{types[c]}', __nn{i}" for i, c in enumerate(cols)
+        f"{i}, '{name}', '{dtype}', {str(nullable).lower()}, __nn{i}"
+        for i, (name, dtype, nullable) in enumerate(fields)
     )
-    return one.selectExpr(
+    return df.agg(*aggs).selectExpr(
         "__rows AS n_rows",
-        f"stack({len(cols)}, {stacked}) AS (position, column_name, data_type, non_null)",
+        f"stack({len(fields)}, {stacked}) AS (position, column_name, data_type, nullable, non_null)",
     ).select(
         F.col("position").cast("int").alias("position"),
         "column_name",
         "data_type",
-        F.col("n_rows").alias("n_rows"),
-        F.col("non_null").alias("non_null"),
+        "nullable",
+        "n_rows",
+        "non_null",
     )

@@ -106,6 +106,9 @@ def test_complete_rows_drops_any_null(spark):
 
 
 def test_profile_counts(spark):
-    df = spark.createDataFrame([(1, None), (2, "x"), (None, "y")], "a int, b string")
-    got = {r["column_name"]: (r["data_type"], r["n_rows"], r["non_null"]) for r in I.profile(df).collect()}
-    assert got == {"a": ("int", 3, 2), "b": ("string", 3, 2)}
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("a", T.IntegerType(), False), T.StructField("b", T.StringType(), True)])
+    df = spark.createDataFrame([(1, None), (2, "x"), (3, "y")], schema)
+    got = {r["column_name"]: (r["data_type"], r["nullable"], r["n_rows"], r["non_null"]) for r in I.profile(df).collect()}
+    assert got == {"a": ("int", False, 3, 3), "b": ("string", True, 3, 2)}
