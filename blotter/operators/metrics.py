@@ -95,10 +95,10 @@ def weighted_metrics(
     f1 = F.when(p + r > 0, F.lit(2.0) * p * r / (p + r)).otherwise(F.lit(0.0))
     total = F.sum(act)
     aggs = [
-        (F.sum(tp) / total).alias("accuracy"),
-        (F.sum(act * f1) / total).alias("f1"),
-        (F.sum(act * p) / total).alias("weighted_precision"),
-        (F.sum(act * r) / total).alias("weighted_recall"),
+        F.try_divide(F.sum(tp), total).alias("accuracy"),
+        F.try_divide(F.sum(act * f1), total).alias("f1"),
+        F.try_divide(F.sum(act * p), total).alias("weighted_precision"),
+        F.try_divide(F.sum(act * r), total).alias("weighted_recall"),
     ]
     if with_confusion:
         def of(cls: float, c: str) -> Column:
@@ -136,13 +136,14 @@ def auc_roc(
 
     1. rows -> (group, score, pos, neg): partial aggregation, so a score
        shared by a third of all rows is one row after the map side;
-    2. per group, ``buckets - 1`` approximate quantiles of the distinct
-       scores (a small sketch aggregate) cut the score axis into ranges of
-       about equal size;
-    3. negatives per (group, bucket), and their running total over buckets:
-       a table of groups x buckets rows, broadcast back;
+    2. ``buckets - 1`` approximate quantiles of the distinct (group, score)
+       rows (one sketch aggregate, attached as a scalar subquery) cut the
+       score axis into ranges holding about equal numbers of rows;
+    3. negatives per (group, bucket) and their running total over buckets:
+       a table of at most groups x buckets rows, joined back on (group,
+       bucket) (AQE broadcasts it when it measures it small);
     4. within each (group, bucket) a window running sum of negatives below
-       each score; the partitions are balanced by construction.
+       each score; no such partition exceeds about 1/buckets of the rows.
 
     The step-1 aggregate is persisted while steps 2-4 read it, so the input
     is scanned once; the result (one row per group) is checkpointed to the
@@ -258,11 +259,11 @@ def metrics_record(
             return F.when(p + r > 0, F.lit(2.0) * p * r / (p + r)).otherwise(F.lit(0.0))
 
         def weighted(x0: Column, x1: Column) -> Column:
-            return (act0 * x0 + act1 * x1) / total
+            return F.try_divide(act0 * x0 + act1 * x1, total)
 
         rec = quartet.select(
             *keys,
-            ((tn + tp) / total).alias("accuracy"),
+            F.try_divide(tn + tp, total).alias("accuracy"),
             weighted(f1(p0, r0), f1(p1, r1)).alias("f1"),
             weighted(p0, p1).alias("weighted_precision"),
             weighted(r0, r1).alias("weighted_recall"),

@@ -108,6 +108,14 @@ def test_nulls_are_not_counted(spark):
     assert r["accuracy"] == 1.0 and r["auc"] == 1.0
 
 
+def test_no_countable_rows_give_nulls(spark):
+    df = spark.createDataFrame([(None, 1.0, 0.5), (1, None, None)], "label int, prediction double, score double")
+    r = M.metrics_record(df, with_confusion=True).first()
+    assert r["accuracy"] is None and r["auc"] is None and r["tp"] == 0
+    w = M.weighted_metrics(df.filter("label IS NULL")).first()
+    assert w is None or w["accuracy"] is None
+
+
 def test_pivot_and_best(spark):
     rec = spark.createDataFrame(
         [("A", 0.6, 0.7, 0.5, 0.6, 0.7), ("B", 0.8, 0.8, 0.7, 0.9, 0.8), ("C", 0.8, 0.1, 0.1, 0.1, 0.1)],
