@@ -12,7 +12,8 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from blotter.functions.columns import hash_uniform, hour_of_text
@@ -621,8 +622,6 @@ def q_feature_vector(spark, sf_dir):
 
 @register("feature_inspect")
 def q_feature_inspect(spark, sf_dir):
-    from pyspark.ml.functions import vector_to_array
-
     train, _ = SM.hash_parts(model_rows(incidents_at(spark, sf_dir)), S.INCIDENT_ID)
     fmodel = FE.fit_features(train)
     return fmodel.transform(train).select(
@@ -706,13 +705,12 @@ def q_feature_importances(spark, sf_dir):
     WITH_INCIDENTS
     + """, c AS (SELECT kind, COUNT(*) AS n FROM incidents GROUP BY kind)
           SELECT kind, CAST(n AS DOUBLE) / SUM(n) OVER () AS share,
-                 repeat('#', CAST(round_even(50.0 * CAST(n AS DOUBLE) / SUM(n) OVER (), 0) AS INTEGER)) AS bar
+                 repeat('#', CAST(round_even((CAST(n AS DOUBLE) / SUM(n) OVER ()) * 50.0::DOUBLE, 0) AS INTEGER)) AS bar
           FROM c""",
 )
 def q_importance_bar(spark, sf_dir):
-    """Bars of one mark per 2% for each kind's share of all rows."""
-    from pyspark.sql import Window
-
+    """Bars of one mark per 2% for each kind's share of all rows (the
+    window total runs over the per-kind aggregate, a handful of rows)."""
     counts = A.kind_counts(incidents_at(spark, sf_dir))
     share = F.col(A.COUNT).cast("double") / F.sum(A.COUNT).over(Window.partitionBy(F.lit(0)))
     return R.with_bar(counts.select(S.KIND, share.alias("share")), "share")
