@@ -136,3 +136,23 @@ def test_job_end_to_end(spark, tmp_shared):
         assert spark.read.parquet(os.path.join(out, name)).count() > 0, name
     rec = spark.read.parquet(os.path.join(out, "model_metrics")).collect()
     assert all(r["skipped_rows"] >= 0 for r in rec)
+
+
+def test_job_from_csv_with_bernoulli_split(spark, tmp_shared):
+    """The job's CSV entry point: raw rows written with the source header
+    names, read back, sampled and split with the seeded samplers."""
+    from blotter.plans.job import parse_args, run
+    from blotter.sources.incidents import raw_incidents
+    from blotter.sources.ingest import write_incident_csv
+
+    csv = os.path.join(tmp_shared, "incidents_csv")
+    write_incident_csv(raw_incidents(spark.read.parquet(f"{SF_MID}/events.parquet")), csv)
+    out = os.path.join(tmp_shared, "report_csv")
+    args = parse_args([
+        "--csv", csv, "--out", out, "--models", "LogisticRegression",
+        "--sample", "0.5", "--sampler", "bernoulli", "--split", "bernoulli",
+    ])
+    summary = run(spark, args)
+    assert 0 < summary["test_rows"] < summary["train_rows"] < 10000
+    counts = {r["kind"]: r["n_rows"] for r in spark.read.parquet(os.path.join(out, "kind_counts")).collect()}
+    assert sum(counts.values()) == 10000
