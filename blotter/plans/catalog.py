@@ -13,7 +13,7 @@ import zlib
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions.columns import hash_uniform, hour_of_text
@@ -709,11 +709,13 @@ def q_feature_importances(spark, sf_dir):
           FROM c""",
 )
 def q_importance_bar(spark, sf_dir):
-    """Bars of one mark per 2% for each kind's share of all rows (the
-    window total runs over the per-kind aggregate, a handful of rows)."""
+    """Bars of one mark per 2% for each kind's share of all rows; the total
+    is a scalar subquery over the per-kind counts."""
     counts = A.kind_counts(incidents_at(spark, sf_dir))
-    share = F.col(A.COUNT).cast("double") / F.sum(A.COUNT).over(Window.partitionBy(F.lit(0)))
-    return R.with_bar(counts.select(S.KIND, share.alias("share")), "share")
+    total = counts.agg(F.sum(A.COUNT).alias("__total"))
+    with_total = M.attach(counts, total, [])
+    share = F.col(A.COUNT).cast("double") / F.col("__total").cast("double")
+    return R.with_bar(with_total.select(S.KIND, share.alias("share")), "share")
 
 
 @register(
