@@ -11,9 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blotter.functions.columns import TIMESTAMP_TEXT_FORMAT, clamp, hash_uniform
+from blotter.functions.columns import TIMESTAMP_TEXT_FORMAT, clamp, hash_uniform, label_of
 from blotter.sources import schema as S
-from blotter.sources.ingest import standardise
 
 # Arrest base rate per event type.
 KIND_RATES = {
@@ -62,8 +61,9 @@ def arrest_probability(rate: Column, domestic: Column, hour: Column) -> Column:
     return clamp(dipped, RATE_FLOOR, RATE_CEIL)
 
 
-def raw_incidents(events: DataFrame) -> DataFrame:
-    """Raw incident rows (text timestamp, booleans), as an ingest would give."""
+def raw_incidents(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Raw incident rows (text timestamp, booleans), as an ingest would give;
+    ``keep`` names extra input columns to carry along."""
     eid = F.col("event_id")
     hour = F.hour("ts")
     domestic = hash_uniform(eid, "dom") < F.lit(DOMESTIC_SHARE)
@@ -79,14 +79,21 @@ def raw_incidents(events: DataFrame) -> DataFrame:
         domestic.alias(S.DOMESTIC),
         F.when(eid % DISTRICT_NULL_EVERY != 0, (F.col("user_id") % N_DISTRICTS + 1).cast("int")).alias(S.DISTRICT),
         F.when(eid % YEAR_NULL_EVERY != 0, year).alias(S.YEAR),
+        *(keep or []),
     )
 
 
 def incidents(events: DataFrame) -> DataFrame:
-    """The standardised ``incidents`` view: raw rows plus hour and label."""
-    return standardise(raw_incidents(events)).select(
-        S.INCIDENT_ID, S.OCCURRED_TEXT, S.KIND, S.PLACE, S.HOUR,
-        S.DISTRICT, S.YEAR, S.DOMESTIC, S.ARREST, S.LABEL,
+    """The ``incidents`` view: raw rows plus hour and label.
+
+    The hour is taken from the timestamp itself; it equals the hour that
+    ``standardise`` parses back from ``occurred_text`` (a test checks this),
+    without formatting and parsing text for every row. Text ingest goes
+    through ``standardise``."""
+    raw = raw_incidents(events.withColumn("__hour", F.hour("ts").cast("int")), keep=["__hour"])
+    return raw.select(
+        S.INCIDENT_ID, S.OCCURRED_TEXT, S.KIND, S.PLACE, F.col("__hour").alias(S.HOUR),
+        S.DISTRICT, S.YEAR, S.DOMESTIC, S.ARREST, label_of(S.ARREST).alias(S.LABEL),
     )
 
 

@@ -36,6 +36,16 @@ def test_incidents_per_kind(spark):
     assert got == EXPECTED
 
 
+def test_view_hour_equals_parsed_text_hour(spark):
+    from blotter.sources.incidents import raw_incidents
+    from blotter.sources.ingest import standardise
+
+    ev = spark.read.parquet(f"{SF_MID}/events.parquet")
+    parsed = standardise(raw_incidents(ev)).select(S.INCIDENT_ID, S.HOUR, S.LABEL)
+    view = incidents_at(spark, SF_MID).select(S.INCIDENT_ID, S.HOUR, S.LABEL)
+    assert parsed.exceptAll(view).count() == 0 and view.exceptAll(parsed).count() == 0
+
+
 def test_injected_nulls(spark):
     inc = incidents_at(spark, SF_MID)
     r = inc.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in ("place", "district", "year", "label")]).first()
