@@ -19,12 +19,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 METRIC_NAMES = ("auc", "accuracy", "f1", "weighted_precision", "weighted_recall")
 
 
+def _materialise(result: DataFrame) -> DataFrame:
+    """Compute a small result (one row per group) once and keep it, so the
+    intermediate it was built from can be released. Should its blocks be
+    lost, Spark recomputes it from the lineage."""
+    result = result.persist(StorageLevel.MEMORY_AND_DISK)
+    result.count()
+    return result
+
+
 def attach(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the columns of ``small`` (one row per key) to ``df``: an equi-join
     on ``keys`` (Spark / AQE choose broadcast or shuffle from the measured
@@ -146,13 +156,9 @@ def auc_roc(
        each score; no such partition exceeds about 1/buckets of the rows.
 
     The step-1 aggregate is persisted while steps 2-4 read it, so the input
-    is scanned once; the result (one row per group) is checkpointed to the
-    shared folder and returned, and the aggregate released.
+    is scanned once; the result (one row per group) is computed and kept,
+    and the aggregate released.
     """
-    from pyspark import StorageLevel
-
-    from blotter.session import ensure_checkpoint_dir
-
     keys = list(by)
     df = scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
     is_pos = (F.col(label).cast("double") == F.lit(1.0)).cast("long")
@@ -162,8 +168,7 @@ def auc_roc(
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
-        ensure_checkpoint_dir(scored.sparkSession)
-        return _auc_from_scores(d, keys, buckets or _bucket_count(scored)).checkpoint(eager=True)
+        return _materialise(_auc_from_scores(d, keys, buckets or _bucket_count(scored)))
     finally:
         d.unpersist()
 
@@ -214,15 +219,11 @@ def metrics_record(
 
     One aggregate by (group, score) carries positives, negatives and the
     four confusion cells; it is persisted while the AUC steps and the
-    confusion sums read it, the small record is checkpointed to the shared
-    folder, and the aggregate is released. Rows with a NULL label are left
+    confusion sums read it, the small record is computed and kept, and the
+    aggregate is released. Rows with a NULL label are left
     out; a NULL score leaves the AUC, a NULL prediction the other metrics.
     (``weighted_metrics`` handles any number of classes.)
     """
-    from pyspark import StorageLevel
-
-    from blotter.session import ensure_checkpoint_dir
-
     keys = list(by)
     lab = F.col(label).cast("double")
     pred = F.col(prediction).cast("double")
@@ -276,9 +277,7 @@ def metrics_record(
         )
         rec = attach(rec, auc, keys)
         first = [*keys, "auc", "accuracy", "f1", "weighted_precision", "weighted_recall"]
-        rec = rec.select(*first, *[c for c in rec.columns if c not in first])
-        ensure_checkpoint_dir(scored.sparkSession)
-        return rec.checkpoint(eager=True)
+        return _materialise(rec.select(*first, *[c for c in rec.columns if c not in first]))
     finally:
         d.unpersist()
 
