@@ -620,8 +620,18 @@ def q_feature_vector(spark, sf_dir):
     return FE.vector_elements(vec, FE.FEATURES, FE.FEATURE_ORDER)
 
 
-@register("feature_inspect")
+@register(
+    "feature_inspect",
+    WITH_INCIDENTS + ", " + _COMPLETE_SQL
+    + f", tr AS (SELECT * FROM cr WHERE {_PART_SQL} = 'train')"
+    + f", ik AS ({_index_sql('kind', 'kind_idx', 'tr')}), id AS ({_index_sql('domestic_str', 'domestic_idx', 'tr')})"
+    " SELECT kind, kind_idx, hour, district, domestic_str, domestic_idx,"
+    " [CAST(hour AS DOUBLE), CAST(district AS DOUBLE), kind_idx, domestic_idx] AS features, label"
+    " FROM tr JOIN ik USING (kind) JOIN id USING (domestic_str)",
+)
 def q_feature_inspect(spark, sf_dir):
+    """Indexes and the assembled vector of the training rows, the indexes
+    fitted on those rows."""
     train, _ = SM.hash_parts(model_rows(incidents_at(spark, sf_dir)), S.INCIDENT_ID)
     fmodel = FE.fit_features(train)
     return fmodel.transform(train).select(
