@@ -56,12 +56,26 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+# Lazy plans (not data) per (application, folder, name): DataFrames are
+# immutable, so queries of one run share the parsed footers and the view's
+# expression tree instead of rebuilding them through Py4J each time.
+_PLANS: dict = {}
+
+
+def _plan(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    df = _PLANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _PLANS[key] = make()
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _plan(spark, sf_dir, name, lambda: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def incidents_at(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return incidents(table(spark, sf_dir, "events"))
+    return _plan(spark, sf_dir, "__incidents", lambda: incidents(table(spark, sf_dir, "events")))
 
 
 # ---------------------------------------------------------------- analytics
