@@ -36,14 +36,16 @@ def read_incident_csv(
         .option("multiLine", False)
         .csv(path)
     )
-    present = set(raw.columns)
+    # Header names match case-insensitively and ignoring outer blanks.
+    present = {c.strip().lower(): c for c in raw.columns}
     by_name = {canon: src for src, canon in header_names.items()}
 
     def pick(canon: str, type_name: str):
         src = by_name.get(canon)
-        if src is None or src not in present:
+        actual = present.get(src.strip().lower()) if src is not None else None
+        if actual is None:
             return F.lit(None).cast(type_name).alias(canon)
-        c = F.col(f"`{src}`")
+        c = F.col(f"`{actual}`")
         if type_name == "boolean":
             c = bool_from_text(c.cast("string"))
         elif type_name != "string":

@@ -78,6 +78,12 @@ def test_csv_missing_column_is_null(spark, tmp_shared):
     assert r[S.DISTRICT] is None and r[S.PLACE] is None and r[S.HOUR] == 1
 
 
+def test_csv_header_case_and_blanks(spark, tmp_shared):
+    path = _write(tmp_shared, "date, PRIMARY TYPE ,arrest,Domestic\n01/02/2024 03:00:00 PM,THEFT,FALSE,true\n", "case.csv")
+    r = I.standardise(I.read_incident_csv(spark, path)).first()
+    assert (r[S.KIND], r[S.HOUR], r[S.ARREST], r[S.DOMESTIC]) == ("THEFT", 15, False, True)
+
+
 def test_csv_round_trip(spark, tmp_shared):
     from blotter.sources.incidents import raw_incidents
 
