@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -67,11 +67,6 @@ def ordered_labels(df: DataFrame, cols: Sequence[str], max_categories: int = MAX
         counts.unpersist()
 
 
-def check_cardinality(df: DataFrame, cols: Sequence[str], max_categories: int = MAX_CATEGORIES) -> None:
-    """Raise if a column has more than ``max_categories`` distinct values."""
-    ordered_labels(df, cols, max_categories)
-
-
 def category_indexer(
     inputs: Sequence[str] = CATEGORY_INPUTS,
     outputs: Sequence[str] = CATEGORY_OUTPUTS,
@@ -90,6 +85,8 @@ def feature_assembler(inputs: Sequence[str] = FEATURE_ORDER, output: str = FEATU
 
 
 def feature_stages(inputs=CATEGORY_INPUTS, outputs=CATEGORY_OUTPUTS, order=FEATURE_ORDER, output=FEATURES):
+    """Unfitted indexer + assembler for a plain ``Pipeline``; ``fit_features``
+    gives the same fitted stages from one counting pass."""
     return [category_indexer(inputs, outputs), feature_assembler(order, output)]
 
 

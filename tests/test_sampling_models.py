@@ -61,6 +61,10 @@ def test_fit_indexer_equals_string_indexer(spark):
     ours = FE.fit_indexer(df, ["k"], ["k_idx"]).labelsArray
     theirs = FE.category_indexer(["k"], ["k_idx"]).fit(df).labelsArray
     assert ours == theirs == [["a", "c", "b", "d"]]
+    from pyspark.ml import Pipeline
+
+    staged = Pipeline(stages=FE.feature_stages(["k"], ["k_idx"], ["k_idx"], "v")).fit(df.dropna())
+    assert staged.stages[0].labelsArray == ours
     meta = FE.fit_indexer(df, ["k"], ["k_idx"]).transform(df).schema["k_idx"].metadata
     assert meta["ml_attr"]["type"] == "nominal" and meta["ml_attr"]["vals"] == ["a", "c", "b", "d"]
 
