@@ -1,7 +1,7 @@
 """Plan properties that the design relies on at scale, checked on the
 physical plans of the registered queries: no cross products or nested-loop
 joins, no Python UDF operators, pruned scans, partial aggregation, top-k
-instead of a full sort."""
+instead of a full sort, and no raw rows funnelled into a single task."""
 
 import re
 
@@ -62,3 +62,18 @@ def test_weighted_metrics_have_no_join(spark):
 
     plan = _plan(M.weighted_metrics(scored_rows(incidents_at(spark, SF_SMALL)), with_confusion=True))
     assert "Join" not in plan and plan.count("FileScan") == 1
+
+
+# A single-partition exchange may only carry a partial aggregate (one row per
+# task) or the AUC's per-bucket table (at most ``buckets`` rows); raw rows
+# must never be funnelled into one task.
+_BOUNDED_CHILD = re.compile(r"functions=\[partial_|keys=\[__b#\d+\]")
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_single_partition_exchanges_carry_bounded_rows(spark, name):
+    lines = _plan(E.queries()[name](spark, SF_SMALL)).splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            child = lines[i + 1] if i + 1 < len(lines) else ""
+            assert _BOUNDED_CHILD.search(child), f"{name}: {child.strip()[:120]}"
