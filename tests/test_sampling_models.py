@@ -160,3 +160,20 @@ def test_job_from_csv_with_bernoulli_split(spark, tmp_shared):
     assert 0 < summary["test_rows"] < summary["train_rows"] < 10000
     counts = {r["kind"]: r["n_rows"] for r in spark.read.parquet(os.path.join(out, "kind_counts")).collect()}
     assert sum(counts.values()) == 10000
+
+
+def test_job_parses_csv_once_into_parquet(spark, tmp_shared):
+    """After ``load`` a CSV source is a Parquet table in the shared folder,
+    so each analysis scans only its own columns instead of every line."""
+    from blotter.operators import analytics as A
+    from blotter.plans.job import load, parse_args
+    from blotter.sources.incidents import raw_incidents
+    from blotter.sources.ingest import write_incident_csv
+
+    csv = os.path.join(tmp_shared, "incidents_csv_once")
+    write_incident_csv(raw_incidents(spark.read.parquet(f"{SF_SMALL}/events.parquet")), csv)
+    base = load(spark, parse_args(["--csv", csv, "--out", os.path.join(tmp_shared, "unused")]))
+    plan = A.kind_counts(base)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "FileScan csv" not in plan
+    assert "ReadSchema: struct<kind:string>" in plan
+    assert base.count() == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
