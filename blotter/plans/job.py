@@ -68,7 +68,10 @@ def load(spark: SparkSession, args) -> DataFrame:
 
 
 def _write(df: DataFrame, out: str, name: str, show: int = 0) -> None:
-    """Write a small report table as one file; optionally print it back."""
+    """Write a small report table as one file; optionally print it back.
+    ``coalesce(1)`` keeps a sorted report's order; the sorted reports have a
+    range exchange below it, so only the sort of the small result runs in
+    one task, not the aggregate."""
     path = f"{out.rstrip('/')}/{name}"
     df.coalesce(1).write.mode("overwrite").parquet(path)
     if show:
