@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from blotter.llm.decontamination import find_contamination
 from blotter.llm.frames import read_table
+from blotter.llm.line_dedup import dedup_lines
 from blotter.llm.mixing import mix_sources
+from blotter.llm.ngram_join import ngram_components
 from blotter.llm.pu_quality import pu_quality
 from blotter.llm.quality_rules import quality_rules
 from blotter.llm.secrets import scan_secrets
@@ -18,10 +21,20 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read_table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(documents, count_as="removed_chunks")
+
+
 def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(spark, read_table(spark, sf_dir, "pages"))
 
@@ -34,11 +47,37 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op3_secret_scan, op7_warc_archive, op8_pu_quality, op9_source_mix)
+    f.__name__: f for f in (op1_quality_rules, op2_decontamination, op3_secret_scan, op5_line_dedup, op7_warc_archive, op8_pu_quality, op9_source_mix, op10_ngram_join)
 }
 
+#: Chunks of lines per document: c numbers them from 0.
+LINE_CHUNKS_SQL = """
+WITH line AS (
+  SELECT doc_id, i, x, ('0x' || substr(md5(x), 1, 8))::BIGINT AS h
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i
+        FROM {documents} WHERE text IS NOT NULL)
+), ended AS (
+  SELECT *, CASE WHEN (h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 2 = 0 THEN 1 ELSE 0 END AS stop FROM line
+), numbered AS (
+  SELECT *, coalesce(sum(stop) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM ended
+), chunk AS (
+  SELECT doc_id, c, string_agg(x, chr(10) ORDER BY i) AS body, count(*) AS lines FROM numbered GROUP BY doc_id, c
+), ranked AS (
+  SELECT *, lines >= 2 AND length(body) >= 40 AND row_number() OVER (PARTITION BY body ORDER BY doc_id, c) > 1 AS cut FROM chunk
+), kept AS (
+  SELECT doc_id, coalesce(string_agg(body, chr(10) ORDER BY c) FILTER (WHERE NOT cut), '') AS kept_text, count(*) FILTER (WHERE cut) AS removed
+  FROM ranked GROUP BY doc_id
+)
+"""
+
 ORACLES: dict[str, str] = {
+    "op5_line_dedup": LINE_CHUNKS_SQL.format(documents="documents")
+    + "SELECT d.doc_id, k.kept_text AS text, coalesce(k.removed, 0) AS removed_chunks FROM documents d LEFT JOIN kept k USING (doc_id)",
     # Payload groups by their bytes; base32 from 20-bit pieces of the SHA-1.
     "op7_warc_archive": """
 WITH p AS (
