@@ -25,11 +25,12 @@ SMALL_BUCKET = 12
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
-    """(key, c, n, hub, size) of the rows of ``rows`` (key, c, n) whose key
-    two or more different sets share; hub is the bucket's smallest c."""
+    """(key, c, n, hub, hub_n, size) of the rows of ``rows`` (key, c, n) whose
+    key two or more different sets share; hub is the bucket's smallest c."""
     dealt = rows.repartition("key")
-    buckets = dealt.groupBy("key").agg(F.min("c").alias("hub"), F.max("c").alias("top"), F.count("*").alias("size")).where("hub <> top")
-    return stored(dealt.join(buckets.select("key", "hub", "size"), "key"), "buckets")
+    buckets = dealt.groupBy("key").agg(F.min(F.struct("c", "n")).alias("hub"), F.max("c").alias("top"), F.count("*").alias("size"))
+    buckets = buckets.where("hub.c <> top").select("key", F.col("hub.c").alias("hub"), F.col("hub.n").alias("hub_n"), "size")
+    return stored(dealt.join(buckets, "key"), "buckets")
 
 
 def _ordered(pairs: DataFrame, similar_size: float) -> DataFrame:
@@ -38,10 +39,9 @@ def _ordered(pairs: DataFrame, similar_size: float) -> DataFrame:
     return pairs.where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def first_pairs(active: DataFrame, sizes: DataFrame, similar_size: float) -> DataFrame:
+def first_pairs(active: DataFrame, similar_size: float) -> DataFrame:
     """Every row against its bucket's hub, and all pairs of small buckets."""
-    hubs = active.join(sizes.select(F.col("c").alias("hub"), F.col("n").alias("hub_n")), "hub")
-    to_hub = hubs.select(F.col("c").alias("x"), F.col("n").alias("nx"), F.col("hub").alias("y"), F.col("hub_n").alias("ny"))
+    to_hub = active.select(F.col("c").alias("x"), F.col("n").alias("nx"), F.col("hub").alias("y"), F.col("hub_n").alias("ny"))
     small = active.where((F.col("size") > 2) & (F.col("size") <= SMALL_BUCKET)).where("c <> hub").select("key", "c", "n")
     left, right = small.toDF("key", "x", "nx"), small.toDF("key", "y", "ny")
     within = left.join(right, "key").where("x < y").select("x", "nx", "y", "ny")
@@ -49,16 +49,16 @@ def first_pairs(active: DataFrame, sizes: DataFrame, similar_size: float) -> Dat
 
 
 def linked_components(
-    active: DataFrame, sizes: DataFrame, similar_size: float, verify: Callable[[DataFrame], DataFrame], most_pairs_per_row: float = 4.0
+    active: DataFrame, similar_size: float, verify: Callable[[DataFrame], DataFrame], most_pairs_per_row: float = 4.0
 ) -> tuple[DataFrame, DataFrame]:
     """(links (a, b), components (c, root)) of the sets in ``active``.
     ``verify`` keeps the linked ones of the pairs (a, b) it is given."""
-    links = stored(verify(stored(first_pairs(active, sizes, similar_size), "pairs")), "links")
+    links = stored(verify(stored(first_pairs(active, similar_size), "pairs")), "links")
     roots = components(links)
     rest = active.where(F.col("size") > SMALL_BUCKET)
     done = rest.select("key", F.col("hub").alias("c")).distinct()
     while True:
-        known = rest.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c")).drop("hub", "size")
+        known = rest.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c")).drop("hub", "hub_n", "size")
         hub_root = rest.select("key", "hub").distinct().join(roots.withColumnRenamed("c", "hub"), "hub", "left")
         hub_root = hub_root.select("key", F.coalesce("root", "hub").alias("hub_root"))
         state = known.join(done, ["key", "c"], "left_anti").join(hub_root, "key")

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from blotter.llm.decontamination import find_contamination
 from blotter.llm.frames import read_table
+from blotter.llm.katz import katz_scores
 from blotter.llm.line_dedup import dedup_lines
 from blotter.llm.mixing import mix_sources
 from blotter.llm.ngram_join import ngram_components
 from blotter.llm.pu_quality import pu_quality
 from blotter.llm.quality_rules import quality_rules
 from blotter.llm.secrets import scan_secrets
+from blotter.llm.substring_dedup import repeated_paragraphs
 from blotter.llm.warc import archive_pages
 
 
@@ -30,11 +32,19 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read_table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_paragraphs(read_table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(documents, count_as="removed_chunks")
 
 
+def op6_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_scores(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(spark, read_table(spark, sf_dir, "pages"))
 
@@ -52,7 +62,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_decontamination, op3_secret_scan, op5_line_dedup, op7_warc_archive, op8_pu_quality, op9_source_mix, op10_ngram_join)
+    f.__name__: f for f in (op1_quality_rules, op2_decontamination, op3_secret_scan, op4_substring_dedup, op5_line_dedup, op6_katz_scores, op7_warc_archive, op8_pu_quality, op9_source_mix, op10_ngram_join)
 }
 
 #: Chunks of lines per document: c numbers them from 0.

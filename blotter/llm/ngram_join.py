@@ -278,7 +278,7 @@ def ngram_components(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFr
         summed = partial.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap"))
         return summed.where(F.col("overlap") * den >= (F.col("na") + F.col("nb") - F.col("overlap")) * num).select("a", "b")
 
-    _, roots = linked_components(active, classes.select("c", "n"), float(threshold), verify)
+    _, roots = linked_components(active, float(threshold), verify)
     named = members.where("n > 0").join(roots, "c", "left").select("doc_id", "n", F.coalesce("root", "c").alias("root"))
     named = stored(named, "ngram-roots")
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -15,6 +15,7 @@ import pyarrow as pa
 
 BLANKS = b" \t\n\x0b\x0c\r"
 SLICE_BYTES = 1 << 21
+SLICE_ROWS = 20_000
 _M = 0x9E3779B97F4A7C15 | 1
 _STATE: dict = {}
 
@@ -63,6 +64,10 @@ class Words:
         self.hashes = hashes
         self.first = first
 
+    def documents(self) -> np.ndarray:
+        """The document number of every word."""
+        return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
+
     def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all n-word windows and the documents' bounds in them."""
         h, first = self.hashes, self.first
@@ -84,7 +89,7 @@ class Words:
 
 
 def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Cut a string column into slices of about SLICE_BYTES: yields (first
+    """Cut a string column into slices of about SLICE_BYTES, SLICE_ROWS rows at most: yields (first
     row, end row, bytes, offsets of rows in them). Null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -97,7 +102,7 @@ def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
     at = 0
     while at < len(column):
         end = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1
-        end = min(max(end, at + 1), len(column))
+        end = min(max(end, at + 1), at + SLICE_ROWS, len(column))
         yield at, end, data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
         at = end
 
