@@ -31,6 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from blotter.llm.frames import doc_texts, stored
 from blotter.llm.textbatch import Words, mix, split_words, text_slices
@@ -146,7 +147,7 @@ def equal_words(text: bytes, item: bytes, shift: int) -> int:
     return sum(same) if best >= least else 0
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def _equal_words(text: pd.Series, item: pd.Series, shift: pd.Series) -> pd.Series:
     return pd.Series([equal_words(t.encode(), i.encode(), int(s)) for t, i, s in zip(text, item, shift, strict=True)], dtype="int64")
 
