@@ -8,7 +8,6 @@ SparkSession. Layout:
 - ``functions``  column expressions (hash uniforms, time parsing, clamps, bars)
 - ``operators``  analytics, sampling, features, models, metrics, reports
 - ``plans``      the registered queries, their DuckDB oracles and the batch job
-- ``streaming``  nothing: the workload is batch only (see its docstring)
 """
 
 __version__ = "0.1.0"

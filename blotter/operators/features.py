@@ -2,10 +2,11 @@
 ties alphabetical, invalid rows skipped) and the feature vector
 [hour, district, kind index, domestic index].
 
-Index fitting is a distinct-count aggregate whose result (the label list)
-lives in the model on the driver, so its size is checked on the cluster
-before any label is collected: a column with more categories than the tree
-models can bin is rejected.
+Indexes are fitted by MLlib's own multi-column indexer: one aggregate over
+all columns, each with its own label list. The label lists live in the model
+on the driver, as in any ``StringIndexer``. How many categories a learner can
+bin is the learner's limit and is checked where one is fitted
+(``models.fit_all``), not here.
 """
 
 from __future__ import annotations
@@ -26,46 +27,6 @@ FEATURES = "features"
 FEATURE_ORDER = (S.HOUR, S.DISTRICT, KIND_IDX, DOMESTIC_IDX)
 CATEGORY_INPUTS = (S.KIND, S.DOMESTIC_STR)
 CATEGORY_OUTPUTS = (KIND_IDX, DOMESTIC_IDX)
-MAX_CATEGORIES = 64  # the tree models' maxBins
-
-
-def category_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column position, value, rows) for every non-NULL value of every
-    column in ``cols``: one pass, partial aggregation per task, so a value
-    holding a third of all rows is one row per task before the shuffle."""
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(cols)])
-    )
-    return (
-        df.select(pairs.alias("p"))
-        .select("p.i", "p.v")
-        .filter(F.col("v").isNotNull())
-        .groupBy("i", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
-def ordered_labels(df: DataFrame, cols: Sequence[str], max_categories: int = MAX_CATEGORIES) -> list[list[str]]:
-    """Per column, its values most frequent first, ties alphabetical (the
-    order of StringIndexer's ``frequencyDesc``).
-
-    The distinct values are counted by Spark; only when every column has at
-    most ``max_categories`` values does the (bounded) label table come to the
-    driver, so a high-cardinality column fails fast instead of flooding it.
-    The per-value counts are kept for the two small follow-up jobs."""
-    counts = category_counts(df, cols).persist()
-    try:
-        sizes = {r["i"]: r["k"] for r in counts.groupBy("i").agg(F.count(F.lit(1)).alias("k")).collect()}
-        over = {cols[i]: k for i, k in sizes.items() if k > max_categories}
-        if over:
-            raise ValueError(f"too many categories for maxBins={max_categories}: {over}")
-        labels: list[list[str]] = [[] for _ in cols]
-        for r in counts.orderBy("i", F.col("n").desc(), F.col("v").asc()).collect():
-            labels[r["i"]].append(r["v"])
-        return labels
-    finally:
-        counts.unpersist()
-
 
 def category_indexer(
     inputs: Sequence[str] = CATEGORY_INPUTS,
@@ -85,31 +46,25 @@ def feature_assembler(inputs: Sequence[str] = FEATURE_ORDER, output: str = FEATU
 
 
 def feature_stages(inputs=CATEGORY_INPUTS, outputs=CATEGORY_OUTPUTS, order=FEATURE_ORDER, output=FEATURES):
-    """Unfitted indexer + assembler for a plain ``Pipeline``; ``fit_features``
-    gives the same fitted stages from one counting pass."""
+    """Unfitted indexer + assembler for a plain ``Pipeline``."""
     return [category_indexer(inputs, outputs), feature_assembler(order, output)]
 
 
-def fit_indexer(
-    train: DataFrame,
-    inputs: Sequence[str],
-    outputs: Sequence[str],
-    max_categories: int = MAX_CATEGORIES,
-    handle_invalid: str = "skip",
-) -> StringIndexerModel:
-    """A fitted multi-column StringIndexer from one counting pass (see
-    ``ordered_labels``); equal to ``category_indexer(...).fit(train)``."""
-    labels = ordered_labels(train, inputs, max_categories)
-    return StringIndexerModel.from_arrays_of_labels(
-        labels, inputCols=list(inputs), outputCols=list(outputs), handleInvalid=handle_invalid
-    )
+def fit_indexer(train: DataFrame, inputs: Sequence[str], outputs: Sequence[str], handle_invalid: str = "skip") -> StringIndexerModel:
+    return category_indexer(inputs, outputs, handle_invalid).fit(train)
 
 
-def fit_features(train: DataFrame, max_categories: int = MAX_CATEGORIES) -> PipelineModel:
+def fit_features(train: DataFrame) -> PipelineModel:
     """Indexers fitted once on the training rows, then the assembler; the
     fitted model is shared by every classifier."""
-    indexer = fit_indexer(train, CATEGORY_INPUTS, CATEGORY_OUTPUTS, max_categories)
-    return PipelineModel(stages=[indexer, feature_assembler()])
+    return PipelineModel(stages=[fit_indexer(train, CATEGORY_INPUTS, CATEGORY_OUTPUTS), feature_assembler()])
+
+
+def category_sizes(vectors: DataFrame, features: str = FEATURES) -> dict[str, int]:
+    """Categories of each indexed element of a vector column, by its name,
+    from the column's metadata (no job)."""
+    attrs = vectors.schema[features].metadata.get("ml_attr", {}).get("attrs", {})
+    return {a["name"]: len(a["vals"]) for a in attrs.get("nominal", [])}
 
 
 def vector_elements(df: DataFrame, vector_col: str, names: Sequence[str], prefix: str = "f_") -> DataFrame:

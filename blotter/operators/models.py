@@ -1,8 +1,8 @@
 """Classifier recipe, fitting and scoring.
 
 The feature part (indexers + assembler) is fitted once on the training rows
-and its output is persisted; every classifier then fits on the same cached
-vectors, and the test rows are transformed once. Fit time per model is the
+over one persisted frame of model rows; every classifier fits on the vectors of
+its train rows and scores those of its test rows. Fit time per model is the
 wall time of ``fit`` alone, measured on the driver.
 """
 
@@ -18,7 +18,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotter.operators.features import FEATURE_ORDER, FEATURES, fit_features
+from blotter.operators.features import FEATURE_ORDER, FEATURES, category_sizes, fit_features
+from blotter.operators.sampling import PART, hash_split, split_salt
 from blotter.sources import schema as S
 
 LOGISTIC, FOREST, BOOSTED = "LogisticRegression", "RandomForest", "GBT"
@@ -50,54 +51,69 @@ class FittedSet:
 MODEL_COLUMNS = (S.INCIDENT_ID, S.LABEL, S.HOUR, S.DISTRICT, S.KIND, S.DOMESTIC_STR)
 
 
-def prepare(
-    rows: DataFrame,
-    split: str = "hash",
-    weights: Sequence[float] = (0.8, 0.2),
-    seed: int = 42,
-    min_partitions: int | None = None,
-):
-    """Train/test feature vectors from complete model rows.
-
-    The model columns are projected, spread over at least ``min_partitions``
-    (default: the cluster's default parallelism) by a hash of the id when
-    the input has fewer partitions, and kept for the steps below; the split
-    is a hash split by default (``"bernoulli"``: ``randomSplit``). Indexes
-    are fitted on the train part in one counting pass, and both parts are
-    transformed once and persisted for the classifiers.
-
-    Returns (feature model, train vectors, test vectors, sizes), where
-    sizes holds the rows of each part before indexing (rows with an unseen
-    or NULL category are skipped by the indexers); the caller unpersists the
-    two frames.
-    """
-    from blotter.operators.sampling import PART, hash_split
+@dataclass
+class WorkingSet:
+    """Both parts of a split from one persisted frame of model rows.
+
+    ``rows`` are the rows of each part before indexing, ``kept`` those that
+    the indexers keep (rows with an unseen or NULL category are skipped).
+    Vectors are made as they are read: learners keep their own copy while
+    they fit. ``release`` frees the frame."""
+
+    features: object
+    labelled: DataFrame
+    rows: dict
+    kept: dict
+
+    def part(self, name: str) -> DataFrame:
+        part = self.labelled.filter(F.col(PART) == F.lit(name))
+        return self.features.transform(part).select(S.INCIDENT_ID, S.LABEL, FEATURES)
 
-    spark = rows.sparkSession
+    @property
+    def train(self) -> DataFrame:
+        return self.part("train")
+
+    @property
+    def test(self) -> DataFrame:
+        return self.part("test")
+
+    def release(self) -> None:
+        self.labelled.unpersist()
+
+
+def prepare(rows: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int | None = None, partitions: int | None = None) -> WorkingSet:
+    """Train and test parts of complete model rows, and the feature model.
+
+    The split is decided by each row's values and the seed alone (see
+    ``sampling.hash_split``), so it is the same for any partitioning. The
+    model columns are dealt to ``partitions`` partitions (default: the
+    cluster's parallelism) by all their values and persisted once. Indexes
+    are fitted on the train part; one pass then counts the rows of both parts
+    before and after indexing.
+    """
     base = rows.select(*MODEL_COLUMNS)
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if base.rdd.getNumPartitions() < want:
-        base = base.repartition(want, S.INCIDENT_ID)
-    if split == "hash":
-        names = ("train", "test")
-        base = hash_split(base, S.INCIDENT_ID, weights, names).persist(StorageLevel.MEMORY_AND_DISK)
-        train, test = (base.filter(F.col(PART) == F.lit(n)).drop(PART) for n in names)
-    elif split == "bernoulli":
-        base = base.persist(StorageLevel.MEMORY_AND_DISK)
-        train, test = base.randomSplit(list(weights), seed=seed)
-    else:
-        raise ValueError(f"unknown split {split}")
-    try:
-        sizes = {"train": train.count(), "test": test.count()}
-        fmodel = fit_features(train)
-        keep = [S.INCIDENT_ID, S.LABEL, FEATURES]
-        tr = fmodel.transform(train).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-        te = fmodel.transform(test).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-        tr.count()
-        te.count()
-    finally:
-        base.unpersist()
-    return fmodel, tr, te, sizes
+    base = base.repartition(partitions or rows.sparkSession.sparkContext.defaultParallelism, *MODEL_COLUMNS)
+    labelled = hash_split(base, S.INCIDENT_ID, weights, ("train", "test"), split_salt(seed)).persist(StorageLevel.MEMORY_AND_DISK)
+    fmodel = fit_features(labelled.filter(F.col(PART) == F.lit("train")))
+    indexer = fmodel.stages[0]
+    marked = indexer.copy({indexer.handleInvalid: "keep"}).transform(labelled)
+    valid = F.lit(True)
+    for out, values in zip(indexer.getOutputCols(), indexer.labelsArray, strict=True):
+        valid = valid & (F.col(out) < F.lit(len(values)))
+    counts = marked.groupBy(PART).agg(F.count(F.lit(1)).alias("n"), F.count_if(valid).alias("k")).collect()
+    sizes = {r[PART]: (r["n"], r["k"]) for r in counts}
+    names = ("train", "test")
+    return WorkingSet(fmodel, labelled, {n: sizes.get(n, (0, 0))[0] for n in names}, {n: sizes.get(n, (0, 0))[1] for n in names})
+
+
+def check_bins(learner, vectors: DataFrame) -> None:
+    """A tree learner bins every category: report the columns that have more
+    than its ``maxBins``."""
+    if learner.hasParam("maxBins"):
+        most = learner.getOrDefault("maxBins")
+        over = {c: k for c, k in category_sizes(vectors, learner.getFeaturesCol()).items() if k > most}
+        if over:
+            raise ValueError(f"{type(learner).__name__}: more categories than maxBins={most}: {over}")
 
 
 def fit_all(train_vec: DataFrame, names: Sequence[str] = RECIPE, fitted: FittedSet | None = None) -> FittedSet:
@@ -105,8 +121,10 @@ def fit_all(train_vec: DataFrame, names: Sequence[str] = RECIPE, fitted: FittedS
     for name in names:
         if name in out.models:
             continue
+        learner = make_learner(name)
+        check_bins(learner, train_vec)
         t0 = time.time()
-        out.models[name] = make_learner(name).fit(train_vec)
+        out.models[name] = learner.fit(train_vec)
         out.train_s[name] = time.time() - t0
     return out
 
@@ -134,4 +152,4 @@ def score_all(fitted: FittedSet, vec: DataFrame, names: Sequence[str]) -> DataFr
 def importances(forest_model, names: Sequence[str] = FEATURE_ORDER) -> list[tuple[str, float]]:
     """(feature, importance) of a tree ensemble: one value per feature."""
     vals = forest_model.featureImportances.toArray().tolist()
-    return list(zip(names, [float(v) for v in vals]))
+    return list(zip(names, [float(v) for v in vals], strict=True))

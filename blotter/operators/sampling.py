@@ -9,14 +9,16 @@ Two families:
 - Hash (``hash_sample``, ``hash_split``): a row's fate is a hash uniform of
   its id and a salt, so it is the same for any partitioning, after a task
   retry, and in another engine. Both are a single narrow filter/projection:
-  no shuffle, no sort, no driver round trip.
+  no shuffle, no sort, no driver round trip. A row without an id is decided
+  by the text of its other columns, so none is lost or always on one side;
+  equal rows without an id share their fate.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotter.functions.columns import hash_uniform
@@ -36,18 +38,28 @@ def labelled_random_split(
     df: DataFrame, weights: Sequence[float] = (0.8, 0.2), names: Sequence[str] = ("train", "test"), seed: int = 42
 ) -> DataFrame:
     """The parts of ``random_split`` as one frame with a ``part`` column."""
-    parts = random_split(df, weights, seed)
-    out = None
-    for name, p in zip(names, parts):
-        p = p.withColumn(PART, F.lit(name))
-        out = p if out is None else out.unionByName(p)
+    parts = [p.withColumn(PART, F.lit(name)) for name, p in zip(names, random_split(df, weights, seed), strict=True)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 
+def row_key(df: DataFrame, id_col: str) -> Column:
+    """The row's id as text or, where it is NULL, its other columns."""
+    others = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns if c != id_col]
+    return F.coalesce(F.col(id_col).cast("string"), F.concat_ws("|", F.lit("row"), *others))
+
+
+def split_salt(seed: int | None) -> str:
+    """The hash salt of a split: one for each seed."""
+    return "split" if seed is None else f"split:{seed}"
+
+
 def hash_sample(df: DataFrame, id_col: str, fraction: float = 0.05, salt: str = "sample") -> DataFrame:
     """Rows whose id hashes below ``fraction``: a partition-independent
     sample of expected size ``fraction * rows``."""
-    return df.filter(hash_uniform(id_col, salt) < F.lit(float(fraction)))
+    return df.filter(hash_uniform(row_key(df, id_col), salt) < F.lit(float(fraction)))
 
 
 def hash_split(
@@ -62,10 +74,10 @@ def hash_split(
     if len(weights) != len(names) or not weights:
         raise ValueError("one name per weight")
     total = float(sum(weights))
-    u = hash_uniform(id_col, salt)
+    u = hash_uniform(row_key(df, id_col), salt)
     expr = None
     acc = 0.0
-    for w, name in zip(weights[:-1], names[:-1]):
+    for w, name in zip(weights[:-1], names[:-1], strict=True):
         acc += w / total
         expr = F.when(u < F.lit(acc), F.lit(name)) if expr is None else expr.when(u < F.lit(acc), F.lit(name))
     last = F.lit(names[-1])
