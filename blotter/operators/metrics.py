@@ -4,7 +4,7 @@ record per model, a metric x model pivot and the best model.
 
 Inputs are scored rows (label, score, prediction), optionally with group
 columns ``by`` (a model name, say) so that many models are measured in the
-same passes. Everything is a Spark aggregate: nothing is collected, no
+same passes. Everything is a lazy Spark aggregate: nothing is collected or kept, no
 broadcast is forced (AQE picks one from measured sizes), and no window or
 join partition grows with the number of rows per group.
 
@@ -19,22 +19,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 METRIC_NAMES = ("auc", "accuracy", "f1", "weighted_precision", "weighted_recall")
 
 
-def _materialise(result: DataFrame) -> DataFrame:
-    """Compute a small result (one row per group) once and keep it, so the
-    intermediate it was built from can be released. Should its blocks be
-    lost, Spark recomputes it from the lineage."""
-    result = result.persist(StorageLevel.MEMORY_AND_DISK)
-    result.count()
-    return result
-
-
 def attach(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the columns of ``small`` (one row per key) to ``df``: an equi-join
     on ``keys`` (Spark / AQE choose broadcast or shuffle from the measured
@@ -52,7 +42,7 @@ def confusion_counts(scored: DataFrame, label: str = "label", prediction: str =
     return scored.groupBy(*by, label, prediction).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def confusion_quartet(scored: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
+def outcome_cells(scored: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
     """TN, FP, FN, TP of a 0/1 classifier, zero when a cell is empty; rows
     with a NULL label or prediction are not counted."""
     lab, pred = F.col(label).cast("double"), F.col(prediction).cast("double")
@@ -68,19 +58,22 @@ def class_table(scored: DataFrame, label: str = "label", prediction: str = "pred
     """Per (group, class): rows whose label is the class (``actual``), rows
     predicted as the class (``predicted``) and rows both (``hits``).
 
-    Each scored row feeds two entries (its label's class and its predicted
-    class), summed by a partial + final aggregate: one shuffle of at most
-    groups x classes rows per task, no join. Rows with a NULL label or
-    prediction are not counted."""
-    df = scored.filter(F.col(label).isNotNull() & F.col(prediction).isNotNull())
+    Rows are counted per (label, prediction) first, with partial aggregation;
+    each of those few cells then feeds two entries (its label's class and its
+    predicted class). Rows with a NULL label or prediction are not counted."""
     lab, pred = F.col(label).cast("double"), F.col(prediction).cast("double")
-    one, zero = F.lit(1), F.lit(0)
+    cells = (
+        scored.filter(F.col(label).isNotNull() & F.col(prediction).isNotNull())
+        .groupBy(*by, lab.alias("__l"), pred.alias("__p"))
+        .agg(F.count(F.lit(1)).alias("__n"))
+    )
+    n, zero = F.col("__n"), F.lit(0).cast("long")
     entries = F.array(
-        F.struct(lab.alias("c"), one.alias("a"), zero.alias("p"), (lab == pred).cast("int").alias("t")),
-        F.struct(pred.alias("c"), zero.alias("a"), one.alias("p"), zero.alias("t")),
+        F.struct(F.col("__l").alias("c"), n.alias("a"), zero.alias("p"), F.when(F.col("__l") == F.col("__p"), n).otherwise(zero).alias("t")),
+        F.struct(F.col("__p").alias("c"), zero.alias("a"), n.alias("p"), zero.alias("t")),
     )
     return (
-        df.select(*by, F.explode(entries).alias("x"))
+        cells.select(*by, F.explode(entries).alias("x"))
         .groupBy(*by, F.col("x.c").alias("cls"))
         .agg(F.sum("x.a").alias("actual"), F.sum("x.p").alias("predicted"), F.sum("x.t").alias("hits"))
     )
@@ -123,21 +116,16 @@ def weighted_metrics(
     return per.groupBy(*by).agg(*aggs)
 
 
-def _bucket_count(scored: DataFrame) -> int:
-    try:
-        n = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover - conf always set in practice
-        n = 200
-    return max(16, min(n, 4096))
+#: Score ranges of the AUC's prefix sum.
+AUC_BUCKETS = 1024
 
 
-def auc_roc(
-    scored: DataFrame,
-    label: str = "label",
-    score: str = "score",
-    by: Sequence[str] = (),
-    buckets: int | None = None,
-) -> DataFrame:
+def _binary(label: str) -> Column:
+    """Rows of a 0/1 classifier: the label is 0 or 1."""
+    return F.col(label).cast("double").isin(0.0, 1.0)
+
+
+def auc_roc(scored: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (), buckets: int = AUC_BUCKETS) -> DataFrame:
     """Exact area under the ROC curve per group (rank-sum form, ties half).
 
     AUC = sum over positives of (#negatives scored lower + 0.5 * #negatives
@@ -147,51 +135,65 @@ def auc_roc(
     1. rows -> (group, score, pos, neg): partial aggregation, so a score
        shared by a third of all rows is one row after the map side;
     2. ``buckets - 1`` approximate quantiles of the distinct (group, score)
-       rows (one sketch aggregate, attached as a scalar subquery) cut the
-       score axis into ranges holding about equal numbers of rows;
-    3. negatives per (group, bucket) and their running total over buckets:
-       a table of at most groups x buckets rows, joined back on (group,
-       bucket) (AQE broadcasts it when it measures it small);
-    4. within each (group, bucket) a window running sum of negatives below
+       rows (a sketch whose size follows ``buckets``, attached as a scalar
+       subquery) cut the score axis into ranges holding about equal numbers
+       of rows; a row finds its range by binary search;
+    3. negatives per (group, range) and their running total over ranges: a
+       table of at most groups x buckets rows, joined back on (group, range)
+       (AQE broadcasts it when it measures it small);
+    4. within each (group, range) a window running sum of negatives below
        each score; no such partition exceeds about 1/buckets of the rows.
 
-    The step-1 aggregate is persisted while steps 2-4 read it, so the input
-    is scanned once; the result (one row per group) is computed and kept,
-    and the aggregate released.
+    The plan is lazy and nothing is kept: steps 2 to 4 share the exchange of
+    step 1. Only rows labelled 0 or 1 with a score count.
     """
     keys = list(by)
-    df = scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
+    df = scored.filter(_binary(label) & F.col(score).isNotNull())
     is_pos = (F.col(label).cast("double") == F.lit(1.0)).cast("long")
-    d = (
-        df.groupBy(*keys, F.col(score).cast("double").alias("__s"))
-        .agg(F.sum(is_pos).alias("__pos"), F.sum(F.lit(1) - is_pos).alias("__neg"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    try:
-        return _materialise(_auc_from_scores(d, keys, buckets or _bucket_count(scored)))
-    finally:
-        d.unpersist()
+    d = df.groupBy(*keys, F.col(score).cast("double").alias("__s")).agg(F.sum(is_pos).alias("__pos"), F.sum(F.lit(1) - is_pos).alias("__neg"))
+    return _auc_from_scores(_whole(d, ["__pos", "__neg"]), keys, buckets)
+
+
+def _whole(d: DataFrame, counts: Sequence[str]) -> DataFrame:
+    """``d`` with a condition on all its counts that always holds. It keeps
+    column pruning from giving every reader of the aggregate an exchange of
+    its own columns, so that one exchange (and one scan) serves them all."""
+    total = F.col(counts[0])
+    for c in counts[1:]:
+        total = total + F.col(c)
+    return d.filter(total >= 0)
+
+
+def _range_of(value: Column, bounds: Column, n: int) -> Column:
+    """How many of the ``n`` sorted bounds are below ``value``: a binary
+    search in log2(n) steps of halving size."""
+    steps = [1 << k for k in reversed(range(max(1, n.bit_length())))]
+
+    def advance(at: Column, step: Column) -> Column:
+        return F.when(F.get(bounds, at + step - 1) < value, at + step).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), advance)
 
 
 def _auc_from_scores(d: DataFrame, keys: list[str], nb: int) -> DataFrame:
     """AUC per group from (keys, __s, __pos, __neg), one row per distinct
     (group, score)."""
     # One row of nb - 1 score quantiles over all distinct (group, score)
-    # rows, attached as a scalar subquery: every (group, bucket) range then
-    # holds at most about 1/nb of the distinct rows, whatever the groups.
+    # rows, attached as a scalar subquery: every (group, range) then holds at
+    # most about 1/nb of the distinct rows, whatever the groups.
     qs = [i / nb for i in range(1, nb)]
-    bounds = d.agg(F.percentile_approx("__s", qs, 10000).alias("__bounds"))
+    bounds = d.agg(F.percentile_approx("__s", qs, 4 * nb).alias("__bounds"))
     d = attach(d, bounds, []).select(
         *keys, "__s", "__pos", "__neg",
         # non-nullable, so no IS NOT NULL is inferred from the join below and
         # pushed under the aggregate
-        F.coalesce(F.size(F.filter("__bounds", lambda b: b < F.col("__s"))), F.lit(0)).alias("__b"),
-    )
+        F.coalesce(_range_of(F.col("__s"), F.col("__bounds"), nb - 1), F.lit(0)).alias("__b"),
+    )
     per_bucket = d.groupBy(*keys, "__b").agg(F.sum("__neg").alias("__bneg"))
-    # At most nb rows per group: the running total over buckets is a small window.
+    # At most nb rows per group: the running total over ranges is a small window.
     w_off = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(*keys, "__b", F.coalesce(F.sum("__bneg").over(w_off), F.lit(0)).alias("__off"))
-    # Join and window share the (group, bucket) partitioning: one shuffle.
+    # Join and window share the (group, range) partitioning: one shuffle.
     w_loc = Window.partitionBy(*keys, "__b").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
     ranked = d.join(offsets, [*keys, "__b"]).withColumn(
         "__below", F.col("__off") + F.coalesce(F.sum("__neg").over(w_loc), F.lit(0))
@@ -212,17 +214,17 @@ def metrics_record(
     prediction: str = "prediction",
     by: Sequence[str] = (),
     with_confusion: bool = False,
-    buckets: int | None = None,
+    buckets: int = AUC_BUCKETS,
 ) -> DataFrame:
     """The five metrics (and optionally the confusion quartet) of a 0/1
     classifier, one row per group, from a single pass over ``scored``.
 
     One aggregate by (group, score) carries positives, negatives and the
-    four confusion cells; it is persisted while the AUC steps and the
-    confusion sums read it, the small record is computed and kept, and the
-    aggregate is released. Rows with a NULL label are left
-    out; a NULL score leaves the AUC, a NULL prediction the other metrics.
-    (``weighted_metrics`` handles any number of classes.)
+    four confusion cells; the AUC steps and the confusion sums share its
+    exchange. The plan is lazy. Rows whose label is not 0 or 1, or whose
+    prediction is neither, leave every metric; a NULL score leaves the AUC, a
+    NULL prediction the other metrics. (``weighted_metrics`` handles any
+    number of classes.)
     """
     keys = list(by)
     lab = F.col(label).cast("double")
@@ -233,7 +235,7 @@ def metrics_record(
 
     is_pos = (lab == F.lit(1.0)).cast("long")
     d = (
-        scored.filter(F.col(label).isNotNull())
+        scored.filter(_binary(label) & (pred.isNull() | pred.isin(0.0, 1.0)))
         .groupBy(*keys, F.col(score).cast("double").alias("__s"))
         .agg(
             F.sum(is_pos).alias("__pos"),
@@ -243,43 +245,36 @@ def metrics_record(
             cell(1.0, 0.0).alias("fn"),
             cell(1.0, 1.0).alias("tp"),
         )
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    try:
-        quartet = d.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp")])
-        tn, fp, fn, tp = (F.col(c).cast("double") for c in ("tn", "fp", "fn", "tp"))
-        act0, act1, prd0, prd1 = tn + fp, fn + tp, tn + fn, fp + tp
-        total = act0 + act1
-
-        def ratio(a: Column, b: Column) -> Column:
-            return F.when(b > 0, a / b).otherwise(F.lit(0.0))
-
-        p0, p1, r0, r1 = ratio(tn, prd0), ratio(tp, prd1), ratio(tn, act0), ratio(tp, act1)
-
-        def f1(p: Column, r: Column) -> Column:
-            return F.when(p + r > 0, F.lit(2.0) * p * r / (p + r)).otherwise(F.lit(0.0))
-
-        def weighted(x0: Column, x1: Column) -> Column:
-            return F.try_divide(act0 * x0 + act1 * x1, total)
-
-        rec = quartet.select(
-            *keys,
-            F.try_divide(tn + tp, total).alias("accuracy"),
-            weighted(f1(p0, r0), f1(p1, r1)).alias("f1"),
-            weighted(p0, p1).alias("weighted_precision"),
-            weighted(r0, r1).alias("weighted_recall"),
-            *(["tn", "fp", "fn", "tp"] if with_confusion else []),
-        )
-        auc = _auc_from_scores(
-            d.filter(F.col("__s").isNotNull()).select(*keys, "__s", "__pos", "__neg"),
-            keys,
-            buckets or _bucket_count(scored),
-        )
-        rec = attach(rec, auc, keys)
-        first = [*keys, "auc", "accuracy", "f1", "weighted_precision", "weighted_recall"]
-        return _materialise(rec.select(*first, *[c for c in rec.columns if c not in first]))
-    finally:
-        d.unpersist()
+    d = _whole(d, ["__pos", "__neg", "tn", "fp", "fn", "tp"])
+    quartet = d.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp")])
+    tn, fp, fn, tp = (F.col(c).cast("double") for c in ("tn", "fp", "fn", "tp"))
+    act0, act1, prd0, prd1 = tn + fp, fn + tp, tn + fn, fp + tp
+    total = act0 + act1
+
+    def ratio(a: Column, b: Column) -> Column:
+        return F.when(b > 0, a / b).otherwise(F.lit(0.0))
+
+    p0, p1, r0, r1 = ratio(tn, prd0), ratio(tp, prd1), ratio(tn, act0), ratio(tp, act1)
+
+    def f1(p: Column, r: Column) -> Column:
+        return F.when(p + r > 0, F.lit(2.0) * p * r / (p + r)).otherwise(F.lit(0.0))
+
+    def weighted(x0: Column, x1: Column) -> Column:
+        return F.try_divide(act0 * x0 + act1 * x1, total)
+
+    rec = quartet.select(
+        *keys,
+        F.try_divide(tn + tp, total).alias("accuracy"),
+        weighted(f1(p0, r0), f1(p1, r1)).alias("f1"),
+        weighted(p0, p1).alias("weighted_precision"),
+        weighted(r0, r1).alias("weighted_recall"),
+        *(["tn", "fp", "fn", "tp"] if with_confusion else []),
+    )
+    auc = _auc_from_scores(d.filter(F.col("__s").isNotNull()).select(*keys, "__s", "__pos", "__neg"), keys, buckets)
+    rec = attach(rec, auc, keys)
+    first = [*keys, "auc", "accuracy", "f1", "weighted_precision", "weighted_recall"]
+    return rec.select(*first, *[c for c in rec.columns if c not in first])
 
 
 def metrics_long(records: DataFrame, model: str = "model", metrics: Sequence[str] = METRIC_NAMES) -> DataFrame:
