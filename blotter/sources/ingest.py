@@ -5,13 +5,21 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions.columns import bool_from_text, hour_of_text, label_of
 from blotter.sources import schema as S
 
 
+def whole_number(text: Column, type_name: str) -> Column:
+    """An integer from its text; "11.0", as float exports write integers, is
+    11, and text that is no whole number is NULL."""
+    plain = text.try_cast(type_name)
+    decimal = text.try_cast("decimal(38, 10)")
+    return F.coalesce(plain, F.when(decimal == F.floor(decimal), F.floor(decimal).try_cast(type_name)))
+
+
 def read_incident_csv(
     spark: SparkSession,
     path: str,
@@ -34,6 +42,8 @@ def read_incident_csv(
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", False)
+        # every file of a folder must have the first one's header
+        .option("enforceSchema", False)
         .csv(path)
     )
     # Header names match case-insensitively and ignoring outer blanks.
@@ -49,7 +59,7 @@ def read_incident_csv(
         if type_name == "boolean":
             c = bool_from_text(c.cast("string"))
         elif type_name != "string":
-            c = F.trim(c.cast("string")).try_cast(type_name)
+            c = whole_number(F.trim(c.cast("string")), type_name)
         return c.alias(canon)
 
     return raw.select(
@@ -71,10 +81,6 @@ def write_incident_csv(df: DataFrame, path: str) -> None:
     out.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def standardise(raw: DataFrame) -> DataFrame:
     """Add ``hour`` (parsed from the text timestamp), ``label`` (0/1 of the
     arrest flag) and ``domestic_str`` ("true"/"false") in one projection."""

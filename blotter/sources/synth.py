@@ -43,6 +43,7 @@ SYNTH_PLACES = [
     "RESIDENCE-GARAGE",
 ]
 
+# Years, number of districts and share of domestic incidents.
 SYNTH_YEARS = [2020, 2021, 2022, 2023, 2024, 2025]
 SYNTH_DISTRICTS = 25
 SYNTH_DOMESTIC_SHARE = 0.15
@@ -78,7 +79,7 @@ def synthetic_incidents(ids: DataFrame, id_col: str) -> DataFrame:
         S.PLACE,
         S.YEAR,
         S.HOUR,
-        F.lower(F.col(S.DOMESTIC).cast("string")).alias(S.DOMESTIC_STR),
+        F.col(S.DOMESTIC).cast("string").alias(S.DOMESTIC_STR),
         arrest.alias(S.ARREST),
         arrest.cast("int").alias(S.LABEL),
     )
