@@ -1,13 +1,12 @@
 """Batch job: ingest, the four analyses, sampling, features, three
 classifiers, metrics and importances, each written as a Parquet table.
 
-    spark-submit blotter/plans/job.py --events s3://.../events.parquet --out s3://.../report
-    spark-submit blotter/plans/job.py --csv hdfs:///data/incidents.csv --out hdfs:///reports/run1
+    spark-submit blotter_job.py --events s3a://data/events.parquet --out s3a://reports/run1
 
-The data source is an explicit argument. A CSV source is parsed once into a
-Parquet table under the shared checkpoint folder, which every later step
-reads. Report tables are small (one row per category, model or metric) and
-are written as single files; the input is never collected.
+The data source is an explicit argument (CSV, Parquet, an events table, or a
+number of synthetic rows). A CSV source is parsed once into a Parquet table
+under the shared checkpoint folder, which every later step reads. Report tables are small (one row per category, model or metric) and are written as
+single files; the input is never collected.
 """
 
 from __future__ import annotations
@@ -27,6 +26,7 @@ from blotter.session import ensure_checkpoint_dir, open_session, shared_dir
 from blotter.sources import ingest as I
 from blotter.sources import schema as S
 from blotter.sources.incidents import incidents
+from blotter.sources.synth import synthetic_incidents
 
 
 def parse_args(argv):
@@ -35,11 +35,11 @@ def parse_args(argv):
     src.add_argument("--csv", help="incident CSV (header names of the city export)")
     src.add_argument("--parquet", help="incident Parquet with canonical raw columns")
     src.add_argument("--events", help="events Parquet; incidents are derived from it")
+    src.add_argument("--synthetic", type=int, metavar="N", help="N synthetic incidents instead of a data source")
     p.add_argument("--out", required=True, help="output folder on shared storage")
     p.add_argument("--sample", type=float, default=None, help="fraction to model on (default: all rows)")
     p.add_argument("--sampler", choices=["hash", "bernoulli"], default="hash")
-    p.add_argument("--split", choices=["hash", "bernoulli"], default="hash")
-    p.add_argument("--seed", type=int, default=42)
+    p.add_argument("--seed", type=int, default=42, help="seed of the sample and of the train/test split")
     p.add_argument("--models", default=",".join(MO.RECIPE))
     p.add_argument("--min-rows", type=int, default=100)
     p.add_argument("--master", default=None, help="only for local runs")
@@ -64,6 +64,9 @@ def load(spark: SparkSession, args) -> DataFrame:
         return spark.read.parquet(staged)
     if args.parquet:
         return I.standardise(spark.read.parquet(args.parquet))
+    if args.synthetic is not None:
+        made = synthetic_incidents(spark.range(args.synthetic), "id")
+        return made.withColumn(S.DOMESTIC, F.col(S.DOMESTIC_STR).cast("boolean"))
     return incidents(spark.read.parquet(args.events))
 
 
@@ -102,33 +105,34 @@ def run(spark: SparkSession, args) -> dict:
     rows = S.complete_rows(rows)
     if args.sample:
         if args.sampler == "hash":
-            rows = SM.hash_sample(rows, S.INCIDENT_ID, args.sample)
+            rows = SM.hash_sample(rows, S.INCIDENT_ID, args.sample, salt=f"sample:{args.seed}")
         else:
             rows = SM.bernoulli_sample(rows, args.sample, args.seed)
 
     names = [n for n in args.models.split(",") if n]
-    fmodel, tr, te, sizes = MO.prepare(rows, split=args.split, seed=args.seed)
+    work = MO.prepare(rows, seed=args.seed)
     try:
-        summary["train_rows"] = tr.count()
-        summary["test_rows"] = te.count()
-        summary["test_rows_skipped"] = sizes["test"] - summary["test_rows"]
-        fitted = MO.fit_all(tr, names, MO.FittedSet(features=fmodel))
-        scored = MO.score_all(fitted, te, names)
-        rec = M.metrics_record(scored, by=["model"], with_confusion=True)
+        skipped = {n: work.rows[n] - work.kept[n] for n in work.rows}
+        sizes = [("sample", sum(work.rows.values()), sum(work.kept.values()), sum(skipped.values()))]
+        sizes += [(n, work.rows[n], work.kept[n], skipped[n]) for n in ("train", "test")]
+        _write(spark.createDataFrame(sizes, "part string, n_rows long, kept_rows long, skipped_rows long"), out, "working_set", args.show)
+        summary |= {"train_rows": work.kept["train"], "test_rows": work.kept["test"], "test_rows_skipped": skipped["test"]}
+        fitted = MO.fit_all(work.train, names, MO.FittedSet(features=work.features))
+        scored = MO.score_all(fitted, work.test, names)
         secs = spark.createDataFrame([(n, float(fitted.train_s[n])) for n in names], "model string, train_s double")
-        rec = rec.join(F.broadcast(secs), "model").withColumn(
-            "skipped_rows", F.lit(sizes["test"]) - (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp"))
-        )
-        _write(rec, out, "model_metrics", args.show)
+        metrics = M.metrics_record(scored, by=["model"], with_confusion=True).join(F.broadcast(secs), "model")
+        _write(metrics.withColumn("skipped_rows", F.lit(skipped["test"]).cast("long")), out, "model_metrics", args.show)
+        # every later table reads the few rows just written
+        rec = spark.read.parquet(f"{out.rstrip('/')}/model_metrics")
         _write(M.metrics_pivot(M.metrics_long(rec, metrics=(*M.METRIC_NAMES, "train_s")), names), out, "metrics_table", args.show)
-        best = M.best_by(rec, "auc").select("model", "auc").first()
+        _write(M.best_by(rec, "auc").select("model", "auc"), out, "best_model", args.show)
+        best = spark.read.parquet(f"{out.rstrip('/')}/best_model").first()
         summary["best_model"] = (best["model"], best["auc"])
         summary["train_s"] = dict(fitted.train_s)
         if MO.FOREST in fitted.models:
             _write(R.importance_table(spark, MO.importances(fitted.models[MO.FOREST])), out, "feature_importances", args.show)
     finally:
-        tr.unpersist()
-        te.unpersist()
+        work.release()
     return summary
 
 
