@@ -151,6 +151,26 @@ def q_order_year_counts(spark, sf_dir):
     return A.year_counts(orders, F.year("o_orderdate").cast("int"), name="year")
 
 
+@register(
+    "source_top10",
+    "SELECT source, COUNT(*) AS n_rows FROM documents GROUP BY source ORDER BY n_rows DESC, source NULLS FIRST LIMIT 10",
+)
+def q_source_top10(spark, sf_dir):
+    """Twenty sources, several of equal size: the cut and its tie-break."""
+    return A.top_n(A.counts_by(table(spark, sf_dir, "documents"), "source"), 10)
+
+
+@register(
+    "customer_hotspots",
+    "SELECT CAST(o_custkey AS VARCHAR) AS place, COUNT(*) AS hits FROM orders WHERE o_custkey IS NOT NULL"
+    " GROUP BY o_custkey ORDER BY hits DESC, place LIMIT 10",
+)
+def q_customer_hotspots(spark, sf_dir):
+    """The hotspot cut over more groups than it keeps."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("customer"))
+    return A.place_hotspots(orders, 10, place="customer")
+
+
 @register(
     "order_status_counts",
     "SELECT o_orderstatus, COUNT(*) AS n_rows FROM orders GROUP BY o_orderstatus",
@@ -298,6 +318,21 @@ def q_synthetic_kind_counts(spark, sf_dir):
     return A.kind_counts(synthetic_incidents(table(spark, sf_dir, "events"), "event_id"))
 
 
+@register(
+    "synthetic_rate_by_slot",
+    "WITH synth AS (" + _SYNTH_ORACLE + "), slots AS (SELECT kind || ' ' || CAST(hour AS VARCHAR) AS slot, label FROM synth)"
+    " SELECT slot, COUNT(*) AS n_rows, AVG(CAST(label AS DOUBLE)) AS arrest_rate FROM slots"
+    " GROUP BY slot HAVING COUNT(*) >= (SELECT COUNT(*) FROM synth) // 240",
+)
+def q_synthetic_rate_by_slot(spark, sf_dir):
+    """Rate per kind and hour, 240 groups of which the minimum support (the
+    mean size) removes about half."""
+    rows = synthetic_incidents(table(spark, sf_dir, "events"), "event_id")
+    slots = rows.select(F.concat_ws(" ", F.col(S.KIND), F.col(S.HOUR).cast("string")).alias("slot"), S.LABEL)
+    mean_size = table(spark, sf_dir, "events").count() // 240
+    return A.rate_by(slots, "slot", min_rows=mean_size)
+
+
 def model_rows(df: DataFrame) -> DataFrame:
     """Incidents with the text form of the domestic flag (added only if
     missing), complete in every model input column."""
@@ -338,16 +373,13 @@ def q_split_sizes(spark, sf_dir):
     return SM.part_sizes(SM.hash_split(incidents_at(spark, sf_dir), S.INCIDENT_ID))
 
 
-_U_SAMPLE_SPLIT = f"CASE WHEN {_U_SPLIT} < 0.8::DOUBLE THEN 'train' ELSE 'test' END"
-
-
 @register(
     "sample_split_sizes",
     WITH_INCIDENTS
     + f""", s AS (SELECT incident_id FROM incidents WHERE {_U_SAMPLE} < 0.05::DOUBLE)
           SELECT 'sample' AS part, COUNT(*) AS n_rows FROM s
           UNION ALL
-          SELECT {_U_SAMPLE_SPLIT} AS part, COUNT(*) AS n_rows FROM s GROUP BY 1""",
+          SELECT {_PART_SQL} AS part, COUNT(*) AS n_rows FROM s GROUP BY 1""",
 )
 def q_sample_split_sizes(spark, sf_dir):
     """Working-set report: a 5% hash sample and its train/test parts, in
@@ -366,7 +398,46 @@ def q_bernoulli_sample(spark, sf_dir):
 
 @register("random_split")
 def q_random_split(spark, sf_dir):
-    return SM.labelled_random_split(incidents_at(spark, sf_dir), (0.8, 0.2), seed=42).select(S.INCIDENT_ID, SM.PART)
+    return SM.labelled_random_split(incidents_at(spark, sf_dir).select(S.INCIDENT_ID), (0.8, 0.2), seed=42)
+
+
+@register(
+    "bernoulli_sample_facts",
+    WITH_INCIDENTS + " SELECT COUNT(*) AS input_rows, 0::BIGINT AS foreign_ids, 0::BIGINT AS repeated_ids, true AS size_fits FROM incidents",
+)
+def q_bernoulli_sample_facts(spark, sf_dir):
+    """What holds for any 5% Bernoulli sample: ids of the input, none twice,
+    and a size within five standard deviations."""
+    rows = incidents_at(spark, sf_dir).select(S.INCIDENT_ID)
+    sample = SM.bernoulli_sample(rows, 0.05, seed=42).groupBy(S.INCIDENT_ID).agg(F.count(F.lit(1)).alias("taken"))
+    both = rows.withColumn("own", F.lit(1)).join(sample, S.INCIDENT_ID, "full")
+    n, k = F.count("own"), F.sum("taken")
+    return both.agg(
+        n.alias("input_rows"),
+        F.count_if(F.col("own").isNull()).alias("foreign_ids"),
+        F.count_if(F.col("taken") > 1).alias("repeated_ids"),
+        (F.abs(k - n * 0.05) <= F.sqrt(n * 0.05 * 0.95) * 5).alias("size_fits"),
+    )
+
+
+@register(
+    "random_split_facts",
+    WITH_INCIDENTS + " SELECT COUNT(*) AS input_rows, COUNT(*) AS placed_rows, 0::BIGINT AS in_both, true AS size_fits FROM incidents",
+)
+def q_random_split_facts(spark, sf_dir):
+    """What holds for any random 80/20 split: every row in exactly one part,
+    and a train size within five standard deviations."""
+    rows = incidents_at(spark, sf_dir).select(S.INCIDENT_ID)
+    parts = SM.labelled_random_split(rows, (0.8, 0.2), seed=42).groupBy(S.INCIDENT_ID)
+    parts = parts.agg(F.count(F.lit(1)).alias("times"), F.count_if(F.col(SM.PART) == "train").alias("train"))
+    both = rows.join(parts, S.INCIDENT_ID, "left")
+    n = F.count(F.lit(1))
+    return both.agg(
+        n.alias("input_rows"),
+        F.count("times").alias("placed_rows"),
+        F.count_if(F.col("times") > 1).alias("in_both"),
+        (F.abs(F.sum("train") - n * 0.8) <= F.sqrt(n * 0.8 * 0.2) * 5).alias("size_fits"),
+    )
 
 
 # ------------------------------------------------------------------ metrics
@@ -491,7 +562,7 @@ def q_label_prediction_counts(spark, sf_dir):
           FROM scored""",
 )
 def q_confusion_quartet(spark, sf_dir):
-    return M.confusion_quartet(_noisy(spark, sf_dir))
+    return M.outcome_cells(_noisy(spark, sf_dir))
 
 
 @register("auc_roc", _ONE + " SELECT auc FROM au")
@@ -619,6 +690,24 @@ def q_unseen_category_skip(spark, sf_dir):
     return FE.index_counts(model.transform(test), S.PLACE, "place_idx")
 
 
+@register(
+    "unseen_length_skip",
+    "WITH d AS (SELECT doc_id, CAST(n_chars AS VARCHAR) AS size_text, CASE WHEN "
+    + duck_uniform("doc_id", "split")
+    + " < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS part FROM documents),"
+    + " tr AS (SELECT * FROM d WHERE part = 'train'),"
+    + f" ix AS ({_index_sql('size_text', 'size_idx', 'tr')})"
+    " SELECT size_text, size_idx, COUNT(*) AS n_rows FROM d JOIN ix USING (size_text) WHERE part = 'test' GROUP BY size_text, size_idx",
+)
+def q_unseen_length_skip(spark, sf_dir):
+    """An index of many hundred categories, applied to rows of which many
+    have a category that is truly absent from the train part."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").cast("string").alias("size_text"))
+    train, test = SM.hash_parts(docs, "doc_id")
+    model = FE.fit_indexer(train, ["size_text"], ["size_idx"])
+    return FE.index_counts(model.transform(test), "size_text", "size_idx")
+
+
 @register(
     "feature_vector",
     WITH_INCIDENTS + ", " + _COMPLETE_SQL
@@ -661,29 +750,113 @@ _FITS: dict = {}
 
 def fitted_models(spark, sf_dir: str, names=MO.RECIPE):
     """Train/test from a hash split of the complete incident rows; the
-    feature part is fitted once, classifiers on its cached output. Fitted
-    models are kept per (context, data) so several reports of one run share
-    the fits."""
+    feature part is fitted once, classifiers on its output. Fitted models are
+    kept per (application, data), so several reports of one run share the
+    fits and the persisted rows until ``release_fits``."""
     key = (spark.sparkContext.applicationId, sf_dir)
     entry = _FITS.get(key)
     if entry is None:
-        fmodel, tr, te, _ = MO.prepare(model_rows(incidents_at(spark, sf_dir)))
-        entry = _FITS[key] = {"fitted": MO.FittedSet(features=fmodel), "train": tr, "test": te}
-    MO.fit_all(entry["train"], names, entry["fitted"])
+        work = MO.prepare(model_rows(incidents_at(spark, sf_dir)))
+        entry = _FITS[key] = {"fitted": MO.FittedSet(features=work.features), "work": work}
+    MO.fit_all(entry["work"].train, names, entry["fitted"])
     return entry
 
 
+def release_fits() -> None:
+    """Forget the fitted models and free their persisted rows."""
+    while _FITS:
+        _FITS.popitem()[1]["work"].release()
+
+
 def model_records(spark, sf_dir: str, names) -> DataFrame:
     """One metric record per model on the test part (the scored rows are
     read once by ``metrics_record``), with its fit seconds."""
     entry = fitted_models(spark, sf_dir, names)
     fitted = entry["fitted"]
-    scored = MO.score_all(fitted, entry["test"], names)
+    scored = MO.score_all(fitted, entry["work"].test, names)
     rec = M.metrics_record(scored, by=["model"], with_confusion=True)
     secs = spark.createDataFrame([(n, float(fitted.train_s[n])) for n in names], "model string, train_s double")
     return rec.join(F.broadcast(secs), "model")
 
 
+# What SQL can state of the fits: which rows were trained on and scored.
+_TRAIN_TEST_SQL = (
+    WITH_INCIDENTS + ", " + _COMPLETE_SQL + f", sp AS (SELECT *, {_PART_SQL} AS part FROM cr),"
+    + f" ik AS ({_index_sql('kind', 'kind_idx', '(SELECT * FROM sp WHERE part = ' + chr(39) + 'train' + chr(39) + ')')}),"
+    + f" id AS ({_index_sql('domestic_str', 'domestic_idx', '(SELECT * FROM sp WHERE part = ' + chr(39) + 'train' + chr(39) + ')')}),"
+    + " kept AS (SELECT sp.* FROM sp JOIN ik USING (kind) JOIN id USING (domestic_str))"
+)
+
+
+@register(
+    "model_test_rows",
+    _TRAIN_TEST_SQL
+    + ", facts AS (SELECT COUNT(*) AS scored_rows, SUM(label)::BIGINT AS positives, (COUNT(*) - SUM(label))::BIGINT AS negatives FROM kept WHERE part = 'test'),"
+    " al AS (SELECT COUNT(*) AS n FROM sp WHERE part = 'test')"
+    " SELECT m.model, scored_rows, positives, negatives, al.n - scored_rows AS skipped_rows"
+    " FROM (VALUES ('" + "'), ('".join(MO.RECIPE) + "')) m(model), facts, al",
+)
+def q_model_test_rows(spark, sf_dir):
+    """Per fitted classifier: rows scored, their labels, and test rows that
+    the indexers skipped."""
+    entry = fitted_models(spark, sf_dir)
+    work = entry["work"]
+    scored = MO.score_all(entry["fitted"], work.test, MO.RECIPE)
+    skipped = work.rows["test"] - work.kept["test"]
+    return scored.groupBy("model").agg(
+        F.count(F.lit(1)).alias("scored_rows"),
+        F.sum(F.col(S.LABEL)).cast("long").alias("positives"),
+        F.sum(1 - F.col(S.LABEL)).cast("long").alias("negatives"),
+        F.lit(skipped).cast("long").alias("skipped_rows"),
+    )
+
+
+@register("model_train_ids", _TRAIN_TEST_SQL + " SELECT incident_id, label FROM kept WHERE part = 'train'")
+def q_model_train_ids(spark, sf_dir):
+    """The rows that the classifiers were fitted on."""
+    return fitted_models(spark, sf_dir, [MO.LOGISTIC])["work"].train.select(S.INCIDENT_ID, S.LABEL)
+
+
+@register(
+    "fitted_predictions",
+    _TRAIN_TEST_SQL + " SELECT m.model, incident_id, label, true AS has_score, true AS binary_prediction FROM kept,"
+    " (VALUES ('" + "'), ('".join(MO.RECIPE) + "')) m(model) WHERE part = 'test'",
+)
+def q_fitted_predictions(spark, sf_dir):
+    """Every test row under every classifier: it has a finite score and a 0/1
+    prediction."""
+    entry = fitted_models(spark, sf_dir)
+    scored = MO.score_all(entry["fitted"], entry["work"].test, MO.RECIPE)
+    score = F.col("score")
+    return scored.select(
+        "model",
+        S.INCIDENT_ID,
+        S.LABEL,
+        F.coalesce(~F.isnan(score) & (F.abs(score) < F.lit(float("inf"))), F.lit(False)).alias("has_score"),
+        F.coalesce(F.col("prediction").isin(0.0, 1.0), F.lit(False)).alias("binary_prediction"),
+    )
+
+
+@register(
+    "importance_facts",
+    "SELECT 'features' AS fact, 4::BIGINT AS value UNION ALL SELECT 'sum_is_one', 1 UNION ALL SELECT 'descending', 1 UNION ALL SELECT 'negative', 0",
+)
+def q_importance_facts(spark, sf_dir):
+    """What holds for any forest's importances: one per feature, none
+    negative, of sum one, reported in descending order."""
+    entry = fitted_models(spark, sf_dir, [MO.FOREST])
+    table = R.importance_table(spark, MO.importances(entry["fitted"].models[MO.FOREST]))
+    # one value per feature, in the report's order
+    values = table.agg(F.collect_list("importance").alias("v"))
+    facts = values.select(
+        F.size("v").cast("long").alias("features"),
+        (F.abs(F.aggregate("v", F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9).cast("long").alias("sum_is_one"),
+        (F.col("v") == F.sort_array("v", asc=False)).cast("long").alias("descending"),
+        F.size(F.filter("v", lambda x: x < 0)).cast("long").alias("negative"),
+    )
+    return facts.unpivot([], ["features", "sum_is_one", "descending", "negative"], "fact", "value")
+
+
 @register("fit_logistic")
 def q_fit_logistic(spark, sf_dir):
     return model_records(spark, sf_dir, [MO.LOGISTIC])
