@@ -5,6 +5,8 @@ import os
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from blotter.functions.columns import bool_from_text, hour_of_text
 from blotter.sources import ingest as I
 from blotter.sources import schema as S
@@ -118,3 +120,24 @@ def test_profile_counts(spark):
     df = spark.createDataFrame([(1, None), (2, "x"), (3, "y")], schema)
     got = {r["column_name"]: (r["data_type"], r["nullable"], r["n_rows"], r["non_null"]) for r in I.profile(df).collect()}
     assert got == {"a": ("int", False, 3, 3), "b": ("string", True, 3, 2)}
+
+
+def test_csv_decimal_text_of_integers(spark, tmp_shared):
+    text = (
+        "ID,Date,Primary Type,Arrest,Domestic,District,Year\n"
+        "1,01/02/2024 01:00:00 AM,THEFT,true,false,11.0,2024.0\n"
+        "2,01/02/2024 01:00:00 AM,THEFT,true,false,11.5,x\n"
+    )
+    rows = I.read_incident_csv(spark, _write(tmp_shared, text, "decimal.csv")).orderBy(S.INCIDENT_ID).collect()
+    assert [(r[S.DISTRICT], r[S.YEAR]) for r in rows] == [(11, 2024), (None, None)]
+
+
+def test_csv_files_of_one_folder_must_share_their_header(spark, tmp_shared):
+    import os
+
+    folder = os.path.join(tmp_shared, "mixed")
+    os.makedirs(folder)
+    _write(folder, "ID,Primary Type\n1,THEFT\n", "a.csv")
+    _write(folder, "Primary Type,ID\nROBBERY,2\n", "b.csv")
+    with pytest.raises(Exception, match="(?i)header"):
+        I.read_incident_csv(spark, folder).collect()

@@ -38,7 +38,7 @@ def test_golden_weighted_metrics(spark, model):
     r = M.weighted_metrics(rows).first()
     got = (r["accuracy"], r["f1"], r["weighted_precision"], r["weighted_recall"])
     assert tuple(round(v, 4) for v in got) == expected
-    q = M.confusion_quartet(rows).first()
+    q = M.outcome_cells(rows).first()
     assert (q["tn"], q["fp"], q["fn"], q["tp"]) == quartet
     w = M.weighted_metrics(rows, with_confusion=True).first()
     assert (w["tn"], w["fp"], w["fn"], w["tp"]) == quartet
@@ -102,7 +102,7 @@ def test_nulls_are_not_counted(spark):
         [(0, 0.0, 0.1), (1, 1.0, 0.9), (None, 1.0, 0.8), (1, None, None)],
         "label int, prediction double, score double",
     )
-    q = M.confusion_quartet(df).first()
+    q = M.outcome_cells(df).first()
     assert (q["tn"], q["fp"], q["fn"], q["tp"]) == (1, 0, 0, 1)
     r = M.metrics_record(df).first()
     assert r["accuracy"] == 1.0 and r["auc"] == 1.0
@@ -161,3 +161,27 @@ def test_property_metrics_match_definitions(spark, pairs):
     acc, f1, wp, wr = _brute_weighted([(float(l), p) for l, _, p in rows])
     assert (rec["accuracy"], rec["f1"], rec["weighted_precision"], rec["weighted_recall"]) == pytest.approx((acc, f1, wp, wr), abs=1e-12)
     assert rec["tn"] + rec["fp"] + rec["fn"] + rec["tp"] == len(rows)
+
+
+def test_auc_time_does_not_follow_the_number_of_ranges(spark):
+    """400,000 distinct scores: many ranges cost about what few cost."""
+    import time
+
+    df = spark.range(400_000).selectExpr("cast(id % 3 = 0 as int) label", "(id * 7919 % 400009) / 400009D score").cache()
+    df.count()
+    took, value = {}, {}
+    for buckets in (16, 16, 4096):
+        t = time.time()
+        value[buckets] = M.auc_roc(df, buckets=buckets).first()["auc"]
+        took[buckets] = time.time() - t
+    df.unpersist()
+    assert value[16] == pytest.approx(value[4096], abs=1e-12)
+    assert took[4096] < 5 * took[16] + 5
+
+
+def test_other_labels_and_predictions_leave_every_metric(spark):
+    rows = [(1, 0.9, 1.0), (0, 0.1, 0.0), (2, 0.5, 1.0), (1, 0.8, 3.0), (None, 0.3, 1.0)]
+    df = spark.createDataFrame(rows, "label int, score double, prediction double")
+    got = M.metrics_record(df, with_confusion=True).first()
+    assert (got["tn"], got["fp"], got["fn"], got["tp"]) == (1, 0, 0, 1)
+    assert got["accuracy"] == 1.0 and got["auc"] == 1.0

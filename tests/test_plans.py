@@ -8,6 +8,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from blotter.plans.catalog import ORACLES
 from tests.conftest import SF_SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF")
@@ -17,7 +18,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_no_cross_joins_or_python_udfs(spark, name):
     plan = _plan(E.queries()[name](spark, SF_SMALL))
     found = [op for op in FORBIDDEN if op in plan]
@@ -70,10 +71,35 @@ def test_weighted_metrics_have_no_join(spark):
 _BOUNDED_CHILD = re.compile(r"functions=\[partial_|keys=\[__b#\d+\]")
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_single_partition_exchanges_carry_bounded_rows(spark, name):
     lines = _plan(E.queries()[name](spark, SF_SMALL)).splitlines()
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             child = lines[i + 1] if i + 1 < len(lines) else ""
             assert _BOUNDED_CHILD.search(child), f"{name}: {child.strip()[:120]}"
+
+
+def test_auc_finds_ranges_by_binary_search_and_shares_one_scan(spark):
+    """The bounds are searched in log2(buckets) steps, and after the run the
+    branches share the exchange of the first aggregate."""
+    from blotter.operators import metrics as M
+    from blotter.plans.catalog import incidents_at, scored_rows
+
+    df = M.auc_roc(scored_rows(incidents_at(spark, SF_SMALL)))
+    assert "filter(" not in _plan(df)
+    df.collect()
+    assert "ReusedExchange" in _plan(df)
+
+
+def test_metric_counts_cells_before_expanding_them(spark):
+    from blotter.operators import metrics as M
+    from blotter.plans.catalog import incidents_at, scored_rows
+
+    plan = _plan(M.weighted_metrics(scored_rows(incidents_at(spark, SF_SMALL))))
+    assert plan.index("Generate") < plan.index("partial_count")
+
+
+def test_random_split_reads_only_what_it_returns(spark):
+    plan = _plan(E.queries()["random_split"](spark, SF_SMALL))
+    assert all("user_id" not in x for x in _read_schemas(plan))

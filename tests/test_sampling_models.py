@@ -69,10 +69,54 @@ def test_fit_indexer_equals_string_indexer(spark):
     assert meta["ml_attr"]["type"] == "nominal" and meta["ml_attr"]["vals"] == ["a", "c", "b", "d"]
 
 
-def test_cardinality_guard(spark):
-    df = spark.range(200).select(F.col("id").cast("string").alias("k"))
-    with pytest.raises(ValueError):
-        FE.fit_indexer(df, ["k"], ["k_idx"], max_categories=64)
+def test_multi_column_indexer_keeps_each_columns_own_labels(spark):
+    """Label lists of unequal length: labels and metadata equal MLlib's own
+    fit, and the transformed rows can be stored."""
+    rows = [("a", "true"), ("b", "false"), ("c", "false"), ("d", "false"), ("a", "true")]
+    df = spark.createDataFrame(rows, "k string, d string")
+    ours = FE.fit_indexer(df, ["k", "d"], ["k_idx", "d_idx"])
+    theirs = FE.category_indexer(["k", "d"], ["k_idx", "d_idx"]).fit(df)
+    assert ours.labelsArray == theirs.labelsArray == [["a", "b", "c", "d"], ["false", "true"]]
+    for c in ("k_idx", "d_idx"):
+        assert ours.transform(df).schema[c].metadata == theirs.transform(df).schema[c].metadata
+    vectors = FE.feature_assembler(["k_idx", "d_idx"], "v").transform(ours.transform(df))
+    assert FE.category_sizes(vectors, "v") == {"k_idx": 4, "d_idx": 2}
+
+
+def _many_kinds(spark, n):
+    made = spark.range(4 * n).selectExpr("id", f"concat('k', cast(id % {n} as string)) kind", "cast(id % 24 as int) hour", "cast(id % 7 as int) district")
+    return made.selectExpr("id incident_id", "cast(id % 2 as int) label", "hour", "district", "kind", "cast(id % 3 = 0 as string) domestic_str")
+
+
+def test_eighty_kinds_fit_a_linear_model_and_are_reported_by_a_tree(spark):
+    work = MO.prepare(_many_kinds(spark, 80))
+    try:
+        assert len(work.features.stages[0].labelsArray[0]) == 80
+        assert MO.LOGISTIC in MO.fit_all(work.train, [MO.LOGISTIC]).models
+        with pytest.raises(ValueError, match="maxBins=64.*kind_idx.*80"):
+            MO.fit_all(work.train, [MO.FOREST])
+    finally:
+        work.release()
+
+
+def test_prepare_splits_the_same_for_any_partitioning(spark):
+    rows = model_rows(incidents_at(spark, SF_SMALL))
+    seen = []
+    for n in (1, 4, 7):
+        work = MO.prepare(rows.repartition(n), partitions=n, seed=7)
+        seen.append(sorted(r[0] for r in work.train.select(S.INCIDENT_ID).collect()))
+        work.release()
+    assert seen[0] == seen[1] == seen[2]
+    other = MO.prepare(rows, seed=8)
+    assert sorted(r[0] for r in other.train.select(S.INCIDENT_ID).collect()) != seen[0]
+    other.release()
+
+
+def test_rows_without_ids_are_sampled_and_split_by_their_values(spark):
+    df = spark.range(2000).selectExpr("cast(null as bigint) incident_id", "cast(id as string) place")
+    assert SM.hash_sample(df, "incident_id", 1.0).count() == 2000
+    sizes = {r["part"]: r["n_rows"] for r in SM.part_sizes(SM.hash_split(df, "incident_id")).collect()}
+    assert sum(sizes.values()) == 2000 and abs(sizes["train"] / 2000 - 0.8) < 0.05
 
 
 def test_text_bar_rounding(spark):
@@ -93,12 +137,12 @@ def test_reconcile_counts_missing_keys_and_null(spark):
 def small_fits(spark):
     rows = model_rows(incidents_at(spark, SF_SMALL))
     _, test = SM.hash_parts(rows, S.INCIDENT_ID)
-    fmodel, tr, te, sizes = MO.prepare(rows)
-    assert sizes["test"] == test.count() and sizes["train"] + sizes["test"] == rows.count()
-    fitted = MO.fit_all(tr, [MO.LOGISTIC, MO.FOREST], MO.FittedSet(features=fmodel))
-    yield fitted, tr, te, test
-    tr.unpersist()
-    te.unpersist()
+    work = MO.prepare(rows)
+    assert work.rows["test"] == test.count() and sum(work.rows.values()) == rows.count()
+    assert work.kept["test"] == work.test.count() and work.kept["train"] == work.train.count()
+    fitted = MO.fit_all(work.train, [MO.LOGISTIC, MO.FOREST], MO.FittedSet(features=work.features))
+    yield fitted, work.train, work.test, test
+    work.release()
 
 
 def test_confusion_total_is_scored_rows(spark, small_fits):
@@ -106,7 +150,7 @@ def test_confusion_total_is_scored_rows(spark, small_fits):
 
     fitted, tr, te, test = small_fits
     scored = MO.score_all(fitted, te, [MO.LOGISTIC, MO.FOREST])
-    q = {r["model"]: r["tn"] + r["fp"] + r["fn"] + r["tp"] for r in M.confusion_quartet(scored, by=["model"]).collect()}
+    q = {r["model"]: r["tn"] + r["fp"] + r["fn"] + r["tp"] for r in M.outcome_cells(scored, by=["model"]).collect()}
     assert q[MO.LOGISTIC] == q[MO.FOREST] == te.count() <= test.count()
 
 
@@ -136,15 +180,15 @@ def test_job_end_to_end(spark, tmp_shared):
     summary = run(spark, args)
     assert summary["train_rows"] > summary["test_rows"] > 0
     for name in ("profile", "kind_counts", "place_hotspots", "year_counts", "overall_rate", "arrest_rate_by_kind",
-                 "model_metrics", "metrics_table", "feature_importances"):
+                 "working_set", "model_metrics", "metrics_table", "best_model", "feature_importances"):
         assert spark.read.parquet(os.path.join(out, name)).count() > 0, name
     rec = spark.read.parquet(os.path.join(out, "model_metrics")).collect()
     assert all(r["skipped_rows"] >= 0 for r in rec)
 
 
-def test_job_from_csv_with_bernoulli_split(spark, tmp_shared):
+def test_job_from_csv_with_bernoulli_sample(spark, tmp_shared):
     """The job's CSV entry point: raw rows written with the source header
-    names, read back, sampled and split with the seeded samplers."""
+    names, read back, sampled with the seeded sampler and split by the seed."""
     from blotter.plans.job import parse_args, run
     from blotter.sources.incidents import raw_incidents
     from blotter.sources.ingest import write_incident_csv
@@ -154,7 +198,7 @@ def test_job_from_csv_with_bernoulli_split(spark, tmp_shared):
     out = os.path.join(tmp_shared, "report_csv")
     args = parse_args([
         "--csv", csv, "--out", out, "--models", "LogisticRegression",
-        "--sample", "0.5", "--sampler", "bernoulli", "--split", "bernoulli",
+        "--sample", "0.5", "--sampler", "bernoulli", "--seed", "3",
     ])
     summary = run(spark, args)
     assert 0 < summary["test_rows"] < summary["train_rows"] < 10000
@@ -177,3 +221,29 @@ def test_job_parses_csv_once_into_parquet(spark, tmp_shared):
     assert "FileScan parquet" in plan and "FileScan csv" not in plan
     assert "ReadSchema: struct<kind:string>" in plan
     assert base.count() == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+
+
+def test_job_without_ids_trains(spark, tmp_shared):
+    from blotter.plans.job import parse_args, run
+    from blotter.sources.incidents import raw_incidents
+    from blotter.sources.ingest import write_incident_csv
+
+    csv = os.path.join(tmp_shared, "no_ids_csv")
+    write_incident_csv(raw_incidents(spark.read.parquet(f"{SF_SMALL}/events.parquet")).drop(S.INCIDENT_ID), csv)
+    args = parse_args(["--csv", csv, "--out", os.path.join(tmp_shared, "no_ids"), "--models", "LogisticRegression", "--sample", "0.9"])
+    summary = run(spark, args)
+    assert summary["train_rows"] > summary["test_rows"] > 0
+
+
+def test_entry_script_runs_from_another_folder(tmp_path):
+    """The documented submit line, on synthetic rows, started elsewhere."""
+    import subprocess
+    import sys
+
+    script = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "blotter_job.py")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    line = [sys.executable, script, "--synthetic", "2000", "--out", str(tmp_path / "out"), "--models", "LogisticRegression", "--master", "local[2]"]
+    done = subprocess.run(line, cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "best_model" in done.stdout
+    assert (tmp_path / "out" / "best_model").exists()
