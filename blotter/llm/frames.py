@@ -18,7 +18,7 @@ def stored(df: DataFrame, purpose: str, partition_by: str | None = None) -> Data
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
+    writer.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -114,27 +114,28 @@ def export_warc(store: DataFrame, headers: DataFrame) -> str:
 def parse_records(content: bytes, step: int = 1 << 20) -> Iterator[tuple[dict[str, str], bytes]]:
     """(header fields, block) of each record of one gzip WARC file; holds one
     record and a step of input at a time."""
-    inflate, buffer, at, done = zlib.decompressobj(31), b"", 0, False
+    inflate, at, done = zlib.decompressobj(31), 0, False
+    buffer, begin = b"", 0  # records before ``begin`` are done with
 
     def more() -> None:
-        nonlocal buffer, at, done
+        nonlocal buffer, begin, at, done
         piece = content[at : at + step]
         at += step
-        buffer += inflate.decompress(piece) if piece else inflate.flush()
-        done = not piece
+        buffer = buffer[begin:] + (inflate.decompress(piece) if piece else inflate.flush())
+        begin, done = 0, not piece
 
     while True:
-        while b"\r\n\r\n" not in buffer and not done:
+        while (blank := buffer.find(b"\r\n\r\n", begin)) < 0 and not done:
             more()
-        if not buffer:
+        if blank < 0:
             return
-        head, _, _ = buffer.partition(b"\r\n\r\n")
-        fields = dict(re.findall(r"^([\w-]+): ?(.*?)\r?$", head.decode("utf-8"), re.M))
-        first, size = len(head) + 4, int(fields["Content-Length"])
-        while len(buffer) < first + size + 4 and not done:
+        fields = dict(re.findall(r"^([\w-]+): ?(.*?)\r?$", buffer[begin:blank].decode("utf-8"), re.M))
+        head, size = blank + 4 - begin, int(fields["Content-Length"])
+        while len(buffer) < begin + head + size + 4 and not done:
             more()
+        first = begin + head
         yield fields, buffer[first : first + size]
-        buffer = buffer[first + size + 4 :]
+        begin = first + size + 4
 
 
 _READ = "page_id long, record_type string, refers_to long, header_digest string, n_bytes long, sha1 string"
