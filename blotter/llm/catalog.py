@@ -14,7 +14,7 @@ from blotter.llm.mixing import mix_sources
 from blotter.llm.ngram_join import ngram_components
 from blotter.llm.pu_quality import pu_quality
 from blotter.llm.quality_rules import quality_rules
-from blotter.llm.secrets import scan_secrets
+from blotter.llm.secret_scan import scan_secrets
 from blotter.llm.substring_dedup import repeated_paragraphs
 from blotter.llm.warc import archive_pages
 
