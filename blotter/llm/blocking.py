@@ -5,14 +5,17 @@ A bucket is a key that several sets share (a prefix n-gram, a band of a
 signature). Pairs that may be linked share a bucket, but a bucket of a large
 group of copies must not be expanded into all of its pairs. As only the
 components of the links matter, it is enough to test every member of a bucket
-against one hub; members that link to it need no test among themselves. Those
-that don't (strays) are tested against the rest of their bucket afterwards:
-by further hubs taken from the strays while many pairs remain, then in full.
-No pair of different components is left untested, so no link is lost.
+against two hubs; members in the component that most of a bucket belongs to
+need no test among themselves. The others (strays) are tested afterwards
+against every member of each other component that they share a bucket with: a
+drawn share of them while a bucket has many, as their links may join the
+others, then all. No pair of sets that share a bucket and are in different
+components is left untested, so no link is lost.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -21,87 +24,118 @@ from pyspark.sql import functions as F
 from blotter.llm.frames import stored
 
 #: Buckets up to this many rows are expanded into their pairs at once.
-SMALL_BUCKET = 12
+SMALL_BUCKET = 4
+#: Strays of a bucket that one round tests: all while strays times components
+#: are no more than BUCKET_TESTS, else a drawn share, at least about FEW_STRAYS.
+FEW_STRAYS, BUCKET_TESTS = 4, 2048
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
-    """(key, c, n, hub, hub_n, size) of the rows of ``rows`` (key, c, n) whose
-    key two or more different sets share; hub is the bucket's smallest c."""
+    """(key, c, n[, sig], size, hub..., hub2...) of the rows of ``rows`` (key,
+    c, n[, sig]) whose key two or more different sets share. Hubs are the
+    bucket's smallest c, as good as a random member, and its smallest set,
+    which is the likeliest to be contained in the others. ``sig`` is an
+    optional 32-bit parity bitmap of the set (bit i: the parity of the members
+    that fall on i)."""
     dealt = rows.repartition("key")
-    buckets = dealt.groupBy("key").agg(F.min(F.struct("c", "n")).alias("hub"), F.max("c").alias("top"), F.count("*").alias("size"))
-    buckets = buckets.where("hub.c <> top").select("key", F.col("hub.c").alias("hub"), F.col("hub.n").alias("hub_n"), "size")
-    return stored(dealt.join(buckets, "key"), "buckets")
+    about = [x for x in ("c", "n", "sig") if x in rows.columns]
+    buckets = dealt.groupBy("key").agg(
+        F.min(F.struct(*about)).alias("hub"), F.min(F.struct("n", *[x for x in about if x != "n"])).alias("hub2"), F.max("c").alias("top"), F.count("*").alias("size")
+    )
+    named = [F.col(f"{h}.{x}").alias(h if x == "c" else f"{h}_{x}") for h in ("hub", "hub2") for x in about]
+    return stored(dealt.join(buckets.where("hub.c <> top").select("key", "size", *named), "key"), "buckets")
+
+
+def _ordered(pairs: DataFrame, threshold: float) -> DataFrame:
+    """Distinct (a, b), a < b, of (x, nx, y, ny[, sx, sy]) whose sizes, and
+    bitmaps if there are, allow a Jaccard similarity of ``threshold``: the
+    symmetric difference is at least the number of bits that differ."""
+    fits = (F.least("nx", "ny") >= F.greatest("nx", "ny") * threshold - 1e-9) & (F.col("x") != F.col("y"))
+    if "sx" in pairs.columns:
+        most = (F.col("nx") + F.col("ny")) * ((1 - threshold) / (1 + threshold)) + 1e-9
+        fits = fits & (F.bit_count(F.col("sx").bitwiseXOR(F.col("sy"))) <= most)
+    return pairs.where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _ordered(pairs: DataFrame, similar_size: float) -> DataFrame:
-    """Distinct (a, b), a < b, of (x, nx, y, ny) whose sizes allow a link."""
-    fits = (F.least("nx", "ny") >= F.greatest("nx", "ny") * similar_size - 1e-9) & (F.col("x") != F.col("y"))
-    return pairs.where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def _side(rows: DataFrame, side: str, prefix: str = "", own: str = "c") -> list:
+    """c, n (and sig) of ``rows`` as x, nx (sx) or y, ny (sy)."""
+    out = [F.col(own).alias(side), F.col(f"{prefix}n").alias(f"n{side}")]
+    return out + ([F.col(f"{prefix}sig").alias(f"s{side}")] if f"{prefix}sig" in rows.columns else [])
 
 
-def first_pairs(active: DataFrame, similar_size: float) -> DataFrame:
-    """Every row against its bucket's hub, and all pairs of small buckets."""
-    to_hub = active.select(F.col("c").alias("x"), F.col("n").alias("nx"), F.col("hub").alias("y"), F.col("hub_n").alias("ny"))
-    small = active.where((F.col("size") > 2) & (F.col("size") <= SMALL_BUCKET)).where("c <> hub").select("key", "c", "n")
-    left, right = small.toDF("key", "x", "nx"), small.toDF("key", "y", "ny")
-    within = left.join(right, "key").where("x < y").select("x", "nx", "y", "ny")
-    return _ordered(to_hub.unionByName(within), similar_size)
+def first_pairs(active: DataFrame, threshold: float) -> DataFrame:
+    """Every row against its bucket's hubs, and all pairs of small buckets."""
+    to_hub = active.select(*_side(active, "x"), *_side(active, "y", "hub_", "hub"))
+    to_hub = to_hub.unionByName(active.where("hub <> hub2").select(*_side(active, "x"), *_side(active, "y", "hub2_", "hub2")))
+    small = active.where((F.col("size") > 2) & (F.col("size") <= SMALL_BUCKET)).where("c <> hub and c <> hub2")
+    within = small.select("key", *_side(small, "x")).join(small.select("key", *_side(small, "y")), "key").where("x < y").drop("key")
+    return _ordered(to_hub.unionByName(within), threshold)
 
 
 def linked_components(
-    active: DataFrame, similar_size: float, verify: Callable[[DataFrame], DataFrame], most_pairs_per_row: float = 4.0
+    active: DataFrame, threshold: float, verify: Callable[[DataFrame], DataFrame]
 ) -> tuple[DataFrame, DataFrame]:
     """(links (a, b), components (c, root)) of the sets in ``active``.
     ``verify`` keeps the linked ones of the pairs (a, b) it is given."""
-    links = stored(verify(stored(first_pairs(active, similar_size), "pairs")), "links")
+    links = stored(verify(stored(first_pairs(active, threshold), "pairs")), "links")
     roots = components(links)
-    rest = active.where(F.col("size") > SMALL_BUCKET)
-    done = rest.select("key", F.col("hub").alias("c")).distinct()
-    while True:
-        known = rest.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c")).drop("hub", "hub_n", "size")
-        hub_root = rest.select("key", "hub").distinct().join(roots.withColumnRenamed("c", "hub"), "hub", "left")
-        hub_root = hub_root.select("key", F.coalesce("root", "hub").alias("hub_root"))
-        state = known.join(done, ["key", "c"], "left_anti").join(hub_root, "key")
-        state = stored(state.withColumn("stray", F.col("root") != F.col("hub_root")), "strays")
-        load = state.groupBy("key").agg(F.count("*").alias("rows"), F.count_if("stray").alias("strays"))
-        total = load.where("strays > 0").agg(F.sum("rows").alias("rows"), F.sum(F.col("rows") * F.col("strays")).alias("pairs")).first()
-        if not total["pairs"]:
+    about = [x for x in ("c", "n", "sig") if x in active.columns]
+    rest = active.where(F.col("size") > SMALL_BUCKET).select("key", *about, F.col("c").isin(F.col("hub"), F.col("hub2")).alias("done"))
+    done = None  # sets that were tested against all they share a bucket with
+    for turn in itertools.count():
+        named = rest.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
+        per_root = named.groupBy("key", "root").agg(F.count("*").alias("k"))
+        main = per_root.groupBy("key").agg(F.max_by("root", "k").alias("main"), F.count("*").alias("roots")).where("roots > 1")
+        state = named.join(main, "key")
+        if done is not None:
+            state = state.join(done.withColumn("tested", F.lit(True)), "c", "left").withColumn("done", F.col("done") | F.col("tested").isNotNull()).drop("tested")
+        state = stored(state.withColumn("stray", (F.col("root") != F.col("main")) & ~F.col("done")), "strays")
+        load = state.where("stray").groupBy("key").agg(F.count("*").alias("strays"), F.min("c").alias("least"))
+        # as many strays of a bucket as keep its tests linear in its size
+        share = F.greatest(F.lit(FEW_STRAYS), F.lit(BUCKET_TESTS) / F.col("roots")) / F.col("strays")
+        drawn = F.pmod(F.xxhash64(F.lit(turn), "c"), F.lit(1 << 20)) < share * (1 << 20)
+        open_strays = state.where("stray").join(load, "key").withColumn("drawn", drawn | (F.col("c") == F.col("least")))
+        chosen = stored(open_strays.groupBy("c").agg(F.max("drawn").alias("drawn")), "strays-drawn")
+        count = chosen.agg(F.count("*").alias("all"), F.count_if("drawn").alias("drawn")).first()
+        if not count["all"]:
             return links, roots
-        open_rows = state.join(load.where("strays > 0").select("key"), "key", "left_semi")
-        last = total["pairs"] <= most_pairs_per_row * max(total["rows"], 100_000)
-        strays = open_rows.where("stray")
-        if not last:  # one more hub per bucket, from its strays
-            strays = strays.groupBy("key").agg(F.min(F.struct("c", "n", "root")).alias("s")).select("key", "s.*")
-            done = stored(done.unionByName(strays.select("key", "c")), "done")
-        left = strays.select("key", F.col("c").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-        right = open_rows.select("key", F.col("c").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
-        more = stored(_ordered(left.join(right, "key").where("rx <> ry"), similar_size), "pairs")
-        found = verify(more)
-        links = stored(links.unionByName(found).distinct(), "links")
-        roots = components(links)
-        if last:
+        first = chosen.where("drawn").select("c")
+        # which components each of them meets: one row per bucket and component
+        met = state.where("not done").select("key", F.col("root").alias("ry")).distinct()
+        drawn_rows = state.where("stray").join(first, "c")
+        drawn_rows = drawn_rows.select("key", *_side(drawn_rows, "x"), F.col("root").alias("rx"))
+        met = drawn_rows.join(met, "key").where("rx <> ry").drop("key", "rx").distinct()
+        members = state.where("not done").select("root", *about).distinct()
+        against = members.select(*_side(members, "y"), F.col("root").alias("ry"))
+        more = stored(_ordered(met.join(against, "ry"), threshold), "pairs")
+        if not more.isEmpty():
+            found = stored(verify(more), "links")
+            links = links.unionByName(found)
+            roots = components(found.unionByName(roots.where("c <> root").toDF("a", "b")))
+        if count["drawn"] == count["all"]:
             return links, roots
+        done = first if done is None else stored(done.unionByName(first), "done")
 
 
 def components(links: DataFrame) -> DataFrame:
     """(c, root): the smallest member reachable, for every member of a link.
     Alternating large-star and small-star steps until nothing changes; every
     step is an aggregate and an equi-join, stored in the shared folder."""
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    mark = None
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # large star: neighbours above u move to u's smallest neighbour
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         # small star: u and its smaller neighbours move to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(low, "u")
         small = moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         edges = stored(small, "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark:
+        # stars are done: each member has one edge up, and no centre has any
+        ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("up")), F.struct(F.col("v").alias("x"), F.lit(0).alias("up")))).alias("e"))
+        ups = ends.groupBy("e.x").agg(F.sum("e.up").alias("ups"), F.min("e.up").alias("centre"))
+        if ups.where((F.col("ups") > 1) | ((F.col("ups") > 0) & (F.col("centre") == 0))).isEmpty():
             break
-        mark = now
     roots = edges.select(F.col("u").alias("c"), F.col("v").alias("root"))
     return stored(roots.unionByName(roots.select(F.col("root").alias("c"), "root").distinct()), "roots")

@@ -1,11 +1,11 @@
 """Exact Jaccard self-join of documents' 5-word shingle sets by vertical
 partitioning.
 
-The global order of n-grams puts frequent ones last and sorts the rest by
-hash. Frequent means: the n-gram's cell in a counter table of fixed size,
-filled from every document, is far above the mean. Any order that all
-documents share is valid; this one keeps passages that many documents hold out
-of the prefixes.
+The global order of n-grams goes from rare to frequent. An n-gram's rank is
+how many standard deviations its cell stands above the mean in a counter table
+of fixed size, filled from every document; n-grams of equal rank follow by
+hash. Any order that all documents share is valid; this one keeps passages
+that many documents hold out of the prefixes.
 
 1. One pass over all texts gives each set's size, fingerprint and parity
    bitmap, and the counters. Equal sets become one class.
@@ -47,8 +47,10 @@ from blotter.llm.textbatch import mix, split_words, text_slices
 
 WORDS = 5
 THRESHOLD = Fraction(80, 100)
-CELLS = 1 << 20
-PIECE = 1 << 14
+CELLS = 1 << 22
+PIECE = 1 << 16
+RANKS = 32
+CELL_SHIFT = np.uint64(42)
 FRAGMENTS = 8
 
 
@@ -101,7 +103,8 @@ def least_difference(a: bytes, b: bytes) -> int:
 
 def _measure(docs: DataFrame) -> DataFrame:
     """Rows of kind 0, a document's (doc_id, n, c, bitmap), and of kind 1, a
-    task's counters in pieces (n is the piece, bitmap its int32 counts)."""
+    task's counters in pieces (n is the piece, bitmap its compressed int32
+    counts)."""
     names = ["kind", "doc_id", "n", "c", "bitmap"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -115,31 +118,31 @@ def _measure(docs: DataFrame) -> DataFrame:
                 held.append(s)
                 pending += len(s)
                 if pending > 1 << 20:
-                    cells += np.bincount((np.concatenate(held) >> np.uint64(44)).astype(np.int64), minlength=CELLS)
+                    cells += np.bincount((np.concatenate(held) >> CELL_SHIFT).astype(np.int64), minlength=CELLS)
                     held, pending = [], 0
             if held:
-                cells += np.bincount((np.concatenate(held) >> np.uint64(44)).astype(np.int64), minlength=CELLS)
+                cells += np.bincount((np.concatenate(held) >> CELL_SHIFT).astype(np.int64), minlength=CELLS)
             kind = pa.array(np.zeros(batch.num_rows, np.int32))
             yield pa.RecordBatch.from_arrays([kind, batch.column(0), pa.array(n, pa.int64()), pa.array(c, pa.int64()), pa.array(bits, pa.binary())], names=names)
         if cells.any():
             pieces = CELLS // PIECE
-            data = [cells[i * PIECE : (i + 1) * PIECE].astype(np.int32).tobytes() for i in range(pieces)]
+            data = [pa.compress(cells[i * PIECE : (i + 1) * PIECE].astype(np.int32).tobytes(), "zstd", asbytes=True) for i in range(pieces)]
             arrays = [pa.array(np.ones(pieces, np.int32)), pa.nulls(pieces, pa.int64()), pa.array(range(pieces), pa.int64()), pa.nulls(pieces, pa.int64()), pa.array(data, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return doc_texts(docs).mapInArrow(run, "kind int, doc_id long, n long, c long, bitmap binary")
 
 
-def frequent_cells(measured: DataFrame) -> np.ndarray:
-    """Flags of the counter cells far above the mean. Counters are added up
-    piece by piece as they stream by; the driver gets two numbers and one
-    flag per cell."""
+def cell_ranks(measured: DataFrame) -> np.ndarray:
+    """The rank of every counter cell, 0 for up to one standard deviation
+    above the mean. Counters are added up piece by piece as they stream by;
+    the driver gets two numbers and one byte per cell."""
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for piece, data in zip(batch.column("n").to_pylist(), batch.column("bitmap"), strict=True):
-                counts = np.frombuffer(data.as_buffer(), np.int32).astype(np.int64)
+                counts = np.frombuffer(pa.decompress(data.as_buffer(), 4 * PIECE, "zstd"), np.int32).astype(np.int64)
                 sums[piece] = sums[piece] + counts if piece in sums else counts
         if sums:
             order = sorted(sums)
@@ -149,33 +152,29 @@ def frequent_cells(measured: DataFrame) -> np.ndarray:
     dealt = measured.where("kind = 1").select("n", "bitmap").repartition("n")
     summed = stored(dealt.mapInArrow(add, "piece long, total long, counts binary"), "ngram-cells")
     mean = (summed.agg(F.sum("total")).first()[0] or 0) / CELLS
-    limit = mean + max(64.0, 8 * math.sqrt(mean))
+    step = max(1.0, math.sqrt(mean))
 
     @F.pandas_udf("binary")
-    def flags(counts: pd.Series) -> pd.Series:
-        return pd.Series([np.packbits(np.frombuffer(x, np.int64) > limit).tobytes() for x in counts])
+    def ranks(counts: pd.Series) -> pd.Series:
+        return pd.Series([np.clip((np.frombuffer(x, np.int64) - mean) // step, 0, RANKS - 1).astype(np.uint8).tobytes() for x in counts])
 
-    out = np.zeros(CELLS, bool)
-    for r in summed.select("piece", flags("counts").alias("flags")).collect():
-        out[r["piece"] * PIECE : (r["piece"] + 1) * PIECE] = np.unpackbits(np.frombuffer(r["flags"], np.uint8))
+    out = np.zeros(CELLS, np.uint8)
+    for r in summed.select("piece", ranks("counts").alias("ranks")).collect():
+        out[r["piece"] * PIECE : (r["piece"] + 1) * PIECE] = np.frombuffer(r["ranks"], np.uint8)
     return out
 
 
-def _in_order(s: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, int]:
-    """A sorted set in the global order, and how many of it are not frequent."""
-    flag = frequent[(s >> np.uint64(44)).astype(np.int64)]
-    if not flag.any():
-        return s, len(s)
-    rare = s[~flag]
-    return np.concatenate([rare, s[flag]]), len(rare)
+def _in_order(s: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A sorted set in the global order, and the ranks of its members there."""
+    rank = ranks[(s >> CELL_SHIFT).astype(np.int64)]
+    order = np.argsort(rank, kind="stable")
+    return s[order], rank[order]
 
 
-def prefix_rows(docs: DataFrame, frequent: np.ndarray, threshold: Fraction) -> DataFrame:
+def prefix_rows(docs: DataFrame, ranks: np.ndarray, threshold: Fraction) -> DataFrame:
     """(key, c, n): the prefix of each class, once per task."""
-    packed = np.packbits(frequent).tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        flags = np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
         seen: set[int] = set()
         for batch in batches:
             keys, cs, ns = [], [], []
@@ -187,7 +186,7 @@ def prefix_rows(docs: DataFrame, frequent: np.ndarray, threshold: Fraction) -> D
                 seen.add(c)
                 n = len(s)
                 length = n - -(-threshold.numerator * n // threshold.denominator) + 1
-                keys.append(_in_order(s, flags)[0][:length])
+                keys.append(_in_order(s, ranks)[0][:length])
                 cs.append(c)
                 ns.append(n)
                 rows += length
@@ -207,15 +206,15 @@ def prefix_rows(docs: DataFrame, frequent: np.ndarray, threshold: Fraction) -> D
     return doc_texts(docs).mapInArrow(run, "key long, c long, n int")
 
 
-def fragment_rows(docs: DataFrame, wanted: np.ndarray, frequent: np.ndarray) -> DataFrame:
+def fragment_rows(docs: DataFrame, wanted: np.ndarray, ranks: np.ndarray) -> DataFrame:
     """(c, fragment, grams): the sets of the documents whose ids pass the
     Bloom filter ``wanted``, cut at fixed places of the global order."""
-    packed, bits = np.packbits(frequent).tobytes(), len(wanted) * 8
+    bits = len(wanted) * 8
+    # rank 0 is cut by hash into all fragments but the last, which has the rest
     rare_parts = FRAGMENTS - 1
     cuts = np.array([(i << 64) // rare_parts for i in range(1, rare_parts)], np.uint64)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        flags = np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
         for batch in batches:
             ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             some = _possible(mix(ids), wanted, bits)
@@ -223,7 +222,8 @@ def fragment_rows(docs: DataFrame, wanted: np.ndarray, frequent: np.ndarray) ->
             cs, parts, grams, rows = [], [], [], 0
             for _, s in shingle_sets(texts):
                 c = fingerprint(s)
-                ordered, rare = _in_order(s, flags)
+                ordered, rank = _in_order(s, ranks)
+                rare = int(np.searchsorted(rank, 1))
                 ends = [0, *np.searchsorted(ordered[:rare], cuts).tolist(), rare, len(ordered)]
                 for f in range(FRAGMENTS):
                     if ends[f + 1] > ends[f]:
@@ -246,11 +246,11 @@ def fragment_rows(docs: DataFrame, wanted: np.ndarray, frequent: np.ndarray) ->
 def ngram_components(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, component_id) per document."""
     measured = stored(_measure(docs), "ngram-sets", partition_by="kind")
-    frequent = frequent_cells(measured)
+    ranks = cell_ranks(measured)
     members = measured.where("kind = 0").select("doc_id", "n", "c")
     classes = measured.where("kind = 0 and n > 0").groupBy("c").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("bitmap").alias("bitmap"))
     classes = stored(classes, "ngram-classes")
-    active = shared_buckets(prefix_rows(docs, frequent, threshold))
+    active = shared_buckets(prefix_rows(docs, ranks, threshold))
     # |x - y| <= (nx + ny) * (1 - t) / (1 + t) and overlap >= (nx + ny) * t / (1 + t)
     num, den = threshold.numerator, threshold.denominator
 
@@ -264,6 +264,8 @@ def ngram_components(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFr
         sized = pairs.join(left, "a").join(right, "b")
         near = sized.where(bound("bits_a", "bits_b") * (num + den) <= (F.col("na") + F.col("nb")) * (den - num))
         near = stored(near.select("a", "b", "na", "nb", "doc_a", "doc_b"), "ngram-near")
+        if near.isEmpty():
+            return near.select("a", "b")
         ids = near.select(F.explode(F.array("doc_a", "doc_b")).alias("id")).distinct()
 
         @F.pandas_udf("long")
@@ -271,7 +273,7 @@ def ngram_components(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFr
             return pd.Series(mix(ids.fillna(-1).to_numpy(np.int64).view(np.uint64)).view(np.int64))
 
         wanted = bloom_filter(ids.select(spread(F.coalesce("id", F.lit(-1))).alias("hash")))
-        parts = stored(fragment_rows(docs, wanted, frequent), "ngram-fragments").dropDuplicates(["c", "fragment"])
+        parts = stored(fragment_rows(docs, wanted, ranks), "ngram-fragments").dropDuplicates(["c", "fragment"])
         own = near.join(parts.select(F.col("c").alias("a"), "fragment", F.col("grams").alias("grams_a")), "a")
         met = own.join(parts.select(F.col("c").alias("b"), "fragment", F.col("grams").alias("grams_b")), ["b", "fragment"])
         partial = met.select("a", "b", "na", "nb", F.size(F.array_intersect("grams_a", "grams_b")).alias("overlap"))
