@@ -8,6 +8,7 @@ modulo 2**64), computed for a slice of documents at once.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,25 +18,31 @@ BLANKS = b" \t\n\x0b\x0c\r"
 SLICE_BYTES = 1 << 21
 SLICE_ROWS = 20_000
 _M = 0x9E3779B97F4A7C15 | 1
-_STATE: dict = {}
+
+
+def _state() -> dict:
+    """Tables of this process. They hang on ``sys``, which is pickled by name,
+    so they never travel with a job and outlive a worker's single task."""
+    return sys.__dict__.setdefault("_blotter_textbatch", {})
 
 
 def _tables() -> dict:
     """Byte tables, built once per process."""
-    if "blank" not in _STATE:
+    state = _state()
+    if "blank" not in state:
         rng = np.random.default_rng(20240607)
         blank = np.zeros(256, bool)
         blank[list(BLANKS)] = True
         lower = np.arange(256, dtype=np.uint8)
         lower[65:91] += 32
         value = rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        _STATE.update(blank=blank, lower=lower, value=value, low_value=value[lower])
-    return _STATE
+        state.update(blank=blank, lower=lower, value=value, low_value=value[lower])
+    return state
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the multiplier and of its inverse modulo 2**64."""
-    have = _STATE.get("powers")
+    have = _state().get("powers")
     if have is None or len(have[0]) < n:
         size = max(n, SLICE_BYTES + (1 << 17))
         out = []
@@ -43,7 +50,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             p = np.full(size, base, np.uint64)
             p[0] = 1
             out.append(np.multiply.accumulate(p))
-        _STATE["powers"] = have = (out[0], out[1])
+        _state()["powers"] = have = (out[0], out[1])
     return have
 
 
