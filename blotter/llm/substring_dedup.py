@@ -3,9 +3,9 @@
 Copied passages often sit in the middle of a line, so line ends do not bound
 them. A paragraph here is a run of ``PARAGRAPH`` words from an anchor: a word
 where the hash of three words is the smallest within ``REACH`` words on both
-sides, or a text's first word. Anchors depend on the words around them only,
-so the same passage has the same paragraphs wherever it stands, and one of
-over 50 words holds one or more whole paragraphs.
+sides, or a text's first word if none follows closely. Anchors depend on the
+words around them only, so the same passage has the same paragraphs wherever
+it stands, and one of over 50 words holds one or more whole paragraphs.
 
 Paragraphs with equal sets of 5-word shingles are one class. Each class has a
 MinHash signature, cut into bands whose number and width follow from the
@@ -23,9 +23,11 @@ table gives an empty result; long texts are cut whole.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,13 +38,13 @@ from blotter.llm.frames import doc_texts, stored
 from blotter.llm.textbatch import Words, mix, split_words, text_slices
 
 SHINGLE = 5
-PARAGRAPH = 25
-MIN_WORDS = 20
-REACH = 5
+PARAGRAPH = 20
+MIN_WORDS = 16
+REACH = 6
 THRESHOLD = 0.8
 
 
-def tune_bands(threshold: float, recall: float, collide_at: float = 0.25, most: float = 0.3) -> tuple[int, int]:
+def tune_bands(threshold: float, recall: float, collide_at: float = 0.1, most: float = 0.1) -> tuple[int, int]:
     """(bands, rows): the fewest bands that reach ``recall`` at the threshold
     while pairs of similarity ``collide_at`` collide with at most ``most``."""
     options = []
@@ -69,8 +71,14 @@ def anchors(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         apart = doc[k:] != doc[:-k]
         lowest[:-k] &= apart | (value[:-k] <= value[k:])
         lowest[k:] &= apart | (value[k:] < value[:-k])
+    # a text's first word, unless an anchor follows so closely that the two
+    # paragraphs would be near copies of each other
+    near = np.zeros(len(h), bool)
+    for k in range(1, REACH + 1):
+        near[:-k] |= lowest[k:] & (doc[k:] == doc[:-k])
     starts = words.first[:-1]
-    lowest[starts[starts < words.first[1:]]] = True
+    starts = starts[starts < words.first[1:]]
+    lowest[starts] |= ~near[starts]
     at = np.flatnonzero(lowest)
     end = np.minimum(at + PARAGRAPH, words.first[doc[at] + 1])
     keep = end - at >= MIN_WORDS
@@ -119,7 +127,8 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def band_rows(docs: DataFrame, bands: int, rows: int, seed: int) -> DataFrame:
-    """(key, c, n): the bands of each class, once per batch."""
+    """(key, c, n, sig): the bands of each class, once per slice of texts, with
+    the 32-bit parity bitmap of its shingles."""
     salts = np.random.default_rng(seed).integers(1, 2**63, bands * rows, dtype=np.uint64)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -129,15 +138,17 @@ def band_rows(docs: DataFrame, bands: int, rows: int, seed: int) -> DataFrame:
                 c, one = np.unique(c, return_index=True)
                 grams, valid = grams[one], valid[one]
                 n = valid.sum(1).astype(np.int32)
+                bit = np.where(valid, np.uint32(1) << (grams >> np.uint64(59)).astype(np.uint32), np.uint32(0))
+                sig = np.bitwise_xor.reduce(bit, axis=1).view(np.int32)
                 keys = []
                 for b in range(bands):
                     key = np.full(len(c), b + 1, np.uint64)
                     for r in range(rows):
                         key = mix(key) + np.where(valid, mix(grams ^ salts[b * rows + r]), top).min(1)
                     keys.append(mix(key).view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.tile(c, bands)), pa.array(np.tile(n, bands))], names=["key", "c", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.tile(c, bands)), pa.array(np.tile(n, bands)), pa.array(np.tile(sig, bands))], names=["key", "c", "n", "sig"])
 
-    return doc_texts(docs).where("doc_id is not null").mapInArrow(run, "key long, c long, n int")
+    return doc_texts(docs).where("doc_id is not null").mapInArrow(run, "key long, c long, n int, sig int")
 
 
 def class_sets(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
@@ -169,7 +180,7 @@ def _mixed(ids: DataFrame) -> DataFrame:
     return ids.mapInArrow(run, "hash long")
 
 
-def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, recall: float = 0.995, seed: int = 41) -> DataFrame:
+def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, recall: float = 0.99, seed: int = 41) -> DataFrame:
     """(doc_id, first_word, end_word, original_doc_id, original_word, removed)
     of every paragraph in a cluster of two or more places; the original is the
     cluster's first. Texts without repeated paragraphs have no row."""
@@ -178,6 +189,8 @@ def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, recall: f
     active = shared_buckets(band_rows(docs, bands, rows, seed))
 
     def verify(pairs: DataFrame) -> DataFrame:
+        if pairs.isEmpty():
+            return pairs
         members = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
         wanted = bloom_filter(_mixed(members), 1 << 27)
         sets = stored(class_sets(docs, wanted).dropDuplicates(["c"]), "paragraph-sets")
@@ -204,10 +217,6 @@ def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, recall: f
 def remove_paragraphs(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs``, all columns, with the removed paragraphs of ``found`` cut out
     of ``text``; what is left keeps its own blanks."""
-    import re
-
-    import pandas as pd
-
     word = re.compile(r"[^\x20\x09-\x0D]+")
 
     @F.pandas_udf("string")
