@@ -53,8 +53,8 @@ from blotter.llm.textbatch import mix, split_words, text_slices
 FOLDS, HELD_OUT_FOLD = 7, 2
 KEEP = 5  # counts up to this are discounted
 TOP_WORDS = 1 << 19
-BLOCK_TOKENS = 1_500_000
-BUCKET_TOKENS = 4_000_000
+BLOCK_TOKENS = 500_000
+BUCKET_TOKENS = 2_000_000
 MAX_BUCKETS = 16_384
 END, START = 1, 2  # reserved in place of hashes
 RARE = 0xFFFFFFFF
@@ -156,10 +156,13 @@ class Model:
         w = top["w"].to_numpy(np.int64).view(np.uint64)
         order = np.argsort(w)
         self.top_w, self.top_c = w[order], top["c"].to_numpy(np.int64)[order]
-        hot = self.top_c * 4 * self.buckets > self.uni.tokens
-        self.hot = self.top_w[hot]
-        found = np.searchsorted(self.top_w, np.uint64(END))
-        self.end_count = int(self.top_c[found]) if found < len(self.top_w) and self.top_w[found] == END else 0
+        # at most 4 * buckets words can be this frequent
+        hot = unigrams.where((F.col("c") * (4 * self.buckets) > self.uni.tokens) & (F.col("w") != END)).toPandas()
+        hot_w = hot["w"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(hot_w)
+        self.hot, self.hot_c = hot_w[order], hot["c"].to_numpy(np.int64)[order]
+        end = unigrams.where(F.col("w") == END).first()
+        self.end_count = end["c"] if end else 0
 
     def number(self, w: np.ndarray) -> np.ndarray:
         """Numbers of top words, RARE for the others."""
@@ -261,42 +264,49 @@ def _bucket_task(model: Model):
         return made
 
     def run(table: pa.Table) -> pa.Table:
-        rows = table.sort_by("block").to_pylist()
-        if rows[0]["bucket"] < 0:
-            return pa.Table.from_batches(about(rows), _OUT_SCHEMA)
+        bucket = table.column("bucket")[0].as_py()
+        if bucket < 0:
+            return pa.Table.from_batches(about(table.to_pylist()), _OUT_SCHEMA)
         uni = model.uni
-        h, number, rare, n, n_train = [], [], [], [], []
-        for r in rows:
-            fan = np.frombuffer(r["fan"], np.uint32)
-            h.append(np.repeat(np.frombuffer(r["h"], np.uint64), fan))
-            coded = np.frombuffer(r["w"], np.uint32)
-            number.append(coded)
-            word = np.zeros(len(coded), np.uint64)
-            word[coded == RARE] = np.frombuffer(r["rare_w"], np.uint64)
-            word[coded != RARE] = model.top_w[coded[coded != RARE]]
-            rare.append(word)
-            n.append(np.frombuffer(r["n"], np.uint32))
-            n_train.append(np.frombuffer(r["n_train"], np.uint32))
-        sizes = [len(x) for x in n]
-        h, number, w, n, n_train = (np.concatenate(x) for x in (h, number, rare, n, n_train))
+
+        def column(name: str, kind: type) -> list[np.ndarray]:
+            return [np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]
+
+        h = np.concatenate([np.repeat(x, fan) for x, fan in zip(column("h", np.uint64), column("fan", np.uint32), strict=True)])
+        numbers = column("w", np.uint32)
+        sizes = [len(x) for x in numbers]
+        number = np.concatenate(numbers)
+        w = np.empty(len(number), np.uint64)
+        top = number != RARE
+        w[top] = model.top_w[number[top]]
+        w[~top] = np.concatenate(column("rare_w", np.uint64))
         # distinct pairs of the bucket and their training counts
-        hs, hi = np.unique(h, return_inverse=True)
         key = mix(h * np.uint64(0x9FB21C651E98DF25) + w)
-        _, one, pi = np.unique(key, return_index=True, return_inverse=True)
-        c2 = np.bincount(pi, n_train, len(one)).astype(np.int64)
-        ph, pw, pn = hi[one], w[one], number[one]
+        order = np.argsort(key)
+        key = key[order]
+        begins = np.concatenate([[True], key[1:] != key[:-1]])
+        del key
+        one = order[begins]
+        pi = np.empty(len(order), np.int32)
+        pi[order] = np.cumsum(begins, dtype=np.int32) - 1
+        del order, begins
+        pw, pn = w[one], number[one]
+        hs, ph = np.unique(h[one], return_inverse=True)
+        ph = ph.astype(np.int32)
+        del h, w, number, one, top
+        n = np.concatenate(column("n", np.uint32))
+        c2 = np.bincount(pi, np.concatenate(column("n_train", np.uint32)), len(pw)).astype(np.int64)
         seen = c2 > 0
-        level = np.minimum(c2, KEEP + 1)
+        level = np.minimum(c2, KEEP + 1).astype(np.int8)
         split = np.isin(hs, model.hot) | (hs == START)
-        at = np.searchsorted(model.top_w, hs) if len(model.top_w) else np.zeros(len(hs), np.int64)
         ch = np.bincount(ph, c2, len(hs)).astype(np.int64)
         spread = split & (hs != START)
-        ch[spread] = model.top_c[at[spread]]
+        ch[spread] = model.hot_c[np.searchsorted(model.hot, hs[spread])]
         ch[hs == START] = model.end_count  # a training text has one start and one end
         fans = np.stack([np.bincount(ph[level == r], minlength=len(hs)) for r in range(1, KEEP + 1)], 1)
         big = np.bincount(ph, np.where(c2 > KEEP, c2, 0), len(hs)).astype(np.int64)
-        p_top = np.zeros(len(one))
         top = pn != RARE
+        p_top = np.zeros(len(pw))
         p_top[top] = uni.p(model.top_c[pn[top]])
         psum = np.bincount(ph, np.where(seen & top, p_top, 0.0), len(hs))
         divide = ch + (split | (fans.sum(1) == 0))
@@ -306,34 +316,35 @@ def _bucket_task(model: Model):
         made.append(_out(HISTORY, len(k), a=hs[k].view(np.int64), b=divide[k], **{f"n{r}": fans[k, r - 1] for r in range(1, KEEP + 1)}, big=big[k], value=psum[k]))
         k = np.flatnonzero(seen & ~top)
         made.append(_out(RARE_PAIR, len(k), a=pw[k].view(np.int64), b=hs[ph[k]].view(np.int64)))
-        by_h = np.lexsort((pw[seen], ph[seen]))
-        data = [hs[ph[seen][by_h]].tobytes(), pw[seen][by_h].tobytes(), c2[seen][by_h].astype(np.uint32).tobytes()]
-        made.append(_out(BIGRAMS, 3, a=np.full(3, rows[0]["bucket"]), i=np.arange(3, dtype=np.int32), data=data))
+        k = np.flatnonzero(seen)
+        k = k[np.lexsort((pn[k], ph[k]))]
+        data = [hs.tobytes(), ph[k].tobytes(), pn[k].tobytes(), pw[k[pn[k] == RARE]].tobytes(), c2[k].astype(np.uint32).tobytes()]
+        made.append(_out(BIGRAMS, len(data), a=np.full(len(data), bucket), i=np.arange(len(data), dtype=np.int32), data=data))
         # what each token of the pair adds to its document, discounts aside
-        with np.errstate(divide="ignore"):
-            add = np.where(seen, np.where(c2 > KEEP, np.log10(np.maximum(c2, 1)), 0.0) - np.log10(np.maximum(divide, 1))[ph], np.where(top, np.log10(np.maximum(p_top, 1e-300)), 0.0))
-        h_base = np.where(hs == START, 0.0, np.log10(ch + 1.0))[ph]
-        h_known = ((ch > 0) & (hs != START))[ph]
+        add = np.where(
+            seen,
+            np.where(c2 > KEEP, np.log10(np.maximum(c2, 1)), 0.0) - np.log10(np.maximum(divide, 1))[ph],
+            np.where(top, np.log10(np.maximum(p_top, 1e-300)), 0.0),
+        )
+        h_base = np.where(hs == START, 0.0, np.log10(ch + 1.0))
+        h_known = (ch > 0) & (hs != START)
+        back_off = known | (split & (ch > 0))
         upto = 0
-        for r, size in zip(rows, sizes, strict=True):
-            mine = pi[upto : upto + size]
-            count = n[upto : upto + size]
+        for block, n_docs, docs, size in zip(table.column("block").to_pylist(), table.column("n_docs").to_pylist(), column("docs", np.uint16), sizes, strict=True):
+            p = np.repeat(pi[upto : upto + size], n[upto : upto + size])
             upto += size
-            docs = np.frombuffer(r["docs"], np.uint16)
-            p = np.repeat(mine, count)
-            parts = [np.bincount(docs, x, r["n_docs"]) for x in (add[p], h_base[p], h_known[p])]
-            parts += [np.bincount(docs[level[p] == q], minlength=r["n_docs"]).astype(float) for q in range(1, KEEP + 1)]
-            some = np.flatnonzero(np.bincount(docs, minlength=r["n_docs"]))
+            parts = [np.bincount(docs, x, n_docs) for x in (add[p], h_base[ph[p]], h_known[ph[p]])]
+            parts += [np.bincount(docs[level[p] == q], minlength=n_docs).astype(float) for q in range(1, KEEP + 1)]
+            some = np.flatnonzero(np.bincount(docs, minlength=n_docs))
             packed = np.stack([x[some] for x in parts])
             data = packed[:2].tobytes() + packed[2:].astype(np.uint32).tobytes() + some.astype(np.uint16).tobytes()
-            made.append(_out(PARTIAL, 1, b=[r["block"]], i=[r["n_docs"]], big=[len(some)], data=[data]))
+            made.append(_out(PARTIAL, 1, b=[block], i=[n_docs], big=[len(some)], data=[data]))
             miss = np.flatnonzero(~seen[p])
             if len(miss):
                 mp, md = p[miss], docs[miss].astype(np.int32)
-                hk = known[ph[mp]] | (split[ph[mp]] & (ch[ph[mp]] > 0))
-                made.append(_out(UNSEEN_HISTORY, int(hk.sum()), a=hs[ph[mp[hk]]].view(np.int64), b=np.full(int(hk.sum()), r["block"]), i=md[hk]))
-                rw = ~top[mp]
-                made.append(_out(UNSEEN_WORD, int(rw.sum()), a=pw[mp[rw]].view(np.int64), b=np.full(int(rw.sum()), r["block"]), i=md[rw]))
+                hk, rw = back_off[ph[mp]], ~top[mp]
+                made.append(_out(UNSEEN_HISTORY, int(hk.sum()), a=hs[ph[mp[hk]]].view(np.int64), b=np.full(int(hk.sum()), block), i=md[hk]))
+                made.append(_out(UNSEEN_WORD, int(rw.sum()), a=pw[mp[rw]].view(np.int64), b=np.full(int(rw.sum()), block), i=md[rw]))
         return pa.Table.from_batches(made, _OUT_SCHEMA)
 
     return run
@@ -372,13 +383,19 @@ class Tables:
 
     def bigrams(self) -> DataFrame:
         """(bucket, h, w, c) of the training pairs."""
-        packed = self.parts.where(F.col("kind") == BIGRAMS).groupBy(F.col("a").alias("bucket")).pivot("i", [0, 1, 2]).agg(F.first("data"))
+        packed = self.parts.where(F.col("kind") == BIGRAMS).groupBy(F.col("a").alias("bucket")).pivot("i", list(range(5))).agg(F.first("data"))
+        top_w = self.model.top_w
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
             for batch in batches:
                 for r in batch.to_pylist():
-                    h, w, c = np.frombuffer(r["0"], np.int64), np.frombuffer(r["1"], np.int64), np.frombuffer(r["2"], np.uint32).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), r["bucket"])), pa.array(h), pa.array(w), pa.array(c)], names=["bucket", "h", "w", "c"])
+                    hs, at, number, rare, c = (np.frombuffer(r[str(k)], t) for k, t in enumerate((np.int64, np.int32, np.uint32, np.uint64, np.uint32)))
+                    w = np.empty(len(number), np.uint64)
+                    w[number != RARE] = top_w[number[number != RARE]]
+                    w[number == RARE] = rare
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(w), r["bucket"])), pa.array(hs[at]), pa.array(w.view(np.int64)), pa.array(c.astype(np.int64))], names=["bucket", "h", "w", "c"]
+                    )
 
         return packed.mapInArrow(run, "bucket long, h long, w long, c long")
 
