@@ -81,14 +81,14 @@ def linked_components(
     roots = components(links)
     about = [x for x in ("c", "n", "sig") if x in active.columns]
     rest = active.where(F.col("size") > SMALL_BUCKET).select("key", *about, F.col("c").isin(F.col("hub"), F.col("hub2")).alias("done"))
-    done = None  # sets that were tested against all they share a bucket with
+    done = None  # (key, c) of the sets that were tested against all the others in that bucket
     for turn in itertools.count():
         named = rest.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
         per_root = named.groupBy("key", "root").agg(F.count("*").alias("k"))
         main = per_root.groupBy("key").agg(F.max_by("root", "k").alias("main"), F.count("*").alias("roots")).where("roots > 1")
         state = named.join(main, "key")
         if done is not None:
-            state = state.join(done.withColumn("tested", F.lit(True)), "c", "left").withColumn("done", F.col("done") | F.col("tested").isNotNull()).drop("tested")
+            state = state.join(done.withColumn("tested", F.lit(True)), ["key", "c"], "left").withColumn("done", F.col("done") | F.col("tested").isNotNull()).drop("tested")
         state = stored(state.withColumn("stray", (F.col("root") != F.col("main")) & ~F.col("done")), "strays")
         load = state.where("stray").groupBy("key").agg(F.count("*").alias("strays"), F.min("c").alias("least"))
         # as many strays of a bucket as keep its tests linear in its size
@@ -114,7 +114,9 @@ def linked_components(
             roots = components(found.unionByName(roots.where("c <> root").toDF("a", "b")))
         if count["drawn"] == count["all"]:
             return links, roots
-        done = first if done is None else stored(done.unionByName(first), "done")
+        # a drawn set stays open in the buckets whose main component it is in
+        tested = state.where("stray").join(first, "c").select("key", "c")
+        done = stored(tested if done is None else done.unionByName(tested), "done")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from blotter.llm.blocking import components
+from blotter.llm.blocking import components, linked_components, shared_buckets
 from blotter.llm.frames import read_table
 from blotter.llm.line_dedup import dedup_lines
 from blotter.llm.ngram_join import keep_one_per_component, least_difference, ngram_components, parity_bitmap, shingle_sets
@@ -46,6 +46,30 @@ def test_components_of_a_long_path_and_of_nothing(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def _linked_by_rounds(spark, buckets, links):
+    rows = spark.createDataFrame([(k, c, 10) for k, cs in buckets.items() for c in cs], "key long, c long, n int")
+    known = spark.createDataFrame([(min(p), max(p)) for p in links], "a long, b long")
+    _, roots = linked_components(shared_buckets(rows), 0.8, lambda pairs: pairs.join(known, ["a", "b"]))
+    return {r["c"]: r["root"] for r in roots.collect()}
+
+
+def test_sets_drawn_in_one_bucket_stay_open_in_their_others(spark):
+    # 100 to 119 are strays of bucket 2, drawn at once, and in the main
+    # component of bucket 1, whose strays 40 to 99 take several rounds
+    family, other, single = [*range(40), *range(100, 120)], list(range(-60, 0)), list(range(40, 100))
+    links = [(0, x) for x in family[1:]] + [(-60, x) for x in other[1:]] + [(100 + x % 20, x) for x in single]
+    got = _linked_by_rounds(spark, {1: family + single, 2: other + family[40:]}, links)
+    assert got == _components(links, {x for p in links for x in p})
+
+
+def test_overlapping_buckets_of_hundreds_of_families_equal_union_find(spark):
+    rng = random.Random(5)
+    buckets = {k: rng.sample(range(420), 220) for k in range(3)}
+    pairs = sorted({(min(p), max(p)) for cs in buckets.values() for p in (rng.sample(cs, 2) for _ in range(90))})
+    got = _linked_by_rounds(spark, buckets, pairs)
+    assert got == _components(pairs, {x for p in pairs for x in p})
+
+
 # ---------------------------------------------------------------- line dedup
 
 
