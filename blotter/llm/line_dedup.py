@@ -70,3 +70,56 @@ def dedup_lines(docs: DataFrame, divisor: int = DIVISOR, min_chars: int = MIN_CH
     if count_as:
         columns.append(F.coalesce(F.size("cut"), F.lit(0)).cast("long").alias(count_as))
     return joined.select(*columns)
+
+
+def _line_runs(lines: Column, lengths: Column, min_chars: int) -> Column:
+    """(first, last) line of the shortest runs of two lines or more and of
+    ``min_chars`` characters from each line on and up to each line. As line
+    breaks count, none has more than ``min_chars`` + 1 lines."""
+    last_line = F.size(lines) - 1
+
+    def reach(i: Column, step: int) -> Column:
+        stop = F.least(i + min_chars, last_line) if step > 0 else F.greatest(i - min_chars, F.lit(0))
+        begin = F.struct(F.get(lengths, i).alias("chars"), F.lit(None).cast("int").alias("at"))
+
+        def add(run: Column, k: Column) -> Column:
+            chars = run["chars"] + 1 + F.get(lengths, k)
+            return F.when(run["at"].isNotNull(), run).otherwise(F.struct(chars.alias("chars"), F.when(chars >= min_chars, k).alias("at")))
+
+        pair = F.get(lengths, i) + 1 + F.get(lengths, i + step) >= min_chars
+        search = F.aggregate(F.sequence(i + step, stop, F.lit(step)), begin, add, lambda run: run["at"])
+        return F.when(i == (last_line if step > 0 else 0), F.lit(None).cast("int")).when(pair, i + step).otherwise(search)
+
+    every = F.sequence(F.lit(0), last_line)
+    onward = F.transform(every, lambda i: F.struct(i.alias("first"), reach(i, 1).alias("last")))
+    upto = F.transform(every, lambda i: F.struct(reach(i, -1).alias("first"), i.alias("last")))
+    return F.array_distinct(F.filter(F.concat(onward, upto), lambda r: r["first"].isNotNull() & r["last"].isNotNull()))
+
+
+def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """(id, text_hash, pos) of the lines in a run that occurs earlier."""
+    split = docs.where("text is not null").select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"), F.split("text", "\n", -1).alias("lines"))
+    measured = split.where(F.size("lines") > 1).withColumn("lengths", F.transform("lines", F.length))
+    runs = measured.withColumn("runs", _line_runs(F.col("lines"), F.col("lengths"), min_chars))
+    # elements by position: a slice would copy the whole array for each run
+    body = lambda r: F.array_join(F.transform(F.sequence(r["first"], r["last"]), lambda k: F.get("lines", k)), "\n")
+    keyed = F.transform("runs", lambda r: F.struct(F.unhex(F.sha2(body(r), 256)).alias("key"), r["first"].alias("pos"), r["last"].alias("last")))
+    wide = runs.select("id", "text_hash", F.inline(keyed))
+    place = F.struct("id", "text_hash", "pos")
+    repeated = wide.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("top")).where(~F.col("first").eqNullSafe(F.col("top")))
+    later = wide.join(repeated.select("key", "first"), "key").where(~place.eqNullSafe(F.col("first")))
+    return later.select("id", "text_hash", F.explode(F.sequence("pos", "last")).alias("pos"))
+
+
+def dedup_line_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``docs`` with every line cut out of ``text`` that lies in a run of lines
+    which occurs at an earlier place; a line's own first place stays."""
+    removed = repeated_lines(docs.select("doc_id", "text"), min_chars).groupBy("id", "text_hash").agg(F.collect_set("pos").alias("cut"))
+    own = F.struct(*(docs[c] for c in docs.columns)).alias("own")
+    rows = docs.select(own, docs["doc_id"].alias("doc_key"), F.xxhash64(docs["text"]).alias("own_hash"))
+    joined = rows.join(removed, F.col("doc_key").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")), "left")
+    text = F.col("own.text")
+    split = joined.withColumn("lines", F.when(F.col("cut").isNotNull(), F.split(text, "\n", -1)))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "cut"), lambda k: F.get("lines", k))
+    cut_text = F.when(F.col("cut").isNull(), text).otherwise(F.array_join(kept, "\n"))
+    return split.select(*(cut_text.alias("text") if c == "text" else F.col("own").getField(c).alias(c) for c in docs.columns))

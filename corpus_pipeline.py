@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from blotter.llm.decontamination import decontaminate
 from blotter.llm.frames import read_table, stored
-from blotter.llm.line_dedup import dedup_lines
+from blotter.llm.line_dedup import dedup_line_runs
 from blotter.llm.mixing import mix_sources
 from blotter.llm.ngram_join import keep_one_per_component
 from blotter.llm.pu_quality import keep_quality
@@ -24,7 +24,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without multi-line chunks that occurred before."""
-    return dedup_lines(docs)
+    return dedup_line_runs(docs)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

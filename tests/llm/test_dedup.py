@@ -9,9 +9,10 @@ import pytest
 
 from blotter.llm.blocking import components, linked_components, shared_buckets
 from blotter.llm.frames import read_table
-from blotter.llm.line_dedup import dedup_lines
+from blotter.llm.line_dedup import dedup_line_runs, dedup_lines
 from blotter.llm.ngram_join import keep_one_per_component, least_difference, ngram_components, parity_bitmap, shingle_sets
 from blotter.llm.substring_dedup import paragraphs, remove_paragraphs, repeated_paragraphs, tune_bands
+from corpus_pipeline import line_dedup
 from tests.conftest import SF_SMALL
 
 
@@ -110,6 +111,23 @@ def test_line_dedup_edge_cases(odd_docs, no_docs, make_docs):
     assert {r["removed"] for r in by_id[None]} == {0}
 
 
+def test_pipeline_removes_short_repeated_passages_whole(odd_docs, no_docs, make_docs):
+    rng = random.Random(12)
+    passages = [[_line(rng, rng.choice([2, 8])) for _ in range(2 + k % 5)] for k in range(25)]
+    passages = [p if len("\n".join(p)) >= 40 else [*p, _line(rng, 9)] for p in passages]
+    texts, clean = [], []
+    for k in range(75):
+        before, after = ([_line(rng) for _ in range(rng.randint(1, 4))] for _ in range(2))
+        texts.append("\n".join([*before, *passages[k % 25], *after]))
+        clean.append("\n".join(before + after))
+    left = [r["text"] for r in line_dedup(None, make_docs(texts), "").orderBy("doc_id").collect()]
+    assert left[:25] == texts[:25] and left[25:] == clean[25:]
+    out = dedup_line_runs(odd_docs)
+    key = lambda rows: sorted((str(r["doc_id"]), str(r["text"])) for r in rows)
+    assert out.columns == odd_docs.columns and key(out.collect()) == key(odd_docs.collect())
+    assert dedup_line_runs(no_docs).count() == 0
+
+
 # ----------------------------------------------------------- paragraph dedup
 
 
