@@ -3,9 +3,12 @@
 Copied passages often sit in the middle of a line, so line ends do not bound
 them. A paragraph here is a run of ``PARAGRAPH`` words from an anchor: a word
 where the hash of three words is the smallest within ``REACH`` words on both
-sides, or a text's first word if none follows closely. Anchors depend on the
-words around them only, so the same passage has the same paragraphs wherever
-it stands, and one of over 50 words holds one or more whole paragraphs.
+sides, or a text's first word. Where the next one is further than a paragraph,
+further anchors follow at its width, and a text's last ``MIN_WORDS`` words are a
+paragraph if no other ends there, so every word of a text that is long enough
+lies in one. Anchors depend on the words around them only, so the same passage
+has the same paragraphs wherever it stands, and one of over 50 words holds one
+or more whole paragraphs.
 
 Paragraphs with equal sets of 5-word shingles are one class. Each class has a
 MinHash signature, cut into bands whose number and width follow from the
@@ -38,9 +41,9 @@ from blotter.llm.frames import doc_texts, stored
 from blotter.llm.textbatch import Words, mix, split_words, text_slices
 
 SHINGLE = 5
-PARAGRAPH = 20
+PARAGRAPH = 25
 MIN_WORDS = 16
-REACH = 6
+REACH = 5
 THRESHOLD = 0.8
 
 
@@ -71,18 +74,34 @@ def anchors(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         apart = doc[k:] != doc[:-k]
         lowest[:-k] &= apart | (value[:-k] <= value[k:])
         lowest[k:] &= apart | (value[k:] < value[:-k])
-    # a text's first word, unless an anchor follows so closely that the two
-    # paragraphs would be near copies of each other
-    near = np.zeros(len(h), bool)
+    # a text's first word; if an anchor follows so closely that the two
+    # paragraphs would be near copies, the first is short, or the only one
+    starts, ends = words.first[:-1], words.first[1:]
+    close = np.zeros(len(h), bool)
     for k in range(1, REACH + 1):
-        near[:-k] |= lowest[k:] & (doc[k:] == doc[:-k])
-    starts = words.first[:-1]
-    starts = starts[starts < words.first[1:]]
-    lowest[starts] |= ~near[starts]
+        close[:-k] |= lowest[k:] & (doc[k:] == doc[:-k])
+    offset = np.arange(len(h)) - starts[doc]
+    lowest &= (offset > REACH) | ((ends - starts)[doc] > PARAGRAPH)
+    lowest[starts[starts < ends]] = True
+    short = close & (offset == 0) & ((ends - starts)[doc] > PARAGRAPH)
     at = np.flatnonzero(lowest)
-    end = np.minimum(at + PARAGRAPH, words.first[doc[at] + 1])
+    # no gap between anchors is wider than a paragraph, none narrower than REACH
+    upto = np.minimum(np.append(at[1:], len(h)), ends[doc[at]])
+    gap = upto - at
+    parts = (gap - 1) // PARAGRAPH + 1
+    step = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+    at = np.repeat(at, parts)
+    at = np.where(step > 0, np.minimum(at + step * PARAGRAPH, np.repeat(upto, parts) - REACH - 1), at)
+    end = np.minimum(at + np.where(short[at], MIN_WORDS, PARAGRAPH), ends[doc[at]])
     keep = end - at >= MIN_WORDS
-    return doc[at][keep], at[keep], end[keep]
+    at, end = at[keep], end[keep]
+    covered = starts.copy()
+    np.maximum.at(covered, doc[at], end)
+    last = ends[(covered < ends) & (ends - starts >= MIN_WORDS)]
+    at, end = np.concatenate([at, last - MIN_WORDS]), np.concatenate([end, last])
+    order = np.argsort(at, kind="stable")
+    at, end = at[order], end[order]
+    return doc[at], at, end
 
 
 def paragraphs(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -180,7 +199,7 @@ def _mixed(ids: DataFrame) -> DataFrame:
     return ids.mapInArrow(run, "hash long")
 
 
-def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, recall: float = 0.99, seed: int = 41) -> DataFrame:
+def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, recall: float = 0.995, seed: int = 41) -> DataFrame:
     """(doc_id, first_word, end_word, original_doc_id, original_word, removed)
     of every paragraph in a cluster of two or more places; the original is the
     cluster's first. Texts without repeated paragraphs have no row."""

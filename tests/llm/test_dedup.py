@@ -148,6 +148,18 @@ def test_paragraphs_do_not_depend_on_what_surrounds_them():
     assert set.intersection(*seen)
 
 
+def test_every_word_of_a_text_lies_in_a_paragraph():
+    rng = random.Random(13)
+    texts = [_line(rng, n) for n in [16, 17, 25, 26, 40, 41, 42, *rng.choices(range(16, 3000), k=60)]] + ["same " * 200]
+    seen = [np.zeros(len(t.split()), bool) for t in texts]
+    for rows, firsts, ends, _, _, _ in paragraphs(pa.array(texts)):
+        for row, first, end in zip(rows, firsts, ends, strict=True):
+            seen[row][first:end] = True
+    assert all(x.all() for x in seen)
+    bands, rows = tune_bands(0.8, 0.999)
+    assert 1 - (1 - 0.8**rows) ** bands >= 0.999
+
+
 def test_passages_of_over_fifty_words_are_caught_inside_lines(make_docs):
     rng = random.Random(4)
     passages = [_line(rng, rng.randint(52, 70)) for _ in range(40)]
