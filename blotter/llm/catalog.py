@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from blotter.llm.decontamination import find_contamination
 from blotter.llm.frames import read_table
+from blotter.llm.hard_negatives import mine, relabelled
 from blotter.llm.katz import katz_scores
 from blotter.llm.line_dedup import dedup_lines
 from blotter.llm.mixing import mix_sources
@@ -15,8 +16,10 @@ from blotter.llm.ngram_join import ngram_components
 from blotter.llm.pu_quality import pu_quality
 from blotter.llm.quality_rules import quality_rules
 from blotter.llm.secret_scan import scan_secrets
+from blotter.llm.simhash_trie import simhash_components
 from blotter.llm.substring_dedup import repeated_paragraphs
 from blotter.llm.warc import archive_pages
+from blotter.llm.whitening import whiten
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,8 +64,35 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(read_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine(spark, relabelled(read_table(spark, sf_dir, "embeddings")))
+
+
+def op13_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_decontamination, op3_secret_scan, op4_substring_dedup, op5_line_dedup, op6_katz_scores, op7_warc_archive, op8_pu_quality, op9_source_mix, op10_ngram_join)
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_decontamination,
+        op3_secret_scan,
+        op4_substring_dedup,
+        op5_line_dedup,
+        op6_katz_scores,
+        op7_warc_archive,
+        op8_pu_quality,
+        op9_source_mix,
+        op10_ngram_join,
+        op11_whitening,
+        op12_hard_negatives,
+        op13_simhash_trie,
+    )
 }
 
 #: Chunks of lines per document: c numbers them from 0.
@@ -104,5 +134,23 @@ SELECT page_id, n::BIGINT AS payload_bytes,
        CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = keeper THEN NULL ELSE keeper END AS refers_to
 FROM d
+""",
+    # Rows of one id are told apart by their place; scores are exact in doubles.
+    "op12_hard_negatives": """
+WITH v AS (
+  SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), met AS (
+  SELECT a.uid, a.vec_id AS anchor_id, v.uid AS other_uid, v.vec_id AS other, v.label = a.label AS same, list_dot_product(a.q, v.q)::BIGINT AS score
+  FROM v a JOIN v ON a.uid <> v.uid WHERE a.vec_id % 100 = 0
+), positive AS (
+  SELECT * FROM met WHERE same QUALIFY row_number() OVER (PARTITION BY uid ORDER BY score DESC, other NULLS LAST, other_uid) <= 5
+)
+SELECT p.anchor_id, p.other AS positive_id,
+       row_number() OVER (PARTITION BY p.uid, p.other_uid ORDER BY n.score DESC, n.other NULLS LAST, n.other_uid)::INTEGER AS rank,
+       n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN met n ON n.uid = p.uid AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY rank <= 10
 """,
 }
