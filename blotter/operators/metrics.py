@@ -116,95 +116,58 @@ def weighted_metrics(
     return per.groupBy(*by).agg(*aggs)
 
 
-#: Score ranges of the AUC's prefix sum.
-AUC_BUCKETS = 1024
-
-
 def _binary(label: str) -> Column:
     """Rows of a 0/1 classifier: the label is 0 or 1."""
     return F.col(label).cast("double").isin(0.0, 1.0)
 
 
-def auc_roc(scored: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = (), buckets: int = AUC_BUCKETS) -> DataFrame:
+def auc_roc(scored: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
     """Exact area under the ROC curve per group (rank-sum form, ties half).
 
     AUC = sum over positives of (#negatives scored lower + 0.5 * #negatives
-    scored equal) / (P * N). Distributed prefix sum, no global sort into one
-    task:
+    scored equal) / (P * N). A distributed prefix sum in one lazy pass, without
+    a sort into one task:
 
     1. rows -> (group, score, pos, neg): partial aggregation, so a score
        shared by a third of all rows is one row after the map side;
-    2. ``buckets - 1`` approximate quantiles of the distinct (group, score)
-       rows (a sketch whose size follows ``buckets``, attached as a scalar
-       subquery) cut the score axis into ranges holding about equal numbers
-       of rows; a row finds its range by binary search;
-    3. negatives per (group, range) and their running total over ranges: a
-       table of at most groups x buckets rows, joined back on (group, range)
-       (AQE broadcasts it when it measures it small);
-    4. within each (group, range) a window running sum of negatives below
-       each score; no such partition exceeds about 1/buckets of the rows.
-
-    The plan is lazy and nothing is kept: steps 2 to 4 share the exchange of
-    step 1. Only rows labelled 0 or 1 with a score count.
+    2. a range exchange cuts the (group, score) axis into as many ranges of
+       about equal size as there are shuffle partitions;
+    3. within each range a window sums the negatives below each score, and each
+       (group, range) adds up to one row;
+    4. running totals over those few rows place the ranges one after the other.
+
+    Nothing is joined back and no branch is read twice. Only rows labelled 0 or
+    1 with a score count.
     """
     keys = list(by)
     df = scored.filter(_binary(label) & F.col(score).isNotNull())
     is_pos = (F.col(label).cast("double") == F.lit(1.0)).cast("long")
     d = df.groupBy(*keys, F.col(score).cast("double").alias("__s")).agg(F.sum(is_pos).alias("__pos"), F.sum(F.lit(1) - is_pos).alias("__neg"))
-    return _auc_from_scores(_whole(d, ["__pos", "__neg"]), keys, buckets)
-
-
-def _whole(d: DataFrame, counts: Sequence[str]) -> DataFrame:
-    """``d`` with a condition on all its counts that always holds. It keeps
-    column pruning from giving every reader of the aggregate an exchange of
-    its own columns, so that one exchange (and one scan) serves them all."""
-    total = F.col(counts[0])
-    for c in counts[1:]:
-        total = total + F.col(c)
-    return d.filter(total >= 0)
-
-
-def _range_of(value: Column, bounds: Column, n: int) -> Column:
-    """How many of the ``n`` sorted bounds are below ``value``: a binary
-    search in log2(n) steps of halving size."""
-    steps = [1 << k for k in reversed(range(max(1, n.bit_length())))]
-
-    def advance(at: Column, step: Column) -> Column:
-        return F.when(F.get(bounds, at + step - 1) < value, at + step).otherwise(at)
-
-    return F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), advance)
-
-
-def _auc_from_scores(d: DataFrame, keys: list[str], nb: int) -> DataFrame:
-    """AUC per group from (keys, __s, __pos, __neg), one row per distinct
-    (group, score)."""
-    # One row of nb - 1 score quantiles over all distinct (group, score)
-    # rows, attached as a scalar subquery: every (group, range) then holds at
-    # most about 1/nb of the distinct rows, whatever the groups.
-    qs = [i / nb for i in range(1, nb)]
-    bounds = d.agg(F.percentile_approx("__s", qs, 4 * nb).alias("__bounds"))
-    d = attach(d, bounds, []).select(
-        *keys, "__s", "__pos", "__neg",
-        # non-nullable, so no IS NOT NULL is inferred from the join below and
-        # pushed under the aggregate
-        F.coalesce(_range_of(F.col("__s"), F.col("__bounds"), nb - 1), F.lit(0)).alias("__b"),
-    )
-    per_bucket = d.groupBy(*keys, "__b").agg(F.sum("__neg").alias("__bneg"))
-    # At most nb rows per group: the running total over ranges is a small window.
-    w_off = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(*keys, "__b", F.coalesce(F.sum("__bneg").over(w_off), F.lit(0)).alias("__off"))
-    # Join and window share the (group, range) partitioning: one shuffle.
-    w_loc = Window.partitionBy(*keys, "__b").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = d.join(offsets, [*keys, "__b"]).withColumn(
-        "__below", F.col("__off") + F.coalesce(F.sum("__neg").over(w_loc), F.lit(0))
-    )
-    pos, neg = F.col("__pos").cast("double"), F.col("__neg").cast("double")
-    return ranked.groupBy(*keys).agg(
-        F.try_divide(
-            F.sum(pos * (F.col("__below").cast("double") + F.lit(0.5) * neg)),
-            F.sum(pos) * F.sum(neg),
-        ).alias("auc")
-    )
+    return _over_ranges(d, keys).groupBy(*keys).agg(_auc_of_ranges())
+
+
+def _over_ranges(d: DataFrame, keys: list[str], sums: Sequence[str] = ()) -> DataFrame:
+    """One row per (group, score range) of ``d`` (keys, __s, __pos, __neg, one
+    row per distinct score): __wins, the positives' negatives below them in
+    their range, ties half; __p and __n, its positives and negatives; __off, the
+    negatives of the ranges below; and the totals of ``sums``. Rows without a
+    score only count in the latter."""
+    ranged = d.repartitionByRange(*keys, "__s").withColumn("__b", F.spark_partition_id())
+    has = F.col("__s").isNotNull()
+    ranged = ranged.withColumn("__pos", F.when(has, F.col("__pos")).otherwise(0)).withColumn("__neg", F.when(has, F.col("__neg")).otherwise(0))
+    within = Window.partitionBy(*keys, "__b").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("__neg").over(within), F.lit(0)).cast("double")
+    wins = F.col("__pos").cast("double") * (F.col("__below") + F.lit(0.5) * F.col("__neg").cast("double"))
+    totals = [F.sum("__pos").alias("__p"), F.sum("__neg").alias("__n"), *[F.sum(c).alias(c) for c in sums]]
+    per = ranged.withColumn("__below", below).groupBy(*keys, "__b").agg(F.sum(wins).alias("__wins"), *totals)
+    # a row per group and range; without groups no more rows than partitions
+    order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    return per.withColumn("__off", F.coalesce(F.sum("__n").over(order), F.lit(0)))
+
+
+def _auc_of_ranges() -> Column:
+    wins, p, n, off = (F.col(c).cast("double") for c in ("__wins", "__p", "__n", "__off"))
+    return F.try_divide(F.sum(wins + p * off), F.sum(p) * F.sum(n)).alias("auc")
 
 
 def metrics_record(
@@ -214,14 +177,13 @@ def metrics_record(
     prediction: str = "prediction",
     by: Sequence[str] = (),
     with_confusion: bool = False,
-    buckets: int = AUC_BUCKETS,
 ) -> DataFrame:
     """The five metrics (and optionally the confusion quartet) of a 0/1
     classifier, one row per group, from a single pass over ``scored``.
 
     One aggregate by (group, score) carries positives, negatives and the
-    four confusion cells; the AUC steps and the confusion sums share its
-    exchange. The plan is lazy. Rows whose label is not 0 or 1, or whose
+    four confusion cells, whose totals travel with the AUC's ranges (see
+    ``auc_roc``). The plan is lazy and has one branch. Rows whose label is not 0 or 1, or whose
     prediction is neither, leave every metric; a NULL score leaves the AUC, a
     NULL prediction the other metrics. (``weighted_metrics`` handles any
     number of classes.)
@@ -246,8 +208,8 @@ def metrics_record(
             cell(1.0, 1.0).alias("tp"),
         )
     )
-    d = _whole(d, ["__pos", "__neg", "tn", "fp", "fn", "tp"])
-    quartet = d.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp")])
+    cells = ("tn", "fp", "fn", "tp")
+    quartet = _over_ranges(d, keys, cells).groupBy(*keys).agg(_auc_of_ranges(), *[F.sum(c).alias(c) for c in cells])
     tn, fp, fn, tp = (F.col(c).cast("double") for c in ("tn", "fp", "fn", "tp"))
     act0, act1, prd0, prd1 = tn + fp, fn + tp, tn + fn, fp + tp
     total = act0 + act1
@@ -263,18 +225,15 @@ def metrics_record(
     def weighted(x0: Column, x1: Column) -> Column:
         return F.try_divide(act0 * x0 + act1 * x1, total)
 
-    rec = quartet.select(
+    return quartet.select(
         *keys,
+        "auc",
         F.try_divide(tn + tp, total).alias("accuracy"),
         weighted(f1(p0, r0), f1(p1, r1)).alias("f1"),
         weighted(p0, p1).alias("weighted_precision"),
         weighted(r0, r1).alias("weighted_recall"),
-        *(["tn", "fp", "fn", "tp"] if with_confusion else []),
+        *(cells if with_confusion else []),
     )
-    auc = _auc_from_scores(d.filter(F.col("__s").isNotNull()).select(*keys, "__s", "__pos", "__neg"), keys, buckets)
-    rec = attach(rec, auc, keys)
-    first = [*keys, "auc", "accuracy", "f1", "weighted_precision", "weighted_recall"]
-    return rec.select(*first, *[c for c in rec.columns if c not in first])
 
 
 def metrics_long(records: DataFrame, model: str = "model", metrics: Sequence[str] = METRIC_NAMES) -> DataFrame:

@@ -93,7 +93,7 @@ def prepare(rows: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int |
     """
     base = rows.select(*MODEL_COLUMNS)
     base = base.repartition(partitions or rows.sparkSession.sparkContext.defaultParallelism, *MODEL_COLUMNS)
-    labelled = hash_split(base, S.INCIDENT_ID, weights, ("train", "test"), split_salt(seed)).persist(StorageLevel.MEMORY_AND_DISK)
+    labelled = hash_split(base, S.INCIDENT_ID, weights, ("train", "test"), split_salt(seed), MODEL_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
     fmodel = fit_features(labelled.filter(F.col(PART) == F.lit("train")))
     indexer = fmodel.stages[0]
     marked = indexer.copy({indexer.handleInvalid: "keep"}).transform(labelled)

@@ -9,9 +9,9 @@ Two families:
 - Hash (``hash_sample``, ``hash_split``): a row's fate is a hash uniform of
   its id and a salt, so it is the same for any partitioning, after a task
   retry, and in another engine. Both are a single narrow filter/projection:
-  no shuffle, no sort, no driver round trip. A row without an id is decided
-  by the text of its other columns, so none is lost or always on one side;
-  equal rows without an id share their fate.
+  no shuffle, no sort, no driver round trip, and reads the id only. Rows
+  without an id share one fate, unless the caller names columns (``fallback``)
+  whose text decides for them; equal rows without an id then share theirs.
 """
 
 from __future__ import annotations
@@ -45,9 +45,9 @@ def labelled_random_split(
     return out
 
 
-def row_key(df: DataFrame, id_col: str) -> Column:
-    """The row's id as text or, where it is NULL, its other columns."""
-    others = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns if c != id_col]
+def row_key(id_col: str, fallback: Sequence[str] = ()) -> Column:
+    """The row's id as text or, where it is NULL, the ``fallback`` columns."""
+    others = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in fallback if c != id_col]
     return F.coalesce(F.col(id_col).cast("string"), F.concat_ws("|", F.lit("row"), *others))
 
 
@@ -56,10 +56,10 @@ def split_salt(seed: int | None) -> str:
     return "split" if seed is None else f"split:{seed}"
 
 
-def hash_sample(df: DataFrame, id_col: str, fraction: float = 0.05, salt: str = "sample") -> DataFrame:
+def hash_sample(df: DataFrame, id_col: str, fraction: float = 0.05, salt: str = "sample", fallback: Sequence[str] = ()) -> DataFrame:
     """Rows whose id hashes below ``fraction``: a partition-independent
     sample of expected size ``fraction * rows``."""
-    return df.filter(hash_uniform(row_key(df, id_col), salt) < F.lit(float(fraction)))
+    return df.filter(hash_uniform(row_key(id_col, fallback), salt) < F.lit(float(fraction)))
 
 
 def hash_split(
@@ -68,13 +68,14 @@ def hash_split(
     weights: Sequence[float] = (0.8, 0.2),
     names: Sequence[str] = ("train", "test"),
     salt: str = "split",
+    fallback: Sequence[str] = (),
 ) -> DataFrame:
     """Adds ``part``: the name whose cumulative-weight slot holds the row's
     hash uniform. Weights are normalised to sum 1."""
     if len(weights) != len(names) or not weights:
         raise ValueError("one name per weight")
     total = float(sum(weights))
-    u = hash_uniform(row_key(df, id_col), salt)
+    u = hash_uniform(row_key(id_col, fallback), salt)
     expr = None
     acc = 0.0
     for w, name in zip(weights[:-1], names[:-1], strict=True):
@@ -84,9 +85,9 @@ def hash_split(
     return df.withColumn(PART, last if expr is None else expr.otherwise(last))
 
 
-def hash_parts(df: DataFrame, id_col: str, weights=(0.8, 0.2), names=("train", "test"), salt="split") -> list[DataFrame]:
+def hash_parts(df: DataFrame, id_col: str, weights=(0.8, 0.2), names=("train", "test"), salt="split", fallback: Sequence[str] = ()) -> list[DataFrame]:
     """The parts of ``hash_split`` as separate frames (one filter each)."""
-    labelled = hash_split(df, id_col, weights, names, salt)
+    labelled = hash_split(df, id_col, weights, names, salt, fallback)
     return [labelled.filter(F.col(PART) == F.lit(n)).drop(PART) for n in names]
 
 

@@ -19,10 +19,13 @@ from pyspark.sql import functions as F
 from blotter.functions.columns import hash_uniform, hour_of_text
 from blotter.operators import analytics as A
 from blotter.operators import features as FE
+from blotter.operators import logistic as L
 from blotter.operators import metrics as M
 from blotter.operators import models as MO
 from blotter.operators import report as R
 from blotter.operators import sampling as SM
+from blotter.operators import trees as T
+from blotter.plans import job as J
 from blotter.session import shared_dir
 from blotter.sources import ingest as I
 from blotter.sources import schema as S
@@ -768,13 +771,32 @@ def release_fits() -> None:
         _FITS.popitem()[1]["work"].release()
 
 
+def fitted_scores(spark, sf_dir: str, names) -> DataFrame:
+    """The scored test rows of the named classifiers, from one table per model
+    in the shared folder: every report of a run reads what was scored once."""
+    entry = fitted_models(spark, sf_dir, names)
+    tables = entry.setdefault("scores", {})
+    for n in names:
+        if n not in tables:
+            tables[n] = shared_dir(spark, f"scores-{n}")
+            MO.score(entry["fitted"].models[n], entry["work"].test, n).write.parquet(tables[n])
+    return spark.read.parquet(*[tables[n] for n in names])
+
+
+def fitted_nodes(spark, sf_dir: str, name: str) -> DataFrame:
+    """The node table of a fitted tree ensemble, saved once per fit."""
+    entry = fitted_models(spark, sf_dir, [name])
+    saved = entry.setdefault("saved", {})
+    if name not in saved:
+        saved[name] = T.save_ensemble(spark, entry["fitted"].models[name])
+    return T.node_table(spark, saved[name])
+
+
 def model_records(spark, sf_dir: str, names) -> DataFrame:
     """One metric record per model on the test part (the scored rows are
     read once by ``metrics_record``), with its fit seconds."""
-    entry = fitted_models(spark, sf_dir, names)
-    fitted = entry["fitted"]
-    scored = MO.score_all(fitted, entry["work"].test, names)
-    rec = M.metrics_record(scored, by=["model"], with_confusion=True)
+    fitted = fitted_models(spark, sf_dir, names)["fitted"]
+    rec = M.metrics_record(fitted_scores(spark, sf_dir, names), by=["model"], with_confusion=True)
     secs = spark.createDataFrame([(n, float(fitted.train_s[n])) for n in names], "model string, train_s double")
     return rec.join(F.broadcast(secs), "model")
 
@@ -857,6 +879,196 @@ def q_importance_facts(spark, sf_dir):
     return facts.unpivot([], ["features", "sum_is_one", "descending", "negative"], "fact", "value")
 
 
+# The vectors of the model rows, as the indexers fitted on the train part make them.
+_VECTORS_SQL = (
+    _TRAIN_TEST_SQL
+    + ", vec AS (SELECT incident_id, label, part, CAST(hour AS DOUBLE) AS x1, CAST(district AS DOUBLE) AS x2, kind_idx AS x3, domestic_idx AS x4"
+    " FROM sp JOIN ik USING (kind) JOIN id USING (domestic_str))"
+)
+_XS = range(1, len(FE.FEATURE_ORDER) + 1)
+
+
+def _each(text: str, sep: str = ", ") -> str:
+    return sep.join(text.format(j=j) for j in _XS)
+
+
+# The optimum of the logistic loss, by simultaneous one-dimensional Newton steps on
+# the standardised vectors (0.01 is the learner's penalty): its coefficients are
+# those that the fit has to reach.
+_OPTIMUM_SQL = _VECTORS_SQL.replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+, tr AS MATERIALIZED (SELECT {_each("x{j}")}, COUNT(*)::DOUBLE AS n, SUM(label)::DOUBLE AS ones FROM vec WHERE part = 'train' GROUP BY ALL)
+, tot AS MATERIALIZED (SELECT COUNT(*)::DOUBLE AS total, {_each("AVG(x{j}) AS m{j}, STDDEV_SAMP(x{j}) AS s{j}")} FROM vec WHERE part = 'train')
+, z AS MATERIALIZED (SELECT n / total AS n, ones / total AS ones, {_each("(x{j} - m{j}) / s{j} AS z{j}")} FROM tr, tot)
+, it AS (
+  SELECT 0 AS k, 0::DOUBLE AS a, {_each("0::DOUBLE AS b{j}")}
+  UNION ALL
+  SELECT k + 1, a - SUM(n * p - ones) / SUM(n * p * (1 - p)),
+         {_each("b{j} - (SUM((n * p - ones) * z{j}) + 0.01::DOUBLE * b{j}) / (SUM(n * p * (1 - p) * z{j} * z{j}) + 0.01::DOUBLE)")}
+  FROM (SELECT *, 1 / (1 + exp(-(a + {_each("b{j} * z{j}", " + ")}))) AS p FROM it, z WHERE k < 60) GROUP BY k, a, {_each("b{j}")}
+)
+, best AS MATERIALIZED (SELECT total, a - {_each("b{j} * m{j} / s{j}", " - ")} AS c0, {_each("b{j} / s{j} AS c{j}")} FROM it, tot WHERE k = 60)"""
+
+
+@register(
+    "logistic_optimum",
+    _OPTIMUM_SQL
+    + " SELECT t.term, best.total::BIGINT AS train_rows, round([c0, " + _each("c{j}") + "][t.i], 6) AS coefficient, true AS fit_is_there"
+    " FROM best, (VALUES ('" + L.INTERCEPT + "', 1), " + ", ".join(f"('{n}', {i + 2})" for i, n in enumerate(FE.FEATURE_ORDER)) + ") t(term, i)",
+)
+def q_logistic_optimum(spark, sf_dir):
+    """The optimum of the regularised loss over the training rows, and whether
+    the fitted coefficients are there (per standardised feature)."""
+    entry = fitted_models(spark, sf_dir, [MO.LOGISTIC])
+    model = entry["fitted"].models[MO.LOGISTIC]
+    rows = entry["work"].train.select(S.LABEL, vector_to_array(FE.FEATURES).alias(FE.FEATURES))
+    fit = [*model.coefficients.toArray().tolist(), float(model.intercept)]
+    best = L.optimum(rows, fit, model.getRegParam())
+    names = [*FE.FEATURE_ORDER, L.INTERCEPT]
+    scale = [*best.deviations.tolist(), 1.0]
+    made = [(n, best.rows, float(c), bool(abs(c - f) * u < 1e-5)) for n, c, f, u in zip(names, best.coefficients, fit, scale, strict=True)]
+    table = spark.createDataFrame(made, "term string, train_rows long, coefficient double, fit_is_there boolean")
+    return table.withColumn("coefficient", F.round("coefficient", 6))
+
+
+@register(
+    "logistic_test_metrics",
+    _OPTIMUM_SQL
+    + f""", d AS (SELECT round(c0 + {_each("c{j} * x{j}", " + ")}, 7) AS s, SUM(label) AS pos, SUM(1 - label) AS neg FROM vec, best WHERE part = 'test' GROUP BY 1)
+, r AS (SELECT *, COALESCE(SUM(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM d)
+SELECT round(SUM(pos * (below + 0.5::DOUBLE * neg)) / (SUM(pos)::DOUBLE * SUM(neg)), 4) AS auc,
+       SUM(CASE WHEN s > 0 THEN 0 ELSE neg END)::BIGINT AS tn, SUM(CASE WHEN s > 0 THEN neg ELSE 0 END)::BIGINT AS fp,
+       SUM(CASE WHEN s > 0 THEN 0 ELSE pos END)::BIGINT AS fn, SUM(CASE WHEN s > 0 THEN pos ELSE 0 END)::BIGINT AS tp
+FROM r""",
+)
+def q_logistic_test_metrics(spark, sf_dir):
+    """AUC and confusion counts of the fitted logistic regression on the test
+    part; SQL scores the same rows at the optimum of its own."""
+    rec = M.metrics_record(fitted_scores(spark, sf_dir, [MO.LOGISTIC]), with_confusion=True)
+    return rec.select(F.round("auc", 4).alias("auc"), "tn", "fp", "fn", "tp")
+
+
+# All splits that the boosted model's first tree may choose from at its root: a
+# threshold between two values of a number, or a prefix of a category's values in
+# the order of their means. The first tree regresses the labels -1 and 1 on all
+# training rows, so that SQL can find its best split.
+_CONTINUOUS_CUTS = (
+    "SELECT {j} AS f, t AS threshold, NULL::DOUBLE[] AS categories, v.n, v.s, v.x <= t AS l FROM"
+    " (SELECT x{j} AS x, COUNT(*)::DOUBLE AS n, SUM(y) AS s FROM y GROUP BY 1) v,"
+    " (SELECT (x + lead(x) OVER (ORDER BY x)) / 2 AS t FROM (SELECT DISTINCT x{j} AS x FROM y)) WHERE t IS NOT NULL"
+)
+_CATEGORY_CUTS = (
+    "SELECT {j}, NULL, c.cats, v.n, v.s, list_contains(c.cats, v.x) FROM"
+    " (SELECT x{j} AS x, COUNT(*)::DOUBLE AS n, SUM(y) AS s FROM y GROUP BY 1) v,"
+    " (SELECT list(x) OVER (ORDER BY s / n, x) AS cats, row_number() OVER (ORDER BY s / n DESC, x DESC) AS last"
+    " FROM (SELECT x{j} AS x, COUNT(*)::DOUBLE AS n, SUM(y) AS s FROM y GROUP BY 1)) c WHERE c.last > 1"
+)
+_FIRST_SPLIT_SQL = (
+    _VECTORS_SQL
+    + ", y AS MATERIALIZED (SELECT x1, x2, x3, x4, 2.0::DOUBLE * label - 1 AS y FROM vec WHERE part = 'train')"
+    + ", whole AS (SELECT COUNT(*)::DOUBLE AS n, SUM(y) AS s FROM y), side AS ("
+    + " UNION ALL ".join([_CONTINUOUS_CUTS.format(j=1), _CONTINUOUS_CUTS.format(j=2), _CATEGORY_CUTS.format(j=3), _CATEGORY_CUTS.format(j=4)])
+    + "), cut AS (SELECT f, threshold, categories, SUM(n) FILTER (WHERE l) AS ln, SUM(s) FILTER (WHERE l) AS ls FROM side GROUP BY ALL)"
+    ", gained AS (SELECT cut.*, whole.n, whole.s,"
+    " (ls * ls / ln + (whole.s - ls) * (whole.s - ls) / (whole.n - ln) - whole.s * whole.s / whole.n) / whole.n AS gain FROM cut, whole)"
+    " SELECT n::BIGINT AS n_rows, round(s / n, 9) AS prediction, round(1 - (s / n) * (s / n), 9) AS impurity, "
+    + "['" + "', '".join(FE.FEATURE_ORDER) + "'][f] AS feature, threshold, array_to_string(list_sort(categories), ',') AS categories, round(gain, 9) AS gain,"
+    " ln::BIGINT AS left_rows, round(ls / ln, 9) AS left_prediction, (n - ln)::BIGINT AS right_rows, round((s - ls) / (n - ln), 9) AS right_prediction"
+    " FROM gained ORDER BY gained.gain DESC LIMIT 1"
+)
+
+
+@register("boosted_first_split", _FIRST_SPLIT_SQL)
+def q_boosted_first_split(spark, sf_dir):
+    """The root of the boosted model's first tree, from its node table."""
+    split = T.split_report(fitted_nodes(spark, sf_dir, MO.BOOSTED), tree=0, node=0)
+    shown = F.array_join(F.transform("categories", lambda x: x.cast("string")), ",").alias("categories")
+    rounded = ("prediction", "impurity", "gain", "left_prediction", "right_prediction")
+    return split.select(*[shown if c == "categories" else F.round(c, 9).alias(c) if c in rounded else F.col(c) for c in split.columns])
+
+
+_TREE_MODELS = (MO.FOREST, MO.BOOSTED)
+
+
+@register(
+    "node_table_scores",
+    _TRAIN_TEST_SQL
+    + ", test AS (SELECT COUNT(*) AS n FROM kept WHERE part = 'test')"
+    f" SELECT m.model, m.trees, n AS test_rows, n AS equal_predictions, n AS equal_scores, 2::BIGINT AS classes FROM test,"
+    f" (VALUES ('{MO.FOREST}', 100::BIGINT), ('{MO.BOOSTED}', 50::BIGINT)) m(model, trees)",
+)
+def q_node_table_scores(spark, sf_dir):
+    """Test rows scored level by level from the node tables of the fitted
+    ensembles, next to the models' own scores and predictions. ``classes`` counts
+    the different predictions, one for a model that has learnt nothing."""
+    work = fitted_models(spark, sf_dir, _TREE_MODELS)["work"]
+    vectors = work.test.select(S.INCIDENT_ID, vector_to_array(FE.FEATURES).alias(FE.FEATURES))
+    out = None
+    for name in _TREE_MODELS:
+        model, nodes = fitted_models(spark, sf_dir, [name])["fitted"].models[name], fitted_nodes(spark, sf_dir, name)
+        rows = fitted_scores(spark, sf_dir, [name]).join(vectors, S.INCIDENT_ID)
+        scored = T.score_from_nodes(rows, nodes, T.ensemble_kind(model), model.getNumTrees, model.getOrDefault("maxDepth"))
+        found = scored.agg(
+            F.lit(name).alias("model"),
+            F.lit(model.getNumTrees).cast("long").alias("trees"),
+            F.count(F.lit(1)).alias("test_rows"),
+            F.count_if(F.col("prediction") == F.col("table_prediction")).alias("equal_predictions"),
+            F.count_if(F.abs(F.col("score") - F.col("table_score")) < 1e-9).alias("equal_scores"),
+            (1 + (F.max("table_prediction") > F.min("table_prediction")).cast("long")).alias("classes"),
+        )
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@register(
+    "node_table_importances",
+    "SELECT m.model, f.feature, true AS equal FROM (VALUES ('" + "'), ('".join(_TREE_MODELS) + "')) m(model), (VALUES ('"
+    + "'), ('".join(FE.FEATURE_ORDER) + "')) f(feature)",
+)
+def q_node_table_importances(spark, sf_dir):
+    """Importances summed from the node tables, next to the models' own; every
+    feature is split on."""
+    out = None
+    for name in _TREE_MODELS:
+        model, nodes = fitted_models(spark, sf_dir, [name])["fitted"].models[name], fitted_nodes(spark, sf_dir, name)
+        own = F.create_map(*[x for f, v in MO.importances(model) for x in (F.lit(f), F.lit(v))])
+        equal = F.abs(F.col("importance") - F.element_at(own, F.col("feature"))) < 1e-9
+        found = T.importances_from_nodes(nodes, T.ensemble_kind(model)).select(F.lit(name).alias("model"), "feature", equal.alias("equal"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+#: Metrics of a table of scored rows, in Spark SQL: another way than ``metrics``.
+SCORES_SQL = """
+WITH t AS (SELECT model, CAST(label AS DOUBLE) AS l, prediction AS p, score AS s FROM {scores}),
+d AS (SELECT model, s, sum(l) AS pos, sum(1 - l) AS neg FROM t GROUP BY model, s),
+r AS (SELECT *, sum(neg) OVER (PARTITION BY model ORDER BY s) - neg AS below FROM d),
+a AS (SELECT model, sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)) AS auc FROM r GROUP BY model),
+c AS (SELECT model, k.c, sum(CASE WHEN l = k.c THEN 1D END) AS actual, sum(CASE WHEN p = k.c THEN 1D ELSE 0D END) AS chosen,
+             sum(CASE WHEN l = k.c AND p = k.c THEN 1D ELSE 0D END) AS hit FROM (SELECT *, explode(array(0D, 1D)) AS c FROM t) k GROUP BY model, k.c),
+w AS (SELECT model, sum(hit) / sum(actual) AS accuracy, sum(actual * 2 * hit / (actual + chosen)) / sum(actual) AS f1,
+             sum(actual * coalesce(try_divide(hit, chosen), 0D)) / sum(actual) AS weighted_precision, sum(hit) / sum(actual) AS weighted_recall FROM c GROUP BY model)
+SELECT * FROM a JOIN w USING (model)
+"""
+
+
+@register(
+    "fitted_metrics_agree",
+    "SELECT m.model, k.metric, true AS agrees, true AS better_than_constant FROM (VALUES ('" + "'), ('".join(MO.RECIPE) + "')) m(model), (VALUES ('"
+    + "'), ('".join(M.METRIC_NAMES) + "')) k(metric)",
+)
+def q_fitted_metrics_agree(spark, sf_dir):
+    """The metrics of every fitted model, recomputed in SQL from the stored
+    scores; ``better_than_constant`` is an AUC above one half."""
+    scores = fitted_scores(spark, sf_dir, MO.RECIPE)
+    view = f"fitted_scores_{zlib.crc32(sf_dir.encode()):08x}"
+    scores.createOrReplaceTempView(view)
+    again = M.metrics_long(spark.sql(SCORES_SQL.format(scores=view))).withColumnRenamed("value", "again")
+    own = M.metrics_record(scores, by=["model"])
+    good = own.select("model", (F.col("auc") > 0.5).alias("better_than_constant"))
+    both = M.metrics_long(own).join(again, ["model", "metric"]).join(good, "model")
+    return both.select("model", "metric", (F.abs(F.col("value") - F.col("again")) < 1e-12).alias("agrees"), "better_than_constant")
+
+
 @register("fit_logistic")
 def q_fit_logistic(spark, sf_dir):
     return model_records(spark, sf_dir, [MO.LOGISTIC])
@@ -930,3 +1142,30 @@ def q_reconcile_counts(spark, sf_dir):
     a = A.counts_by(train, S.PLACE)
     b = A.counts_by(test, S.PLACE)
     return R.reconcile_counts(a, b, S.PLACE, A.COUNT, A.COUNT, "train_rows", "test_rows")
+
+
+@register(
+    "job_report",
+    WITH_INCIDENTS
+    + ", hot AS (SELECT COUNT(*) AS hits FROM incidents WHERE place IS NOT NULL GROUP BY place ORDER BY hits DESC, place LIMIT 10)"
+    ", often AS (SELECT COUNT(*) AS n FROM incidents GROUP BY kind HAVING COUNT(*) >= 100)"
+    f" SELECT 'profile' AS report, {len(_PROFILE_TYPES)}::BIGINT AS n_rows, (SELECT ("
+    + " + ".join(f"COUNT({c})" for c, _ in _PROFILE_TYPES)
+    + ") FROM incidents)::BIGINT AS total"
+    " UNION ALL SELECT 'kind_counts', COUNT(DISTINCT kind) + MAX(CASE WHEN kind IS NULL THEN 1 ELSE 0 END), COUNT(*) FROM incidents"
+    " UNION ALL SELECT 'place_hotspots', COUNT(*), SUM(hits)::BIGINT FROM hot"
+    " UNION ALL SELECT 'year_counts', COUNT(DISTINCT year) + MAX(CASE WHEN year IS NULL THEN 1 ELSE 0 END), COUNT(*) FROM incidents"
+    " UNION ALL SELECT 'overall_rate', 1, COUNT(*) FROM incidents"
+    " UNION ALL SELECT 'arrest_rate_by_kind', COUNT(*), SUM(n)::BIGINT FROM often",
+)
+def q_job_report(spark, sf_dir):
+    """The job's report part over the whole table: the tables it writes, read
+    back, with their rows and the total of the rows they count."""
+    out = shared_dir(spark, "job-report")
+    counted = {"profile": "non_null", "place_hotspots": "hits"}
+    made = None
+    for name in J.write_reports(incidents_at(spark, sf_dir), out, min_rows=100):
+        report = spark.read.parquet(f"{out}/{name}")
+        row = report.agg(F.lit(name).alias("report"), F.count(F.lit(1)).alias("n_rows"), F.sum(counted.get(name, "n_rows")).cast("long").alias("total"))
+        made = row if made is None else made.unionByName(row)
+    return made

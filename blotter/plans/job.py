@@ -82,6 +82,23 @@ def _write(df: DataFrame, out: str, name: str, show: int = 0) -> None:
         df.sparkSession.read.parquet(path).show(show, truncate=False)
 
 
+def write_reports(base: DataFrame, out: str, min_rows: int, show: int = 0) -> list[str]:
+    """The analyses over every row, one table each under ``out``; their names."""
+    spark = base.sparkSession
+    A.register_view(base, "incident_events")
+    reports = {
+        "profile": I.profile(base),
+        "kind_counts": A.kind_counts(base),
+        "place_hotspots": A.place_hotspots_sql(spark, "incident_events", 10),
+        "year_counts": A.year_counts(base),
+        "overall_rate": A.overall_rate(base),
+        "arrest_rate_by_kind": A.arrest_rate_by_kind(base, min_rows),
+    }
+    for name, df in reports.items():
+        _write(df, out, name, show)
+    return list(reports)
+
+
 def run(spark: SparkSession, args) -> dict:
     """The whole run; returns the small in-memory summary it also prints."""
     # Iterative learners checkpoint into the shared folder (GBT every 10
@@ -90,22 +107,14 @@ def run(spark: SparkSession, args) -> dict:
     base = load(spark, args)
     out = args.out
     summary = {}
-
-    # Analyses over every row.
-    _write(I.profile(base), out, "profile", args.show)
-    _write(A.kind_counts(base), out, "kind_counts", args.show)
-    A.register_view(base, "incident_events")
-    _write(A.place_hotspots_sql(spark, "incident_events", 10), out, "place_hotspots", args.show)
-    _write(A.year_counts(base), out, "year_counts", args.show)
-    _write(A.overall_rate(base), out, "overall_rate", args.show)
-    _write(A.arrest_rate_by_kind(base, args.min_rows), out, "arrest_rate_by_kind", args.show)
+    write_reports(base, out, args.min_rows, args.show)
 
     # Working set for the models.
     rows = S.with_column_if_missing(base, S.DOMESTIC_STR, lambda d: F.col(S.DOMESTIC).cast("string"))
     rows = S.complete_rows(rows)
     if args.sample:
         if args.sampler == "hash":
-            rows = SM.hash_sample(rows, S.INCIDENT_ID, args.sample, salt=f"sample:{args.seed}")
+            rows = SM.hash_sample(rows, S.INCIDENT_ID, args.sample, f"sample:{args.seed}", MO.MODEL_COLUMNS)
         else:
             rows = SM.bernoulli_sample(rows, args.sample, args.seed)
 

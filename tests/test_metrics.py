@@ -64,12 +64,24 @@ def _brute_auc(pairs):
     return wins / (len(pos) * len(neg))
 
 
-@pytest.mark.parametrize("buckets", [2, 3, 16, 64])
-def test_auc_exact_with_ties(spark, buckets):
+@pytest.fixture()
+def ranges(spark):
+    """Sets how many score ranges the AUC is summed over."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield lambda n: spark.conf.set(key, str(n))
+    spark.conf.set(key, before)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("n_ranges", [2, 3, 16, 64])
+def test_auc_exact_with_ties(spark, ranges, n_ranges):
+    ranges(n_ranges)
     rnd = random.Random(7)
     pairs = [(round(rnd.random(), 2), int(rnd.random() < 0.4)) for _ in range(600)]
     df = spark.createDataFrame(pairs, "score double, label int")
-    got = M.auc_roc(df, buckets=buckets).first()["auc"]
+    got = M.auc_roc(df).first()["auc"]
     assert got == pytest.approx(_brute_auc(pairs), abs=1e-12)
 
 
@@ -85,7 +97,7 @@ def test_auc_hot_score(spark):
     """A score shared by a third of the rows is one aggregated row."""
     rows = [(0.5, i % 2) for i in range(300)] + [(i / 600.0, int(i % 3 == 0)) for i in range(600)]
     df = spark.createDataFrame(rows, "score double, label int")
-    assert M.auc_roc(df, buckets=8).first()["auc"] == pytest.approx(_brute_auc(rows), abs=1e-12)
+    assert M.auc_roc(df).first()["auc"] == pytest.approx(_brute_auc(rows), abs=1e-12)
 
 
 def test_auc_grouped_and_one_class(spark):
@@ -152,7 +164,7 @@ def test_property_metrics_match_definitions(spark, pairs):
     and the per-class definitions."""
     rows = [(l, s / 6.0, 1.0 if s >= 3 else 0.0) for l, s in pairs]
     df = spark.createDataFrame(rows, "label int, score double, prediction double")
-    rec = M.metrics_record(df, with_confusion=True, buckets=4).first()
+    rec = M.metrics_record(df, with_confusion=True).first()
     n_pos = sum(1 for l, _, _ in rows if l == 1)
     if 0 < n_pos < len(rows):
         assert rec["auc"] == pytest.approx(_brute_auc([(s, l) for l, s, _ in rows]), abs=1e-12)
@@ -163,20 +175,37 @@ def test_property_metrics_match_definitions(spark, pairs):
     assert rec["tn"] + rec["fp"] + rec["fn"] + rec["tp"] == len(rows)
 
 
-def test_auc_time_does_not_follow_the_number_of_ranges(spark):
+def test_auc_time_does_not_follow_the_number_of_ranges(spark, ranges):
     """400,000 distinct scores: many ranges cost about what few cost."""
     import time
 
     df = spark.range(400_000).selectExpr("cast(id % 3 = 0 as int) label", "(id * 7919 % 400009) / 400009D score").cache()
     df.count()
     took, value = {}, {}
-    for buckets in (16, 16, 4096):
+    for n in (4, 4, 64):
+        ranges(n)
         t = time.time()
-        value[buckets] = M.auc_roc(df, buckets=buckets).first()["auc"]
-        took[buckets] = time.time() - t
+        value[n] = M.auc_roc(df).first()["auc"]
+        took[n] = time.time() - t
     df.unpersist()
-    assert value[16] == pytest.approx(value[4096], abs=1e-12)
-    assert took[4096] < 5 * took[16] + 5
+    assert value[4] == pytest.approx(value[64], abs=1e-12)
+    assert took[64] < 5 * took[4] + 5
+
+
+def test_grouped_record_over_many_ranges(spark, ranges):
+    """Groups that share ranges, groups cut by them, and rows without a score."""
+    ranges(7)
+    rnd = random.Random(3)
+    rows = [(g, int(rnd.random() < 0.3), round(rnd.random(), 2), float(rnd.random() < 0.5)) for g in ("a", "b", "c") for _ in range(300)]
+    rows += [("b", 1, None, 1.0), ("b", 0, None, 1.0), ("d", 1, 0.5, 1.0)]
+    df = spark.createDataFrame(rows, "model string, label int, score double, prediction double")
+    got = {r["model"]: r for r in M.metrics_record(df, by=["model"], with_confusion=True).collect()}
+    for g in ("a", "b", "c"):
+        own = [r for r in rows if r[0] == g]
+        assert got[g]["auc"] == pytest.approx(_brute_auc([(s, l) for _, l, s, _ in own if s is not None]), abs=1e-12)
+        assert got[g]["tp"] == sum(1 for _, l, _, p in own if l == 1 and p == 1.0)
+        assert got[g]["tn"] + got[g]["fp"] + got[g]["fn"] + got[g]["tp"] == len(own)
+    assert got["d"]["auc"] is None and got["d"]["tp"] == 1
 
 
 def test_other_labels_and_predictions_leave_every_metric(spark):

@@ -53,8 +53,23 @@ def test_overall_rate_is_one_pass(spark):
 
 
 def test_hash_split_is_narrow(spark):
-    plan = _plan(E.queries()["hash_split"](spark, SF_SMALL))
-    assert "Exchange" not in plan
+    """No exchange, and the scan reads the id alone."""
+    for name in ("hash_split", "split_sizes"):
+        plan = _plan(E.queries()[name](spark, SF_SMALL))
+        assert _read_schemas(plan) == ["struct<event_id:bigint>"], name
+    assert "Exchange" not in _plan(E.queries()["hash_split"](spark, SF_SMALL))
+
+
+def test_node_tables_are_joined_once_a_level(spark, monkeypatch):
+    from blotter.operators import trees as T
+
+    schema = "tree int, node int, left int, right int, feature_index int, categories array<double>, threshold double, stats array<double>, prediction double, tree_weight double"
+    nodes = spark.createDataFrame([], schema)
+    rows = spark.createDataFrame([], "id long, features array<double>")
+    plan = _plan(T.leaf_of(rows, nodes, trees=10, depth=4))
+    assert plan.count("Join") == 4 and "SortMergeJoin" not in plan
+    monkeypatch.setattr(T, "BROADCAST_NODES", 5)
+    assert "ResolvedHint" not in _plan(T.leaf_of(rows, nodes, trees=10, depth=4))
 
 
 def test_weighted_metrics_have_no_join(spark):
@@ -80,16 +95,17 @@ def test_single_partition_exchanges_carry_bounded_rows(spark, name):
             assert _BOUNDED_CHILD.search(child), f"{name}: {child.strip()[:120]}"
 
 
-def test_auc_finds_ranges_by_binary_search_and_shares_one_scan(spark):
-    """The bounds are searched in log2(buckets) steps, and after the run the
-    branches share the exchange of the first aggregate."""
+def test_auc_is_one_branch_over_a_range_exchange(spark):
+    """The score axis is cut by a range exchange; nothing is read twice, joined
+    back or searched row by row."""
     from blotter.operators import metrics as M
     from blotter.plans.catalog import incidents_at, scored_rows
 
-    df = M.auc_roc(scored_rows(incidents_at(spark, SF_SMALL)))
-    assert "filter(" not in _plan(df)
-    df.collect()
-    assert "ReusedExchange" in _plan(df)
+    rows = scored_rows(incidents_at(spark, SF_SMALL))
+    for df in (M.auc_roc(rows), M.metrics_record(rows), M.metrics_record(rows, by=["model"])):
+        plan = _plan(df)
+        assert plan.count("FileScan") == 1 and "rangepartitioning" in plan
+        assert "Join" not in plan and "Subquery" not in plan and "lambdafunction" not in plan
 
 
 def test_metric_counts_cells_before_expanding_them(spark):

@@ -114,8 +114,9 @@ def test_prepare_splits_the_same_for_any_partitioning(spark):
 
 def test_rows_without_ids_are_sampled_and_split_by_their_values(spark):
     df = spark.range(2000).selectExpr("cast(null as bigint) incident_id", "cast(id as string) place")
-    assert SM.hash_sample(df, "incident_id", 1.0).count() == 2000
-    sizes = {r["part"]: r["n_rows"] for r in SM.part_sizes(SM.hash_split(df, "incident_id")).collect()}
+    assert SM.hash_sample(df, "incident_id", 1.0, fallback=["place"]).count() == 2000
+    assert len(SM.part_sizes(SM.hash_split(df, "incident_id")).collect()) == 1  # no columns named: one fate
+    sizes = {r["part"]: r["n_rows"] for r in SM.part_sizes(SM.hash_split(df, "incident_id", fallback=["place"])).collect()}
     assert sum(sizes.values()) == 2000 and abs(sizes["train"] / 2000 - 0.8) < 0.05
 
 
