@@ -4,119 +4,148 @@ connected components.
 A bucket is a key that several sets share (a prefix n-gram, a band of a
 signature). Pairs that may be linked share a bucket, but a bucket of a large
 group of copies must not be expanded into all of its pairs. As only the
-components of the links matter, it is enough to test every member of a bucket
-against two hubs; members in the component that most of a bucket belongs to
-need no test among themselves. The others (strays) are tested afterwards
-against every member of each other component that they share a bucket with: a
-drawn share of them while a bucket has many, as their links may join the
-others, then all. No pair of sets that share a bucket and are in different
-components is left untested, so no link is lost.
+components of the links matter, pairs within one component need no test. Three
+passes find the links:
+
+1. every member of a bucket against two hubs, drawn for each bucket anew: of a
+   group that shares many buckets, each member meets many others;
+2. buckets whose members still are in different components are dealt into parts
+   of at most about ``PART`` members, and the pairs of a part that may be linked
+   and whose components differ are tested. Buckets of that size are then done;
+3. in the larger ones, all remaining pairs whose components differ. A hot bucket
+   is dealt over several tasks.
+
+What may be linked is decided within the joins, from sizes and, where rows carry
+them, positions and bitmaps (``may_link``). No pair that shares a bucket, may be
+linked and is in different components is left untested, so no link is lost.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotter.llm.frames import stored
 
-#: Buckets up to this many rows are expanded into their pairs at once.
-SMALL_BUCKET = 4
-#: Strays of a bucket that one round tests: all while strays times components
-#: are no more than BUCKET_TESTS, else a drawn share, at least about FEW_STRAYS.
-FEW_STRAYS, BUCKET_TESTS = 4, 2048
+#: Members of a bucket's part in the second pass, and of a task's share of a hot
+#: bucket in the third.
+PART, SHARE = 256, 4096
+
+#: What a bucket's row may carry besides key, c and n: ``sig``, a 32-bit parity
+#: bitmap of the set (bit i: the parity of the members that fall on i); and for
+#: keys that are members of the sets in one common order, ``rest``, the members
+#: from the key on, and ``short``, whether the key is in the set's index prefix.
+CARRIED = ("c", "n", "sig", "rest", "short")
+
+
+def may_link(x: str, y: str, columns: list[str], threshold: float) -> Column:
+    """Whether the sets of two rows of a bucket, whose ``columns`` are prefixed
+    ``x`` and ``y``, may have a Jaccard similarity of ``threshold``.
+
+    - Sizes: the smaller one is at least ``threshold`` times the larger one.
+    - ``sig``: the symmetric difference is at least the number of bits that
+      differ.
+    - ``rest``: at their first common member, the overlap is at most what either
+      set has from there on.
+    - ``short``: the first common member is in the index prefix of the smaller set
+      (of both, if their sizes are equal).
+    """
+    a, b = (lambda name: F.col(x + name)), (lambda name: F.col(y + name))
+    both = a("n") + b("n")
+    out = (F.least(a("n"), b("n")) >= F.greatest(a("n"), b("n")) * threshold - 1e-9) & (a("c") != b("c"))
+    if "sig" in columns:
+        out = out & (F.bit_count(a("sig").bitwiseXOR(b("sig"))) <= both * ((1 - threshold) / (1 + threshold)) + 1e-9)
+    if "rest" in columns:
+        out = out & (F.least(a("rest"), b("rest")) >= both * (threshold / (1 + threshold)) - 1e-9)
+    if "short" in columns:
+        out = out & (a("short") | (a("n") > b("n"))) & (b("short") | (b("n") > a("n")))
+    return out
+
+
+def _carried(rows: DataFrame) -> list[str]:
+    return [x for x in CARRIED if x in rows.columns]
+
+
+def _prefixed(rows: DataFrame, prefix: str, *keep: str) -> list[Column]:
+    return [*[F.col(k) for k in keep], *[F.col(x).alias(prefix + x) for x in _carried(rows)]]
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
-    """(key, c, n[, sig], size, hub..., hub2...) of the rows of ``rows`` (key,
-    c, n[, sig]) whose key two or more different sets share. Hubs are the
-    bucket's smallest c, as good as a random member, and its smallest set,
-    which is the likeliest to be contained in the others. ``sig`` is an
-    optional 32-bit parity bitmap of the set (bit i: the parity of the members
-    that fall on i)."""
-    dealt = rows.repartition("key")
-    about = [x for x in ("c", "n", "sig") if x in rows.columns]
-    buckets = dealt.groupBy("key").agg(
-        F.min(F.struct(*about)).alias("hub"), F.min(F.struct("n", *[x for x in about if x != "n"])).alias("hub2"), F.max("c").alias("top"), F.count("*").alias("size")
-    )
-    named = [F.col(f"{h}.{x}").alias(h if x == "c" else f"{h}_{x}") for h in ("hub", "hub2") for x in about]
-    return stored(dealt.join(buckets.where("hub.c <> top").select("key", "size", *named), "key"), "buckets")
-
-
-def _ordered(pairs: DataFrame, threshold: float) -> DataFrame:
-    """Distinct (a, b), a < b, of (x, nx, y, ny[, sx, sy]) whose sizes, and
-    bitmaps if there are, allow a Jaccard similarity of ``threshold``: the
-    symmetric difference is at least the number of bits that differ."""
-    fits = (F.least("nx", "ny") >= F.greatest("nx", "ny") * threshold - 1e-9) & (F.col("x") != F.col("y"))
-    if "sx" in pairs.columns:
-        most = (F.col("nx") + F.col("ny")) * ((1 - threshold) / (1 + threshold)) + 1e-9
-        fits = fits & (F.bit_count(F.col("sx").bitwiseXOR(F.col("sy"))) <= most)
-    return pairs.where(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
-def _side(rows: DataFrame, side: str, prefix: str = "", own: str = "c") -> list:
-    """c, n (and sig) of ``rows`` as x, nx (sx) or y, ny (sy)."""
-    out = [F.col(own).alias(side), F.col(f"{prefix}n").alias(f"n{side}")]
-    return out + ([F.col(f"{prefix}sig").alias(f"s{side}")] if f"{prefix}sig" in rows.columns else [])
-
-
-def first_pairs(active: DataFrame, threshold: float) -> DataFrame:
-    """Every row against its bucket's hubs, and all pairs of small buckets."""
-    to_hub = active.select(*_side(active, "x"), *_side(active, "y", "hub_", "hub"))
-    to_hub = to_hub.unionByName(active.where("hub <> hub2").select(*_side(active, "x"), *_side(active, "y", "hub2_", "hub2")))
-    small = active.where((F.col("size") > 2) & (F.col("size") <= SMALL_BUCKET)).where("c <> hub and c <> hub2")
-    within = small.select("key", *_side(small, "x")).join(small.select("key", *_side(small, "y")), "key").where("x < y").drop("key")
-    return _ordered(to_hub.unionByName(within), threshold)
-
-
-def linked_components(
-    active: DataFrame, threshold: float, verify: Callable[[DataFrame], DataFrame]
-) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``rows`` (key and ``CARRIED``) whose key two or more different
+    sets share, with the bucket's ``size`` and its hubs (h_c, h_n, ..., g_c,
+    ...). Hubs have the least hashes of key and set among the rows that are
+    ``short``, or all."""
+    about = _carried(rows)
+    dealt = rows.repartition("key").dropDuplicates(["key", "c"])
+    able = F.col("short") if "short" in about else F.lit(True)
+    hub = [F.min(F.when(able, F.struct(F.xxhash64(F.lit(i), "key", "c").alias("at"), *about))).alias(h) for i, h in enumerate("hg")]
+    buckets = dealt.groupBy("key").agg(*hub, F.count(F.lit(1)).alias("size")).where("size > 1 and h is not null")
+    named = [F.col(f"{h}.{x}").alias(f"{h}_{x}") for h in "hg" for x in about]
+    return stored(dealt.join(buckets.select("key", "size", *named), "key"), "buckets")
+
+
+def _distinct(pairs: DataFrame, x: str, y: str) -> DataFrame:
+    return pairs.select(F.least(x + "c", y + "c").alias("a"), F.greatest(x + "c", y + "c").alias("b")).distinct()
+
+
+def hub_pairs(active: DataFrame, threshold: float) -> DataFrame:
+    """Every row against its bucket's hubs."""
+    about = _carried(active)
+    hubs = [active.select(*_prefixed(active, "x_"), *[F.col(f"{h}_{c}").alias(f"y_{c}") for c in about]) for h in "hg"]
+    return _distinct(hubs[0].unionByName(hubs[1]).where(may_link("x_", "y_", about, threshold)), "x_", "y_")
+
+
+def _open(active: DataFrame, roots: DataFrame, least: int) -> DataFrame:
+    """Rows, with their ``root``, of the buckets of ``least`` members or more that
+    hold more than one component."""
+    rows = active.where(F.col("size") >= least).select("key", "size", *_carried(active))
+    named = rows.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
+    mixed = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    return stored(named.join(mixed.select("key"), "key", "left_semi"), "buckets-open")
+
+
+def _met(left: DataFrame, right: DataFrame, keys: list[str], about: list[str], threshold: float) -> DataFrame:
+    """Pairs of rows with equal ``keys`` that may be linked and whose components
+    differ."""
+    x, y = left.select(*_prefixed(left, "x_", *keys), F.col("root").alias("x_root")), right.select(*_prefixed(right, "y_", *keys), F.col("root").alias("y_root"))
+    return _distinct(x.join(y, keys).where((F.col("x_root") != F.col("y_root")) & may_link("x_", "y_", about, threshold)), "x_", "y_")
+
+
+def part_pairs(rows: DataFrame, threshold: float) -> DataFrame:
+    """Pairs within parts of the buckets."""
+    parts = rows.withColumn("part", F.pmod(F.xxhash64("key", "c"), F.ceil(F.col("size") / PART)))
+    return _met(parts, parts, ["key", "part"], _carried(rows), threshold)
+
+
+def whole_pairs(rows: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of the buckets, each bucket dealt over as many tasks as it has
+    shares of ``SHARE`` members: a member is in one share and meets all shares."""
+    shares = F.ceil(F.col("size") / SHARE)
+    one = rows.withColumn("share", F.pmod(F.xxhash64("c"), shares))
+    every = rows.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), shares - 1)))
+    if "short" in rows.columns:
+        one = one.where("short")  # of a pair that may be linked, one is
+    return _met(one, every, ["key", "share"], _carried(rows), threshold)
+
+
+def linked_components(active: DataFrame, threshold: float, verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
     """(links (a, b), components (c, root)) of the sets in ``active``.
-    ``verify`` keeps the linked ones of the pairs (a, b) it is given."""
-    links = stored(verify(stored(first_pairs(active, threshold), "pairs")), "links")
+    ``verify`` keeps the linked ones of the pairs (a, b) it is given. The links
+    connect every component; of large groups they are not all links."""
+    links = stored(verify(stored(hub_pairs(active, threshold), "pairs")), "links")
     roots = components(links)
-    about = [x for x in ("c", "n", "sig") if x in active.columns]
-    rest = active.where(F.col("size") > SMALL_BUCKET).select("key", *about, F.col("c").isin(F.col("hub"), F.col("hub2")).alias("done"))
-    done = None  # (key, c) of the sets that were tested against all the others in that bucket
-    for turn in itertools.count():
-        named = rest.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
-        per_root = named.groupBy("key", "root").agg(F.count("*").alias("k"))
-        main = per_root.groupBy("key").agg(F.max_by("root", "k").alias("main"), F.count("*").alias("roots")).where("roots > 1")
-        state = named.join(main, "key")
-        if done is not None:
-            state = state.join(done.withColumn("tested", F.lit(True)), ["key", "c"], "left").withColumn("done", F.col("done") | F.col("tested").isNotNull()).drop("tested")
-        state = stored(state.withColumn("stray", (F.col("root") != F.col("main")) & ~F.col("done")), "strays")
-        load = state.where("stray").groupBy("key").agg(F.count("*").alias("strays"), F.min("c").alias("least"))
-        # as many strays of a bucket as keep its tests linear in its size
-        share = F.greatest(F.lit(FEW_STRAYS), F.lit(BUCKET_TESTS) / F.col("roots")) / F.col("strays")
-        drawn = F.pmod(F.xxhash64(F.lit(turn), "c"), F.lit(1 << 20)) < share * (1 << 20)
-        open_strays = state.where("stray").join(load, "key").withColumn("drawn", drawn | (F.col("c") == F.col("least")))
-        chosen = stored(open_strays.groupBy("c").agg(F.max("drawn").alias("drawn")), "strays-drawn")
-        count = chosen.agg(F.count("*").alias("all"), F.count_if("drawn").alias("drawn")).first()
-        if not count["all"]:
-            return links, roots
-        first = chosen.where("drawn").select("c")
-        # which components each of them meets: one row per bucket and component
-        met = state.where("not done").select("key", F.col("root").alias("ry")).distinct()
-        drawn_rows = state.where("stray").join(first, "c")
-        drawn_rows = drawn_rows.select("key", *_side(drawn_rows, "x"), F.col("root").alias("rx"))
-        met = drawn_rows.join(met, "key").where("rx <> ry").drop("key", "rx").distinct()
-        members = state.where("not done").select("root", *about).distinct()
-        against = members.select(*_side(members, "y"), F.col("root").alias("ry"))
-        more = stored(_ordered(met.join(against, "ry"), threshold), "pairs")
-        if not more.isEmpty():
-            found = stored(verify(more), "links")
-            links = links.unionByName(found)
-            roots = components(found.unionByName(roots.where("c <> root").toDF("a", "b")))
-        if count["drawn"] == count["all"]:
-            return links, roots
-        # a drawn set stays open in the buckets whose main component it is in
-        tested = state.where("stray").join(first, "c").select("key", "c")
-        done = stored(tested if done is None else done.unionByName(tested), "done")
+    # two hubs leave no pair in a bucket of three
+    for least, pairs_of in ((4, part_pairs), (PART + 1, whole_pairs)):
+        rows = _open(active, roots, least)
+        pairs = stored(pairs_of(rows, threshold), "pairs")
+        if pairs.isEmpty():
+            continue
+        found = stored(verify(pairs), "links")
+        links = links.unionByName(found)
+        roots = components(found.unionByName(roots.where("c <> root").toDF("a", "b")))
+    return links, roots
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -10,8 +10,10 @@ that many documents hold out of the prefixes.
 1. One pass over all texts gives each set's size, fingerprint and parity
    bitmap, and the counters. Equal sets become one class.
 2. Two sets with Jaccard >= t share an n-gram among the first
-   ``n - ceil(t * n) + 1`` of either: these prefixes meet by n-gram
-   (``blocking``), which gives candidate pairs of classes.
+   ``n - ceil(t * n) + 1`` of the larger (probe prefix) and the first
+   ``n - ceil(2 t / (1 + t) * n) + 1`` of the smaller (index prefix): prefixes
+   meet by n-gram (``blocking``), which gives candidate pairs of classes. Where
+   they meet first, neither may have fewer n-grams left than the overlap needs.
 3. A pair's parity bitmaps bound its symmetric difference from below; pairs
    beyond what the threshold allows drop out.
 4. The global order is cut into fragments. The sets of the remaining classes
@@ -51,7 +53,7 @@ CELLS = 1 << 22
 PIECE = 1 << 16
 RANKS = 32
 CELL_SHIFT = np.uint64(42)
-FRAGMENTS = 8
+FRAGMENTS = 4
 
 
 def shingle_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
@@ -172,12 +174,16 @@ def _in_order(s: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def prefix_rows(docs: DataFrame, ranks: np.ndarray, threshold: Fraction) -> DataFrame:
-    """(key, c, n): the prefix of each class, once per task."""
+    """(key, c, n, rest, short): the probe prefix of each class, once per task;
+    ``rest`` counts the n-grams from this one on, ``short`` marks the index
+    prefix."""
+    names = ["key", "c", "n", "rest", "short"]
+    num, den = threshold.numerator, threshold.denominator
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            keys, cs, ns = [], [], []
+            keys, cs, ns, index = [], [], [], []
             rows = 0
             for _, s in shingle_sets(batch.column(1)):
                 c = fingerprint(s)
@@ -185,25 +191,26 @@ def prefix_rows(docs: DataFrame, ranks: np.ndarray, threshold: Fraction) -> Data
                     continue
                 seen.add(c)
                 n = len(s)
-                length = n - -(-threshold.numerator * n // threshold.denominator) + 1
+                length = n - -(-num * n // den) + 1
                 keys.append(_in_order(s, ranks)[0][:length])
                 cs.append(c)
                 ns.append(n)
+                index.append(n - -(-2 * num * n // (num + den)) + 1)
                 rows += length
                 if rows >= 200_000:
-                    yield _rows(keys, cs, ns)
-                    keys, cs, ns, rows = [], [], [], 0
+                    yield _rows(keys, cs, ns, index)
+                    keys, cs, ns, index, rows = [], [], [], [], 0
             if keys:
-                yield _rows(keys, cs, ns)
+                yield _rows(keys, cs, ns, index)
 
-    def _rows(keys: list[np.ndarray], cs: list[int], ns: list[int]) -> pa.RecordBatch:
-        counts = [len(k) for k in keys]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.array(cs, np.int64), counts)), pa.array(np.repeat(np.array(ns, np.int32), counts))],
-            names=["key", "c", "n"],
-        )
+    def _rows(keys: list[np.ndarray], cs: list[int], ns: list[int], index: list[int]) -> pa.RecordBatch:
+        counts = np.array([len(k) for k in keys])
+        at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        n = np.repeat(np.array(ns, np.int32), counts)
+        columns = [np.concatenate(keys).view(np.int64), np.repeat(np.array(cs, np.int64), counts), n, (n - at).astype(np.int32), at < np.repeat(index, counts)]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
 
-    return doc_texts(docs).mapInArrow(run, "key long, c long, n int")
+    return doc_texts(docs).mapInArrow(run, "key long, c long, n int, rest int, short boolean")
 
 
 def fragment_rows(docs: DataFrame, wanted: np.ndarray, ranks: np.ndarray) -> DataFrame:
