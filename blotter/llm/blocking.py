@@ -4,16 +4,20 @@ connected components.
 A bucket is a key that several sets share (a prefix n-gram, a band of a
 signature). Pairs that may be linked share a bucket, but a bucket of a large
 group of copies must not be expanded into all of its pairs. As only the
-components of the links matter, pairs within one component need no test. Three
+components of the links matter, pairs within one component need no test. A few
 passes find the links:
 
-1. every member of a bucket against two hubs, drawn for each bucket anew: of a
-   group that shares many buckets, each member meets many others;
-2. buckets whose members still are in different components are dealt into parts
-   of at most about ``PART`` members, and the pairs of a part that may be linked
-   and whose components differ are tested. Buckets of that size are then done;
-3. in the larger ones, all remaining pairs whose components differ. A hot bucket
-   is dealt over several tasks.
+1. every member of a bucket against two hubs: one drawn for each bucket anew, so
+   that in a group that shares many buckets each member meets many others; and,
+   where positions are known, the member with the least share of its set before
+   the key. Of near copies that is the one with the fewest members of its own,
+   which is the likeliest to be linked with any other;
+2. where positions are not known, buckets whose members still are in different
+   components are dealt into parts of at most about ``PART`` members, and the
+   pairs of a part that may be linked and whose components differ are tested.
+   Buckets of that size are then done;
+3. in all others, all remaining pairs whose components differ. A hot bucket is
+   dealt over several tasks.
 
 What may be linked is decided within the joins, from sizes and, where rows carry
 them, positions and bitmaps (``may_link``). No pair that shares a bucket, may be
@@ -75,12 +79,15 @@ def _prefixed(rows: DataFrame, prefix: str, *keep: str) -> list[Column]:
 def shared_buckets(rows: DataFrame) -> DataFrame:
     """The rows of ``rows`` (key and ``CARRIED``) whose key two or more different
     sets share, with the bucket's ``size`` and its hubs (h_c, h_n, ..., g_c,
-    ...). Hubs have the least hashes of key and set among the rows that are
-    ``short``, or all."""
+    ...), chosen among the rows that are ``short``, or all: h has the least hash
+    of key and set, g the least share of its set before the key, or else the least
+    of another hash."""
     about = _carried(rows)
     dealt = rows.repartition("key").dropDuplicates(["key", "c"])
     able = F.col("short") if "short" in about else F.lit(True)
-    hub = [F.min(F.when(able, F.struct(F.xxhash64(F.lit(i), "key", "c").alias("at"), *about))).alias(h) for i, h in enumerate("hg")]
+    before = (F.col("n") - F.col("rest")) / F.col("n") if "rest" in about else F.xxhash64(F.lit(1), "key", "c")
+    orders = {"h": F.xxhash64(F.lit(0), "key", "c"), "g": before}
+    hub = [F.min(F.when(able, F.struct(at.alias("at"), *about))).alias(h) for h, at in orders.items()]
     buckets = dealt.groupBy("key").agg(*hub, F.count(F.lit(1)).alias("size")).where("size > 1 and h is not null")
     named = [F.col(f"{h}.{x}").alias(f"{h}_{x}") for h in "hg" for x in about]
     return stored(dealt.join(buckets.select("key", "size", *named), "key"), "buckets")
@@ -136,8 +143,8 @@ def linked_components(active: DataFrame, threshold: float, verify: Callable[[Dat
     connect every component; of large groups they are not all links."""
     links = stored(verify(stored(hub_pairs(active, threshold), "pairs")), "links")
     roots = components(links)
-    # two hubs leave no pair in a bucket of three
-    for least, pairs_of in ((4, part_pairs), (PART + 1, whole_pairs)):
+    passes = ((3, whole_pairs),) if "rest" in active.columns else ((3, part_pairs), (PART + 1, whole_pairs))
+    for least, pairs_of in passes:
         rows = _open(active, roots, least)
         pairs = stored(pairs_of(rows, threshold), "pairs")
         if pairs.isEmpty():

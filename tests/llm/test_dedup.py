@@ -63,6 +63,36 @@ def test_sets_drawn_in_one_bucket_stay_open_in_their_others(spark):
     assert got == _components(links, {x for p in links for x in p})
 
 
+@pytest.mark.parametrize("size", [2, 3, 4, 300])
+def test_every_pair_of_a_bucket_is_met(spark, size):
+    # each bucket has one link, between members that need not be its hubs
+    rng = random.Random(size)
+    buckets = {k: range(1000 * k, 1000 * k + size) for k in range(6000 // size if size < 300 else 6)}
+    links = [tuple(sorted(rng.sample(list(b), 2))) for b in buckets.values()]
+    got = _linked_by_rounds(spark, buckets, links)
+    assert got == {c: a for a, b in links for c in (a, b)}
+
+
+def test_texts_around_one_passage_equal_brute_force(spark, make_docs):
+    # own words of 0 to 8 around 40 common ones: similarities on both sides of 0.8
+    rng = random.Random(21)
+    passage = [f"p{i}" for i in range(40)]
+    texts = []
+    for i in range(1000):
+        own = [f"w{i % 700}x{j}" for j in range(rng.randint(0, 14))]
+        at = rng.randint(0, len(own))
+        texts.append(" ".join([*own[:at], *passage[rng.choice([0, 0, 0, 5]) :], *own[at:]]))
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    pairs = []
+    for i, a in enumerate(sets):
+        for j in range(i + 1, len(sets)):
+            both = len(a & sets[j])
+            if 100 * both >= 80 * (len(a) + len(sets[j]) - both):
+                pairs.append((i, j))
+    got = {r["doc_id"]: r["component_id"] for r in ngram_components(make_docs(texts)).collect()}
+    assert got == _components(pairs, range(len(texts)))
+
+
 def test_overlapping_buckets_of_hundreds_of_families_equal_union_find(spark):
     rng = random.Random(5)
     buckets = {k: rng.sample(range(420), 220) for k in range(3)}
