@@ -41,7 +41,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(documents, count_as="removed_chunks")
+    return dedup_lines(documents, count_as="removed_lines")
 
 
 def op6_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,29 +95,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-#: Chunks of lines per document: c numbers them from 0.
-LINE_CHUNKS_SQL = """
+#: Lines that repeated chunks take: i numbers lines from 1, upto counts a
+#: text's characters up to a line's end, line breaks included.
+REPEATED_LINES_SQL = """
 WITH line AS (
-  SELECT doc_id, i, x, ('0x' || substr(md5(x), 1, 8))::BIGINT AS h
+  SELECT doc_id, i, x, length(x) AS n, ('0x' || substr(md5(x), 1, 8))::BIGINT AS h,
+         sum(length(x) + 1) OVER (PARTITION BY doc_id ORDER BY i) AS upto
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i
-        FROM {documents} WHERE text IS NOT NULL)
-), ended AS (
-  SELECT *, CASE WHEN (h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 2 = 0 THEN 1 ELSE 0 END AS stop FROM line
-), numbered AS (
-  SELECT *, coalesce(sum(stop) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM ended
+        FROM documents WHERE text IS NOT NULL)
+), rolled AS (
+  SELECT *, (31 * h + lead(h) OVER w) % 4294967291 AS r, n + 1 + lead(n) OVER w AS pair_chars
+  FROM line WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), marked AS (
+  SELECT *, r IS NOT NULL AND (pair_chars >= 100 OR r <= greatest(coalesce(lag(r) OVER w, 4294967291), coalesce(lead(r) OVER w, 4294967291))) AS starts
+  FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), bounds AS (
+  SELECT *, coalesce(lag(starts) OVER (PARTITION BY doc_id ORDER BY i), false) AS stops FROM marked
+), runs AS (
+  SELECT a.doc_id, a.i AS first, min(b.i) AS last FROM bounds a JOIN line b ON b.doc_id = a.doc_id AND b.i > a.i AND b.upto - a.upto + a.n >= 40
+  WHERE a.starts GROUP BY a.doc_id, a.i
+  UNION
+  SELECT b.doc_id, max(a.i) AS first, b.i AS last FROM bounds b JOIN line a ON a.doc_id = b.doc_id AND b.i > a.i AND b.upto - a.upto + a.n >= 40
+  WHERE b.stops GROUP BY b.doc_id, b.i
+), text_lines AS (
+  SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL
 ), chunk AS (
-  SELECT doc_id, c, string_agg(x, chr(10) ORDER BY i) AS body, count(*) AS lines FROM numbered GROUP BY doc_id, c
-), ranked AS (
-  SELECT *, lines >= 2 AND length(body) >= 40 AND row_number() OVER (PARTITION BY body ORDER BY doc_id, c) > 1 AS cut FROM chunk
+  SELECT doc_id, first, last, array_to_string(lines[first:last], chr(10)) AS body FROM runs JOIN text_lines USING (doc_id)
+), later AS (
+  SELECT doc_id, first, last FROM chunk QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, first) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS i FROM later
 ), kept AS (
-  SELECT doc_id, coalesce(string_agg(body, chr(10) ORDER BY c) FILTER (WHERE NOT cut), '') AS kept_text, count(*) FILTER (WHERE cut) AS removed
-  FROM ranked GROUP BY doc_id
+  SELECT doc_id, coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (WHERE g.i IS NULL), '') AS kept_text, count(g.i) AS removed
+  FROM line LEFT JOIN gone g USING (doc_id, i) GROUP BY doc_id
 )
 """
 
 ORACLES: dict[str, str] = {
-    "op5_line_dedup": LINE_CHUNKS_SQL.format(documents="documents")
-    + "SELECT d.doc_id, k.kept_text AS text, coalesce(k.removed, 0) AS removed_chunks FROM documents d LEFT JOIN kept k USING (doc_id)",
+    "op5_line_dedup": REPEATED_LINES_SQL
+    + "SELECT d.doc_id, k.kept_text AS text, coalesce(k.removed, 0) AS removed_lines FROM documents d LEFT JOIN kept k USING (doc_id)",
     # Payload groups by their bytes; base32 from 20-bit pieces of the SHA-1.
     "op7_warc_archive": """
 WITH p AS (

@@ -1,16 +1,24 @@
 """Line dedup over content-defined chunks of lines, in DataFrame functions.
 
-A text is cut into lines; each line has a hash, and a rolling hash over the
-hashes of a line and the one before it decides whether a chunk ends there
-(one value in ``divisor``), so boundaries follow the lines themselves and
-inserted or removed lines shift nothing beyond the next boundary. Chunks of
-two lines or more and of ``min_chars`` characters whose 64-bit hash occurs
-more than once are compared byte for byte with the first occurrence (smallest
-id, then position); the equal ones are removed.
-
-Counting is a partial aggregate, so a chunk that a third of all documents
-share is one row per task; the comparison and the rebuild are equi-joins that
-AQE can split. Chunk texts are made by one split per document, in linear time.
+A text is cut into lines; each line has a hash, and a rolling hash runs over the
+hashes of every line and the next. A pair of lines is a boundary where its
+rolling hash is the least of some ``window`` adjacent pairs, or where the pair
+has ``max_chars`` characters; the ends of a text are boundaries too. From each
+boundary a chunk goes on, and another one goes back, for the fewest lines that
+make two and ``min_chars`` characters. Boundaries follow the lines of a window
+alone, so inserted or removed lines shift nothing beyond it: with a window of
+two, a repeated run of three lines or more holds the same boundaries wherever it
+stands and chunks cover all but, at times, its first or last line; with a window
+of one every pair is a boundary, and no repeated run is missed.
+
+Chunks whose 64-bit hash occurs more than once are compared byte for byte with
+the first occurrence (smallest id, then text hash and position). Every line of a
+later equal chunk is removed; a line's own first place stays.
+
+Hashes are counted by a partial aggregate, so a chunk that a third of all
+documents share is one row per task. Only places travel until then; the bytes
+are cut again from the texts that hold a repeated hash. The comparison and the
+rebuild are equi-joins that AQE can split.
 
 Edge cases: a null text stays null; an empty text or one without repeated
 chunks stays as it is; a document may become empty but its row stays; rows of
@@ -26,55 +34,37 @@ from pyspark.sql import functions as F
 
 from blotter.llm.frames import stored
 
-DIVISOR = 2
-MIN_CHARS = 40
-_BEGIN, _NEXT = "\nB", "\nC"
+WINDOW = 2
+MIN_CHARS, MAX_CHARS = 40, 100
+#: Rolling hashes are residues of this prime.
+PRIME = 4_294_967_291
 
 
-def chunk_texts(text: Column, divisor: int = DIVISOR) -> Column:
-    """Chunks of a text, in order. Every line is written after a line break
-    and a mark that says whether it begins a chunk; as lines hold no line
-    break, splitting at the one mark and undoing the other is exact."""
-    lines = F.split(text, "\n", -1)
+def boundary_pairs(lines: Column, lengths: Column, window: int, max_chars: int) -> Column:
+    """Per pair of adjacent lines, whether it is a boundary. Arrays go through
+    ``zip_with``, so that each is made once and not once per element."""
+    pairs = F.size(lines) - 1
     hashes = F.transform(lines, lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long"))
-    before = F.concat(F.array(F.lit(0).cast("long")), F.slice(hashes, 1, F.size(lines) - 1))
-    ends = F.zip_with(hashes, before, lambda h, b: (h + 31 * b) % divisor == 0)
-    begins = F.concat(F.array(F.lit(True)), F.slice(ends, 1, F.size(lines) - 1))
-    marked = F.zip_with(lines, begins, lambda x, b: F.concat(F.when(b, _BEGIN).otherwise(_NEXT), x))
-    chunks = F.split(F.array_join(marked, ""), _BEGIN, -1)
-    return F.transform(F.slice(chunks, 2, F.size(chunks)), lambda x: F.replace(x, F.lit(_NEXT), F.lit("\n")))
-
-
-def repeated_chunks(docs: DataFrame, divisor: int = DIVISOR, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(id, text_hash, pos, body) of the chunks to remove."""
-    keyed = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"), F.posexplode(chunk_texts(F.col("text"), divisor)).alias("pos", "body"))
-    wide = keyed.where(F.col("body").contains("\n") & (F.length("body") >= min_chars)).withColumn("key", F.xxhash64("body"))
-    place = F.struct("id", "text_hash", "pos")
-    repeated = wide.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(~F.col("first").eqNullSafe(F.col("last")))
-    found = stored(wide.join(repeated.select("key", "first"), "key").withColumn("is_first", place.eqNullSafe(F.col("first"))).drop("first"), "line-chunks")
-    original = found.where("is_first").groupBy("key").agg(F.min("body").alias("original"))
-    return found.where("not is_first").join(original, "key").where("body = original").select("id", "text_hash", "pos", "body")
-
-
-def dedup_lines(docs: DataFrame, divisor: int = DIVISOR, min_chars: int = MIN_CHARS, count_as: str | None = None) -> DataFrame:
-    """``docs`` with repeated chunks cut out of ``text``; with ``count_as``,
-    the number of chunks removed in a further column."""
-    removed = repeated_chunks(docs.select("doc_id", "text"), divisor, min_chars).groupBy("id", "text_hash").agg(F.collect_set("pos").alias("cut"))
-    own = F.struct(*(docs[c] for c in docs.columns)).alias("own")
-    rows = docs.select(own, docs["doc_id"].alias("doc_key"), F.xxhash64(docs["text"]).alias("own_hash"))
-    joined = rows.join(removed, F.col("doc_key").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")), "left")
-    text = F.col("own.text")
-    kept = F.filter(F.transform(chunk_texts(text, divisor), lambda x, i: F.when(~F.array_contains("cut", i), x)), F.isnotnull)
-    cut_text = F.when(F.col("cut").isNull(), text).otherwise(F.array_join(kept, "\n"))
-    columns = [cut_text.alias("text") if c == "text" else F.col("own").getField(c).alias(c) for c in docs.columns]
-    if count_as:
-        columns.append(F.coalesce(F.size("cut"), F.lit(0)).cast("long").alias(count_as))
-    return joined.select(*columns)
-
-
-def _line_runs(lines: Column, lengths: Column, min_chars: int) -> Column:
-    """(first, last) line of the shortest runs of two lines or more and of
-    ``min_chars`` characters from each line on and up to each line. As line
+    rolling = F.zip_with(F.slice(hashes, 1, pairs), F.slice(hashes, 2, pairs), lambda a, b: (31 * a + b) % PRIME)
+    chosen = F.zip_with(F.slice(lengths, 1, pairs), F.slice(lengths, 2, pairs), lambda a, b: a + b + 1 >= max_chars)
+    for first in range(1 - window, 1):  # the windows that hold a pair
+        least = rolling
+        for k in range(first, first + window):
+            least = F.zip_with(least, _shifted(rolling, pairs, k), lambda a, b: F.least(a, b)) if k else least
+        chosen = F.zip_with(chosen, F.zip_with(rolling, least, lambda r, m: r <= m), lambda a, b: a | b)
+    return chosen
+
+
+def _shifted(values: Column, size: Column, k: int) -> Column:
+    """Element i + k at place i; beyond the ends, the prime."""
+    pad = F.array_repeat(F.lit(PRIME).cast("long"), F.least(F.lit(abs(k)), size))
+    left = F.greatest(size - abs(k), F.lit(0))
+    return F.concat(F.slice(values, 1 + k, left), pad) if k > 0 else F.concat(pad, F.slice(values, 1, left))
+
+
+def _line_runs(lines: Column, lengths: Column, min_chars: int) -> tuple[Column, Column]:
+    """Per line, (first, last) of the shortest run of two lines or more and of
+    ``min_chars`` characters from it on, and of the one up to it. As line
     breaks count, none has more than ``min_chars`` + 1 lines."""
     last_line = F.size(lines) - 1
 
@@ -93,28 +83,51 @@ def _line_runs(lines: Column, lengths: Column, min_chars: int) -> Column:
     every = F.sequence(F.lit(0), last_line)
     onward = F.transform(every, lambda i: F.struct(i.alias("first"), reach(i, 1).alias("last")))
     upto = F.transform(every, lambda i: F.struct(reach(i, -1).alias("first"), i.alias("last")))
-    return F.array_distinct(F.filter(F.concat(onward, upto), lambda r: r["first"].isNotNull() & r["last"].isNotNull()))
+    return onward, upto
+
 
+def chunk_runs(lines: Column, lengths: Column, window: int, min_chars: int, max_chars: int) -> Column:
+    """Distinct (first, last) lines of the chunks of a text of two lines or more."""
+    bounds = boundary_pairs(lines, lengths, window, max_chars)
+    onward, upto = _line_runs(lines, lengths, min_chars)
+    edge = F.array(F.lit(False))
+    at = lambda runs, marks: F.zip_with(runs, marks, lambda r, b: F.when(b & r["first"].isNotNull() & r["last"].isNotNull(), r))
+    both = F.concat(at(onward, F.concat(bounds, edge)), at(upto, F.concat(edge, bounds)))
+    return F.array_distinct(F.filter(both, F.isnotnull))
 
-def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(id, text_hash, pos) of the lines in a run that occurs earlier."""
-    split = docs.where("text is not null").select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"), F.split("text", "\n", -1).alias("lines"))
-    measured = split.where(F.size("lines") > 1).withColumn("lengths", F.transform("lines", F.length))
-    runs = measured.withColumn("runs", _line_runs(F.col("lines"), F.col("lengths"), min_chars))
+
+def _body(r: Column) -> Column:
     # elements by position: a slice would copy the whole array for each run
-    body = lambda r: F.array_join(F.transform(F.sequence(r["first"], r["last"]), lambda k: F.get("lines", k)), "\n")
-    keyed = F.transform("runs", lambda r: F.struct(F.unhex(F.sha2(body(r), 256)).alias("key"), r["first"].alias("pos"), r["last"].alias("last")))
+    return F.array_join(F.transform(F.sequence(r["first"], r["last"]), lambda k: F.get("lines", k)), "\n")
+
+
+def repeated_lines(docs: DataFrame, window: int = WINDOW, min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS) -> DataFrame:
+    """(id, text_hash, pos) of the lines in a chunk that occurs earlier."""
+    texts = docs.where(F.contains("text", F.lit("\n"))).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"), "text")
+    split = texts.select("id", "text_hash", F.split("text", "\n", -1).alias("lines"))
+    measured = split.withColumn("lengths", F.transform("lines", F.length))
+    runs = measured.withColumn("runs", chunk_runs(F.col("lines"), F.col("lengths"), window, min_chars, max_chars))
+    keyed = F.transform("runs", lambda r: F.struct(F.xxhash64(_body(r)).alias("key"), r["first"].alias("pos"), r["last"].alias("last")))
     wide = runs.select("id", "text_hash", F.inline(keyed))
     place = F.struct("id", "text_hash", "pos")
-    repeated = wide.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("top")).where(~F.col("first").eqNullSafe(F.col("top")))
-    later = wide.join(repeated.select("key", "first"), "key").where(~place.eqNullSafe(F.col("first")))
+    repeated = wide.groupBy("key").agg(F.min(place).alias("begin"), F.max(place).alias("top")).where(~F.col("begin").eqNullSafe(F.col("top")))
+    met = wide.join(repeated.select("key", "begin"), "key")
+    run = F.struct("key", F.col("pos").alias("first"), "last", place.eqNullSafe(F.col("begin")).alias("is_first"))
+    places = met.groupBy("id", "text_hash").agg(F.collect_set(run).alias("runs"))
+    # the bytes of the chunks found, cut again from their texts
+    held = places.withColumnsRenamed({"id": "i", "text_hash": "h"}).join(texts, F.col("i").eqNullSafe(F.col("id")) & (F.col("h") == F.col("text_hash")))
+    again = held.select("id", "text_hash", "runs", F.split("text", "\n", -1).alias("lines"))
+    bodies = F.transform("runs", lambda r: F.struct(r["key"].alias("key"), r["first"].alias("pos"), r["last"].alias("last"), r["is_first"].alias("is_first"), _body(r).alias("body")))
+    found = stored(again.select("id", "text_hash", F.inline(bodies)), "line-chunks")
+    original = found.where("is_first").groupBy("key").agg(F.min("body").alias("original"))
+    later = found.where("not is_first").join(original, "key").where("body = original")
     return later.select("id", "text_hash", F.explode(F.sequence("pos", "last")).alias("pos"))
 
 
-def dedup_line_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with every line cut out of ``text`` that lies in a run of lines
-    which occurs at an earlier place; a line's own first place stays."""
-    removed = repeated_lines(docs.select("doc_id", "text"), min_chars).groupBy("id", "text_hash").agg(F.collect_set("pos").alias("cut"))
+def dedup_lines(docs: DataFrame, window: int = WINDOW, min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS, count_as: str | None = None) -> DataFrame:
+    """``docs`` with the lines of repeated chunks cut out of ``text``; with
+    ``count_as``, the number of lines removed in a further column."""
+    removed = repeated_lines(docs.select("doc_id", "text"), window, min_chars, max_chars).groupBy("id", "text_hash").agg(F.collect_set("pos").alias("cut"))
     own = F.struct(*(docs[c] for c in docs.columns)).alias("own")
     rows = docs.select(own, docs["doc_id"].alias("doc_key"), F.xxhash64(docs["text"]).alias("own_hash"))
     joined = rows.join(removed, F.col("doc_key").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")), "left")
@@ -122,4 +135,13 @@ def dedup_line_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     split = joined.withColumn("lines", F.when(F.col("cut").isNotNull(), F.split(text, "\n", -1)))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "cut"), lambda k: F.get("lines", k))
     cut_text = F.when(F.col("cut").isNull(), text).otherwise(F.array_join(kept, "\n"))
-    return split.select(*(cut_text.alias("text") if c == "text" else F.col("own").getField(c).alias(c) for c in docs.columns))
+    columns = [cut_text.alias("text") if c == "text" else F.col("own").getField(c).alias(c) for c in docs.columns]
+    if count_as:
+        columns.append(F.coalesce(F.size("cut"), F.lit(0)).cast("long").alias(count_as))
+    return split.select(*columns)
+
+
+def dedup_line_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``dedup_lines`` with a window of one: every repeated run of two lines
+    and ``min_chars`` characters is cut whole."""
+    return dedup_lines(docs, window=1, min_chars=min_chars)
