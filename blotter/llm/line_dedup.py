@@ -17,8 +17,10 @@ later equal chunk is removed; a line's own first place stays.
 
 Hashes are counted by a partial aggregate, so a chunk that a third of all
 documents share is one row per task. Only places travel until then; the bytes
-are cut again from the texts that hold a repeated hash. The comparison and the
-rebuild are equi-joins that AQE can split.
+are cut again from the texts that hold a repeated hash. Bitmaps of fixed size
+(4 MB) tell those texts from most others, which then take part in no shuffle; a
+bit that a text shares with another one costs a shuffle of it and nothing else.
+The comparison and the rebuild are equi-joins that AQE can split.
 
 Edge cases: a null text stays null; an empty text or one without repeated
 chunks stays as it is; a document may become empty but its row stays; rows of
@@ -38,6 +40,8 @@ WINDOW = 2
 MIN_CHARS, MAX_CHARS = 40, 100
 #: Rolling hashes are residues of this prime.
 PRIME = 4_294_967_291
+#: Bits for texts by their hash: 1,024 bitmaps of 4 KB.
+TEXT_BITS = 1 << 25
 
 
 def boundary_pairs(lines: Column, lengths: Column, window: int, max_chars: int) -> Column:
@@ -101,44 +105,68 @@ def _body(r: Column) -> Column:
     return F.array_join(F.transform(F.sequence(r["first"], r["last"]), lambda k: F.get("lines", k)), "\n")
 
 
-def repeated_lines(docs: DataFrame, window: int = WINDOW, min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS) -> DataFrame:
-    """(id, text_hash, pos) of the lines in a chunk that occurs earlier."""
+def text_bitmaps(places: DataFrame) -> DataFrame:
+    """(bucket, bitmap): one bit per residue of a text hash, at most 4 MB."""
+    spot = F.pmod("text_hash", F.lit(TEXT_BITS))
+    return places.groupBy(F.shiftright(spot, 15).alias("bucket")).agg(F.bitmap_construct_agg(spot.bitwiseAND(F.lit(32767))).alias("bitmap"))
+
+
+def flagged(rows: DataFrame, text_hash: str, bitmaps: DataFrame) -> DataFrame:
+    """``rows`` and ``flag``: false only for texts that have no place."""
+    spot = F.pmod(F.col(text_hash), F.lit(TEXT_BITS))
+    bit = spot.bitwiseAND(F.lit(32767))
+    byte = F.conv(F.hex(F.substring("bitmap", F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("long")
+    met = rows.join(F.broadcast(bitmaps), F.shiftright(spot, 15) == F.col("bucket"), "left")
+    is_set = F.coalesce(F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1, F.lit(False))
+    return met.withColumn("flag", is_set).drop("bucket", "bitmap")
+
+
+def repeated_lines(docs: DataFrame, window: int = WINDOW, min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS) -> tuple[DataFrame, DataFrame]:
+    """(id, text_hash, pos) of the lines in a chunk that occurs earlier, and
+    bitmaps that hold the texts of all repeated hashes."""
     texts = docs.where(F.contains("text", F.lit("\n"))).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"), "text")
     split = texts.select("id", "text_hash", F.split("text", "\n", -1).alias("lines"))
     measured = split.withColumn("lengths", F.transform("lines", F.length))
     runs = measured.withColumn("runs", chunk_runs(F.col("lines"), F.col("lengths"), window, min_chars, max_chars))
     keyed = F.transform("runs", lambda r: F.struct(F.xxhash64(_body(r)).alias("key"), r["first"].alias("pos"), r["last"].alias("last")))
-    wide = runs.select("id", "text_hash", F.inline(keyed))
+    wide = stored(runs.select("id", "text_hash", F.inline(keyed)), "line-hashes")  # numbers only; read twice
     place = F.struct("id", "text_hash", "pos")
     repeated = wide.groupBy("key").agg(F.min(place).alias("begin"), F.max(place).alias("top")).where(~F.col("begin").eqNullSafe(F.col("top")))
     met = wide.join(repeated.select("key", "begin"), "key")
     run = F.struct("key", F.col("pos").alias("first"), "last", place.eqNullSafe(F.col("begin")).alias("is_first"))
-    places = met.groupBy("id", "text_hash").agg(F.collect_set(run).alias("runs"))
+    places = stored(met.groupBy("id", "text_hash").agg(F.collect_set(run).alias("runs")), "line-places")
+    bitmaps = stored(text_bitmaps(places), "line-bitmaps")
     # the bytes of the chunks found, cut again from their texts
-    held = places.withColumnsRenamed({"id": "i", "text_hash": "h"}).join(texts, F.col("i").eqNullSafe(F.col("id")) & (F.col("h") == F.col("text_hash")))
+    some = flagged(texts, "text_hash", bitmaps).where("flag")
+    held = places.withColumnsRenamed({"id": "i", "text_hash": "h"}).join(some, F.col("i").eqNullSafe(F.col("id")) & (F.col("h") == F.col("text_hash")))
     again = held.select("id", "text_hash", "runs", F.split("text", "\n", -1).alias("lines"))
     bodies = F.transform("runs", lambda r: F.struct(r["key"].alias("key"), r["first"].alias("pos"), r["last"].alias("last"), r["is_first"].alias("is_first"), _body(r).alias("body")))
     found = stored(again.select("id", "text_hash", F.inline(bodies)), "line-chunks")
     original = found.where("is_first").groupBy("key").agg(F.min("body").alias("original"))
     later = found.where("not is_first").join(original, "key").where("body = original")
-    return later.select("id", "text_hash", F.explode(F.sequence("pos", "last")).alias("pos"))
+    return later.select("id", "text_hash", F.explode(F.sequence("pos", "last")).alias("pos")), bitmaps
 
 
 def dedup_lines(docs: DataFrame, window: int = WINDOW, min_chars: int = MIN_CHARS, max_chars: int = MAX_CHARS, count_as: str | None = None) -> DataFrame:
     """``docs`` with the lines of repeated chunks cut out of ``text``; with
     ``count_as``, the number of lines removed in a further column."""
-    removed = repeated_lines(docs.select("doc_id", "text"), window, min_chars, max_chars).groupBy("id", "text_hash").agg(F.collect_set("pos").alias("cut"))
+    cuts, bitmaps = repeated_lines(docs.select("doc_id", "text"), window, min_chars, max_chars)
+    removed = cuts.groupBy("id", "text_hash").agg(F.collect_set("pos").alias("cut"))
     own = F.struct(*(docs[c] for c in docs.columns)).alias("own")
     rows = docs.select(own, docs["doc_id"].alias("doc_key"), F.xxhash64(docs["text"]).alias("own_hash"))
-    joined = rows.join(removed, F.col("doc_key").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")), "left")
+    rows = flagged(rows, "own_hash", bitmaps)
+    joined = rows.where("flag").join(removed, F.col("doc_key").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")), "left")
     text = F.col("own.text")
     split = joined.withColumn("lines", F.when(F.col("cut").isNotNull(), F.split(text, "\n", -1)))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "cut"), lambda k: F.get("lines", k))
     cut_text = F.when(F.col("cut").isNull(), text).otherwise(F.array_join(kept, "\n"))
-    columns = [cut_text.alias("text") if c == "text" else F.col("own").getField(c).alias(c) for c in docs.columns]
-    if count_as:
-        columns.append(F.coalesce(F.size("cut"), F.lit(0)).cast("long").alias(count_as))
-    return split.select(*columns)
+
+    def columns(new_text: Column, count: Column) -> list[Column]:
+        out = [new_text.alias("text") if c == "text" else F.col("own").getField(c).alias(c) for c in docs.columns]
+        return [*out, count.cast("long").alias(count_as)] if count_as else out
+
+    touched = split.select(*columns(cut_text, F.coalesce(F.size("cut"), F.lit(0))))
+    return touched.unionAll(rows.where("not flag").select(*columns(text, F.lit(0))))
 
 
 def dedup_line_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
