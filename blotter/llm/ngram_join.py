@@ -297,6 +297,21 @@ def ngram_components(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFr
 
 def keep_one_per_component(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFrame:
     """``docs``, all columns, with one document of each component: that of
-    the smallest id. Rows with a null id and repeated rows of an id stay."""
-    found = ngram_components(docs, threshold).where("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("dropped")).distinct()
-    return docs.join(stored(found, "ngram-drop"), docs["doc_id"] == F.col("dropped"), "left_anti")
+    the smallest id, nulls last, then of the smallest text hash. Id and text
+    together are the document: rows that repeat both stay or go together, and
+    a text is never dropped for another one of its id."""
+    # every (id, text) gets a number of its own, so that the join tells apart
+    # the texts of one id and the rows without one
+    keyed = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("h"), F.col("text").cast("string").alias("text"))
+    number = F.xxhash64("id", "h")
+    found = ngram_components(keyed.select(number.alias("doc_id"), "text"), threshold).where("n_shingles > 0")
+    names = keyed.select(number.alias("doc_id"), "id", "h").distinct()
+    linked = stored(found.select("doc_id", "component_id").distinct().join(names, "doc_id"), "ngram-linked")
+    order = F.struct(F.col("id").isNull(), "id", "h")
+    # only components of two texts or more travel on
+    stays = linked.groupBy("component_id").agg(F.min(order).alias("first"), F.max(order).alias("top")).where("first <> top")
+    gone = linked.join(stays, "component_id").where(order != F.col("first")).select(F.struct("id", "h").alias("gone"))
+    own = F.struct(*(docs[c] for c in docs.columns)).alias("own")
+    mark = F.struct(docs["doc_id"].cast("long").alias("id"), F.xxhash64(docs["text"].cast("string")).alias("h")).alias("mark")
+    left = docs.select(own, mark).join(stored(gone, "ngram-drop"), F.col("mark").eqNullSafe(F.col("gone")), "left_anti")
+    return left.select(*(F.col("own").getField(c).alias(c) for c in docs.columns))

@@ -350,5 +350,14 @@ def test_join_edge_cases(odd_docs, no_docs, make_docs):
     assert ngram_components(no_docs).count() == 0
     text = "a b c d e f g h"
     kept = keep_one_per_component(make_docs([text, text, text, text], ids=[5, 3, 3, None])).collect()
-    assert sorted(str(r["doc_id"]) for r in kept) == ["3", "3", "None"]
+    assert [r["doc_id"] for r in kept] == [3, 3]
+    other = "q r s t u v w x y"
+    docs = make_docs([text, other, text, text, other, "", None], ids=[1, 1, 2, None, None, None, None]).withColumn("dropped", F.lit(1))
+    kept = keep_one_per_component(docs).collect()
+    # of one id's texts each stands for itself; copies without an id go too; empty texts stay
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in kept) == [("1", text), ("1", other), ("None", ""), ("None", "None")]
+    assert kept[0]["dropped"] == 1
+    alone = keep_one_per_component(make_docs([text, text + " i j", other], ids=[None, None, None])).collect()
+    assert len(alone) == 3  # 4 of 6 shingles
+    assert len(keep_one_per_component(make_docs([text, text.upper(), other], ids=[None, None, None])).collect()) == 2
     assert keep_one_per_component(odd_docs).columns == odd_docs.columns
