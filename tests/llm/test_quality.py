@@ -91,7 +91,7 @@ def test_pu_quality_held_out_accuracy(spark):
     good = np.array([s for s, q in held if q == 1])
     bad = np.array([s for s, q in held if q == 0])
     auc = ((good[:, None] > bad) + 0.5 * (good[:, None] == bad)).mean()
-    assert auc > 0.95 and (good >= 0.7).mean() > 0.95
+    assert auc > 0.95 and (good >= 0.7).mean() > 0.95 and (bad < 0.7).mean() > 0.9
 
 
 def test_labels_of_the_held_out_fold_are_not_read(spark):
