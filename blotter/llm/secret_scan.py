@@ -5,9 +5,11 @@ key ids, long hex runs). The method adds candidate strings: maximal runs of
 key characters. A window slides over each; its character counts are updated
 by one character in and one out, and with them the sum of c*log2(c), so each
 step costs O(1). Windows whose entropy reaches the threshold of the run's
-character class are merged to a span. An allow-list suppresses runs that are
-known not to be secrets; base spans are never suppressed, and an entropy span
-inside a base span adds nothing and is left out.
+character class are merged to a span; all but one in a hundred windows of evenly
+drawn characters of the class reach it. An allow-list suppresses runs that are
+known not to be secrets, and in other runs the windows that touch a part that
+marks samples; base spans are never suppressed, and an entropy span inside a base
+span adds nothing and is left out.
 
 Spans are code-point offsets, end exclusive, written ``kind:start:end``.
 
@@ -18,11 +20,13 @@ texts of any length are scanned whole; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -37,11 +41,13 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 RUN = re.compile(rb"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
-#: Least entropy in bits of a window, by the character class of its run.
+#: Share of random windows whose entropy is under their class's threshold.
+MISS = 0.01
+#: Character classes of runs, narrowest first, with their number of characters.
 CLASSES = (
-    (re.compile(rb"[0-9a-fA-F]+"), 3.0),
-    (re.compile(rb"[a-z0-9]+|[A-Z0-9]+"), 3.6),
-    (re.compile(rb"[A-Za-z0-9+/_=-]+"), 3.9),
+    (re.compile(rb"[0-9a-fA-F]+"), 16),
+    (re.compile(rb"[a-z0-9]+|[A-Z0-9]+"), 36),
+    (re.compile(rb"[A-Za-z0-9+/_=-]+"), 64),
 )
 #: Runs that are not secrets: plain words and numbers, UUIDs, dashed or
 #: underscored names, rulers.
@@ -51,7 +57,7 @@ ALLOW = (
     re.compile(rb"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
     re.compile(rb"[A-Za-z]+[0-9]{0,4}([-_/][A-Za-z]+[0-9]{0,4})*"),
 )
-#: Parts that mark a run as a sample.
+#: Parts that mark the windows they touch as a sample.
 ALLOW_PART = re.compile(rb"(?i)example|sample|placeholder|lorem|your_|xxxx|abcdefgh|12345678")
 
 FIELDS = [
@@ -65,6 +71,16 @@ FIELDS = [
 SCHEMA = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_entropy long"
 
 
+@functools.cache
+def least_entropy(letters: int, width: int = WINDOW, draws: int = 20_000) -> float:
+    """The ``MISS`` quantile of the entropy, in bits, of windows of ``width``
+    characters drawn evenly from ``letters``, by a seeded simulation."""
+    windows = np.random.default_rng(letters).integers(0, letters, (draws, width))
+    counts = np.bincount((np.arange(draws)[:, None] * letters + windows).ravel(), minlength=draws * letters).reshape(draws, letters)
+    share = np.where(counts, counts, width) / width
+    return float(np.quantile(-(share * np.log2(share)).sum(1), MISS)) - 1e-9
+
+
 def window_entropies(run: bytes, width: int = WINDOW) -> list[float]:
     """Shannon entropy of every window of ``width`` bytes, from counts that
     change by one byte in and one out."""
@@ -83,15 +99,20 @@ def window_entropies(run: bytes, width: int = WINDOW) -> list[float]:
 
 
 def entropy_spans(data: bytes) -> list[tuple[int, int]]:
-    """Byte spans of high entropy in candidate runs, allow-listed runs out."""
+    """Byte spans of high entropy in candidate runs; allow-listed runs and the
+    windows that touch an allow-listed part are out."""
     spans: list[tuple[int, int]] = []
     for m in RUN.finditer(data):
         run = m.group()
-        if any(a.fullmatch(run) for a in ALLOW) or ALLOW_PART.search(run):
+        if any(a.fullmatch(run) for a in ALLOW):
             continue
-        least = next(bits for cls, bits in CLASSES if cls.fullmatch(run))
+        least = least_entropy(next(letters for cls, letters in CLASSES if cls.fullmatch(run)))
+        barred = bytearray(len(run))
+        for part in ALLOW_PART.finditer(run):
+            first = max(0, part.start() - WINDOW + 1)
+            barred[first : part.end()] = b"\x01" * (part.end() - first)
         for i, bits in enumerate(window_entropies(run)):
-            if bits >= least:
+            if bits >= least and not barred[i]:
                 start, end = m.start() + i, m.start() + i + WINDOW
                 if spans and start <= spans[-1][1]:
                     spans[-1] = (spans[-1][0], end)

@@ -3,7 +3,9 @@
 import hashlib
 import itertools
 import math
+import random
 import re
+import string
 from collections import Counter
 
 import pytest
@@ -12,7 +14,7 @@ from hypothesis import strategies as st
 
 from blotter.llm.decontamination import MASKS, STRETCH, SUBSTITUTIONS, decontaminate, equal_words, find_contamination
 from blotter.llm.frames import read_table
-from blotter.llm.secret_scan import KINDS, entropy_spans, scan_secrets, scan_text, window_entropies
+from blotter.llm.secret_scan import KINDS, entropy_spans, least_entropy, scan_secrets, scan_text, window_entropies
 from tests.conftest import SF_MID, SF_SMALL
 
 _ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
@@ -57,6 +59,20 @@ def test_entropy_finds_keys_and_the_allow_list_suppresses():
     assert scan_text(text)[4] == f"entropy:2:{2 + len(key)}"
 
 
+def test_a_sample_part_suppresses_only_the_windows_that_touch_it():
+    key = "aB3xK9qLm2Zt7Rw5Yc8Vd1Nf"
+    assert entropy_spans(f"/sample/{key}".encode()) == [(7, 8 + len(key))]  # from the slash on
+    assert entropy_spans(f"{key}/example/0{key}".encode()) == [(0, len(key) + 1), (len(key) + 8, 2 * len(key) + 10)]
+
+
+@pytest.mark.parametrize(("letters", "share"), [("0123456789abcdef", 0.02), (string.ascii_lowercase + string.digits, 0.02), (string.ascii_letters + string.digits + "+/", 0.02)])
+def test_few_random_windows_are_missed(letters, share):
+    rng = random.Random(8)
+    runs = ["".join(rng.choices(letters, k=20)) for _ in range(4000)]
+    missed = sum(max(window_entropies(r.encode())) < least_entropy(len(letters)) for r in runs)
+    assert missed <= share * len(runs)
+
+
 def test_scan_edge_cases(odd_docs, no_docs):
     rows = scan_secrets(odd_docs).collect()
     assert len(rows) == odd_docs.count()
