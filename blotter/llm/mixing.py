@@ -5,7 +5,7 @@ repeating, and share ``share`` times all words; a target stops at ``most``
 times its source's size and the excess goes to the others by weight until none
 is above (``source_targets``).
 
-A source's documents are dealt by a seeded hash of the id into shards, and in
+A source's documents are dealt by a seeded hash of id and text into shards, and in
 each shard laid end to end in seeded order and cut into equal blocks of
 ``block_words`` words. The blocks that the mix holds are apportioned to the
 shards by highest quotients ``votes / (2 * seats + 1)``, first to sources by
@@ -21,8 +21,8 @@ row per source. Document rows meet in a window per shard; shards hold about
 third of the shards.
 
 Edge cases: null and empty texts have size 0 and take nothing; a null source
-is a source; null ids are ordered last; equal ids tie in the seeded order and
-share its hash, which changes no total; an empty table gives an empty result;
+is a source; rows with a null or a repeated id are dealt by their texts; rows of
+equal id and text share a shard, which changes no total; an empty table gives an empty result;
 a corpus without words gives targets 0.
 """
 
@@ -118,9 +118,9 @@ def _quotas(rows: list, block: int) -> tuple[list[dict], list[dict]]:
 def mix_sources(spark: SparkSession, docs: DataFrame, seed: int = 31, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, size, source_size, target, taken) per document."""
     narrow = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size")
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("salt")
     )
-    sized = stored(narrow, "mix-sizes")  # texts are read once; three numbers a document from here on
+    sized = stored(narrow, "mix-sizes")  # texts are read once; four values a document from here on
     sources = [r.asDict() for r in sized.groupBy("source").agg(F.sum("size").alias("source_words")).collect()]
     total = sum(r["source_words"] for r in sources)
     n_shards = int(min(MAX_SHARDS, max(1, -(-total // SHARD_WORDS))))
@@ -130,7 +130,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, seed: int = 31, block_word
     spread_df = spark.createDataFrame(spread, "s string, n_shards long")
     # one row per source, which the driver has just counted
     dealt = sized.join(F.broadcast(spread_df), F.col("source").eqNullSafe(F.col("s")), "left").select(
-        "doc_id", "source", "size", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.coalesce("n_shards", F.lit(1))).alias("shard")
+        "doc_id", "source", "size", "salt", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "salt"), F.coalesce("n_shards", F.lit(1))).alias("shard")
     )
     totals = dealt.groupBy("source", "shard").agg(F.sum("size").alias("words")).collect()
     by_source, by_shard = _quotas([r.asDict() for r in totals], block_words)
@@ -138,7 +138,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, seed: int = 31, block_word
     shard_df = spark.createDataFrame(by_shard, "source string, shard long, blocks long, quota long").select(
         F.col("source").alias("s2"), F.col("shard").alias("k2"), "blocks", "quota"
     )
-    order = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), F.col("doc_id").asc_nulls_last(), "size")
+    order = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id", "salt"), F.col("doc_id").asc_nulls_last(), "size", "salt")
     placed = dealt.withColumn("end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("start", F.col("end") - F.col("size"))
     known = placed.join(F.broadcast(shard_df), F.col("source").eqNullSafe(F.col("s2")) & (F.col("shard") == F.col("k2")), "left").join(
         F.broadcast(goal_df), F.col("source").eqNullSafe(F.col("s1")), "left"
