@@ -3,7 +3,7 @@
 Tokens are lower-cased words (A-Z only) and one end token per text; the first
 token's history is a start mark. With counts c over the training texts,
 
-    P(w | h) = d2(c(h,w)) * c(h,w) / c(h)        if c(h,w) > 0
+    P(w | h) = d2(c(h,w)) * c(h,w) / (c(h) + 1)  if c(h,w) > 0
              = a(h) * P(w)                       if h was seen
              = P(w)                              otherwise,
     P(w)     = d1(c(w)) * c(w) / N               if c(w) > 0
@@ -11,9 +11,9 @@ token's history is a start mark. With counts c over the training texts,
 
 d1 and d2 are Katz's Good-Turing discounts of counts up to 5, and a(h) is the
 mass that h's seen followers leave, divided by what those words leave at the
-lower order: every distribution sums to one exactly. Where discounting leaves
-nothing (no follower counted 5 times or less; also histories that are split
-over tasks), one count is reserved for unseen words: c(h) + 1 divides.
+lower order: every distribution sums to one exactly. Discounting leaves nothing
+to a history whose followers are all counted more than 5 times, so every history
+reserves one more count for unseen words: c(h) + 1 divides.
 
 Tables, in the shared folder: ``unigrams`` (w, c), ``bigrams`` by bucket of
 the history, ``histories`` (h, c, alpha). Words are 64-bit hashes.
@@ -309,7 +309,7 @@ def _bucket_task(model: Model):
         p_top = np.zeros(len(pw))
         p_top[top] = uni.p(model.top_c[pn[top]])
         psum = np.bincount(ph, np.where(seen & top, p_top, 0.0), len(hs))
-        divide = ch + (split | (fans.sum(1) == 0))
+        divide = ch + 1
         made = [_out(TALLY, 1, **{f"n{r}": [int((level == r).sum())] for r in range(1, KEEP + 1)}, big=[int((c2 == KEEP + 1).sum())])]
         known = (ch > 0) & (np.bincount(ph, seen, len(hs)) > 0)
         k = np.flatnonzero(known)

@@ -25,7 +25,7 @@ PAGES = "page_id long, url string, html string"
 # ------------------------------------------------------------------- Katz
 
 
-def _katz_by_definition(texts, buckets=4):
+def _katz_by_definition(texts):
     """Scores of {id: text} by dictionaries."""
     tokens = {i: [*(t or "").encode().lower().split(), "<end>"] for i, t in texts.items()}
     train = [i for i in tokens if zlib.crc32(str(i).encode()) % 7 != 2]
@@ -42,8 +42,7 @@ def _katz_by_definition(texts, buckets=4):
     base = n + 1 if n and small <= 0 else max(n, 1)
     p1 = {w: d1[min(c, 6)] * c / base for w, c in c1.items()}
     unseen = 1 - sum(p1.values()) if n else 1.0
-    hot = {w for w, c in c1.items() if c * 4 * buckets > n} | {"<start>"}
-    divide = {h: sum(f.values()) + (h in hot or all(c > katz.KEEP for c in f.values())) for h, f in follow.items()}
+    divide = {h: sum(f.values()) + 1 for h, f in follow.items()}
     alpha = {h: (1 - sum(d2[min(c, 6)] * c for c in f.values()) / divide[h]) / (1 - sum(p1[w] for w in f)) for h, f in follow.items()}
 
     def p(h, w):
