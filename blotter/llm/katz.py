@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.llm.frames import doc_texts, stored
-from blotter.llm.textbatch import mix, split_words, text_slices
+from blotter.llm.textbatch import mix, release_memory, split_words, text_slices
 
 FOLDS, HELD_OUT_FOLD = 7, 2
 KEEP = 5  # counts up to this are discounted
@@ -264,6 +264,11 @@ def _bucket_task(model: Model):
         return made
 
     def run(table: pa.Table) -> pa.Table:
+        made = one_bucket(table)
+        release_memory()
+        return made
+
+    def one_bucket(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         if bucket < 0:
             return pa.Table.from_batches(about(table.to_pylist()), _OUT_SCHEMA)

@@ -8,6 +8,7 @@ modulo 2**64), computed for a slice of documents at once.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Iterator
 
@@ -54,6 +55,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system, as an idle worker would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser; spreads every input bit."""
     h = h ^ (h >> np.uint64(30))
