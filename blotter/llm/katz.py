@@ -53,11 +53,15 @@ from blotter.llm.textbatch import mix, release_memory, split_words, text_slices
 FOLDS, HELD_OUT_FOLD = 7, 2
 KEEP = 5  # counts up to this are discounted
 TOP_WORDS = 1 << 19
-BLOCK_TOKENS = 500_000
-BUCKET_TOKENS = 2_000_000
+BLOCK_TOKENS = 250_000
+BLOCK_DOCS = 12_000  # with a slice more, numbers of documents need 15 bits
+SLICE = 1 << 20
+BUCKET_TOKENS = 1_000_000
 MAX_BUCKETS = 16_384
 END, START = 1, 2  # reserved in place of hashes
 RARE = 0xFFFFFFFF
+HELD = 1 << 15  # marks a held-out document in a block's token list
+MANY = 0xFF  # a pair's count that does not fit a byte
 
 
 def held_out_ids(ids: pa.Array) -> np.ndarray:
@@ -98,25 +102,26 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array,
     for batch in batches:
         parts: list[tuple[int, int, np.ndarray, np.ndarray]] = []
         held = 0
-        slices = list(text_slices(batch.column(1)))
-        for k, (a, b, data, offsets) in enumerate(slices):
+        for a, b, data, offsets in text_slices(batch.column(1), SLICE):
             words = split_words(data, offsets, lower=True)
             h = np.where(words.hashes <= START, words.hashes + np.uint64(3), words.hashes)
             parts.append((a, b, h, np.diff(words.first)))
             held += len(h) + b - a
             docs = b - parts[0][0]
-            if held < BLOCK_TOKENS and docs < 20_000 and k + 1 < len(slices):
+            if held < BLOCK_TOKENS and docs < BLOCK_DOCS and b < batch.num_rows:
                 continue
+            at = parts[0][0]
             sizes = np.concatenate([p[3] for p in parts]) + 1
-            doc = np.repeat(np.arange(len(sizes)), sizes)
+            doc = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
             first = np.concatenate([[0], np.cumsum(sizes)])
             target = np.full(first[-1], END, np.uint64)
             inner = np.ones(first[-1], bool)
             inner[first[1:] - 1] = False
             target[inner] = np.concatenate([p[2] for p in parts])
-            yield serial, batch.column(0).slice(parts[0][0], docs), target, doc, first
-            serial += 1
             parts, held = [], 0
+            del words, h, inner
+            yield serial, batch.column(0).slice(at, docs), target, doc, first
+            serial += 1
 
 
 def unigram_counts(docs: DataFrame) -> DataFrame:
@@ -172,59 +177,65 @@ class Model:
         return np.where(self.top_w[at] == w, at, RARE).astype(np.uint32)
 
 
-_BLOCK = "bucket int, block long, h binary, fan binary, w binary, rare_w binary, n binary, n_train binary, docs binary, n_docs int"
+_BLOCK = "bucket int, block long, h binary, fan binary, w binary, rare_w binary, n binary, n_many binary, docs binary, n_docs int"
 _BLOCK_NAMES = [f.split()[0] for f in _BLOCK.split(", ")]
 
 
 def pair_blocks(docs: DataFrame, model: Model) -> DataFrame:
     """One row per block and bucket: histories (h) with their numbers of
-    followers (fan), followers (w by number, rare_w by hash), tokens and
-    training tokens of each pair (n, n_train) and the documents of the tokens
-    (numbers within the block). Rows of bucket -1 - b name a block's
-    documents: ids in h, tokens in n, fold in n_train."""
+    followers (fan), followers (w by number, rare_w by hash), tokens of each
+    pair (n in a byte, MANY: in n_many) and the documents of the tokens (numbers
+    within the block, HELD added to held-out ones). Rows of bucket -1 - b name a
+    block's documents: ids in h, tokens in n, fold in docs."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        for block, ids, target, doc, first in _blocks(batches):
-            out_fold = held_out_ids(ids)
-            history = np.empty_like(target)
-            history[1:] = target[:-1]
-            history[first[:-1]] = START
-            words, number = np.unique(np.concatenate([history, target]), return_inverse=True)
-            hid, wid = number[: len(target)].astype(np.uint64), number[len(target) :].astype(np.uint64)
-            is_hot = np.isin(words, model.hot) | (words == START)
-            home = (mix(words) % np.uint64(model.buckets)).astype(np.uint64)
-            by_word = mix(words[hid] ^ mix(words[wid])) % np.uint64(model.buckets)
-            bucket = np.where(is_hot[hid], by_word, home[hid])
-            code = (bucket << np.uint64(50)) | (hid << np.uint64(25)) | wid
-            order = np.argsort(code, kind="stable")
-            code, tokens_of = code[order], doc[order].astype(np.uint16)
-            starts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-            n = np.diff(np.append(starts, len(code))).astype(np.uint32)
-            n_train = np.add.reduceat(~out_fold[tokens_of], starts, dtype=np.uint32)
-            pair = code[starts]
-            pair_bucket = (pair >> np.uint64(50)).astype(np.int64)
-            pair_h = ((pair >> np.uint64(25)) & np.uint64((1 << 25) - 1)).astype(np.int64)
-            pair_w = (pair & np.uint64((1 << 25) - 1)).astype(np.int64)
-            w_number = model.number(words)
-            present = np.flatnonzero(np.concatenate([[True], pair_bucket[1:] != pair_bucket[:-1]]))
-            rows: dict[str, list] = {k: [] for k in _BLOCK_NAMES}
-            for s, e in zip(present, np.append(present[1:], len(pair)), strict=True):
-                ph, pw = pair_h[s:e], pair_w[s:e]
-                heads = np.flatnonzero(np.concatenate([[True], ph[1:] != ph[:-1]]))
-                coded = w_number[pw]
-                upto = starts[e] if e < len(starts) else len(code)
-                values = (
-                    int(pair_bucket[s]), block, words[ph[heads]], np.diff(np.append(heads, len(ph))).astype(np.uint32),
-                    coded, words[pw[coded == RARE]], n[s:e], n_train[s:e], tokens_of[starts[s] : upto], len(out_fold),
-                )
-                for k, v in zip(_BLOCK_NAMES, values, strict=True):
-                    rows[k].append(v.tobytes() if isinstance(v, np.ndarray) else v)
-            named = ids.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False).astype(np.int64)
-            about = (-1 - block % model.buckets, block, named, b"", b"", b"", np.diff(first).astype(np.uint32), out_fold.astype(np.uint8), b"", len(out_fold))
-            for k, v in zip(_BLOCK_NAMES, about, strict=True):
+        for block in _blocks(batches):
+            yield one_block(*block)
+            del block
+            release_memory()
+
+    def one_block(block: int, ids: pa.Array, target: np.ndarray, doc: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
+        out_fold = held_out_ids(ids)
+        words, number = np.unique(np.append(target, np.uint64(START)), return_inverse=True)
+        wid = number[:-1].astype(np.uint64)
+        hid = np.empty_like(wid)
+        hid[1:] = wid[:-1]
+        hid[first[:-1]] = number[-1]
+        del number
+        is_hot = np.isin(words, model.hot) | (words == START)
+        home = (mix(words) % np.uint64(model.buckets)).astype(np.uint64)
+        by_word = mix(words[hid] ^ mix(words[wid])) % np.uint64(model.buckets)
+        bucket = np.where(is_hot[hid], by_word, home[hid])
+        code = (bucket << np.uint64(50)) | (hid << np.uint64(25)) | wid
+        order = np.argsort(code, kind="stable")
+        code, tokens_of = code[order], (doc + out_fold[doc] * np.uint16(HELD))[order]
+        del hid, wid, by_word, bucket, order
+        starts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        n = np.diff(np.append(starts, len(code))).astype(np.uint32)
+        pair = code[starts]
+        pair_bucket = (pair >> np.uint64(50)).astype(np.int64)
+        pair_h = ((pair >> np.uint64(25)) & np.uint64((1 << 25) - 1)).astype(np.int64)
+        pair_w = (pair & np.uint64((1 << 25) - 1)).astype(np.int64)
+        w_number = model.number(words)
+        present = np.flatnonzero(np.concatenate([[True], pair_bucket[1:] != pair_bucket[:-1]]))
+        rows: dict[str, list] = {k: [] for k in _BLOCK_NAMES}
+        for s, e in zip(present, np.append(present[1:], len(pair)), strict=True):
+            ph, pw = pair_h[s:e], pair_w[s:e]
+            heads = np.flatnonzero(np.concatenate([[True], ph[1:] != ph[:-1]]))
+            coded = w_number[pw]
+            upto = starts[e] if e < len(starts) else len(code)
+            values = (
+                int(pair_bucket[s]), block, words[ph[heads]], np.diff(np.append(heads, len(ph))).astype(np.uint32),
+                coded, words[pw[coded == RARE]], np.minimum(n[s:e], MANY).astype(np.uint8), n[s:e][n[s:e] >= MANY], tokens_of[starts[s] : upto], len(out_fold),
+            )
+            for k, v in zip(_BLOCK_NAMES, values, strict=True):
                 rows[k].append(v.tobytes() if isinstance(v, np.ndarray) else v)
-            types = {"bucket": pa.int32(), "block": pa.int64(), "n_docs": pa.int32()}
-            yield pa.RecordBatch.from_arrays([pa.array(rows[k], types.get(k, pa.binary())) for k in _BLOCK_NAMES], names=_BLOCK_NAMES)
+        named = ids.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False).astype(np.int64)
+        about = (-1 - block % model.buckets, block, named, b"", b"", b"", np.diff(first).astype(np.uint32), b"", out_fold.astype(np.uint8), len(out_fold))
+        for k, v in zip(_BLOCK_NAMES, about, strict=True):
+            rows[k].append(v.tobytes() if isinstance(v, np.ndarray) else v)
+        types = {"bucket": pa.int32(), "block": pa.int64(), "n_docs": pa.int32()}
+        return pa.RecordBatch.from_arrays([pa.array(rows[k], types.get(k, pa.binary())) for k in _BLOCK_NAMES], names=_BLOCK_NAMES)
 
     return doc_texts(docs).mapInArrow(run, _BLOCK)
 
@@ -258,7 +269,7 @@ def _bucket_task(model: Model):
             made.append(
                 _out(
                     DOCUMENT, len(ids), a=pa.array(ids, mask=null), b=np.full(len(ids), r["block"]), i=np.arange(len(ids), dtype=np.int32),
-                    n1=np.frombuffer(r["n"], np.uint32).astype(np.int64), n2=np.frombuffer(r["n_train"], np.uint8).astype(np.int64),
+                    n1=np.frombuffer(r["n"], np.uint32).astype(np.int64), n2=np.frombuffer(r["docs"], np.uint8).astype(np.int64),
                 )
             )
         return made
@@ -299,8 +310,13 @@ def _bucket_task(model: Model):
         hs, ph = np.unique(h[one], return_inverse=True)
         ph = ph.astype(np.int32)
         del h, w, number, one, top
-        n = np.concatenate(column("n", np.uint32))
-        c2 = np.bincount(pi, np.concatenate(column("n_train", np.uint32)), len(pw)).astype(np.int64)
+        n = np.concatenate(column("n", np.uint8)).astype(np.uint32)
+        n[n == MANY] = np.concatenate(column("n_many", np.uint32))
+        tokens_of = column("docs", np.uint16)
+        begin = np.cumsum(sizes) - sizes
+        in_training = [np.add.reduceat(d < HELD, np.cumsum(n[b : b + k], dtype=np.int64) - n[b : b + k], dtype=np.uint32) for d, b, k in zip(tokens_of, begin, sizes, strict=True)]
+        c2 = np.bincount(pi, np.concatenate(in_training), len(pw)).astype(np.int64)
+        del in_training
         seen = c2 > 0
         level = np.minimum(c2, KEEP + 1).astype(np.int8)
         split = np.isin(hs, model.hot) | (hs == START)
@@ -334,10 +350,9 @@ def _bucket_task(model: Model):
         h_base = np.where(hs == START, 0.0, np.log10(ch + 1.0))
         h_known = (ch > 0) & (hs != START)
         back_off = known | (split & (ch > 0))
-        upto = 0
-        for block, n_docs, docs, size in zip(table.column("block").to_pylist(), table.column("n_docs").to_pylist(), column("docs", np.uint16), sizes, strict=True):
-            p = np.repeat(pi[upto : upto + size], n[upto : upto + size])
-            upto += size
+        for block, n_docs, docs, b, size in zip(table.column("block").to_pylist(), table.column("n_docs").to_pylist(), tokens_of, begin, sizes, strict=True):
+            p = np.repeat(pi[b : b + size], n[b : b + size])
+            docs = docs & np.uint16(HELD - 1)
             parts = [np.bincount(docs, x, n_docs) for x in (add[p], h_base[ph[p]], h_known[ph[p]])]
             parts += [np.bincount(docs[level[p] == q], minlength=n_docs).astype(float) for q in range(1, KEEP + 1)]
             some = np.flatnonzero(np.bincount(docs, minlength=n_docs))

@@ -104,8 +104,8 @@ class Words:
         return mix(out[keep]), bounds
 
 
-def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Cut a string column into slices of about SLICE_BYTES, SLICE_ROWS rows at most: yields (first
+def text_slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Cut a string column into slices of about ``size`` bytes, SLICE_ROWS rows at most: yields (first
     row, end row, bytes, offsets of rows in them). Null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -117,7 +117,7 @@ def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
     data = np.frombuffer(data_buf, np.uint8) if data_buf is not None else np.zeros(0, np.uint8)
     at = 0
     while at < len(column):
-        end = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1
         end = min(max(end, at + 1), at + SLICE_ROWS, len(column))
         yield at, end, data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
         at = end

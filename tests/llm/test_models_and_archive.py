@@ -6,9 +6,12 @@ import gzip
 import hashlib
 import heapq
 import math
+import tracemalloc
 import zlib
 from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -90,6 +93,42 @@ def test_small_corpora_and_uniform_counts(make_docs):
         _check(make_docs(texts), dict(enumerate(texts)))
 
 
+def test_pairs_counted_beyond_a_byte_and_held_out_documents_keep_their_counts(make_docs):
+    texts = [" ".join(["a b"] * 300), "a b " * 254 + "c", "b a " * 256]
+    for ids in ([0, 1, 2], [next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2), 200, 300]):
+        _check(make_docs(texts, ids=ids), dict(zip(ids, texts, strict=True)))
+
+
+def test_blocks_and_buckets_take_bounded_memory():
+    """Peak of the arrays that a worker holds while it makes the blocks of a
+    batch, and the bytes it sends per token."""
+    rng = np.random.default_rng(5)
+    words = np.array([f"w{i}" for i in rng.zipf(1.3, 1_200_000) % 200_000])
+    texts = [" ".join(w) for w in words.reshape(4000, 300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    model = object.__new__(katz.Model)
+    model.buckets, model.top_w, model.top_c = 8, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    model.hot = np.zeros(0, np.uint64)
+    made = []
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            made.append(run)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(katz, "doc_texts", lambda docs: docs)
+        katz.pair_blocks(Docs(), model)
+    list(made[0](iter([batch.slice(0, 100)])))  # the process's tables
+    tracemalloc.start()
+    sent = sum(block.nbytes for block in made[0](iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6 and sent / (len(words) + len(texts)) < 7.5
+
+
 def test_discounts():
     d = katz.good_turing({1: 1000, 2: 400, 3: 220, 4: 140, 5: 100, 6: 75})
     assert all(0 < x < 1 for x in d[1:6]) and d[6] == 1
