@@ -39,12 +39,14 @@ def save_ensemble(spark: SparkSession, model) -> str:
     return path
 
 
-def node_table(spark: SparkSession, path: str, names: Sequence[str] = FEATURE_ORDER) -> DataFrame:
+def node_table(spark: SparkSession, path: str, names: Sequence[str] = FEATURE_ORDER, kind: str | None = None) -> DataFrame:
     """One row per node of the ensemble saved at ``path``: tree, node, depth
     unknown; ``left`` and ``right`` children and ``feature`` are null in a leaf.
     ``categories`` lists the values of a categorical split that go left,
     ``threshold`` is the largest value of a continuous one that does; ``stats``
-    are class counts (forest) or count, sum and sum of squares (boosted)."""
+    are class counts (forest) or count, sum and sum of squares (boosted).
+    ``n_rows`` are the learner's rows; of a boosted ensemble (``kind``), fitted
+    on weighted rows or not, the rows that they stand for."""
     raw = spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
     inner = F.col("leftChild") >= 0
     values, categorical = F.col("split.leftCategoriesOrThreshold"), F.col("split.numCategories") >= 0
@@ -62,7 +64,7 @@ def node_table(spark: SparkSession, path: str, names: Sequence[str] = FEATURE_OR
         F.when(inner, F.col("gain")).alias("gain"),
         "impurity",
         F.col("impurityStats").alias("stats"),
-        F.col("rawCount").alias("n_rows"),
+        (F.round(F.col("impurityStats")[0]).cast("long") if kind == BOOSTED_MARGIN else F.col("rawCount")).alias("n_rows"),
         "prediction",
     )
     return nodes.join(weights, "tree")

@@ -789,7 +789,7 @@ def fitted_nodes(spark, sf_dir: str, name: str) -> DataFrame:
     saved = entry.setdefault("saved", {})
     if name not in saved:
         saved[name] = T.save_ensemble(spark, entry["fitted"].models[name])
-    return T.node_table(spark, saved[name])
+    return T.node_table(spark, saved[name], kind=T.ensemble_kind(entry["fitted"].models[name]))
 
 
 def model_records(spark, sf_dir: str, names) -> DataFrame:

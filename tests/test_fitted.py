@@ -1,6 +1,8 @@
 """Node tables and the logistic certificate against MLlib, DuckDB and
 hand-written trees."""
 
+import math
+
 import duckdb
 import numpy as np
 import pytest
@@ -11,7 +13,9 @@ from pyspark.sql import functions as F
 
 from blotter.operators import logistic as L
 from blotter.operators import metrics as M
+from blotter.operators import models as MO
 from blotter.operators import trees as T
+from blotter.sources import schema as S
 
 NAMES = ("a", "b", "c")
 
@@ -103,3 +107,26 @@ def test_stored_scores_give_the_metrics_in_another_engine(spark, train, tmp_path
     auc, accuracy, tp = duckdb.connect().execute(sql).fetchone()
     got = M.metrics_record(spark.read.parquet(path), by=["model"], with_confusion=True).first()
     assert (got["auc"], got["accuracy"], got["tp"]) == (pytest.approx(auc, abs=1e-12), pytest.approx(accuracy, abs=1e-12), tp)
+
+
+@pytest.mark.parametrize("steps", [MO.WEIGHT_STEPS, 300])
+def test_counted_vectors_fit_the_trees_of_the_rows(spark, train, monkeypatch, steps):
+    """The boosted trees of weighted vectors are those of the rows, whose number
+    the node table gives; five copies of the rows are no more work."""
+    monkeypatch.setattr(MO, "WEIGHT_STEPS", steps)
+    rows = train
+    for _ in range(4):
+        rows = rows.unionByName(train)
+    once, many = MO.counted(train), MO.counted(rows)
+    n = train.count()
+    assert once.agg(F.sum(MO.WEIGHT)).first()[0] == n and many.agg(F.sum(MO.WEIGHT)).first()[0] == 5 * n
+    vectors = train.select(MO.FEATURES, S.LABEL).distinct().count()
+    assert many.count() <= vectors + steps and many.agg(F.max(MO.WEIGHT)).first()[0] <= math.ceil(5 * n / steps)
+    learner = MO.make_learner(MO.BOOSTED).setMaxIter(3)
+    plain = GBTClassifier(featuresCol=MO.FEATURES, labelCol=S.LABEL, maxIter=3, maxDepth=5, maxBins=64, seed=42)
+    own = learner.fit(many)
+    table = T.node_table(spark, T.save_ensemble(spark, own), kind=T.BOOSTED_MARGIN)
+    other = T.node_table(spark, T.save_ensemble(spark, plain.fit(rows)), kind=T.BOOSTED_MARGIN)
+    got, want = ([tuple(r) for r in t.select("tree", "node", "feature", "threshold", "categories", "n_rows", F.round("prediction", 6)).orderBy("tree", "node").collect()] for t in (table, other))
+    assert got == want and got[0][5] == 5 * n
+    assert own.getNumTrees == 3
