@@ -9,6 +9,7 @@ includes counting the vectors (``counted``).
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -25,6 +26,9 @@ from blotter.sources import schema as S
 
 LOGISTIC, FOREST, BOOSTED = "LogisticRegression", "RandomForest", "GBT"
 WEIGHT = "n_rows"
+#: Rows of a partition of the working set: a tree learner keeps about 500 bytes
+#: a row (a bag count per tree), which a task reads at once.
+TASK_ROWS = 200_000
 #: ``counted`` makes weights of at most 1 / WEIGHT_STEPS of all rows.
 WEIGHT_STEPS = 50_000
 
@@ -90,13 +94,14 @@ def prepare(rows: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int |
 
     The split is decided by each row's values and the seed alone (see
     ``sampling.hash_split``), so it is the same for any partitioning. The
-    model columns are dealt to ``partitions`` partitions (default: the
-    cluster's parallelism) by all their values and persisted once. Indexes
+    model columns are dealt to ``partitions`` partitions (default: of about
+    ``TASK_ROWS`` rows, and no fewer than the cluster's parallelism) by a hash
+    of all their values and persisted once. Indexes
     are fitted on the train part; one pass then counts the rows of both parts
     before and after indexing.
     """
     base = rows.select(*MODEL_COLUMNS)
-    base = base.repartition(partitions or rows.sparkSession.sparkContext.defaultParallelism, *MODEL_COLUMNS)
+    base = base.repartition(partitions or max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(base.count() / TASK_ROWS)), *MODEL_COLUMNS)
     labelled = hash_split(base, S.INCIDENT_ID, weights, ("train", "test"), split_salt(seed), MODEL_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
     fmodel = fit_features(labelled.filter(F.col(PART) == F.lit("train")))
     indexer = fmodel.stages[0]

@@ -112,6 +112,18 @@ def test_prepare_splits_the_same_for_any_partitioning(spark):
     other.release()
 
 
+def test_partitions_of_the_working_set_follow_its_rows(spark, monkeypatch):
+    """A task of a tree learner reads a partition whole, so a larger table has
+    more of them."""
+    monkeypatch.setattr(MO, "TASK_ROWS", 100)
+    rows = model_rows(incidents_at(spark, SF_SMALL))
+    work = MO.prepare(rows)
+    try:
+        assert work.labelled.rdd.getNumPartitions() == -(-rows.count() // 100)
+    finally:
+        work.release()
+
+
 def test_rows_without_ids_are_sampled_and_split_by_their_values(spark):
     df = spark.range(2000).selectExpr("cast(null as bigint) incident_id", "cast(id as string) place")
     assert SM.hash_sample(df, "incident_id", 1.0, fallback=["place"]).count() == 2000
