@@ -7,9 +7,11 @@ length: few random splits isolate an unusual one. The anomaly score is
 rejected is calibrated on labelled rows: the one that rejects most of the
 bad rows while it loses at most ``max_good_loss`` of the good ones.
 
-The forest is fitted on at most ``max_labelled`` labelled rows (a documented
-bound, chosen by a seeded hash of the id); statistics, scores and verdicts
-cover every document and its whole text.
+Each tree draws its own ``subsample`` from all labelled rows, as isolation
+forests do, by a seeded hash; the threshold is the exact order statistic over the
+scores of all labelled rows. Statistics, scores and verdicts cover every document
+and its whole text, which is read once: statistics and scores are tables in the
+shared folder. The driver holds ``trees * subsample`` rows of the draws.
 
 Edge cases: a null or empty text has no words and fails the base rules; null
 ids stay as rows; repeated rows give repeated results; an empty table gives
@@ -23,10 +25,10 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from blotter.llm.frames import doc_texts, id_sample, map_texts
+from blotter.llm.frames import map_texts, stored
 from blotter.llm.textstats import FEATURES, statistics
 
 MIN_WORDS = 10
@@ -63,9 +65,13 @@ class IsolationForest:
     def fit(self, x: np.ndarray) -> IsolationForest:
         rng = np.random.default_rng(self.seed)
         size = min(self.subsample, len(x))
+        return self.grow((x[rng.permutation(len(x))[:size]] for _ in range(self.trees)), size, rng)
+
+    def grow(self, draws: Iterable[np.ndarray], size: int, rng: np.random.Generator) -> IsolationForest:
+        """One tree from each draw of ``size`` rows."""
         self.norm = max(self.mean_depth(size), 1e-9)
         limit = int(np.ceil(np.log2(max(2, size)))) + 4
-        self.grown = [self._tree(x[rng.permutation(len(x))[:size]], limit, rng) for _ in range(self.trees)]
+        self.grown = [self._tree(x, limit, rng) for x in draws]
         return self
 
     def _tree(self, x: np.ndarray, limit: int, rng: np.random.Generator) -> tuple:
@@ -115,41 +121,74 @@ def calibrate(scores: np.ndarray, good: np.ndarray, max_good_loss: float) -> flo
     return float(ranked[min(int(max_good_loss * len(ranked)), len(ranked) - 1)])
 
 
-def labelled_statistics(docs: DataFrame, labels: DataFrame, n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """(features, quality) of at most ``n`` labelled documents."""
-    marked = (
-        labels.where("doc_id is not null and quality in (0, 1)")
-        .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-        .agg(F.min("quality").alias("mark"))
-    )
-    chosen = id_sample(marked, n, seed).join(marked, "doc_id")
-    # chosen has at most n rows of two numbers, a bound that is a parameter
-    texts = doc_texts(docs).join(F.broadcast(chosen), "doc_id")
-    stats = rule_statistics(texts).select("doc_id", "features").join(chosen, "doc_id")
-    rows = stats.orderBy("doc_id").toPandas()
-    x = np.array(rows["features"].tolist(), float).reshape(-1, len(FEATURES))
-    return x, rows["mark"].to_numpy(int) == 1
+def labels_by_id(labels: DataFrame) -> DataFrame:
+    """(doc_id, mark) of the documents labelled good (1) or bad (0)."""
+    known = labels.where("doc_id is not null and quality in (0, 1)")
+    return known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("mark"))
+
+
+def tree_draws(labelled: DataFrame, trees: int, size: int, seed: int) -> list[np.ndarray]:
+    """For each tree the ``size`` labelled rows (doc_id, features) with the
+    smallest hashes of its own, of all rows: without replacement, the same for
+    any partitioning. Rows whose hash is far above the expected bound are left
+    out before the shuffle: of ``4 * size + 64`` rows expected below it, fewer
+    than ``size`` are never seen unless rows are equal."""
+    n = labelled.count()
+    if not n:
+        return []
+    share = min(1.0, (4 * size + 64) / n)
+    bound = int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1
+    own = labelled.select("features", F.xxhash64(F.lit(seed), "doc_id", "features").alias("row_hash"))
+    every = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), F.xxhash64("row_hash", t).alias("hash")))
+    drawn = own.select("features", F.inline(F.filter(every, lambda d: d["hash"] <= F.lit(bound))))
+    ranked = drawn.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy("hash", "features"))).where(F.col("rank") <= size)
+    rows = ranked.orderBy("tree", "rank").toPandas()
+    return [np.array(group["features"].tolist(), float) for _, group in rows.groupby("tree")]
+
+
+def nth_smallest(values: DataFrame, n: int, bins: int = 4096) -> float:
+    """The value at place ``n`` (from 0) of one column of numbers in order, from
+    counts of bins that narrow down on it: at most ``bins`` rows come back."""
+    (name,) = values.columns
+    x = F.col(name)
+    low, high = values.agg(F.min(x), F.max(x)).first()
+    while low < high:
+        spot = F.least(F.floor((x - F.lit(low)) / F.lit(high - low) * bins), F.lit(bins - 1))
+        inside = values.where(x.between(F.lit(low), F.lit(high)))
+        for r in sorted(inside.groupBy(spot.alias("bin")).agg(F.count(F.lit(1)).alias("k"), F.min(x).alias("low"), F.max(x).alias("high")).collect()):
+            if n < r["k"]:
+                low, high = r["low"], r["high"]
+                break
+            n -= r["k"]
+    return float(low)
+
+
+def calibrated(scored: DataFrame, max_good_loss: float) -> float:
+    """``calibrate`` over a table (anomaly, mark) of any size."""
+    sizes = {r["mark"]: r["count"] for r in scored.groupBy("mark").count().collect()}
+    good = sizes.get(1, 0)
+    if not good or not sizes.get(0, 0):
+        return float("inf")
+    return nth_smallest(scored.where("mark = 1").select("anomaly"), good - 1 - min(int(max_good_loss * good), good - 1))
 
 
 def quality_rules(
     docs: DataFrame,
     labels: DataFrame,
-    max_labelled: int = 10_000,
     trees: int = 200,
     subsample: int = 64,
     max_good_loss: float = 0.01,
     seed: int = 17,
 ) -> DataFrame:
     """(doc_id, counts, base_failed, anomaly, kept) per document."""
-    x, good = labelled_statistics(docs, labels, max_labelled, seed)
-    stats = rule_statistics(docs)
+    marks = labels_by_id(labels)
+    stats = stored(rule_statistics(docs), "rule-statistics")
     base_failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
+    draws = tree_draws(stats.join(marks, "doc_id").select("doc_id", "features"), trees, subsample, seed)
     forest, threshold = None, float("inf")
-    if len(x):
-        forest = IsolationForest(trees, subsample, seed).fit(x[:, SPLIT_ON])
-        passes_base = np.expm1(x[:, FEATURES.index("log_words")]).round() >= MIN_WORDS
-        passes_base &= x[:, FEATURES.index("repeat_share")] * 100 <= MAX_REPEAT_PERCENT
-        threshold = calibrate(forest.score(x[passes_base][:, SPLIT_ON]), good[passes_base], max_good_loss)
+    if draws:
+        parts = [x[:, SPLIT_ON] for x in draws]
+        forest = IsolationForest(trees, subsample, seed).grow(parts, max(len(x) for x in parts), np.random.default_rng(seed))
 
     def anomaly(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
@@ -158,7 +197,9 @@ def quality_rules(
             at = batch.schema.get_field_index("features")
             yield batch.set_column(at, "anomaly", pa.array(scores))
 
-    scored = stats.mapInArrow(anomaly, ", ".join(["doc_id long", *(f"{c} long" for c in COUNTS), "anomaly double"]))
+    scored = stored(stats.mapInArrow(anomaly, ", ".join(["doc_id long", *(f"{c} long" for c in COUNTS), "anomaly double"])), "rule-scores")
+    if forest is not None:
+        threshold = calibrated(scored.where(~base_failed).join(marks, "doc_id").select("anomaly", "mark"), max_good_loss)
     return scored.select(
         "doc_id", *COUNTS, base_failed.alias("base_failed"), "anomaly", (~base_failed & (F.col("anomaly") <= threshold)).alias("kept")
     )

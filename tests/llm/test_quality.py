@@ -4,10 +4,11 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from blotter.llm.frames import read_table
 from blotter.llm.pu_quality import BinnedScorer, estimate_prior, fit_pu, keep_quality, pu_quality
-from blotter.llm.quality_rules import IsolationForest, calibrate, quality_rules
+from blotter.llm.quality_rules import FEATURES, IsolationForest, calibrate, calibrated, nth_smallest, quality_rules, rule_statistics, tree_draws
 from tests.conftest import SF_MID
 
 
@@ -57,6 +58,42 @@ def test_quality_rules_edge_cases(spark, odd_docs, no_docs, no_labels):
     assert quality_rules(no_docs, no_labels).count() == 0
 
 
+def test_threshold_is_that_of_all_labelled_rows(spark):
+    """More labelled rows than any bound: the cut is the exact order statistic."""
+    rng = np.random.default_rng(4)
+    scores, good = rng.random(30_000).round(4), rng.random(30_000) < 0.8
+    table = spark.createDataFrame([(float(x), int(g)) for x, g in zip(scores, good, strict=True)], "anomaly double, mark int")
+    for loss in (0.0, 0.01, 0.37, 1.0):
+        assert calibrated(table, loss) == calibrate(scores, good, loss)
+    assert calibrated(table.where("mark = 1"), 0.01) == calibrated(table.limit(0), 0.01) == float("inf")
+    tiny = spark.createDataFrame([(1e-300 * i,) for i in range(5)] + [(0.5,)] * 3, "x double")
+    assert [nth_smallest(tiny, n, 4) for n in range(8)] == [*(1e-300 * i for i in range(5)), 0.5, 0.5, 0.5]
+
+
+def test_every_labelled_row_can_be_drawn(spark):
+    """Rows beyond the first 10,000 take part, each tree has its own draw, and
+    draws do not depend on the partitions."""
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.array(*[F.col("id").cast("double")] * len(FEATURES)).alias("features"))
+    draws = tree_draws(rows, 150, 64, 3)
+    assert [len(np.unique(x[:, 0])) for x in draws] == [64] * 150
+    seen = np.unique(np.concatenate([x[:, 0] for x in draws]))
+    assert len(seen) > 0.9 * 20_000 * (1 - np.exp(-150 * 64 / 20_000)) and abs(seen.mean() - 10_000) < 500
+    again = tree_draws(rows.repartition(5), 150, 64, 3)
+    assert all(np.array_equal(a, b) for a, b in zip(draws, again, strict=True))
+    assert [len(x) for x in tree_draws(rows.limit(10), 3, 64, 3)] == [10, 10, 10] and tree_draws(rows.limit(0), 3, 64, 3) == []
+
+
+def test_verdicts_follow_all_labels(spark):
+    """Kept documents are those up to the threshold over all labelled rows."""
+    docs, labels = read_table(spark, SF_MID, "documents"), read_table(spark, SF_MID, "labels")
+    rows = quality_rules(docs, labels, max_good_loss=0.2).toPandas().set_index("doc_id")
+    marks = {r["doc_id"]: r["quality"] for r in labels.where("quality in (0, 1)").collect()}
+    known = rows[~rows["base_failed"] & rows.index.isin(marks)]
+    cut = calibrate(known["anomaly"].to_numpy(), np.array([marks[i] == 1 for i in known.index]), 0.2)
+    assert (rows["kept"] == (~rows["base_failed"] & (rows["anomaly"] <= cut))).all() and np.isfinite(cut)
+    assert rule_statistics(docs).count() == len(rows)
+
+
 def test_prior_is_recovered_from_two_samples():
     rng = np.random.default_rng(3)
     positive = rng.normal(2, 1, 5000)
