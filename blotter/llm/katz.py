@@ -22,7 +22,9 @@ How it scales: every task sorts its tokens by (history, word) and sends one
 block per bucket: distinct pairs with counts, and the documents they occur in.
 A bucket's task sums the pairs' counts and scores those documents at once, so
 texts are read twice, token rows never exist in the JVM and the model is never
-broadcast. Two bounded lists are: the ``TOP_WORDS`` most frequent words, which
+broadcast. What a token adds by its top word alone is summed before the shuffle,
+so that a bucket's part of a document is one number, small counts and a few rare
+words; blocks and parts travel compressed. Two bounded lists are: the ``TOP_WORDS`` most frequent words, which
 lets blocks name them by number (all others travel as hashes and meet the
 unigram table in a join), and the at most 4 * buckets hot histories, whose
 pairs are dealt by word instead of by history, so a word that makes up a third
@@ -124,6 +126,20 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array,
             serial += 1
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """The bytes of ``x``, first bytes first, behind their number; compressed if
+    that is shorter."""
+    raw = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+    small = pa.compress(raw, codec="zstd", asbytes=True)
+    return len(raw).to_bytes(4, "little") + (small if len(small) < len(raw) else raw)
+
+
+def _unpacked(data: pa.Buffer, kind: type) -> np.ndarray:
+    size, rest = int.from_bytes(data[:4].to_pybytes(), "little"), data[4:]
+    raw = np.frombuffer(rest if rest.size == size else pa.decompress(rest, size, codec="zstd"), np.uint8)
+    return raw.reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
 def unigram_counts(docs: DataFrame) -> DataFrame:
     """(w, c) over the training texts; counted per block before the shuffle."""
 
@@ -177,16 +193,17 @@ class Model:
         return np.where(self.top_w[at] == w, at, RARE).astype(np.uint32)
 
 
-_BLOCK = "bucket int, block long, h binary, fan binary, w binary, rare_w binary, n binary, n_many binary, docs binary, n_docs int"
+_BLOCK = "bucket int, block long, h binary, rare_h binary, fan binary, w binary, rare_w binary, n binary, n_many binary, docs binary, n_docs int"
 _BLOCK_NAMES = [f.split()[0] for f in _BLOCK.split(", ")]
 
 
 def pair_blocks(docs: DataFrame, model: Model) -> DataFrame:
-    """One row per block and bucket: histories (h) with their numbers of
-    followers (fan), followers (w by number, rare_w by hash), tokens of each
+    """One row per block and bucket: histories by rising hash (h: differences of
+    their numbers, rare_h by hash) with their numbers of followers (fan), followers (w by number, rare_w by hash), tokens of each
     pair (n in a byte, MANY: in n_many) and the documents of the tokens (numbers
     within the block, HELD added to held-out ones). Rows of bucket -1 - b name a
-    block's documents: ids in h, tokens in n, fold in docs."""
+    block's documents: ids in h, tokens in n, fold in docs, and of their top words
+    the base score in fan and the number in w. Arrays are ``_packed``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for block in _blocks(batches):
@@ -201,6 +218,12 @@ def pair_blocks(docs: DataFrame, model: Model) -> DataFrame:
         hid = np.empty_like(wid)
         hid[1:] = wid[:-1]
         hid[first[:-1]] = number[-1]
+        w_number = model.number(words)
+        top = (w_number != RARE) & (words > START)
+        log_count = np.zeros(len(words))
+        log_count[top] = np.log10(model.top_c[w_number[top]] + 1.0)
+        top_base = np.bincount(doc, log_count[number[:-1]], len(out_fold))
+        top_words = np.bincount(doc[top[number[:-1]]], minlength=len(out_fold)).astype(np.uint32)
         del number
         is_hot = np.isin(words, model.hot) | (words == START)
         home = (mix(words) % np.uint64(model.buckets)).astype(np.uint64)
@@ -216,24 +239,24 @@ def pair_blocks(docs: DataFrame, model: Model) -> DataFrame:
         pair_bucket = (pair >> np.uint64(50)).astype(np.int64)
         pair_h = ((pair >> np.uint64(25)) & np.uint64((1 << 25) - 1)).astype(np.int64)
         pair_w = (pair & np.uint64((1 << 25) - 1)).astype(np.int64)
-        w_number = model.number(words)
         present = np.flatnonzero(np.concatenate([[True], pair_bucket[1:] != pair_bucket[:-1]]))
         rows: dict[str, list] = {k: [] for k in _BLOCK_NAMES}
         for s, e in zip(present, np.append(present[1:], len(pair)), strict=True):
             ph, pw = pair_h[s:e], pair_w[s:e]
             heads = np.flatnonzero(np.concatenate([[True], ph[1:] != ph[:-1]]))
-            coded = w_number[pw]
+            coded, heads_coded = w_number[pw], w_number[ph[heads]]
+            named = heads_coded != RARE
             upto = starts[e] if e < len(starts) else len(code)
             values = (
-                int(pair_bucket[s]), block, words[ph[heads]], np.diff(np.append(heads, len(ph))).astype(np.uint32),
+                int(pair_bucket[s]), block, np.diff(heads_coded[named], prepend=np.uint32(0)), words[ph[heads[~named]]], np.diff(np.append(heads, len(ph))).astype(np.uint32),
                 coded, words[pw[coded == RARE]], np.minimum(n[s:e], MANY).astype(np.uint8), n[s:e][n[s:e] >= MANY], tokens_of[starts[s] : upto], len(out_fold),
             )
             for k, v in zip(_BLOCK_NAMES, values, strict=True):
-                rows[k].append(v.tobytes() if isinstance(v, np.ndarray) else v)
-        named = ids.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False).astype(np.int64)
-        about = (-1 - block % model.buckets, block, named, b"", b"", b"", np.diff(first).astype(np.uint32), b"", out_fold.astype(np.uint8), len(out_fold))
+                rows[k].append(_packed(v) if isinstance(v, np.ndarray) else v)
+        numbers = ids.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False).astype(np.int64)
+        about = (-1 - block % model.buckets, block, numbers, b"", top_base, top_words, b"", np.diff(first).astype(np.uint32), b"", out_fold.astype(np.uint8), len(out_fold))
         for k, v in zip(_BLOCK_NAMES, about, strict=True):
-            rows[k].append(v.tobytes() if isinstance(v, np.ndarray) else v)
+            rows[k].append(_packed(v) if isinstance(v, np.ndarray) else v)
         types = {"bucket": pa.int32(), "block": pa.int64(), "n_docs": pa.int32()}
         return pa.RecordBatch.from_arrays([pa.array(rows[k], types.get(k, pa.binary())) for k in _BLOCK_NAMES], names=_BLOCK_NAMES)
 
@@ -258,18 +281,38 @@ def _out(kind: int, size: int, **columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=_OUT_SCHEMA)
 
 
+def _partial(block: int, n_docs: int, docs: np.ndarray, add: np.ndarray, level: np.ndarray, base: np.ndarray, rare: np.ndarray) -> pa.RecordBatch:
+    """What a bucket's tokens of a block add to its documents: for those with
+    tokens (``some``, as differences) the sum of ``add`` and the numbers of each
+    level, and for those with rare histories the base scores and the numbers of
+    known ones."""
+    some = np.flatnonzero(np.bincount(docs, minlength=n_docs))
+    levels = np.stack([np.bincount(docs[level == q], minlength=n_docs)[some] for q in range(1, KEEP + 1)])
+    levels = levels.astype(np.uint8 if levels.max() < 256 else np.uint32)
+    arrays = [np.bincount(docs, add, n_docs)[some], levels, np.diff(some, prepend=0).astype(np.uint16)]
+    if rare.any():
+        docs, base = docs[rare], base[rare]
+        own = np.unique(docs)
+        arrays += [np.bincount(docs, base, n_docs)[own], np.bincount(docs, base > 0, n_docs)[own].astype(np.uint32), own.astype(np.uint16)]
+    frames = [_packed(x) for x in arrays]
+    sizes = {f"n{k}": [len(f)] for k, f in enumerate(frames[:-1], 1)}
+    return _out(PARTIAL, 1, a=[levels.itemsize], b=[block], i=[n_docs], data=[b"".join(frames)], **sizes)
+
+
 def _bucket_task(model: Model):
     """The function that sums and scores one bucket."""
 
     def about(rows: list[dict]) -> list[pa.RecordBatch]:
         made = []
         for r in rows:
-            ids = np.frombuffer(r["h"], np.int64)
+            r |= {k: pa.py_buffer(r[k]) for k in ("h", "fan", "w", "n", "docs")}
+            ids = _unpacked(r["h"], np.int64)
             null = ids == np.iinfo(np.int64).min
             made.append(
                 _out(
                     DOCUMENT, len(ids), a=pa.array(ids, mask=null), b=np.full(len(ids), r["block"]), i=np.arange(len(ids), dtype=np.int32),
-                    n1=np.frombuffer(r["n"], np.uint32).astype(np.int64), n2=np.frombuffer(r["docs"], np.uint8).astype(np.int64),
+                    n1=_unpacked(r["n"], np.uint32).astype(np.int64), n2=_unpacked(r["docs"], np.uint8).astype(np.int64),
+                    n3=_unpacked(r["w"], np.uint32).astype(np.int64), base=_unpacked(r["fan"], np.float64),
                 )
             )
         return made
@@ -286,9 +329,12 @@ def _bucket_task(model: Model):
         uni = model.uni
 
         def column(name: str, kind: type) -> list[np.ndarray]:
-            return [np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]
+            return [_unpacked(x.as_buffer(), kind) for x in table.column(name)]
 
-        h = np.concatenate([np.repeat(x, fan) for x, fan in zip(column("h", np.uint64), column("fan", np.uint32), strict=True)])
+        # names rise by hash, and so do a block's histories
+        heads = [np.sort(np.concatenate([model.top_w[np.cumsum(x, dtype=np.int64)], rare])) for x, rare in zip(column("h", np.uint32), column("rare_h", np.uint64), strict=True)]
+        h = np.concatenate([np.repeat(x, fan) for x, fan in zip(heads, column("fan", np.uint32), strict=True)])
+        del heads
         numbers = column("w", np.uint32)
         sizes = [len(x) for x in numbers]
         number = np.concatenate(numbers)
@@ -339,26 +385,23 @@ def _bucket_task(model: Model):
         made.append(_out(RARE_PAIR, len(k), a=pw[k].view(np.int64), b=hs[ph[k]].view(np.int64)))
         k = np.flatnonzero(seen)
         k = k[np.lexsort((pn[k], ph[k]))]
-        data = [hs.tobytes(), ph[k].tobytes(), pn[k].tobytes(), pw[k[pn[k] == RARE]].tobytes(), c2[k].astype(np.uint32).tobytes()]
+        fan = np.bincount(ph[k], minlength=len(hs)).astype(np.uint32)
+        data = [_packed(x) for x in (hs, fan, pn[k], pw[k[pn[k] == RARE]], c2[k].astype(np.uint32))]
         made.append(_out(BIGRAMS, len(data), a=np.full(len(data), bucket), i=np.arange(len(data), dtype=np.int32), data=data))
-        # what each token of the pair adds to its document, discounts aside
+        # what each token of the pair adds to its document, discounts aside;
+        # -log10(divide) of starts and top words is in the document's own row
+        log_divide = np.log10(divide.astype(float))
+        h_rare = (hs != START) & (model.number(hs) == RARE)
         add = np.where(
             seen,
-            np.where(c2 > KEEP, np.log10(np.maximum(c2, 1)), 0.0) - np.log10(np.maximum(divide, 1))[ph],
-            np.where(top, np.log10(np.maximum(p_top, 1e-300)), 0.0),
+            np.where(c2 > KEEP, np.log10(np.maximum(c2, 1)), 0.0) - np.where(h_rare, log_divide, 0.0)[ph],
+            np.where(top, np.log10(np.maximum(p_top, 1e-300)), 0.0) + np.where(h_rare, 0.0, log_divide)[ph],
         )
-        h_base = np.where(hs == START, 0.0, np.log10(ch + 1.0))
-        h_known = (ch > 0) & (hs != START)
         back_off = known | (split & (ch > 0))
         for block, n_docs, docs, b, size in zip(table.column("block").to_pylist(), table.column("n_docs").to_pylist(), tokens_of, begin, sizes, strict=True):
             p = np.repeat(pi[b : b + size], n[b : b + size])
             docs = docs & np.uint16(HELD - 1)
-            parts = [np.bincount(docs, x, n_docs) for x in (add[p], h_base[ph[p]], h_known[ph[p]])]
-            parts += [np.bincount(docs[level[p] == q], minlength=n_docs).astype(float) for q in range(1, KEEP + 1)]
-            some = np.flatnonzero(np.bincount(docs, minlength=n_docs))
-            packed = np.stack([x[some] for x in parts])
-            data = packed[:2].tobytes() + packed[2:].astype(np.uint32).tobytes() + some.astype(np.uint16).tobytes()
-            made.append(_out(PARTIAL, 1, b=[block], i=[n_docs], big=[len(some)], data=[data]))
+            made.append(_partial(block, n_docs, docs, add[p], level[p], log_divide[ph[p]], h_rare[ph[p]]))
             miss = np.flatnonzero(~seen[p])
             if len(miss):
                 mp, md = p[miss], docs[miss].astype(np.int32)
@@ -409,12 +452,12 @@ class Tables:
         def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
             for batch in batches:
                 for r in batch.to_pylist():
-                    hs, at, number, rare, c = (np.frombuffer(r[str(k)], t) for k, t in enumerate((np.int64, np.int32, np.uint32, np.uint64, np.uint32)))
+                    hs, fan, number, rare, c = (_unpacked(pa.py_buffer(r[str(k)]), t) for k, t in enumerate((np.int64, np.uint32, np.uint32, np.uint64, np.uint32)))
                     w = np.empty(len(number), np.uint64)
                     w[number != RARE] = top_w[number[number != RARE]]
                     w[number == RARE] = rare
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(w), r["bucket"])), pa.array(hs[at]), pa.array(w.view(np.int64)), pa.array(c.astype(np.int64))], names=["bucket", "h", "w", "c"]
+                        [pa.array(np.full(len(w), r["bucket"])), pa.array(np.repeat(hs, fan)), pa.array(w.view(np.int64)), pa.array(c.astype(np.int64))], names=["bucket", "h", "w", "c"]
                     )
 
         return packed.mapInArrow(run, "bucket long, h long, w long, c long")
@@ -431,24 +474,29 @@ def train(docs: DataFrame) -> Tables:
 
 
 def _document_sums(parts: DataFrame, d2: np.ndarray) -> DataFrame:
-    """(b, i, sum, base_sum, known): partial scores added up per document."""
+    """(b, i, sum, base_sum, known): partial scores added up per document; the
+    last two of its rare words only."""
     weights = np.array([math.log10(d2[r] * r) for r in range(1, KEEP + 1)])
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         sums = np.zeros((3, max(r["i"] for r in rows)))
         for r in rows:
-            some = r["big"]
-            value, base = np.frombuffer(r["data"], np.float64, 2 * some).reshape(2, some)
-            ints = np.frombuffer(r["data"], np.uint32, 6 * some, 16 * some).reshape(6, some)
-            at = np.frombuffer(r["data"], np.uint16, some, 40 * some)
-            sums[0, at] += value + weights @ ints[1:]
-            sums[1, at] += base
-            sums[2, at] += ints[0]
+            data = pa.py_buffer(r["data"])
+            ends = np.cumsum([r[f"n{k}"] or 0 for k in range(1, 6)]).tolist()
+            bounds = [0, *ends[: 5 if r["n3"] else 2], data.size]
+            frames = [data[x:y] for x, y in zip(bounds, bounds[1:], strict=False)]
+            at = np.cumsum(_unpacked(frames[2], np.uint16), dtype=np.int64)
+            levels = _unpacked(frames[1], np.uint8 if r["a"] == 1 else np.uint32).reshape(KEEP, len(at))
+            sums[0, at] += _unpacked(frames[0], np.float64) + weights @ levels
+            if r["n3"]:
+                own = _unpacked(frames[5], np.uint16)
+                sums[1, own] += _unpacked(frames[3], np.float64)
+                sums[2, own] += _unpacked(frames[4], np.uint32)
         n = sums.shape[1]
         return pa.table({"b": pa.array(np.full(n, rows[0]["b"])), "i": pa.array(np.arange(n, dtype=np.int32)), "sum": sums[0], "base_sum": sums[1], "known": sums[2].astype(np.int64)})
 
-    partial = parts.where(F.col("kind") == PARTIAL).select("b", "i", "big", "data")
+    partial = parts.where(F.col("kind") == PARTIAL).select("a", "b", "i", "n1", "n2", "n3", "n4", "n5", "data")
     return partial.groupBy("b").applyInArrow(run, "b long, i int, sum double, base_sum double, known long")
 
 
@@ -461,15 +509,15 @@ def score(tables: Tables) -> DataFrame:
     words = parts.where(F.col("kind") == UNSEEN_WORD).select(F.col("a").alias("w"), "b", "i")
     lower = words.join(tables.unigrams, "w", "left").select("b", "i", F.log10(tables.word_p(F.col("c"))).alias("more"))
     more = backed.unionByName(lower).groupBy("b", "i").agg(F.sum("more").alias("more"))
-    named = parts.where(F.col("kind") == DOCUMENT).select(F.col("a").alias("doc_id"), "b", "i", F.col("n1").alias("n_tokens"), (F.col("n2") > 0).alias("held_out"))
+    named = parts.where(F.col("kind") == DOCUMENT).select(F.col("a").alias("doc_id"), "b", "i", F.col("n1").alias("n_tokens"), (F.col("n2") > 0).alias("held_out"), F.col("n3").alias("top_words"), F.col("base").alias("top_base"))
     joined = named.join(_document_sums(parts, tables.d2), ["b", "i"], "left").join(more, ["b", "i"], "left")
     end = tables.model.end_count
     per_token = math.log10(uni.tokens + uni.types + 1)
-    base = F.coalesce("base_sum", F.lit(0.0)) + math.log10(end + 1) - F.col("n_tokens") * per_token
+    base = F.col("top_base") + F.coalesce("base_sum", F.lit(0.0)) + math.log10(end + 1) - F.col("n_tokens") * per_token
     return joined.select(
-        "doc_id", "held_out", "n_tokens", (F.coalesce("known", F.lit(0)) + int(end > 0)).cast("long").alias("n_known"),
+        "doc_id", "held_out", "n_tokens", (F.col("top_words") + F.coalesce("known", F.lit(0)) + int(end > 0)).cast("long").alias("n_known"),
         F.lit(uni.tokens).cast("long").alias("train_tokens"), base.alias("base_score"),
-        (F.coalesce("sum", F.lit(0.0)) + F.coalesce("more", F.lit(0.0))).alias("score"),
+        (F.coalesce("sum", F.lit(0.0)) - F.col("top_base") - math.log10(end + 1) + F.coalesce("more", F.lit(0.0))).alias("score"),
     )
 
 

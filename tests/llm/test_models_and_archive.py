@@ -15,6 +15,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from blotter.llm import katz
@@ -129,6 +130,20 @@ def test_blocks_and_buckets_take_bounded_memory():
     assert peak < 60e6 and sent / (len(words) + len(texts)) < 7.5
 
 
+def test_blocks_and_parts_take_little_disk(spark):
+    """Bytes per token of the shuffled blocks, and of the parts of documents and
+    pairs that the buckets store."""
+    docs = read_table(spark, SF_SMALL, "documents")
+    tables = katz.train(docs)
+    sent = katz.pair_blocks(docs, tables.model).select(*(F.octet_length(c).alias(c) for c in ("h", "fan", "w", "n", "docs"))).agg(*(F.sum(c) for c in ("h", "fan", "w", "n", "docs"))).first()
+    stored = {r["kind"]: r["size"] for r in tables.parts.groupBy("kind").agg(F.sum(F.octet_length("data")).alias("size")).collect()}
+    tokens = katz.score(tables).agg(F.sum("n_tokens")).first()[0]
+    assert sum(sent) < 4 * tokens and stored[katz.PARTIAL] < 0.25 * tokens
+    pairs = tables.bigrams()
+    assert stored[katz.BIGRAMS] < 8 * pairs.count()
+    assert pairs.agg(F.sum("c")).first()[0] == tables.model.uni.tokens
+
+
 def test_discounts():
     d = katz.good_turing({1: 1000, 2: 400, 3: 220, 4: 140, 5: 100, 6: 75})
     assert all(0 < x < 1 for x in d[1:6]) and d[6] == 1
