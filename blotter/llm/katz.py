@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.llm.frames import doc_texts, stored
-from blotter.llm.textbatch import mix, release_memory, split_words, text_slices
+from blotter.llm.textbatch import mix, packed, release_memory, split_words, text_slices, unpacked
 
 FOLDS, HELD_OUT_FOLD = 7, 2
 KEEP = 5  # counts up to this are discounted
@@ -126,20 +126,6 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array,
             serial += 1
 
 
-def _packed(x: np.ndarray) -> bytes:
-    """The bytes of ``x``, first bytes first, behind their number; compressed if
-    that is shorter."""
-    raw = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
-    small = pa.compress(raw, codec="zstd", asbytes=True)
-    return len(raw).to_bytes(4, "little") + (small if len(small) < len(raw) else raw)
-
-
-def _unpacked(data: pa.Buffer, kind: type) -> np.ndarray:
-    size, rest = int.from_bytes(data[:4].to_pybytes(), "little"), data[4:]
-    raw = np.frombuffer(rest if rest.size == size else pa.decompress(rest, size, codec="zstd"), np.uint8)
-    return raw.reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
-
-
 def unigram_counts(docs: DataFrame) -> DataFrame:
     """(w, c) over the training texts; counted per block before the shuffle."""
 
@@ -203,7 +189,7 @@ def pair_blocks(docs: DataFrame, model: Model) -> DataFrame:
     pair (n in a byte, MANY: in n_many) and the documents of the tokens (numbers
     within the block, HELD added to held-out ones). Rows of bucket -1 - b name a
     block's documents: ids in h, tokens in n, fold in docs, and of their top words
-    the base score in fan and the number in w. Arrays are ``_packed``."""
+    the base score in fan and the number in w. Arrays are ``packed``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for block in _blocks(batches):
@@ -252,11 +238,11 @@ def pair_blocks(docs: DataFrame, model: Model) -> DataFrame:
                 coded, words[pw[coded == RARE]], np.minimum(n[s:e], MANY).astype(np.uint8), n[s:e][n[s:e] >= MANY], tokens_of[starts[s] : upto], len(out_fold),
             )
             for k, v in zip(_BLOCK_NAMES, values, strict=True):
-                rows[k].append(_packed(v) if isinstance(v, np.ndarray) else v)
+                rows[k].append(packed(v) if isinstance(v, np.ndarray) else v)
         numbers = ids.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False).astype(np.int64)
         about = (-1 - block % model.buckets, block, numbers, b"", top_base, top_words, b"", np.diff(first).astype(np.uint32), b"", out_fold.astype(np.uint8), len(out_fold))
         for k, v in zip(_BLOCK_NAMES, about, strict=True):
-            rows[k].append(_packed(v) if isinstance(v, np.ndarray) else v)
+            rows[k].append(packed(v) if isinstance(v, np.ndarray) else v)
         types = {"bucket": pa.int32(), "block": pa.int64(), "n_docs": pa.int32()}
         return pa.RecordBatch.from_arrays([pa.array(rows[k], types.get(k, pa.binary())) for k in _BLOCK_NAMES], names=_BLOCK_NAMES)
 
@@ -294,7 +280,7 @@ def _partial(block: int, n_docs: int, docs: np.ndarray, add: np.ndarray, level:
         docs, base = docs[rare], base[rare]
         own = np.unique(docs)
         arrays += [np.bincount(docs, base, n_docs)[own], np.bincount(docs, base > 0, n_docs)[own].astype(np.uint32), own.astype(np.uint16)]
-    frames = [_packed(x) for x in arrays]
+    frames = [packed(x) for x in arrays]
     sizes = {f"n{k}": [len(f)] for k, f in enumerate(frames[:-1], 1)}
     return _out(PARTIAL, 1, a=[levels.itemsize], b=[block], i=[n_docs], data=[b"".join(frames)], **sizes)
 
@@ -306,13 +292,13 @@ def _bucket_task(model: Model):
         made = []
         for r in rows:
             r |= {k: pa.py_buffer(r[k]) for k in ("h", "fan", "w", "n", "docs")}
-            ids = _unpacked(r["h"], np.int64)
+            ids = unpacked(r["h"], np.int64)
             null = ids == np.iinfo(np.int64).min
             made.append(
                 _out(
                     DOCUMENT, len(ids), a=pa.array(ids, mask=null), b=np.full(len(ids), r["block"]), i=np.arange(len(ids), dtype=np.int32),
-                    n1=_unpacked(r["n"], np.uint32).astype(np.int64), n2=_unpacked(r["docs"], np.uint8).astype(np.int64),
-                    n3=_unpacked(r["w"], np.uint32).astype(np.int64), base=_unpacked(r["fan"], np.float64),
+                    n1=unpacked(r["n"], np.uint32).astype(np.int64), n2=unpacked(r["docs"], np.uint8).astype(np.int64),
+                    n3=unpacked(r["w"], np.uint32).astype(np.int64), base=unpacked(r["fan"], np.float64),
                 )
             )
         return made
@@ -329,7 +315,7 @@ def _bucket_task(model: Model):
         uni = model.uni
 
         def column(name: str, kind: type) -> list[np.ndarray]:
-            return [_unpacked(x.as_buffer(), kind) for x in table.column(name)]
+            return [unpacked(x.as_buffer(), kind) for x in table.column(name)]
 
         # names rise by hash, and so do a block's histories
         heads = [np.sort(np.concatenate([model.top_w[np.cumsum(x, dtype=np.int64)], rare])) for x, rare in zip(column("h", np.uint32), column("rare_h", np.uint64), strict=True)]
@@ -386,7 +372,7 @@ def _bucket_task(model: Model):
         k = np.flatnonzero(seen)
         k = k[np.lexsort((pn[k], ph[k]))]
         fan = np.bincount(ph[k], minlength=len(hs)).astype(np.uint32)
-        data = [_packed(x) for x in (hs, fan, pn[k], pw[k[pn[k] == RARE]], c2[k].astype(np.uint32))]
+        data = [packed(x) for x in (hs, fan, pn[k], pw[k[pn[k] == RARE]], c2[k].astype(np.uint32))]
         made.append(_out(BIGRAMS, len(data), a=np.full(len(data), bucket), i=np.arange(len(data), dtype=np.int32), data=data))
         # what each token of the pair adds to its document, discounts aside;
         # -log10(divide) of starts and top words is in the document's own row
@@ -452,7 +438,7 @@ class Tables:
         def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
             for batch in batches:
                 for r in batch.to_pylist():
-                    hs, fan, number, rare, c = (_unpacked(pa.py_buffer(r[str(k)]), t) for k, t in enumerate((np.int64, np.uint32, np.uint32, np.uint64, np.uint32)))
+                    hs, fan, number, rare, c = (unpacked(pa.py_buffer(r[str(k)]), t) for k, t in enumerate((np.int64, np.uint32, np.uint32, np.uint64, np.uint32)))
                     w = np.empty(len(number), np.uint64)
                     w[number != RARE] = top_w[number[number != RARE]]
                     w[number == RARE] = rare
@@ -486,13 +472,13 @@ def _document_sums(parts: DataFrame, d2: np.ndarray) -> DataFrame:
             ends = np.cumsum([r[f"n{k}"] or 0 for k in range(1, 6)]).tolist()
             bounds = [0, *ends[: 5 if r["n3"] else 2], data.size]
             frames = [data[x:y] for x, y in zip(bounds, bounds[1:], strict=False)]
-            at = np.cumsum(_unpacked(frames[2], np.uint16), dtype=np.int64)
-            levels = _unpacked(frames[1], np.uint8 if r["a"] == 1 else np.uint32).reshape(KEEP, len(at))
-            sums[0, at] += _unpacked(frames[0], np.float64) + weights @ levels
+            at = np.cumsum(unpacked(frames[2], np.uint16), dtype=np.int64)
+            levels = unpacked(frames[1], np.uint8 if r["a"] == 1 else np.uint32).reshape(KEEP, len(at))
+            sums[0, at] += unpacked(frames[0], np.float64) + weights @ levels
             if r["n3"]:
-                own = _unpacked(frames[5], np.uint16)
-                sums[1, own] += _unpacked(frames[3], np.float64)
-                sums[2, own] += _unpacked(frames[4], np.uint32)
+                own = unpacked(frames[5], np.uint16)
+                sums[1, own] += unpacked(frames[3], np.float64)
+                sums[2, own] += unpacked(frames[4], np.uint32)
         n = sums.shape[1]
         return pa.table({"b": pa.array(np.full(n, rows[0]["b"])), "i": pa.array(np.arange(n, dtype=np.int32)), "sum": sums[0], "base_sum": sums[1], "known": sums[2].astype(np.int64)})
 

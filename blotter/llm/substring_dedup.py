@@ -12,7 +12,9 @@ or more whole paragraphs.
 
 Paragraphs with equal sets of 5-word shingles are one class. Each class has a
 MinHash signature, cut into bands whose number and width follow from the
-wanted recall at the threshold (``tune_bands``). Classes that collide in a
+wanted recall at the threshold (``tune_bands``). The bands meet as packed arrays in
+buckets, which are ranges of keys; only those whose key another class has become
+rows. Classes that collide in a
 band are verified by exact Jaccard (``blocking`` tests them against hubs, so a
 band that thousands share is never expanded into all pairs). Paragraphs whose
 classes are connected by verified links form a cluster; all but the first
@@ -26,6 +28,7 @@ table gives an empty result; long texts are cut whole.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 
@@ -35,16 +38,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.blocking import linked_components, shared_buckets
+from blotter.llm.blocking import linked_components
 from blotter.llm.decontamination import _possible, bloom_filter
 from blotter.llm.frames import doc_texts, stored
-from blotter.llm.textbatch import Words, mix, split_words, text_slices
+from blotter.llm.textbatch import Words, mix, packed, release_memory, split_words, text_slices, unpacked
 
 SHINGLE = 5
 PARAGRAPH = 25
 MIN_WORDS = 16
 REACH = 5
 THRESHOLD = 0.8
+KEY_BITS = 44  # of a band's key; two keys that fall together cost a test, no link
+BLOCK_CLASSES = 100_000
+BUCKET_ROWS = 1_000_000
+MAX_BUCKETS = 1 << 18
 
 
 def tune_bands(threshold: float, recall: float, collide_at: float = 0.1, most: float = 0.1) -> tuple[int, int]:
@@ -145,29 +152,95 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return doc_texts(docs).where("doc_id is not null").mapInArrow(run, "c long, doc_id long, first_word int, end_word int")
 
 
-def band_rows(docs: DataFrame, bands: int, rows: int, seed: int) -> DataFrame:
-    """(key, c, n, sig): the bands of each class, once per slice of texts, with
-    the 32-bit parity bitmap of its shingles."""
+def band_blocks(docs: DataFrame, bands: int, rows: int, seed: int, buckets: int) -> DataFrame:
+    """One row per bucket and block of texts: the bands of each class, once per
+    block, by rising key of KEY_BITS bits (as differences), with the class's
+    number of shingles and their 32-bit parity bitmap. Buckets are ranges of keys;
+    arrays are ``packed``."""
     salts = np.random.default_rng(seed).integers(1, 2**63, bands * rows, dtype=np.uint64)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+    def bands_of(c: np.ndarray, grams: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         top = np.uint64(0xFFFFFFFFFFFFFFFF)
+        c, one = np.unique(c, return_index=True)
+        grams, valid = grams[one], valid[one]
+        bit = np.where(valid, np.uint32(1) << (grams >> np.uint64(59)).astype(np.uint32), np.uint32(0))
+        keys = np.empty((len(c), bands), np.uint64)
+        for b in range(bands):
+            key = np.full(len(c), b + 1, np.uint64)
+            for r in range(rows):
+                key = mix(key) + np.where(valid, mix(grams ^ salts[b * rows + r]), top).min(1)
+            keys[:, b] = mix(key) >> np.uint64(64 - KEY_BITS)
+        return c, valid.sum(1).astype(np.uint8), np.bitwise_xor.reduce(bit, axis=1).view(np.int32), keys
+
+    def block(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        c, n, sig, keys = (np.concatenate(x) for x in zip(*parts, strict=True))
+        c, one = np.unique(c, return_index=True)
+        n, sig, key = n[one], sig[one], keys[one].ravel()
+        order = np.argsort(key)
+        key, at = key[order], order // bands
+        bucket = (key * np.uint64(buckets)) >> np.uint64(KEY_BITS)
+        starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        made: list[list] = [[], [], [], [], []]
+        for s, e in zip(starts, np.append(starts[1:], len(key)), strict=True):
+            some = at[s:e]
+            for x, v in zip(made, (int(bucket[s]), packed(np.diff(key[s:e], prepend=np.uint64(0))), packed(c[some]), packed(n[some]), packed(sig[some])), strict=True):
+                x.append(v)
+        return pa.RecordBatch.from_arrays([pa.array(made[0], pa.int32()), *(pa.array(x, pa.binary()) for x in made[1:])], names=["bucket", "key", "c", "n", "sig"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        parts, held = [], 0
         for batch in batches:
             for _, _, _, c, grams, valid in paragraphs(batch.column(1)):
-                c, one = np.unique(c, return_index=True)
-                grams, valid = grams[one], valid[one]
-                n = valid.sum(1).astype(np.int32)
-                bit = np.where(valid, np.uint32(1) << (grams >> np.uint64(59)).astype(np.uint32), np.uint32(0))
-                sig = np.bitwise_xor.reduce(bit, axis=1).view(np.int32)
-                keys = []
-                for b in range(bands):
-                    key = np.full(len(c), b + 1, np.uint64)
-                    for r in range(rows):
-                        key = mix(key) + np.where(valid, mix(grams ^ salts[b * rows + r]), top).min(1)
-                    keys.append(mix(key).view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.tile(c, bands)), pa.array(np.tile(n, bands)), pa.array(np.tile(sig, bands))], names=["key", "c", "n", "sig"])
-
-    return doc_texts(docs).where("doc_id is not null").mapInArrow(run, "key long, c long, n int, sig int")
+                parts.append(bands_of(c, grams, valid))
+                held += len(parts[-1][0])
+                if held >= BLOCK_CLASSES:
+                    yield block(parts)
+                    parts, held = [], 0
+                    release_memory()
+        if parts:
+            yield block(parts)
+        del parts
+        release_memory()
+
+    return doc_texts(docs).where("doc_id is not null").mapInArrow(run, "bucket int, key binary, c binary, n binary, sig binary")
+
+
+def shared_bands(blocks: DataFrame) -> DataFrame:
+    """(key, c, n, sig, size, h_c, ..., g_c, ...) of the keys that two or more
+    classes share, as ``blocking.shared_buckets`` gives them: the band rows meet
+    packed, and those whose key no other class has never leave their bucket."""
+    schema = "key long, c long, n int, sig int, size long, h_c long, h_n int, h_sig int, g_c long, g_n int, g_sig int"
+
+    def run(table: pa.Table) -> pa.Table:
+        made = shared(table)
+        release_memory()
+        return made
+
+    def shared(table: pa.Table) -> pa.Table:
+        def column(name: str, kind: type) -> list[np.ndarray]:
+            return [unpacked(x.as_buffer(), kind) for x in table.column(name)]
+
+        key = np.concatenate([np.cumsum(x) for x in column("key", np.uint64)])
+        c = np.concatenate(column("c", np.int64))
+        order = np.lexsort((c, key))
+        key, c = key[order], c[order]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        one = np.flatnonzero(new | np.concatenate([[True], c[1:] != c[:-1]]))  # a class is once in a key
+        new = new[one]
+        size = np.diff(np.append(np.flatnonzero(new), len(one)))
+        size = np.repeat(size, size)
+        kept = one[size > 1]
+        begins, size = new[size > 1], size[size > 1]
+        key, c, order = key[kept], c[kept], order[kept]
+        n, sig = np.concatenate(column("n", np.uint8))[order].astype(np.int32), np.concatenate(column("sig", np.int32))[order]
+        group = np.cumsum(begins) - 1
+        columns = {"key": key.view(np.int64), "c": c, "n": n, "sig": sig, "size": size.astype(np.int64)}
+        for h, drawn in (("h", mix(key ^ mix(c.view(np.uint64)))), ("g", mix(~key ^ mix(c.view(np.uint64))))):
+            hub = np.lexsort((drawn, group))[begins][group]
+            columns |= {f"{h}_c": c[hub], f"{h}_n": n[hub], f"{h}_sig": sig[hub]}
+        return pa.table(columns)
+
+    return stored(blocks.groupBy("bucket").applyInArrow(run, schema), "buckets")
 
 
 def class_sets(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
@@ -184,6 +257,8 @@ def class_sets(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
                     offsets = np.concatenate([[0], np.cumsum(ok.sum(1))]).astype(np.int32)
                     lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(kept[ok].view(np.int64)))
                     yield pa.RecordBatch.from_arrays([pa.array(c[some]), lists], names=["c", "grams"])
+            del batch
+            release_memory()
 
     return doc_texts(docs).where("doc_id is not null").mapInArrow(run, "c long, grams array<long>")
 
@@ -205,7 +280,8 @@ def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, recall: f
     cluster's first. Texts without repeated paragraphs have no row."""
     bands, rows = tune_bands(threshold, recall)
     placed = stored(occurrences(docs), "paragraphs")
-    active = shared_buckets(band_rows(docs, bands, rows, seed))
+    buckets = max(4, min(MAX_BUCKETS, math.ceil(placed.count() * bands / BUCKET_ROWS)))
+    active = shared_bands(band_blocks(docs, bands, rows, seed, buckets))
 
     def verify(pairs: DataFrame) -> DataFrame:
         if pairs.isEmpty():

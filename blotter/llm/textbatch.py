@@ -72,6 +72,20 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def packed(x: np.ndarray) -> bytes:
+    """The bytes of ``x``, first bytes first, behind their number; compressed if
+    that is shorter."""
+    raw = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+    small = pa.compress(raw, codec="zstd", asbytes=True)
+    return len(raw).to_bytes(4, "little") + (small if len(small) < len(raw) else raw)
+
+
+def unpacked(data: pa.Buffer, kind: type) -> np.ndarray:
+    size, rest = int.from_bytes(data[:4].to_pybytes(), "little"), data[4:]
+    raw = np.frombuffer(rest if rest.size == size else pa.decompress(rest, size, codec="zstd"), np.uint8)
+    return raw.reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
 class Words:
     """Words of consecutive documents: hashes in text order and, for document
     i, the positions ``first[i]:first[i + 1]`` of its words."""

@@ -12,7 +12,8 @@ from blotter.llm.blocking import components, linked_components, shared_buckets
 from blotter.llm.frames import read_table
 from blotter.llm.line_dedup import dedup_line_runs, dedup_lines
 from blotter.llm.ngram_join import keep_one_per_component, least_difference, ngram_components, parity_bitmap, shingle_sets
-from blotter.llm.substring_dedup import paragraphs, remove_paragraphs, repeated_paragraphs, tune_bands
+from blotter.llm.substring_dedup import band_blocks, paragraphs, remove_paragraphs, repeated_paragraphs, shared_bands, tune_bands
+from blotter.llm.textbatch import unpacked
 from corpus_pipeline import line_dedup
 from tests.conftest import SF_MID, SF_SMALL
 
@@ -361,3 +362,29 @@ def test_join_edge_cases(odd_docs, no_docs, make_docs):
     assert len(alone) == 3  # 4 of 6 shingles
     assert len(keep_one_per_component(make_docs([text, text.upper(), other], ids=[None, None, None])).collect()) == 2
     assert keep_one_per_component(odd_docs).columns == odd_docs.columns
+
+
+def test_band_rows_meet_in_few_bytes_and_every_shared_key_is_kept(spark, monkeypatch):
+    monkeypatch.setattr("blotter.llm.substring_dedup.BLOCK_CLASSES", 500)
+    docs = read_table(spark, SF_SMALL, "documents")
+    blocks = band_blocks(docs, 6, 2, 41, 5).cache()
+    sent = blocks.select(F.expr("sum(octet_length(key) + octet_length(c) + octet_length(n) + octet_length(sig))")).first()[0]
+    held = collections.defaultdict(dict)
+    for r in blocks.collect():
+        key = np.cumsum(unpacked(pa.py_buffer(r["key"]), np.uint64))
+        assert (key[1:] >= key[:-1]).all() and (key * 5 >> np.uint64(44) == r["bucket"]).all()
+        n, sig = unpacked(pa.py_buffer(r["n"]), np.uint8), unpacked(pa.py_buffer(r["sig"]), np.int32)
+        for k, c, about in zip(key.tolist(), unpacked(pa.py_buffer(r["c"]), np.int64).tolist(), zip(n.tolist(), sig.tolist(), strict=True), strict=True):
+            held[k][c] = about
+    classes = {c: int(ok.sum()) for row in docs.where("doc_id is not null").collect() for p in paragraphs(pa.array([row["text"]])) for c, ok in zip(p[3].tolist(), p[5], strict=True)}
+    assert {c for x in held.values() for c in x} == set(classes) and sum(map(len, held.values())) == 6 * len(classes)
+    want = {(k, c, *x[c], len(x)) for k, x in held.items() if len(x) > 1 for c in x}
+    got = shared_bands(blocks).collect()
+    blocks.unpersist()
+    assert want and {(r["key"], r["c"], r["n"], r["sig"], r["size"]) for r in got} == want and len(got) == len(want)
+    assert all(x[0] == classes[c] for k in held.values() for c, x in k.items())
+    for r in got:
+        for h in "hg":
+            assert held[r["key"]][r[f"{h}_c"]] == (r[f"{h}_n"], r[f"{h}_sig"])
+    assert len({(r["key"], r["h_c"], r["g_c"]) for r in got}) == len({r["key"] for r in got})
+    assert sent < 18 * 6 * len(classes)  # a row of key, class, size and bitmap takes 24
