@@ -19,6 +19,13 @@ passes find the links:
 3. in all others, all remaining pairs whose components differ. A hot bucket is
    dealt over several tasks.
 
+In a bucket whose members have little more in common than the key (thousands of
+sets around one passage), 3 still grows with the square of its size. A caller that
+can name the members of the sets gives ``finer``, which deals the rows of large
+buckets into finer ones, where rows that may be linked still meet: by the members
+of a prefix (``prefix_keys``). They take the place of 3 and of the parts in 2, and
+have hubs of their own.
+
 What may be linked is decided within the joins, from sizes and, where rows carry
 them, positions and bitmaps (``may_link``). No pair that shares a bucket, may be
 linked and is in different components is left untested, so no link is lost.
@@ -28,6 +35,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,7 +68,9 @@ def may_link(x: str, y: str, columns: list[str], threshold: float) -> Column:
     both = a("n") + b("n")
     out = (F.least(a("n"), b("n")) >= F.greatest(a("n"), b("n")) * threshold - 1e-9) & (a("c") != b("c"))
     if "sig" in columns:
-        out = out & (F.bit_count(a("sig").bitwiseXOR(b("sig"))) <= both * ((1 - threshold) / (1 + threshold)) + 1e-9)
+        # bit_count widens a negative integer, whose sign would count 33 times
+        differ = a("sig").bitwiseXOR(b("sig")).cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
+        out = out & (F.bit_count(differ) <= both * ((1 - threshold) / (1 + threshold)) + 1e-9)
     if "rest" in columns:
         out = out & (F.least(a("rest"), b("rest")) >= both * (threshold / (1 + threshold)) - 1e-9)
     if "short" in columns:
@@ -93,6 +103,17 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     return stored(dealt.join(buckets.select("key", "size", *named), "key"), "buckets")
 
 
+def prefix_keys(counts: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(set, rest, short) of every member in the prefixes of sets of ``counts``
+    members that stand in one common order: of two sets with a Jaccard similarity of
+    ``threshold``, the first common member is in both prefixes."""
+    length = counts - np.ceil(counts * threshold - 1e-9).astype(np.int64) + 1
+    index = counts - np.ceil(counts * (2 * threshold / (1 + threshold)) - 1e-9).astype(np.int64) + 1
+    own = np.repeat(np.arange(len(counts)), length)
+    at = np.arange(len(own)) - np.repeat(np.cumsum(length) - length, length)
+    return own, counts[own] - at, at < index[own]
+
+
 def _distinct(pairs: DataFrame, x: str, y: str) -> DataFrame:
     return pairs.select(F.least(x + "c", y + "c").alias("a"), F.greatest(x + "c", y + "c").alias("b")).distinct()
 
@@ -137,12 +158,37 @@ def whole_pairs(rows: DataFrame, threshold: float) -> DataFrame:
     return _met(one, every, ["key", "share"], _carried(rows), threshold)
 
 
-def linked_components(active: DataFrame, threshold: float, verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose components differ."""
+    a, b = roots.toDF("a", "a_root"), roots.toDF("b", "b_root")
+    named = pairs.join(a, "a", "left").join(b, "b", "left")
+    return named.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+
+
+def linked_components(
+    active: DataFrame,
+    threshold: float,
+    verify: Callable[[DataFrame], DataFrame],
+    finer: Callable[[DataFrame, DataFrame], tuple[DataFrame, Callable[[DataFrame], DataFrame]]] | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """(links (a, b), components (c, root)) of the sets in ``active``.
-    ``verify`` keeps the linked ones of the pairs (a, b) it is given. The links
-    connect every component; of large groups they are not all links."""
+    ``verify`` keeps the linked ones of the pairs (a, b) it is given. ``finer``
+    gets the pairs of the smaller buckets and the open rows (key, ``CARRIED``) of
+    those of over ``PART`` members; it returns the rows of finer buckets with
+    positions, in which any two rows of a key that may be linked meet, and what
+    takes the place of ``verify`` for these pairs and all sets of these rows. The
+    links connect every component; of large groups they are not all links."""
     links = stored(verify(stored(hub_pairs(active, threshold), "pairs")), "links")
     roots = components(links)
+    if finer is not None:
+        rows = _open(active, roots, 3)
+        pairs = stored(part_pairs(rows.where(F.col("size") <= PART), threshold), "pairs")
+        dealt, verify = finer(pairs, rows.where(F.col("size") > PART).select("key", *_carried(rows)))
+        active = shared_buckets(dealt)
+        pairs = stored(pairs.unionByName(_apart(hub_pairs(active, threshold), roots)).distinct(), "pairs")
+        found = stored(verify(pairs), "links")
+        links = links.unionByName(found)
+        roots = components(found.unionByName(roots.where("c <> root").toDF("a", "b")))
     passes = ((3, whole_pairs),) if "rest" in active.columns else ((3, part_pairs), (PART + 1, whole_pairs))
     for least, pairs_of in passes:
         rows = _open(active, roots, least)

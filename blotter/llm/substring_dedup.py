@@ -16,7 +16,10 @@ wanted recall at the threshold (``tune_bands``). The bands meet as packed arrays
 buckets, which are ranges of keys; only those whose key another class has become
 rows. Classes that collide in a
 band are verified by exact Jaccard (``blocking`` tests them against hubs, so a
-band that thousands share is never expanded into all pairs). Paragraphs whose
+band that thousands share is never expanded into all pairs). Classes of a large
+bucket that hubs leave apart meet again by the shingles of their prefixes, rare ones
+first: thousands of paragraphs around one common line share a band, but no rare
+shingle. Paragraphs whose
 classes are connected by verified links form a cluster; all but the first
 (smallest doc_id, then position) are removed.
 
@@ -30,7 +33,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.blocking import linked_components
+from blotter.llm.blocking import linked_components, prefix_keys
 from blotter.llm.decontamination import _possible, bloom_filter
 from blotter.llm.frames import doc_texts, stored
 from blotter.llm.textbatch import Words, mix, packed, release_memory, split_words, text_slices, unpacked
@@ -52,6 +55,7 @@ KEY_BITS = 44  # of a band's key; two keys that fall together cost a test, no li
 BLOCK_CLASSES = 100_000
 BUCKET_ROWS = 1_000_000
 MAX_BUCKETS = 1 << 18
+CELL_BITS = 20  # of the counters that order shingles
 
 
 def tune_bands(threshold: float, recall: float, collide_at: float = 0.1, most: float = 0.1) -> tuple[int, int]:
@@ -263,6 +267,36 @@ def class_sets(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     return doc_texts(docs).where("doc_id is not null").mapInArrow(run, "c long, grams array<long>")
 
 
+def shingle_ranks(sets: DataFrame) -> np.ndarray:
+    """The rank of every counter cell, by the logarithm of how many shingles of
+    ``sets`` fall on it. The driver gets a number and a byte per cell."""
+    cells = sets.select(F.explode("grams").alias("gram")).groupBy(F.shiftrightunsigned("gram", 64 - CELL_BITS).cast("int").alias("cell"))
+    seen = cells.agg(F.least(F.lit(127), F.round(F.log2(F.count(F.lit(1))) * 3)).cast("byte").alias("rank")).toArrow()
+    out = np.zeros(1 << CELL_BITS, np.uint8)
+    out[seen["cell"].to_numpy()] = seen["rank"].to_numpy()
+    return out
+
+
+def prefix_rows(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(key, c, n, sig, rest, short): for every row (key, c, n, sig) of a bucket,
+    one for each shingle in the prefix of its set in ``sets``, rare ones first; the
+    key is of the bucket and the shingle."""
+    ranks = shingle_ranks(sets.join(rows.select("c").distinct(), "c", "left_semi"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            gram, counts = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            order = np.lexsort((gram, ranks[gram >> np.uint64(64 - CELL_BITS)], np.repeat(np.arange(len(counts)), counts)))
+            own, rest, short = prefix_keys(counts, threshold)
+            first = np.cumsum(counts) - counts
+            gram = gram[order][first[own] + counts[own] - rest]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), pa.array(gram.view(np.int64)), pa.array(rest.astype(np.int32)), pa.array(short)], names=["c", "gram", "rest", "short"])
+
+    prefixes = sets.mapInArrow(run, "c long, gram long, rest int, short boolean")
+    return rows.join(prefixes, "c").select(F.xxhash64("key", "gram").alias("key"), "c", "n", "sig", "rest", "short")
+
+
 def _mixed(ids: DataFrame) -> DataFrame:
     """(hash): the finaliser of each id, as the filters look it up."""
 
@@ -283,17 +317,26 @@ def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, recall: f
     buckets = max(4, min(MAX_BUCKETS, math.ceil(placed.count() * bands / BUCKET_ROWS)))
     active = shared_bands(band_blocks(docs, bands, rows, seed, buckets))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        if pairs.isEmpty():
-            return pairs
-        members = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-        wanted = bloom_filter(_mixed(members), 1 << 27)
-        sets = stored(class_sets(docs, wanted).dropDuplicates(["c"]), "paragraph-sets")
+    def sets_of(members: DataFrame) -> DataFrame:
+        wanted = bloom_filter(_mixed(members.distinct()), 1 << 27)
+        return stored(class_sets(docs, wanted).dropDuplicates(["c"]), "paragraph-sets")
+
+    def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         both = pairs.join(sets.toDF("a", "ga"), "a").join(sets.toDF("b", "gb"), "b")
         sized = both.select("a", "b", F.size(F.array_intersect("ga", "gb")).alias("same"), (F.size("ga") + F.size("gb")).alias("total"))
         return sized.where(F.col("same") >= (F.col("total") - F.col("same")) * threshold - 1e-9).select("a", "b")
 
-    _, roots = linked_components(active, threshold, verify)
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("a", "b")).alias("c"))
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        return pairs if pairs.isEmpty() else linked(pairs, sets_of(ends(pairs)))
+
+    def finer(pairs: DataFrame, rows: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+        sets = sets_of(ends(pairs).unionByName(rows.select("c")))
+        return prefix_rows(rows, sets, threshold), lambda some: linked(some, sets)
+
+    _, roots = linked_components(active, threshold, verify, finer)
     copies = placed.groupBy("c").agg(F.count("*").alias("k")).where("k > 1").select("c")
     joint = roots.unionByName(copies.select("c", F.col("c").alias("root"))).groupBy("c").agg(F.min("root").alias("root"))
     clustered = stored(placed.join(joint, "c").select("root", "doc_id", "first_word", "end_word").distinct(), "clusters")

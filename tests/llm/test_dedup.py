@@ -8,11 +8,12 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from blotter.llm import blocking
 from blotter.llm.blocking import components, linked_components, shared_buckets
 from blotter.llm.frames import read_table
 from blotter.llm.line_dedup import dedup_line_runs, dedup_lines
 from blotter.llm.ngram_join import keep_one_per_component, least_difference, ngram_components, parity_bitmap, shingle_sets
-from blotter.llm.substring_dedup import band_blocks, paragraphs, remove_paragraphs, repeated_paragraphs, shared_bands, tune_bands
+from blotter.llm.substring_dedup import band_blocks, paragraphs, prefix_rows, remove_paragraphs, repeated_paragraphs, shared_bands, tune_bands
 from blotter.llm.textbatch import unpacked
 from corpus_pipeline import line_dedup
 from tests.conftest import SF_MID, SF_SMALL
@@ -388,3 +389,57 @@ def test_band_rows_meet_in_few_bytes_and_every_shared_key_is_kept(spark, monkeyp
             assert held[r["key"]][r[f"{h}_c"]] == (r[f"{h}_n"], r[f"{h}_sig"])
     assert len({(r["key"], r["h_c"], r["g_c"]) for r in got}) == len({r["key"] for r in got})
     assert sent < 18 * 6 * len(classes)  # a row of key, class, size and bitmap takes 24
+
+
+def test_paragraphs_around_one_common_line_are_not_tested_pair_by_pair(make_docs, monkeypatch):
+    # 17 of 21 shingles in common do not link; a few have a near copy
+    rng = random.Random(8)
+    line = [f"common{i}" for i in range(21)]
+    texts = [" ".join([*line, *(f"own{i}x{j}" for j in range(4))]) for i in range(900)]
+    texts += [t + "y" for t in rng.sample(texts, 40)]
+    tested = []
+
+    def counted(df, purpose, *more, stored=blocking.stored):
+        out = stored(df, purpose, *more)
+        if purpose == "pairs":
+            tested.append(out.count())
+        return out
+
+    monkeypatch.setattr(blocking, "stored", counted)
+    found = repeated_paragraphs(make_docs(texts)).collect()
+    sets, places = {}, collections.defaultdict(set)
+    for rows, firsts, _, cs, grams, valid in paragraphs(pa.array(texts)):
+        for row, first, c, g, ok in zip(rows.tolist(), firsts.tolist(), cs.tolist(), grams, valid, strict=True):
+            sets[c] = set(g[ok].tolist())
+            places[c].add((row, first))
+    near = [(a, b) for a in sets for b in sets if a < b and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])]
+    groups = collections.defaultdict(set)
+    for c, root in _components(near, sets).items():
+        groups[root] |= places[c]
+    want = {(place, min(g)) for g in groups.values() if len(g) > 1 for place in g}
+    assert {((r["doc_id"], r["first_word"]), (r["original_doc_id"], r["original_word"])) for r in found} == want
+    assert len(near) >= 40 and sum(tested) < 12 * len(sets)
+
+
+def test_sets_that_link_meet_in_a_prefix(spark):
+    rng = random.Random(9)
+    base = [rng.sample(range(1, 2**62), 21) for _ in range(12)]
+    sets = {}
+    for c in range(400):
+        own = rng.sample(base[c % 12], rng.randint(17, 21))
+        sets[c] = sorted({*own, *(rng.randrange(1, 2**62) for _ in range(rng.randint(0, 2)))})
+    rows = [(c % 2, c, len(s), 0) for c, s in sets.items()]
+    kept = spark.createDataFrame(list(sets.items()), "c long, grams array<long>")
+    held = collections.defaultdict(list)
+    for r in prefix_rows(spark.createDataFrame(rows, "key long, c long, n int, sig int"), kept, 0.8).collect():
+        held[r["key"]].append(r)
+    met = {(x["c"], y["c"]) for rs in held.values() for x in rs for y in rs if x["short"] or y["short"] if min(x["rest"], y["rest"]) * 9 >= 4 * (x["n"] + y["n"])}
+    linked = {(a, b) for a in sets for b in sets if a != b and a % 2 == b % 2 and 10 * len({*sets[a]} & {*sets[b]}) >= 8 * len({*sets[a]} | {*sets[b]})}
+    assert len(linked) > 200 and linked <= met
+
+
+def test_bitmaps_that_differ_in_their_sign_count_as_one_bit(spark):
+    rows = spark.createDataFrame([(1, 5, 21, 7), (1, 6, 21, 7 - 2**31)], "key long, c long, n int, sig int")
+    about = ["c", "n", "sig"]
+    pairs = rows.toDF("key", "x_c", "x_n", "x_sig").join(rows.toDF("key", "y_c", "y_n", "y_sig"), "key")
+    assert pairs.where(blocking.may_link("x_", "y_", about, 0.8)).count() == 2
