@@ -56,6 +56,7 @@ BLOCK_CLASSES = 100_000
 BUCKET_ROWS = 1_000_000
 MAX_BUCKETS = 1 << 18
 CELL_BITS = 20  # of the counters that order shingles
+PIECE = 1 << 14  # counter cells that travel in one row
 
 
 def tune_bands(threshold: float, recall: float, collide_at: float = 0.1, most: float = 0.1) -> tuple[int, int]:
@@ -267,13 +268,40 @@ def class_sets(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     return doc_texts(docs).where("doc_id is not null").mapInArrow(run, "c long, grams array<long>")
 
 
+def cell_counts(sets: DataFrame) -> DataFrame:
+    """(piece, counts): how many shingles of ``sets`` fall on each counter cell, in
+    pieces of ``PIECE`` cells. A task counts all its sets first, so it makes a row
+    per piece that has any, however many shingles it reads."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        cells = np.zeros(1 << CELL_BITS, np.int64)
+        for batch in batches:
+            gram = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            np.add.at(cells, gram >> np.uint64(64 - CELL_BITS), 1)
+        pieces = cells.reshape(-1, PIECE)
+        some = np.flatnonzero(pieces.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([packed(x) for x in pieces[some]], pa.binary())], names=["piece", "counts"])
+
+    return sets.select("grams").mapInArrow(run, "piece int, counts binary")
+
+
 def shingle_ranks(sets: DataFrame) -> np.ndarray:
     """The rank of every counter cell, by the logarithm of how many shingles of
-    ``sets`` fall on it. The driver gets a number and a byte per cell."""
-    cells = sets.select(F.explode("grams").alias("gram")).groupBy(F.shiftrightunsigned("gram", 64 - CELL_BITS).cast("int").alias("cell"))
-    seen = cells.agg(F.least(F.lit(127), F.round(F.log2(F.count(F.lit(1))) * 3)).cast("byte").alias("rank")).toArrow()
+    ``sets`` fall on it. The pieces of the tasks are added up as they stream by; the
+    driver gets a number per piece and a byte per cell."""
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                sums[piece] = sums.get(piece, 0) + unpacked(data.as_buffer(), np.int64)
+        made = [np.minimum(np.round(np.log2(np.maximum(x, 1)) * 3), 127).astype(np.uint8).tobytes() for x in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(made, pa.binary())], names=["piece", "ranks"])
+
+    seen = cell_counts(sets).repartition("piece").mapInArrow(add, "piece int, ranks binary").toArrow()
     out = np.zeros(1 << CELL_BITS, np.uint8)
-    out[seen["cell"].to_numpy()] = seen["rank"].to_numpy()
+    for piece, ranks in zip(seen["piece"].to_pylist(), seen["ranks"], strict=True):
+        out[piece * PIECE : (piece + 1) * PIECE] = np.frombuffer(ranks.as_buffer(), np.uint8)
     return out
 
 

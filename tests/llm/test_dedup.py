@@ -443,3 +443,26 @@ def test_bitmaps_that_differ_in_their_sign_count_as_one_bit(spark):
     about = ["c", "n", "sig"]
     pairs = rows.toDF("key", "x_c", "x_n", "x_sig").join(rows.toDF("key", "y_c", "y_n", "y_sig"), "key")
     assert pairs.where(blocking.may_link("x_", "y_", about, 0.8)).count() == 2
+
+
+def test_shingles_are_counted_before_they_become_rows(spark):
+    from blotter.llm.substring_dedup import CELL_BITS, PIECE, cell_counts, shingle_ranks
+
+    rng = random.Random(10)
+    common = [rng.randrange(-(2**63), 2**63) for _ in range(30)]
+    sets = [(c, [*rng.sample(common, 9), *(rng.randrange(-(2**63), 2**63) for _ in range(rng.randint(0, 12)))]) for c in range(6000)]
+    for n in (300, 6000):
+        kept = spark.createDataFrame(sets[:n], "c long, grams array<long>").coalesce(3)
+        want = collections.Counter((g % 2**64) >> (64 - CELL_BITS) for _, gs in sets[:n] for g in gs)
+        rows = cell_counts(kept).collect()
+        # twenty times the sets make no more rows: one for a task and piece
+        assert len(rows) <= 3 * (1 << CELL_BITS) // PIECE < 9 * n
+        got = collections.Counter()
+        for r in rows:
+            for at, k in enumerate(unpacked(pa.py_buffer(r["counts"]), np.int64).tolist()):
+                got[r["piece"] * PIECE + at] += k
+        assert +got == want
+        ranks = shingle_ranks(kept)
+        assert len(ranks) == 1 << CELL_BITS
+        assert {cell: int(ranks[cell]) for cell in want} == {cell: round(np.log2(k) * 3) for cell, k in want.items()}
+    assert not shingle_ranks(kept.limit(0)).any()
